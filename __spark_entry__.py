@@ -82,6 +82,19 @@ def part_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return _part_columns(part.filter(first)), _part_columns(part.filter(~first))
 
 
+def brand_type_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Keyed by brand and type and split by size: later names replace some earlier ones wholly."""
+    part = _table(spark, sf_dir, "part")
+    feed = part.select(
+        F.concat(F.col("p_brand"), F.lit("-"), F.col("p_type")).alias("sku"),
+        F.nullif(F.col("p_name"), F.lit("small ring")).alias("name"),
+        F.col("p_partkey").cast("string").alias("description"),
+        "p_size",
+    )
+    small = F.col("p_size") <= 10
+    return feed.filter(small).drop("p_size"), feed.filter(~small).drop("p_size")
+
+
 def _lineitem_columns(df: DataFrame, *further: str) -> DataFrame:
     return df.select(
         F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("sku"),
@@ -255,7 +268,7 @@ def q_merge_only_changed(spark, sf_dir):
 
 
 def _count_batches(spark, sf_dir):
-    first, second = part_batches(spark, sf_dir)
+    first, second = brand_type_batches(spark, sf_dir)
     target = latest_per_key(valid_rows(first), order_by=("name", "description"))
     batch = latest_per_key(valid_rows(second), order_by=("name", "description"))
     merged = merge_rows(target, batch, update=("name", "description"))
@@ -494,8 +507,14 @@ _MERGE = f"""
         case when t.sku is null then 'insert' when u.sku is null then 'keep' else 'update' end as action
         from t full outer join u on t.sku = u.sku)"""
 
-_MERGED_PARTS = f"""t as ({_transformed(_PART + " where " + _FIRST)}),
-    u as ({_transformed(_PART + " where not " + _FIRST, _DIGITS_2, "(select max(p_id) from t)")}),
+_BRAND_TYPE = """select p_brand || '-' || p_type as sku, nullif(p_name, 'small ring') as name,
+    cast(p_partkey as varchar) as description from part"""
+
+
+def _merged(feed: str, first: str) -> str:
+    """Two batches of a feed, merged (m), with the counts before (before) and after (fresh)."""
+    return f"""t as ({_transformed(f"{feed} where {first}")}),
+    u as ({_transformed(f"{feed} where not ({first})", _DIGITS_2, "(select max(p_id) from t)")}),
     m as (select coalesce(t.p_id, u.p_id) as p_id, coalesce(t.sku, u.sku) as sku,
         coalesce(u.name, t.name) as name, coalesce(u.description, t.description) as description,
         coalesce(u.request_id, t.request_id) as request_id,
@@ -504,6 +523,9 @@ _MERGED_PARTS = f"""t as ({_transformed(_PART + " where " + _FIRST)}),
     before as (select name, count(*) as no_of_products from t group by name),
     fresh as (select name, count(*) as no_of_products from m group by name)"""
 
+
+_MERGED_PARTS = _merged(_PART, _FIRST)
+_MERGED_BRANDS = _merged(_BRAND_TYPE, "p_size <= 10")
 _STALE = """select name, no_of_products from fresh union all
     select name, no_of_products from before where name not in (select name from fresh)"""
 
@@ -591,11 +613,11 @@ def oracle_sql() -> dict[str, str]:
             case when t.sku is null then 'insert' when u.record_checksum <> t.record_checksum then 'update'
                 else 'keep' end as action
             from t full outer join u on t.sku = u.sku""",
-        "merge_agg_stale": f"with {_MERGED_PARTS} {_STALE}",
-        "merge_agg_replace": f"with {_MERGED_PARTS} select name, no_of_products from fresh",
+        "merge_agg_stale": f"with {_MERGED_BRANDS} {_STALE}",
+        "merge_agg_replace": f"with {_MERGED_BRANDS} select name, no_of_products from fresh",
         "hierarchy_totals": _totals("from lineitem", FLAG_HEADERS, "l_quantity"),
         "hierarchy_totals_nulls": _totals(nulled, FLAG_HEADERS, "l_quantity"),
-        "grand_total": f"select sum(balance) as value from ({customers})",
+        "grand_total": f"select cast(sum(balance) as decimal(28, 2)) as value from ({customers})",
         "hierarchy_tree": f"""
             with n as ({_totals("from lineitem", FLAG_HEADERS[:2], "l_quantity")}),
             leaves as (select l_returnflag, string_agg('{{"header":"l_linestatus","field_name":"' || l_linestatus

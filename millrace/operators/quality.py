@@ -44,7 +44,11 @@ def require_rows(df: DataFrame) -> DataFrame:
 
 
 def observe_counts(df: DataFrame, name: str, **counted: Column) -> tuple[DataFrame, Observation]:
-    """Count rows, and the rows matching each condition, in the job that writes ``df`` anyway."""
+    """Count rows, and the rows matching each condition, in the job that writes ``df`` anyway.
+
+    Call it right before the write, with no shuffle in between: tasks ahead of a shuffle may run
+    again when an executor is lost, and would count their rows twice.
+    """
     observation = Observation(name)
     counts = [F.count_if(condition).alias(label) for label, condition in counted.items()]
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts), observation

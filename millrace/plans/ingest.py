@@ -150,15 +150,8 @@ def _transform(valid, run_date, staging, products, max_lengths, null_text) -> tu
     for name, limit in max_lengths.items():
         if name in valid.columns:
             measures.append(F.count_if(F.length(F.col(f"`{name}`")) > limit).alias(name))
-    rows = transform_rows(
-        valid,
-        run_date,
-        staging,
-        products.max_id(),
-        checksum_null_text=null_text,
-        observation=seen,
-        measures=measures,
-    )
+    made = transform_rows(valid, run_date, staging, products.max_id(), checksum_null_text=null_text)
+    rows = staging.write(made.observe(seen, *measures), "transformed")
     found = seen.get
     too_long = [f"{n} values of {c}" for c, n in found.items() if c != "rows" and n]
     if too_long:
@@ -169,16 +162,15 @@ def _transform(valid, run_date, staging, products, max_lengths, null_text) -> tu
 def _refresh_counts(products, counts, batch_id, mode, log, staging, deliver) -> None:
     """Count the products by name and merge the counts; reads the name column only."""
     with log.phase("read", "Received", "products_agg", "products_agg") as count:
-        counted, read = observe_counts(products.current().select("name"), f"products {batch_id}")
-        made, names = observe_counts(
-            count_by(counted, "name", "no_of_products"), f"names {batch_id}"
-        )
-        fresh = staging.write(made, "counts")
-        count["rows"] = read.get["rows"]
+        seen = Observation(f"counts {batch_id}")
+        made = count_by(products.current(), "name", "no_of_products")
+        read, names = F.sum("no_of_products").alias("read"), F.count(F.lit(1)).alias("names")
+        fresh = staging.write(made.observe(seen, read, names), "counts")
+        count["rows"] = seen.get["read"] or 0
     with log.phase("aggregate", "Transformed", "products_agg", "products_agg") as count:
-        count["rows"] = names.get["rows"]
+        count["rows"] = seen.get["names"]
     with log.phase("load", "Delivered", "products_agg", "products_agg") as count:
         if deliver is not None:
             deliver(fresh.withColumnRenamed("no_of_products", "count_of_names"))
         counts.merge_counts(fresh, batch_id, mode)
-        count["rows"] = names.get["rows"]
+        count["rows"] = seen.get["names"]

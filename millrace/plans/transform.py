@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import record_checksum, run_digits, sequence_id
@@ -23,30 +23,24 @@ def transform_rows(
     slices: int | None = None,
     checksum_delimiter: str = "",
     checksum_null_text: str | None = None,
-    observation: Observation | None = None,
-    measures: list[Column] | None = None,
 ) -> DataFrame:
     """``id_column``, the source columns, ``request_id`` and ``record_checksum``, one row per key.
 
     The batch is numbered by key, then ``order_by``, then the other columns, and each key keeps
     its last row. That row is the key's greatest one and its number is the count of rows up to
-    and including the key, so neither numbering nor sorting all rows is needed: rows fold to one
-    per key (first inside each task), and a running total of the counts gives the numbers.
+    and including the key, so the rows themselves are never sorted as a whole. One pass counts
+    rows per key and turns the counts into running totals, moving the key column alone; one pass
+    folds the rows to the greatest per key, first inside each task. Their results meet by key.
 
-    ``dense_ids`` numbers the keys in order from ``offset + 1``; otherwise ids follow the layout
-    over ``partitions`` tasks, as `with_surrogate_key` describes.
+    ``valid`` is read twice, so it should be a plain read of a stored table. ``dense_ids``
+    numbers the keys in order from ``offset + 1``; otherwise ids follow the layout over
+    ``partitions`` tasks, as `with_surrogate_key` describes.
     """
     columns = valid.columns
     ordering = list(order_by) + [c for c in columns if c != key and c not in order_by]
-    folded = valid.groupBy(F.col(f"`{key}`")).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.max(F.struct(*[F.col(f"`{c}`") for c in ordering])).alias("__last"),
-    )
-    kept = folded.select(
-        *[F.col(f"`{c}`") if c == key else F.col(f"__last.`{c}`").alias(c) for c in columns], "__rows"
-    ).withColumn("record_checksum", record_checksum(columns, checksum_delimiter, checksum_null_text))
-    placed = with_position(
-        kept,
+    per_key = valid.groupBy(F.col(f"`{key}`"))
+    numbers = with_position(
+        per_key.agg(F.count(F.lit(1)).alias("__rows")),
         [key],
         staging,
         position="__position",
@@ -54,14 +48,14 @@ def transform_rows(
         running="__upto",
         unique=True,
         slices=slices,
-        observation=observation,
-        measures=measures,
     )
-    made = placed.select(
+    last = per_key.agg(F.max(F.struct(*[F.col(f"`{c}`") for c in ordering])).alias("__last"))
+    kept = last.select(*[F.col(f"`{c}`") if c == key else F.col(f"__last.`{c}`").alias(c) for c in columns])
+    made = kept.join(numbers, key).select(
         (F.lit(offset).cast("long") + F.col("__position")).alias(id_column),
         *[F.col(f"`{c}`") for c in columns],
         sequence_id(run_digits(F.lit(run_date)), "__upto").alias("request_id"),
-        "record_checksum",
+        record_checksum(columns, checksum_delimiter, checksum_null_text).alias("record_checksum"),
     )
     if dense_ids:
         return made
