@@ -70,12 +70,18 @@ def zipped_map(keys: Column | str, values: Column | str, separator: str = "|") -
 
 
 def _double_text(value: Column) -> Column:
-    """Shortest decimal text, plain from 1e-4 up to 1e16 and scientific (``1.5e-05``) outside."""
+    """Shortest decimal text, plain from 1e-4 up to 1e16 and scientific (``1.5e-05``) outside.
+
+    Before Java 19 a value from 1e16 on may show a digit more than needed.
+    """
     shortest = value.cast("string")
     plain = F.regexp_replace(shortest.cast("decimal(38,21)").cast("string"), "0+$", "")
     plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
-    mantissa = F.regexp_replace(F.substring_index(shortest, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(shortest, "E", -1).cast("int")
+    # Java before 19 may print digits too many; take the shortest text that reads back as the value
+    tries = [F.format_string(f"%.{digits}E", value) for digits in (14, 15, 16)]
+    digits = F.coalesce(*[F.when(t.cast("double") == value, t) for t in tries], shortest)
+    mantissa = F.regexp_replace(F.substring_index(digits, "E", 1), r"\.?0*$", "")
+    exponent = F.substring_index(digits, "E", -1).cast("int")
     scientific = F.concat(
         mantissa,
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),

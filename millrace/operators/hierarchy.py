@@ -23,33 +23,39 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def hierarchy_totals(df: DataFrame, headers: list[str], value: str) -> DataFrame:
+def hierarchy_totals(
+    df: DataFrame, headers: list[str], value: str, staging: Staging | None = None
+) -> DataFrame:
     """One row per tree node: ``level`` (0 = everything), the headers down to it, and the sum.
 
     Rows with a null header count in every node above that header and form no node of their own.
-    Null values are skipped; a group of nulls sums to 0. The rows are folded once, at the deepest
-    level; each level above is summed from the level below it, so only grouped rows move again.
+    Null values are skipped; a group of nulls sums to 0. Rows are folded to the deepest level
+    first, so the levels above are summed from groups rather than rows. With ``staging`` the
+    groups are stored once and the deepest level is not shuffled again, which suits a deepest
+    header with very many values.
     """
-    level_sums = {}
-    folded = df.groupBy(*[_c(h) for h in headers]).agg(F.coalesce(F.sum(_c(value)), F.lit(0)).alias("value"))
-    sum_type = folded.schema["value"].dataType
-    level_sums[len(headers)] = folded
-    for depth in range(len(headers) - 1, -1, -1):
-        folded = folded.groupBy(*[_c(h) for h in headers[:depth]]).agg(
-            F.coalesce(F.sum("value"), F.lit(0)).cast(sum_type).alias("value")
-        )
-        level_sums[depth] = folded
-
+    total = F.coalesce(F.sum(_c(value)), F.lit(0))
+    folded = df.groupBy(*[_c(h) for h in headers]).agg(total.alias("value"))
+    value_type = folded.schema["value"].dataType
+    again = F.coalesce(F.sum("value"), F.lit(0)).cast(value_type).alias("value")
+    if staging is None:
+        depth = sum((F.lit(1) - F.grouping(h) for h in headers), F.lit(0))
+        nodes = folded.rollup(*headers).agg(depth.cast("int").alias("level"), again)
+        whole = reduce(lambda a, b: a & b, [(F.col("level") <= i) | _c(h).isNotNull() for i, h in enumerate(headers)])
+        return nodes.filter(whole).select("level", *[_c(h) for h in headers], "value")
+
+    stored = staging.write(folded, "folded")
     parts = []
-    for depth in range(len(headers) + 1):
-        nodes = level_sums[depth]
-        for h in headers[:depth]:
-            nodes = nodes.filter(_c(h).isNotNull())
+    for level in range(len(headers) + 1):
+        nodes = stored
+        if level < len(headers):
+            nodes = stored.groupBy(*[_c(h) for h in headers[:level]]).agg(again)
         shown = [
-            _c(h) if i < depth else F.lit(None).cast(df.schema[h].dataType).alias(h)
+            _c(h) if i < level else F.lit(None).cast(df.schema[h].dataType).alias(h)
             for i, h in enumerate(headers)
         ]
-        parts.append(nodes.select(F.lit(depth).alias("level"), *shown, "value"))
+        named = nodes.dropna(subset=[f"`{h}`" for h in headers[:level]]) if level else nodes
+        parts.append(named.select(F.lit(level).alias("level"), *shown, "value"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -61,8 +67,8 @@ def hierarchy_tree(
     A single value must fit one task, so a tree of more than ``max_nodes`` nodes is refused;
     `hierarchy_document` writes a tree of any size, `hierarchy_totals` lists it.
     """
-    value_type = hierarchy_totals(df, headers, value).schema["value"].dataType
-    counted, nodes = observe_counts(hierarchy_totals(df, headers, value), "tree nodes")
+    counted, nodes = observe_counts(hierarchy_totals(df, headers, value, staging), "tree nodes")
+    value_type = counted.schema["value"].dataType
     totals = staging.write(counted, "totals")
     if nodes.get["rows"] > max_nodes:
         raise TreeTooLargeError(f"{nodes.get['rows']} nodes exceed {max_nodes}; write a document instead")
@@ -118,7 +124,7 @@ def hierarchy_document(df: DataFrame, headers: list[str], value: str, staging: S
     node's opening text plus whatever closes before the next node, and the next node's level says
     what that is. No node's children are ever gathered, so the tree may be of any size.
     """
-    totals = hierarchy_totals(df, headers, value)
+    totals = hierarchy_totals(df, headers, value, staging)
     value_type = totals.schema["value"].dataType
     depth = len(headers)
     placed = with_position(totals, headers, staging, unique=True)

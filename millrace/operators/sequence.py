@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from millrace.errors import SequenceOverflowError
 from millrace.functions.text import ROW_DIGITS, run_digits, sequence_id
-from millrace.staging import Staging
+from millrace.staging import Staging, local_table
 
 _SLICE, _SPOT, _TIE, _RUN = "__slice", "__spot", "__tie", "__run"
 _SPOT_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id: the row's place in its task
@@ -76,7 +76,7 @@ def with_position(
     if max(rows, weights) >= 10**ROW_DIGITS:
         raise SequenceOverflowError(f"{max(rows, weights)} rows do not fit {ROW_DIGITS} digits")
 
-    before = staging.spark.createDataFrame(offsets, _OFFSETS)
+    before = local_table(staging.spark, offsets, _OFFSETS)
     out = staged.join(F.broadcast(before), _SLICE)
     added = [(F.col("__rows_before") + F.col(_SPOT) + 1).alias(position)]
     if weight:

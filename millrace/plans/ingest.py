@@ -20,7 +20,7 @@ from millrace.plans.transform import transform_rows
 from millrace.sinks.files import append_audit, write_rejects
 from millrace.sinks.tables import PRODUCT_LENGTHS, KeyedTable
 from millrace.sources import Source, read_source
-from millrace.staging import Staging
+from millrace.staging import Staging, local_table
 
 _VALID = "row_is_valid"
 
@@ -58,7 +58,7 @@ class BatchLog:
         self.rows.append((status, table, data_object, count["rows"], "", datetime.now(UTC)))
 
     def batches(self) -> DataFrame:
-        return self.spark.createDataFrame(self.rows, BATCHES)
+        return local_table(self.spark, self.rows, BATCHES)
 
     def events(self) -> DataFrame:
         return audit_events(self.batches(), self.application_id, F.col("logged_at"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from millrace.errors import ConcurrentCommitError
 from millrace.operators.merge import merge_counts, merge_rows
-from millrace.staging import path_exists
+from millrace.staging import local_table, path_exists
 
 # Column names, types and lengths of the two target tables.
 PRODUCTS_DDL = (
@@ -107,7 +108,7 @@ class KeyedTable:
         wanted = latest if buckets is None else [b for b in buckets if b in latest]
         paths = [f"{self.root}/data/{latest[b]}/bucket={b}" for b in sorted(wanted)]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
+            return local_table(self.spark, [], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def _bucket(self) -> Column:
@@ -136,11 +137,18 @@ class KeyedTable:
         seen = observation.get
         if seen["rows"] == 0:
             buckets = []
-        record = (version, batch_id, folder, sorted(buckets), whole, seen.get("max_id"), seen["rows"])
+        record = {
+            "version": version,
+            "batch_id": batch_id,
+            "folder": folder,
+            "buckets": sorted(buckets),
+            "whole": whole,
+            "max_id": seen.get("max_id"),
+            "rows": seen["rows"],
+        }
+        line = self.spark.range(1).select(F.lit(json.dumps(record)).alias("value"))
         try:
-            self.spark.createDataFrame([record], _COMMIT).coalesce(1).write.json(
-                f"{self.root}/commits/version-{version:08d}"
-            )
+            line.coalesce(1).write.text(f"{self.root}/commits/version-{version:08d}")
         except AnalysisException as e:
             raise ConcurrentCommitError(f"version {version} of {self.root} exists already") from e
         return seen["rows"]

@@ -10,7 +10,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+_ARROW = {
+    T.IntegerType: pa.int32(),
+    T.LongType: pa.int64(),
+    T.StringType: pa.string(),
+    T.TimestampType: pa.timestamp("us", tz="UTC"),
+}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,6 +39,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A DataFrame of a few rows of metadata, with a size the planner knows."""
+    columns = [
+        pa.array([row[i] for row in rows], _ARROW[type(field.dataType)]) for i, field in enumerate(schema)
+    ]
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
+
+
 class Staging:
     """One run's private folder of staged tables below the shared folder."""
 
