@@ -6,6 +6,7 @@ as the ship date or the part type, and every part of the split is processed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,7 @@ from millrace.operators import (
     with_surrogate_key,
 )
 from millrace.plans import run_ingest, transform_rows
-from millrace.sinks import COUNTS, PRODUCTS, write_rejects
+from millrace.sinks import COUNTS, PRODUCTS, ensure_table, write_rejects
 from millrace.sources import parse_sources, read_csv, read_source
 from millrace.streaming import ingest_new_files, read_new_files
 
@@ -188,6 +189,16 @@ def q_surrogate_key_contract(spark, sf_dir):
     )
 
 
+def q_surrogate_key_by_layout(spark, sf_dir):
+    feed = valid_rows(lineitem_feed(spark, sf_dir))
+    made = transform_rows(feed, DAY_1, Staging(spark), offset=1000, dense_ids=False, partitions=16)
+    return made.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("p_id").alias("n_ids"),
+        (F.min("p_id") > 1000).alias("above_offset"),
+    )
+
+
 def q_surrogate_key_dense(spark, sf_dir):
     latest = latest_per_key(valid_rows(part_feed(spark, sf_dir)), order_by=("name", "description"))
     return with_dense_key(latest, ["sku"], Staging(spark), offset=500)
@@ -423,8 +434,7 @@ def q_source_dispatch(spark, sf_dir):
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
-def _ingest_parts(spark, sf_dir) -> tuple[KeyedTable, KeyedTable]:
-    root = Staging(spark).root
+def _ingest_parts(spark, sf_dir, root: str) -> tuple[KeyedTable, KeyedTable]:
     products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=4, id_column="p_id")
     counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name")
     for batch, day in zip(part_batches(spark, sf_dir), (DAY_1, DAY_2), strict=True):
@@ -433,11 +443,37 @@ def _ingest_parts(spark, sf_dir) -> tuple[KeyedTable, KeyedTable]:
 
 
 def q_ingest_job(spark, sf_dir):
-    return _ingest_parts(spark, sf_dir)[0].current().drop("updt_tmstmp")
+    return _ingest_parts(spark, sf_dir, Staging(spark).root)[0].current().drop("updt_tmstmp")
 
 
 def q_ingest_job_counts(spark, sf_dir):
-    return _ingest_parts(spark, sf_dir)[1].current()
+    return _ingest_parts(spark, sf_dir, Staging(spark).root)[1].current()
+
+
+def q_ingest_job_rejects(spark, sf_dir):
+    root = Staging(spark).root
+    _ingest_parts(spark, sf_dir, root)
+    return read_csv(spark, f"{root}/rejects/*", "sku string, name string, description string")
+
+
+def q_ingest_job_audit(spark, sf_dir):
+    """The audit log read back: rows per phase and table over both batches."""
+    root = Staging(spark).root
+    _ingest_parts(spark, sf_dir, root)
+    shape = "componentName string, logEvent string, status string, businessKey struct<Batch_count string>"
+    events = spark.read.schema(shape).json(f"{root}/audit")
+    rows = F.sum(F.col("businessKey.Batch_count").cast("long")).alias("n_rows")
+    return events.groupBy("componentName", "logEvent", "status").agg(rows)
+
+
+def q_catalog_table(spark, sf_dir):
+    staging = Staging(spark)
+    folder, name = staging.path("products"), f"products_{uuid.uuid4().hex}"
+    made = transform_rows(valid_rows(part_feed(spark, sf_dir)), DAY_1, staging)
+    ensure_table(spark, name, location=folder)
+    made.withColumn("updt_tmstmp", F.lit(DAY_1).cast("timestamp")).write.insertInto(name)
+    spark.sql(f"DROP TABLE {name}")  # the table is external: its files stay
+    return spark.read.parquet(folder).drop("updt_tmstmp")
 
 
 def q_incremental_ingest(spark, sf_dir):
@@ -594,6 +630,8 @@ def oracle_sql() -> dict[str, str]:
         "record_checksum": "select doc_id, md5(source || lang || text) as record_checksum from documents",
         "surrogate_key_contract": """select count(*) as n_rows, count(*) as n_ids, true as above_offset
             from lineitem""",
+        "surrogate_key_by_layout": """select count(distinct l_orderkey) as n_rows,
+            count(distinct l_orderkey) as n_ids, true as above_offset from lineitem""",
         "surrogate_key_dense": f"""select cast(500 + row_number() over (order by sku) as bigint) as p_id,
             sku, name, description from ({_latest(_PART)})""",
         "transform_products": _transformed(_PART, offset="100"),
@@ -672,5 +710,15 @@ def oracle_sql() -> dict[str, str]:
             union all select 'SUPPLIER', count(*) from supplier union all select 'PART', count(*) from part""",
         "ingest_job": f"with {_MERGED_PARTS} select * from m",
         "ingest_job_counts": f"with {_MERGED_PARTS} {_STALE}",
+        "ingest_job_rejects": f"select * from ({_PART}) where not ({_VALID})",
+        "ingest_job_audit": f"""with {_MERGED_PARTS}, p(c, e, n) as (
+            select 'products', 'Received', (select count(*) from part)
+            union all select 'products', unnest(['Transformed', 'Delivered']),
+                (select count(*) from t) + (select count(*) from u)
+            union all select 'products_agg', 'Received', (select count(*) from t) + (select count(*) from m)
+            union all select 'products_agg', unnest(['Transformed', 'Delivered']),
+                (select count(*) from before) + (select count(*) from fresh))
+            select c as "componentName", e as "logEvent", 'success' as status, n as n_rows from p""",
+        "catalog_table": _transformed(_PART),
         "incremental_ingest": _transformed(_PART),
     }

@@ -62,33 +62,29 @@ def constraint_violations(
 ) -> DataFrame:
     """Broken target constraints as ``(constraint_name, column_name, value, n_rows)``.
 
-    One scan and one shuffle for all constraints. Rows are folded per value before the shuffle,
-    so a value that fills a third of the table moves as one row per task.
+    Each check reads its own column only and folds its rows per value before the shuffle, so a
+    value that fills a third of the table moves as one row per task.
     """
 
-    def entry(kind: str, name: str, value: Column) -> Column:
-        return F.struct(
+    def found(kind: str, name: str, rows: DataFrame) -> DataFrame:
+        return rows.select(
             F.lit(kind).alias("constraint_name"),
             F.lit(name).alias("column_name"),
-            value.cast("string").alias("value"),
+            F.col("value").cast("string").alias("value"),
+            "n_rows",
         )
 
-    entries = []
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+    broken = []
     for name in unique:
-        c = F.col(f"`{name}`")
-        entries.append(F.when(c.isNotNull(), entry("unique", name, c)))
+        value = df.select(F.col(f"`{name}`").alias("value")).filter("value IS NOT NULL")
+        broken.append(found("unique", name, value.groupBy("value").agg(n_rows).filter("n_rows > 1")))
     for name in not_null:
-        c = F.col(f"`{name}`")
-        entries.append(F.when(c.isNull(), entry("not null", name, c)))
+        value = df.select(F.col(f"`{name}`").alias("value")).filter("value IS NULL")
+        broken.append(found("not null", name, value.groupBy("value").agg(n_rows)))
     for name, limit in (max_length or {}).items():
-        c = F.col(f"`{name}`")
-        entries.append(F.when(F.length(c) > limit, entry("max length", name, c)))
-    if not entries:
+        value = df.select(F.col(f"`{name}`").alias("value")).filter(F.length("value") > limit)
+        broken.append(found("max length", name, value.groupBy("value").agg(n_rows)))
+    if not broken:
         raise ValueError("name at least one constraint")
-    return (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("found"))
-        .select("found.*")
-        .groupBy("constraint_name", "column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .filter((F.col("constraint_name") != "unique") | (F.col("n_rows") > 1))
-    )
+    return reduce(DataFrame.unionByName, broken)

@@ -103,18 +103,30 @@ def with_request_id(
 
 
 def with_surrogate_key(
-    df: DataFrame, offset: int | Column = 0, partitions: int = 100, column: str = "p_id"
+    df: DataFrame,
+    offset: int | Column = 0,
+    partitions: int = 100,
+    column: str = "p_id",
+    unique_key: list[str] | None = None,
 ) -> DataFrame:
     """Put a unique id above ``offset`` first: row k of task i of n gets ``offset + 1 + k*n + i``.
 
     Spreads the rows over ``partitions`` tasks and needs no counting pass. Ids are unique but
-    follow the layout; use `with_dense_key` for ids that depend on the data alone.
+    follow the layout; use `with_dense_key` for ids that depend on the data alone. Where columns
+    identify a row, name them as ``unique_key``: rows are then spread and ordered by them, so a
+    task that runs again gives the same ids. Otherwise write the result before it is shuffled
+    further, because a re-run may see its rows in another order.
     """
     raw = F.monotonically_increasing_id()
     start = offset if isinstance(offset, Column) else F.lit(offset).cast("long")
     spot, task = raw.bitwiseAND(F.lit(_SPOT_MASK)), F.shiftright(raw, 33)
     key = start + 1 + spot * F.lit(partitions).cast("long") + task
-    return df.repartition(partitions).select(key.alias(column), "*")
+    if unique_key:
+        by = [F.col(f"`{c}`") for c in unique_key]
+        spread = df.repartition(partitions, *by).sortWithinPartitions(*by)
+    else:
+        spread = df.repartition(partitions)
+    return spread.select(key.alias(column), "*")
 
 
 def with_dense_key(

@@ -95,6 +95,7 @@ def run_ingest(
     ``small_batch_rows`` is merged by the small-batch form, which pays off where the session's
     ``spark.sql.autoBroadcastJoinThreshold`` admits a table of so many rows.
     """
+    required = tuple(dict.fromkeys((products.key, *required)))  # a row without its key cannot be kept
     run_date = run_date or datetime.now(UTC).isoformat(timespec="seconds")
     batch_id = batch_id or run_date
     log = BatchLog(spark, spark.sparkContext.applicationId)

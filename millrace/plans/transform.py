@@ -32,8 +32,8 @@ def transform_rows(
     rows per key and turns the counts into running totals, moving the key column alone; one pass
     folds the rows to the greatest per key, first inside each task. Their results meet by key.
 
-    ``valid`` is read twice, so it should be a plain read of a stored table. ``dense_ids``
-    numbers the keys in order from ``offset + 1``; otherwise ids follow the layout over
+    ``valid`` is read twice, so it should be a plain read of a stored table; its key must not be
+    null, as `valid_rows` sees to. ``dense_ids`` numbers the keys in order from ``offset + 1``; otherwise ids follow the layout over
     ``partitions`` tasks, as `with_surrogate_key` describes.
     """
     columns = valid.columns
@@ -59,4 +59,4 @@ def transform_rows(
     )
     if dense_ids:
         return made
-    return with_surrogate_key(made.drop(id_column), offset, partitions, id_column)
+    return with_surrogate_key(made.drop(id_column), offset, partitions, id_column, unique_key=[key])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame
 
 from millrace.operators.audit import audit_json
@@ -12,7 +14,7 @@ def write_rejects(rejects: DataFrame, path: str, batch_id: str) -> str:
 
     A batch that is run again replaces its own folder and no other.
     """
-    folder = f"{path.rstrip('/')}/batch_id={batch_id}"
+    folder = f"{path.rstrip('/')}/batch_id={quote(batch_id, safe='+')}"  # as Spark names partitions
     (
         rejects.write.mode("overwrite")
         .options(header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")

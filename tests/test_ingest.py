@@ -90,7 +90,8 @@ def test_three_worked_batches(job):
     ]
     assert job.names() == [("Ann", 1), ("Bob", 1), ("Cid", 1)]
     rejects = job.spark.read.option("header", "true").csv(f"{job.root}/rejects")
-    assert sorted((r.sku or "", r.name or "") for r in rejects.collect()) == [("", "Dee"), ("s3", "")]
+    found = sorted((r.sku or "", r.name or "", r.batch_id) for r in rejects.select("*", F.col("batch_id").cast("string")).collect())
+    assert [f[:2] for f in found] == [("", "Dee"), ("s3", "")]
 
     job.run(BATCH_2, DAYS[1], small_batch_rows=0)
     assert job.rows() == [

@@ -96,3 +96,12 @@ def test_dense_key_follows_the_order(spark, staging):
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "sku string")
     keyed = with_dense_key(df, ["sku"], staging, offset=10)
     assert sorted((r.p_id, r.sku) for r in keyed.collect()) == [(11, "a"), (12, "b"), (13, "c")]
+
+
+def test_surrogate_key_by_a_unique_key_does_not_depend_on_row_order(spark):
+    rows = [(f"k{i}",) for i in range(300)]
+    there = with_surrogate_key(spark.createDataFrame(rows, "k string"), 5, 7, unique_key=["k"])
+    back = with_surrogate_key(spark.createDataFrame(rows[::-1], "k string").repartition(3), 5, 7, unique_key=["k"])
+    ids = {r.k: r.p_id for r in there.collect()}
+    assert ids == {r.k: r.p_id for r in back.collect()}
+    assert len(set(ids.values())) == 300 and min(ids.values()) > 5
