@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from millrace.errors import ConcurrentCommitError
 from millrace.operators.merge import merge_counts, merge_rows
-from millrace.staging import local_table, path_exists
+from millrace.staging import delete_path, list_folder, local_table, path_exists
 
 # Column names, types and lengths of the two target tables.
 PRODUCTS_DDL = (
@@ -57,6 +57,16 @@ def ensure_table(spark: SparkSession, name: str, ddl: str = PRODUCTS_DDL, locati
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{place}")
 
 
+def _state(commits: list[Row]) -> dict[int, str]:
+    """The folder that holds each bucket after the given commits."""
+    latest: dict[int, str] = {}
+    for commit in commits:
+        if commit["whole"]:
+            latest = {}
+        latest.update({b: commit["folder"] for b in commit["buckets"]})
+    return latest
+
+
 class KeyedTable:
     """A table with one row per key, changed by whole-batch commits.
 
@@ -100,17 +110,39 @@ class KeyedTable:
 
     def current(self, buckets: Iterable[int] | None = None) -> DataFrame:
         """The table now, or only the given buckets of it."""
-        latest: dict[int, str] = {}
-        for commit in self.commits():
-            if commit["whole"]:
-                latest = {}
-            latest.update({b: commit["folder"] for b in commit["buckets"]})
+        latest = _state(self.commits())
         wanted = latest if buckets is None else [b for b in buckets if b in latest]
         paths = [f"{self.root}/data/{latest[b]}/bucket={b}" for b in sorted(wanted)]
         if not paths:
             return local_table(self.spark, [], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def remove_unused(self, keep: int = 2) -> int:
+        """Delete bucket folders that none of the last ``keep`` versions reads; returns how many.
+
+        Also removes what a writer that died left behind, so run it while no batch is running.
+        """
+        if keep < 1:
+            raise ValueError("the current version is always kept")
+        commits = self.commits()
+        used = {
+            (folder, bucket)
+            for last in range(max(len(commits) - keep, 0) + 1, len(commits) + 1)
+            for bucket, folder in _state(commits[:last]).items()
+        }
+        removed = 0
+        for folder in list_folder(self.spark, f"{self.root}/data"):
+            path = f"{self.root}/data/{folder}"
+            buckets = [n for n in list_folder(self.spark, path) if n.startswith("bucket=")]
+            unused = [n for n in buckets if (folder, int(n.removeprefix("bucket="))) not in used]
+            if len(unused) == len(buckets):
+                delete_path(self.spark, path)
+            else:
+                for name in unused:
+                    delete_path(self.spark, f"{path}/{name}")
+            removed += len(unused)
+        return removed
+
     def _bucket(self) -> Column:
         # the expression Spark partitions by, so partition i of repartition(n, key) is bucket i
         return F.pmod(F.hash(F.col(f"`{self.key}`")), F.lit(self.buckets))

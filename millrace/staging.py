@@ -34,9 +34,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _files(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _files(spark, path)
+    return files.exists(folder)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; empty if there is none."""
+    files, folder = _files(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, folder = _files(spark, path)
+    files.delete(folder, True)
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -68,7 +84,4 @@ class Staging:
 
     def clear(self) -> None:
         """Delete this run's folder; only call it when no DataFrame still reads from it."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.root)
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files.delete(folder, True)
+        delete_path(self.spark, self.root)

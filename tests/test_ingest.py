@@ -7,6 +7,7 @@ from test_quality import BATCH_1
 
 from millrace import KeyedTable, Staging
 from millrace.errors import ConstraintError, EmptySourceError, PhaseError
+from millrace.job import main, read_config, run_sources
 from millrace.plans import run_ingest, transform_rows
 from millrace.sinks import COUNTS, PRODUCTS
 from millrace.sources import PRODUCT_FEED, Source
@@ -207,3 +208,28 @@ def test_new_files_only(spark, job, tmp_path):
     assert [r[:3] for r in job.rows()] == [(1, "s1", "Ann"), (2, "s10", "Cid"), (3, "s2", "Ann"), (6, "s4", "Bob")]
     assert [c["batch_id"] for c in job.products.commits()] == ["ingest-0000000000", "ingest-0000000001"]
     assert job.names() == [("Ann", 2), ("Bob", 1), ("Cid", 1)]
+
+
+def test_the_job_runs_every_source_of_a_config(spark, tmp_path):
+    for name, rows in (("a", BATCH_2), ("b", BATCH_3)):
+        (tmp_path / f"{name}.csv").write_text("sku,name,description\n" + "".join(f"{s},{n},{d}\n" for s, n, d in rows))
+    entries = [
+        {"data_object": name.upper(), "source_type": "local", "path": f"{tmp_path}/{name}.csv", "format": "csv"}
+        for name in ("a", "b")
+    ]
+    (tmp_path / "config.json").write_text(json.dumps({"sources": entries}))
+    (tmp_path / "config.yaml").write_text(
+        "sources:\n" + "".join("  - " + "\n    ".join(f"{k}: {v}" for k, v in e.items()) + "\n" for e in entries)
+    )
+    assert read_config(f"{tmp_path}/config.json") == read_config(f"{tmp_path}/config.yaml")
+    target = f"{tmp_path}/lake"
+    common = ["--config", f"{tmp_path}/config.yaml", "--target", target, "--job_run_date", DAYS[0]]
+    main([*common, "--source", "A"])
+    table = KeyedTable(spark, f"{target}/products", PRODUCTS, "sku", id_column="p_id")
+    assert [r.sku for r in table.current().orderBy("sku").collect()] == ["s1", "s2", "s4"]
+    main(common)
+    assert [c["batch_id"] for c in table.commits()] == [f"{DAYS[0]} A", f"{DAYS[0]} B"]
+    counts = KeyedTable(spark, f"{target}/products_agg", COUNTS, "name").current()
+    assert sorted(map(tuple, counts.collect())) == [("Ann", 3), ("Bob", 1)]
+    with pytest.raises(ValueError, match="no source"):
+        run_sources(spark, {"sources": []}, target)

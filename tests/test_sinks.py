@@ -6,6 +6,7 @@ import uuid
 
 import duckdb
 import pytest
+from conftest import plan_of
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -194,6 +195,34 @@ def test_each_bucket_is_one_file(spark, tmp_path):
     assert len(table.current().inputFiles()) == 4
 
 
+def test_a_bucketed_merge_shuffles_each_side_once(spark, tmp_path, monkeypatch):
+    table = keyed(spark, tmp_path, 4)
+    many = [(i, f"s{i}", "n", "d", "r", "c") for i in range(1, 201)]
+    table.merge(products(spark, many), "b1", PRODUCT_UPDATES)
+    plans = []
+    monkeypatch.setattr(KeyedTable, "_write", lambda self, df, *a, **k: plans.append(plan_of(df)))
+    products(spark, many).write.parquet(f"{tmp_path}/batch")
+    table.merge(spark.read.parquet(f"{tmp_path}/batch"), "b2", PRODUCT_UPDATES)
+    assert plans[0].count("Exchange") == 2 and plans[0].count("hashpartitioning(sku") == 2
+    assert "FullOuter" in plans[0]
+
+
+def test_unused_folders_are_removed(spark, tmp_path):
+    table = keyed(spark, tmp_path, 4)
+    for n in range(4):
+        rows = [(i, f"s{i}", f"n{n}", "d", "r", "c") for i in range(1, 41)]
+        table.merge(products(spark, rows), f"b{n}", PRODUCT_UPDATES)
+    table.merge(products(spark, [(99, "s1", "last", "d", "r", "c")]), "b4", PRODUCT_UPDATES)
+    products(spark, FIRST).write.parquet(f"{tmp_path}/t/data/v00000009-dead/bucket=0")
+    before = values(table)
+    assert table.remove_unused(keep=2) == 3 * 4 + 1
+    assert values(table) == before
+    assert table.remove_unused(keep=1) == 1
+    assert values(table) == before
+    with pytest.raises(ValueError):
+        table.remove_unused(keep=0)
+
+
 def test_unfinished_writes_are_not_seen(spark, tmp_path):
     table = keyed(spark, tmp_path)
     table.merge(products(spark, FIRST), "b1", PRODUCT_UPDATES)
