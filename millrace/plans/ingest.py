@@ -17,6 +17,7 @@ from millrace.operators.audit import audit_events
 from millrace.operators.merge import PRODUCT_UPDATES
 from millrace.operators.quality import REQUIRED, all_present, observe_counts
 from millrace.plans.transform import transform_rows
+from millrace.sinks.database import DatabaseTable
 from millrace.sinks.files import append_audit, write_rejects
 from millrace.sinks.tables import PRODUCT_LENGTHS, KeyedTable
 from millrace.sources import Source, read_source
@@ -67,8 +68,8 @@ class BatchLog:
 def run_ingest(
     spark: SparkSession,
     source: Source | DataFrame,
-    products: KeyedTable,
-    counts: KeyedTable,
+    products: KeyedTable | DatabaseTable,
+    counts: KeyedTable | DatabaseTable,
     run_date: str | None = None,
     *,
     rejects_path: str | None = None,
@@ -83,17 +84,13 @@ def run_ingest(
     checksum_null_text: str | None = None,
     small_batch_rows: int = 50_000,
     data_object: str = "PRODUCTS",
-    deliver: Callable[[DataFrame], None] | None = None,
-    deliver_counts: Callable[[DataFrame], None] | None = None,
 ) -> BatchLog:
     """Ingest one batch and refresh the counts by name.
 
     The source is read once: rows are staged with their validity while they are counted. A batch
     id that a table already holds is skipped there, so a batch may be run again after a failure.
-    ``deliver`` and ``deliver_counts`` are given the delivered rows for a sink outside Spark,
-    such as `upsert_products`; give them idempotent functions. A batch of up to
-    ``small_batch_rows`` is merged by the small-batch form, which pays off where the session's
-    ``spark.sql.autoBroadcastJoinThreshold`` admits a table of so many rows.
+    A batch of up to ``small_batch_rows`` is merged by the small-batch form, which pays off where
+    the session's ``spark.sql.autoBroadcastJoinThreshold`` admits a table of so many rows.
     """
     required = tuple(dict.fromkeys((products.key, *required)))  # a row without its key cannot be kept
     run_date = run_date or datetime.now(UTC).isoformat(timespec="seconds")
@@ -110,8 +107,6 @@ def run_ingest(
                 transformed = count["rows"]
             with log.phase("load", "Delivered", "products", data_object) as count:
                 count["rows"] = transformed
-                if deliver is not None:
-                    deliver(rows)
                 products.merge(
                     rows,
                     batch_id,
@@ -121,7 +116,7 @@ def run_ingest(
                     small_batch=transformed <= small_batch_rows,
                 )
         if not counts.has_batch(batch_id):
-            _refresh_counts(products, counts, batch_id, counts_mode, log, staging, deliver_counts)
+            _refresh_counts(products, counts, batch_id, counts_mode, log, staging)
     finally:
         if audit_path and log.rows:
             append_audit(log.events(), audit_path)
@@ -160,7 +155,7 @@ def _transform(valid, run_date, staging, products, max_lengths, null_text) -> tu
     return rows, found["rows"]
 
 
-def _refresh_counts(products, counts, batch_id, mode, log, staging, deliver) -> None:
+def _refresh_counts(products, counts, batch_id, mode, log, staging) -> None:
     """Count the products by name and merge the counts; reads the name column only."""
     with log.phase("read", "Received", "products_agg", "products_agg") as count:
         seen = Observation(f"counts {batch_id}")
@@ -171,7 +166,5 @@ def _refresh_counts(products, counts, batch_id, mode, log, staging, deliver) ->
     with log.phase("aggregate", "Transformed", "products_agg", "products_agg") as count:
         count["rows"] = seen.get["names"]
     with log.phase("load", "Delivered", "products_agg", "products_agg") as count:
-        if deliver is not None:
-            deliver(fresh.withColumnRenamed("no_of_products", "count_of_names"))
         counts.merge_counts(fresh, batch_id, mode)
         count["rows"] = seen.get["names"]

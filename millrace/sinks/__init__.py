@@ -1,10 +1,11 @@
-from millrace.sinks.database import upsert_counts, upsert_products, upsert_rows, upsert_statement
+from millrace.sinks.database import DatabaseTable, upsert_counts, upsert_products, upsert_rows, upsert_statement
 from millrace.sinks.files import append_audit, write_rejects
 from millrace.sinks.tables import COUNTS, PRODUCTS, KeyedTable, ensure_table
 
 __all__ = [
     "COUNTS",
     "PRODUCTS",
+    "DatabaseTable",
     "KeyedTable",
     "append_audit",
     "ensure_table",

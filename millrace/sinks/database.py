@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from itertools import islice
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.readers import jdbc_options, read_table
+
 
 def quote(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
@@ -20,20 +22,26 @@ def upsert_statement(
     update: Iterable[str],
     touch: str | None = None,
     mark: str = "%s",
+    unless_equal: str | None = None,
 ) -> str:
     """``INSERT … ON CONFLICT (key) DO UPDATE`` with one bound parameter per column.
 
     ``touch`` names a timestamp column set to the database's current time on update (its default
-    covers the insert). ``mark`` is the driver's parameter mark, ``%s`` or ``?``.
+    covers the insert). ``mark`` is the driver's parameter mark, ``%s`` or ``?``. Rows equal in
+    ``unless_equal`` are left untouched.
     """
     names = list(columns)
     sets = [f"{quote(c)} = excluded.{quote(c)}" for c in update]
     if touch:
         sets.append(f"{quote(touch)} = current_timestamp")
+    unchanged = ""
+    if unless_equal:
+        column = quote(unless_equal)
+        unchanged = f" WHERE {table.split('.')[-1]}.{column} IS DISTINCT FROM excluded.{column}"
     return (
         f"INSERT INTO {table} ({', '.join(quote(c) for c in names)}) "
         f"VALUES ({', '.join([mark] * len(names))}) "
-        f"ON CONFLICT ({quote(key)}) DO UPDATE SET {', '.join(sets)}"
+        f"ON CONFLICT ({quote(key)}) DO UPDATE SET {', '.join(sets)}{unchanged}"
     )
 
 
@@ -75,25 +83,101 @@ def upsert_rows(
 
 
 PRODUCT_SINK = ["p_id", "sku", "name", "description", "request_id", "record_checksum"]
+COUNT_COLUMN = "no. of products"
 
 
 def upsert_products(
-    df: DataFrame, connect, table: str = "products", mark: str = "%s", max_connections: int = 100
+    df: DataFrame,
+    connect,
+    table: str = "products",
+    mark: str = "%s",
+    max_connections: int = 100,
+    unless_equal: str | None = None,
 ) -> None:
     """Upsert transformed products by ``sku``; an update keeps the stored ``p_id``."""
-    statement = upsert_statement(table, PRODUCT_SINK, "sku", PRODUCT_SINK[2:], "updt_tmstmp", mark)
+    statement = upsert_statement(
+        table, PRODUCT_SINK, "sku", PRODUCT_SINK[2:], "updt_tmstmp", mark, unless_equal
+    )
     upsert_rows(df, connect, statement, PRODUCT_SINK, max_connections)
 
 
 def upsert_counts(
-    df: DataFrame,
-    connect,
-    table: str = "products_agg",
-    column: str = "no. of products",
-    mark: str = "%s",
-    max_connections: int = 100,
+    df: DataFrame, connect, table: str = "products_agg", mark: str = "%s", max_connections: int = 100
 ) -> None:
     """Upsert counts by ``name`` from ``(name, count_of_names)``."""
-    statement = upsert_statement(table, ["name", column], "name", [column], mark=mark)
-    named = df.select("name", F.col("count_of_names").alias(column))
-    upsert_rows(named, connect, statement, ["name", column], max_connections)
+    columns = ["name", COUNT_COLUMN]
+    statement = upsert_statement(table, columns, "name", [COUNT_COLUMN], mark=mark)
+    named = df.select("name", F.col("count_of_names").alias(COUNT_COLUMN))
+    upsert_rows(named, connect, statement, columns, max_connections)
+
+
+class DatabaseTable:
+    """A products or counts table in an external database, as a target of `run_ingest`.
+
+    ``connect`` opens a DB-API connection in a task; ``read`` returns the table as a DataFrame and
+    ``read_max_id`` its greatest id. The database keeps no batch ids, so a batch that is run again
+    is upserted again, which changes nothing but its timestamps.
+    """
+
+    def __init__(
+        self,
+        table: str,
+        key: str,
+        connect: Callable[[], object],
+        read: Callable[[], DataFrame],
+        read_max_id: Callable[[], int | None] | None = None,
+        mark: str = "%s",
+        max_connections: int = 100,
+    ):
+        self.table, self.key, self.connect, self.read = table, key, connect, read
+        self.read_max_id, self.mark, self.max_connections = read_max_id, mark, max_connections
+
+    @classmethod
+    def over_jdbc(
+        cls,
+        spark: SparkSession,
+        url: str,
+        table: str,
+        key: str,
+        connect: Callable[[], object],
+        id_column: str | None = None,
+        read_partitions: int = 1,
+        mark: str = "%s",
+        max_connections: int = 100,
+        **options: str,
+    ) -> DatabaseTable:
+        """Read through Spark's JDBC source, split on the id column into ``read_partitions``."""
+
+        def greatest() -> int:
+            query = f"SELECT max({quote(id_column)}) AS max_id FROM {table}"
+            return read_table(spark, {"url": url, "query": query, **options}).first()["max_id"] or 0
+
+        def read() -> DataFrame:
+            if id_column is None or read_partitions == 1:
+                return read_table(spark, jdbc_options(url, table, **options))
+            split = jdbc_options(url, table, id_column, 0, max(greatest(), 1), read_partitions, **options)
+            return read_table(spark, split)
+
+        return cls(table, key, connect, read, greatest if id_column else None, mark, max_connections)
+
+    def on(self, spark: SparkSession) -> DatabaseTable:
+        return self
+
+    def has_batch(self, batch_id: str) -> bool:
+        return False
+
+    def max_id(self) -> int:
+        return (self.read_max_id() if self.read_max_id else 0) or 0
+
+    def current(self) -> DataFrame:
+        return self.read()
+
+    def merge(self, batch: DataFrame, batch_id: str, update, stamp=None, unless_equal=None, **_) -> None:
+        """Upsert a transformed batch; the database stamps the rows it touches."""
+        upsert_products(batch, self.connect, self.table, self.mark, self.max_connections, unless_equal)
+
+    def merge_counts(self, counts: DataFrame, batch_id: str, mode: str = "upsert") -> None:
+        if mode != "upsert":
+            raise ValueError("counts in a database are upserted, never removed")
+        named = counts.withColumnRenamed("no_of_products", "count_of_names")
+        upsert_counts(named, self.connect, self.table, self.mark, self.max_connections)

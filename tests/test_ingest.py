@@ -1,15 +1,19 @@
+import glob
 import json
+import os
 
+import duckdb
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 from test_quality import BATCH_1
+from test_sinks import PRODUCTS_TABLE, factory
 
 from millrace import KeyedTable, Staging
 from millrace.errors import ConstraintError, EmptySourceError, PhaseError
 from millrace.job import main, read_config, run_sources
 from millrace.plans import run_ingest, transform_rows
-from millrace.sinks import COUNTS, PRODUCTS
+from millrace.sinks import COUNTS, PRODUCTS, DatabaseTable
 from millrace.sources import PRODUCT_FEED, Source
 from millrace.streaming import ingest_new_files, read_new_files
 
@@ -169,15 +173,59 @@ def test_unchanged_rows_can_be_left_alone(job):
     }
 
 
-def test_rows_are_delivered_to_a_database_sink(job):
+def test_a_database_is_a_target_too(spark, tmp_path):
+    """The sink's statements, recorded by the tasks and replayed here, are the database."""
+    sent = tmp_path / "sent"
+    sent.mkdir()
+    connect = factory(str(sent))
+
+    def database():
+        connection = duckdb.connect()
+        connection.execute(PRODUCTS_TABLE)
+        connection.execute('create table products_agg (name varchar primary key, "no. of products" bigint)')
+        for path in sorted(glob.glob(f"{sent}/*.commit"), key=os.path.getmtime):
+            for statement, values in json.load(open(path)):
+                connection.executemany(statement.replace("current_timestamp", "now()::timestamp"), values)
+        return connection
+
+    def read():
+        rows = database().execute("select p_id, sku, name, description, request_id from products").fetchall()
+        return spark.createDataFrame(rows, "p_id bigint, sku string, name string, description string, request_id string")
+
+    def greatest():
+        return database().execute("select max(p_id) from products").fetchone()[0]
+
+    products = DatabaseTable("products", "sku", connect, read, greatest, mark="?", max_connections=1)
+    counts = DatabaseTable("products_agg", "name", connect, None, mark="?", max_connections=1)
+    for batch, day in zip((BATCH_1, BATCH_2, BATCH_3), DAYS, strict=True):
+        run_ingest(spark, spark.createDataFrame(batch, PRODUCT_FEED), products, counts, day, only_changed=True)
+    assert sorted(map(tuple, products.current().collect())) == [
+        (1, "s1", "Ann", "d9", RUNS[1] + "000000000001"),
+        (2, "s10", "Ann", "z", RUNS[2] + "000000000001"),
+        (3, "s2", "Ann", "x", RUNS[0] + "000000000005"),
+        (6, "s4", "Bob", "n", RUNS[1] + "000000000003"),
+    ]
+    found = database().execute("select * from products_agg order by 1").fetchall()
+    assert found == [("Ann", 3), ("Bob", 1), ("Cid", 1)]
+    with pytest.raises(ValueError):
+        counts.merge_counts(spark.createDataFrame([], "name string, no_of_products bigint"), "b", "replace")
+
+
+def test_database_reads_are_split_by_id(spark, monkeypatch):
     seen = []
-    job.run(
-        BATCH_2,
-        DAYS[0],
-        deliver=lambda d: seen.append(sorted(r.sku for r in d.collect())),
-        deliver_counts=lambda d: seen.append(sorted((r.name, r.count_of_names) for r in d.collect())),
-    )
-    assert seen == [["s1", "s2", "s4"], [("Ann", 2), ("Bob", 1)]]
+
+    def read_table(session, options):
+        seen.append(options)
+        return session.createDataFrame([(41,)], "max_id bigint")
+
+    monkeypatch.setattr("millrace.sinks.database.read_table", read_table)
+    table = DatabaseTable.over_jdbc(spark, "jdbc:x", "products", "sku", None, "p_id", read_partitions=8, user="u")
+    assert table.max_id() == 41
+    table.current()
+    assert seen[0] == {"url": "jdbc:x", "query": 'SELECT max("p_id") AS max_id FROM products', "user": "u"}
+    assert seen[-1]["dbtable"] == "products" and seen[-1]["numPartitions"] == "8" and seen[-1]["upperBound"] == "41"
+    DatabaseTable.over_jdbc(spark, "jdbc:x", "products_agg", "name", None).current()
+    assert seen[-1] == {"url": "jdbc:x", "dbtable": "products_agg"}
 
 
 def test_a_csv_source_is_read_once(job, tmp_path):

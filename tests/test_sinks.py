@@ -27,6 +27,11 @@ from millrace.sinks import (
 from millrace.sinks.tables import COUNTS_DDL
 
 
+PRODUCTS_TABLE = (
+    "create table products (p_id bigint primary key, sku varchar unique, name varchar, description varchar,"
+    " request_id varchar, record_checksum varchar, updt_tmstmp timestamp default current_timestamp)"
+)
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the workers cannot import this file
 
 
@@ -80,10 +85,7 @@ SECOND = [(3, "s1", "Ann", "d9", "q1", "c9"), (4, "s4", "; drop", "n", "q2", "c4
 
 def test_upserts_bind_values_and_keep_ids(spark, tmp_path):
     database = duckdb.connect()
-    database.execute(
-        "create table products (p_id bigint primary key, sku varchar unique, name varchar, description varchar,"
-        " request_id varchar, record_checksum varchar, updt_tmstmp timestamp default current_timestamp)"
-    )
+    database.execute(PRODUCTS_TABLE)
     for i, rows in enumerate([FIRST, SECOND]):
         folder = tmp_path / str(i)
         folder.mkdir()
