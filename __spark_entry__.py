@@ -237,9 +237,10 @@ def q_max_id(spark, sf_dir):
 def _merge_lineitem(spark, sf_dir, **settings):
     first, second = lineitem_batches(spark, sf_dir)
     staging = Staging(spark)
-    target = transform_rows(first, DAY_1, staging).withColumn("updt_tmstmp", F.lit(DAY_1).cast("timestamp"))
+    stored = transform_rows(first, DAY_1, staging).withColumn("updt_tmstmp", F.lit(DAY_1).cast("timestamp"))
+    target = staging.write(stored, "target")
     offset = max_id(target).first()["max_id"]
-    batch = transform_rows(second, DAY_2, staging, offset)
+    batch = staging.write(transform_rows(second, DAY_2, staging, offset), "batch")
     stamp = F.lit(DAY_2).cast("timestamp")
     merged = merge_rows(target, batch, stamp=stamp, **settings)
     return merged.withColumn("updt_tmstmp", F.date_format("updt_tmstmp", "yyyy-MM-dd HH:mm:ss"))

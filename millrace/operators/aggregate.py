@@ -11,10 +11,12 @@ def count_by(df: DataFrame, column: str = "name", count_column: str = "count_of_
     return df.groupBy(F.col(f"`{column}`")).agg(F.count(F.lit(1)).alias(count_column))
 
 
-def count_by_sql(df: DataFrame, view: str = "products_table") -> DataFrame:
+def count_by_sql(
+    df: DataFrame, column: str = "name", count_column: str = "count_of_names", view: str = "products_table"
+) -> DataFrame:
     """The same count as SQL over a temporary view of ``df``."""
     df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(f"SELECT name, count(*) AS count_of_names FROM {view} GROUP BY name")
+    return df.sparkSession.sql(f"SELECT `{column}`, count(*) AS `{count_column}` FROM {view} GROUP BY `{column}`")
 
 
 def count_rows(df: DataFrame, column: str = "n_rows") -> DataFrame:

@@ -75,41 +75,40 @@ def hierarchy_tree(
 
     text = number_text("value", value_type)
     depth = len(headers)
+    children = F.array().cast("array<string>")
     below = None
     for level in range(depth, 0, -1):
-        here = headers[:level]
+        here, name = headers[:level], headers[level - 1]
         rows = totals.filter(F.col("level") == level).select(*[_c(h) for h in here], text.alias("__text"))
-        if below is None:
-            children = F.array().cast("array<string>")
-        else:
-            wanted = below.schema["__children"].dataType
+        if below is not None:
             rows = rows.join(below, here, "left")
-            children = F.struct(
-                F.lit(ROOT_NAME).alias("header"),
-                F.lit(ROOT_NAME).alias("field_name"),
-                F.lit(ROOT_VALUE).alias("value"),
-                F.coalesce(F.col("__children"), F.array().cast(wanted)).alias("children"),
-            )
+            children = _wrapper(F.lit(ROOT_VALUE), below.schema["__children"].dataType)
         node = F.struct(
-            F.lit(headers[level - 1]).alias("header"),
-            _c(headers[level - 1]).cast("string").alias("field_name"),
+            F.lit(name).alias("header"),
+            _c(name).cast("string").alias("field_name"),
             F.col("__text").alias("value"),
             children.alias("children"),
         )
-        ordered = F.array_sort(F.collect_list(F.struct(_c(headers[level - 1]).alias("at"), node.alias("node"))))
+        rows = rows.select(*[_c(h) for h in here], F.struct(_c(name).alias("at"), node.alias("node")).alias("__node"))
+        if level == 1:
+            # the root's own row joins the list it heads, so both arrive in one aggregate
+            root = totals.filter(F.col("level") == 0).select(text.alias("__root"))
+            rows = rows.unionByName(root, allowMissingColumns=True)
+        listed = F.transform(F.array_sort(F.collect_list("__node")), lambda n: n["node"]).alias("__children")
         above = rows.groupBy(*[_c(h) for h in headers[: level - 1]])
-        below = above.agg(F.transform(ordered, lambda c: c["node"]).alias("__children"))
-    root = totals.filter(F.col("level") == 0).select(text.alias("__text"))
-    # the root has one row and so has its list of children: this pairs the two single rows
-    root = root.withColumn("__one", F.lit(1)).join(below.withColumn("__one", F.lit(1)), "__one", "left")
-    wanted = below.schema["__children"].dataType
-    tree = F.struct(
+        below = above.agg(listed, F.max("__root").alias("__root")) if level == 1 else above.agg(listed)
+    tree = _wrapper(F.col("__root"), below.schema["__children"].dataType)
+    return below.select(F.to_json(tree).alias("tree"))
+
+
+def _wrapper(value: Column, children_type: T.DataType) -> Column:
+    """The object that heads a list of children; an absent list is an empty one."""
+    return F.struct(
         F.lit(ROOT_NAME).alias("header"),
         F.lit(ROOT_NAME).alias("field_name"),
-        F.col("__text").alias("value"),
-        F.coalesce(F.col("__children"), F.array().cast(wanted)).alias("children"),
+        value.alias("value"),
+        F.coalesce(F.col("__children"), F.array().cast(children_type)).alias("children"),
     )
-    return root.select(F.to_json(tree).alias("tree"))
 
 
 def _json_text(value: Column) -> Column:

@@ -91,4 +91,5 @@ def merge_counts(
         return batch.select(*_cols(target.columns))
     if mode != "upsert":
         raise ValueError(f"mode must be upsert or replace, not {mode}")
-    return batch.select(*_cols(target.columns)).unionByName(target.join(batch.select(F.col(f"`{key}`")), key, "left_anti"))
+    counts = tuple(c for c in target.columns if c != key)
+    return merge_rows(target, batch, (key,), counts, stamp_column=None)

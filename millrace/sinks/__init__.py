@@ -1,4 +1,12 @@
-from millrace.sinks.database import DatabaseTable, upsert_counts, upsert_products, upsert_rows, upsert_statement
+from millrace.sinks.database import (
+    DatabaseTable,
+    run_statement,
+    table_statement,
+    upsert_counts,
+    upsert_products,
+    upsert_rows,
+    upsert_statement,
+)
 from millrace.sinks.files import append_audit, write_rejects
 from millrace.sinks.tables import COUNTS, PRODUCTS, KeyedTable, ensure_table
 
@@ -9,6 +17,8 @@ __all__ = [
     "KeyedTable",
     "append_audit",
     "ensure_table",
+    "run_statement",
+    "table_statement",
     "upsert_counts",
     "upsert_products",
     "upsert_rows",

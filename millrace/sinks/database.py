@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.sources.readers import jdbc_options, read_table
 
@@ -15,6 +16,50 @@ def quote(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+_TYPES = {T.LongType: "BIGINT", T.StringType: "VARCHAR", T.TimestampType: "TIMESTAMP"}
+
+
+def table_statement(
+    table: str,
+    schema: T.StructType,
+    key: str,
+    id_column: str | None = None,
+    not_null: Iterable[str] = (),
+    lengths: Mapping[str, int] | None = None,
+    stamp_column: str | None = None,
+) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` with the constraints that an upsert by ``key`` relies on.
+
+    ``id_column``, or the key where there is none, is the primary key; the key is unique. The
+    database fills ``stamp_column`` with the current time on insert.
+    """
+    columns = []
+    for column in schema:
+        text = f"{quote(column.name)} {_TYPES[type(column.dataType)]}"
+        if column.name in (lengths or {}):
+            text += f"({lengths[column.name]})"
+        if column.name == (id_column or key):
+            text += " PRIMARY KEY"
+        elif column.name == key:
+            text += " UNIQUE"
+        if column.name in not_null:
+            text += " NOT NULL"
+        if column.name == stamp_column:
+            text += " DEFAULT CURRENT_TIMESTAMP"
+        columns.append(text)
+    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"
+
+
+def run_statement(connect: Callable[[], object], statement: str) -> None:
+    """Run one statement, such as a `table_statement`, from the driver."""
+    connection = connect()
+    try:
+        connection.cursor().execute(statement)
+        connection.commit()
+    finally:
+        connection.close()
+
+
 def upsert_statement(
     table: str,
     columns: Iterable[str],
@@ -160,6 +205,10 @@ class DatabaseTable:
 
         return cls(table, key, connect, read, greatest if id_column else None, mark, max_connections)
 
+    def ensure(self, schema: T.StructType, id_column: str | None = None, **constraints) -> None:
+        """Create the table if it is missing; see `table_statement` for the constraints."""
+        run_statement(self.connect, table_statement(self.table, schema, self.key, id_column, **constraints))
+
     def on(self, spark: SparkSession) -> DatabaseTable:
         return self
 

@@ -18,18 +18,19 @@ from millrace.plans.ingest import BATCHES
 from millrace.sinks import (
     COUNTS,
     PRODUCTS,
+    DatabaseTable,
     ensure_table,
+    table_statement,
     upsert_counts,
     upsert_products,
     upsert_statement,
     write_rejects,
 )
-from millrace.sinks.tables import COUNTS_DDL
+from millrace.sinks.tables import COUNTS_DDL, PRODUCT_LENGTHS, PRODUCT_NOT_NULL
 
 
-PRODUCTS_TABLE = (
-    "create table products (p_id bigint primary key, sku varchar unique, name varchar, description varchar,"
-    " request_id varchar, record_checksum varchar, updt_tmstmp timestamp default current_timestamp)"
+PRODUCTS_TABLE = table_statement(
+    "products", PRODUCTS, "sku", "p_id", PRODUCT_NOT_NULL, PRODUCT_LENGTHS, stamp_column="updt_tmstmp"
 )
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the workers cannot import this file
@@ -114,6 +115,21 @@ def test_counts_statement(spark, tmp_path):
     )
 
 
+def test_target_tables_carry_their_constraints(tmp_path):
+    assert PRODUCTS_TABLE == (
+        'CREATE TABLE IF NOT EXISTS products ("p_id" BIGINT PRIMARY KEY NOT NULL, "sku" VARCHAR(70) UNIQUE NOT NULL, '
+        '"name" VARCHAR(70) NOT NULL, "description" VARCHAR(300) NOT NULL, "request_id" VARCHAR(40), '
+        '"record_checksum" VARCHAR(45) NOT NULL, "updt_tmstmp" TIMESTAMP DEFAULT CURRENT_TIMESTAMP)'
+    )
+    run = []
+    connection = FakeConnection(str(tmp_path))
+    connection.execute = run.append
+    DatabaseTable("products_agg", "name", lambda: connection, None).ensure(COUNTS, not_null=("no_of_products",))
+    assert run == [
+        'CREATE TABLE IF NOT EXISTS products_agg ("name" VARCHAR PRIMARY KEY, "no_of_products" BIGINT NOT NULL)'
+    ]
+
+
 def test_names_are_quoted():
     assert '"a""b"' in upsert_statement("t", ['a"b'], 'a"b', ['a"b'])
 

@@ -48,8 +48,8 @@ def test_csv_edges(spark, path):
 def test_reader_options_are_honoured(spark, path):
     kept = read_csv(spark, path, ORDER, {"nullValue": "\\N"}).collect()
     assert {r.sku: r.name for r in kept}["s3"] == ""
-    reference_escape = read_csv(spark, path, ORDER, {"escape": "\\"}).collect()
-    assert {r.sku: r.description for r in reference_escape}["s6"] == '"dbl ""q"" x"'
+    backslash = read_csv(spark, path, ORDER, {"escape": "\\"}).collect()
+    assert {r.sku: r.description for r in backslash}["s6"] == '"dbl ""q"" x"'
 
 
 def test_a_schema_keeps_numeric_keys_as_text(spark, tmp_path):
