@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def sortable(df: DataFrame, columns: list[str]) -> list[str]:
+    """Those of the columns whose values have an order."""
+    return [c for c in columns if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
+
+
 def latest_per_key(
     df: DataFrame, key: tuple[str, ...] = ("sku",), order_by: tuple[str, ...] = ("request_id",)
 ) -> DataFrame:
@@ -16,10 +21,10 @@ def latest_per_key(
     An aggregate, so each task sends at most one row per key, however often the key occurs.
     """
     rest = [c for c in df.columns if c not in key and c not in order_by]
-    sortable = [c for c in rest if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
-    ordering = [F.col(f"`{c}`") for c in [*order_by, *sortable]]
+    ordered = sortable(df, rest)
+    ordering = [F.col(f"`{c}`") for c in [*order_by, *ordered]]
     keys = [F.col(f"`{c}`") for c in key]
-    if len(sortable) == len(rest):
+    if len(ordered) == len(rest):
         best = F.max(F.struct(*ordering))
     else:
         best = F.max_by(F.struct(*[F.col(f"`{c}`") for c in [*order_by, *rest]]), F.struct(*ordering))

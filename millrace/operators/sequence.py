@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from millrace.errors import SequenceOverflowError
 from millrace.functions.text import ROW_DIGITS, run_digits, sequence_id
+from millrace.operators.latest import sortable
 from millrace.staging import Staging, local_table
 
 _SLICE, _SPOT, _TIE, _RUN = "__slice", "__spot", "__tie", "__run"
@@ -97,7 +98,7 @@ def with_request_id(
     Columns outside ``order_by`` extend the ordering, so equal keys are numbered the same way
     in every run.
     """
-    ordering = list(order_by) + [c for c in df.columns if c not in order_by]
+    ordering = [*order_by, *sortable(df, [c for c in df.columns if c not in order_by])]
     placed = with_position(df, ordering, staging, position="__position", slices=slices)
     return placed.withColumn(column, sequence_id(run_digits(F.lit(run_date)), "__position")).drop("__position")
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import record_checksum, run_digits, sequence_id
+from millrace.operators.aggregate import count_by
+from millrace.operators.latest import latest_by_rank, sortable
 from millrace.operators.sequence import with_position, with_surrogate_key
 from millrace.staging import Staging
 
@@ -30,17 +32,16 @@ def transform_rows(
     its last row. That row is the key's greatest one and its number is the count of rows up to
     and including the key, so the rows themselves are never sorted as a whole. One pass counts
     rows per key and turns the counts into running totals, moving the key column alone; one pass
-    folds the rows to the greatest per key, first inside each task. Their results meet by key.
+    keeps the greatest row per key, first inside each task. Their results meet by key.
 
     ``valid`` is read twice, so it should be a plain read of a stored table; its key must not be
-    null, as `valid_rows` sees to. ``dense_ids`` numbers the keys in order from ``offset + 1``; otherwise ids follow the layout over
-    ``partitions`` tasks, as `with_surrogate_key` describes.
+    null, as `valid_rows` sees to. ``dense_ids`` numbers the keys in order from ``offset + 1``;
+    otherwise ids follow the layout over ``partitions`` tasks, as `with_surrogate_key` describes.
     """
     columns = valid.columns
-    ordering = list(order_by) + [c for c in columns if c != key and c not in order_by]
-    per_key = valid.groupBy(F.col(f"`{key}`"))
+    ordering = [*order_by, *sortable(valid, [c for c in columns if c != key and c not in order_by])]
     numbers = with_position(
-        per_key.agg(F.count(F.lit(1)).alias("__rows")),
+        count_by(valid, key, "__rows"),
         [key],
         staging,
         position="__position",
@@ -49,8 +50,7 @@ def transform_rows(
         unique=True,
         slices=slices,
     )
-    last = per_key.agg(F.max(F.struct(*[F.col(f"`{c}`") for c in ordering])).alias("__last"))
-    kept = last.select(*[F.col(f"`{c}`") if c == key else F.col(f"__last.`{c}`").alias(c) for c in columns])
+    kept = latest_by_rank(valid, (key,), tuple(ordering))
     made = kept.join(numbers, key).select(
         (F.lit(offset).cast("long") + F.col("__position")).alias(id_column),
         *[F.col(f"`{c}`") for c in columns],

@@ -65,6 +65,14 @@ def test_transform_of_the_worked_batch(spark, staging):
     ]
 
 
+def test_transform_carries_further_columns_of_any_type(spark, staging):
+    rows = [("s1", "a", "d", {"k": 1}, [2]), ("s1", "b", "d", {"k": 2}, None), ("s2", "a", "d", {}, [1, 2])]
+    feed = spark.createDataFrame(rows, "sku string, name string, description string, m map<string,int>, l array<int>")
+    found = {r.sku: (r.name, r.m, r.l, r.record_checksum) for r in transform_rows(feed, DAYS[0], staging).collect()}
+    assert found["s1"] == ("b", {"k": 2}, None, None)
+    assert found["s2"][:3] == ("a", {}, [1, 2]) and len(found["s2"][3]) == 32
+
+
 def test_transform_with_ids_by_layout(spark, staging):
     feed = spark.range(300).select(F.concat(F.lit("s"), "id").alias("sku"), F.lit("n").alias("name"), F.lit("d").alias("description"))
     made = transform_rows(feed, DAYS[0], staging, offset=50, dense_ids=False, partitions=4)
@@ -80,7 +88,7 @@ def test_transform_stays_in_the_jvm_and_distributed(spark, staging, monkeypatch)
     plans.append(plan_of(transform_rows(feed, DAYS[0], staging)))
     for plan in plans:
         assert "Python" not in plan and "SinglePartition" not in plan
-    assert "partial_count" in plans[0] and "partial_max" in plans[1]
+    assert "partial_count" in plans[0] and "WindowGroupLimit" in plans[1]
 
 
 def test_three_worked_batches(job):
