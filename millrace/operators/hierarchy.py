@@ -29,12 +29,17 @@ def hierarchy_totals(
     """One row per tree node: ``level`` (0 = everything), the headers down to it, and the sum.
 
     Rows with a null header count in every node above that header and form no node of their own.
-    Null values are skipped; a group of nulls sums to 0. Rows are folded to the deepest level
+    Null and NaN values are skipped; a group without values sums to 0. Rows are folded to the deepest level
     first, so the levels above are summed from groups rather than rows. With ``staging`` the
     groups are stored once and the deepest level is not shuffled again, which suits a deepest
     header with very many values.
     """
-    total = F.coalesce(F.sum(_c(value)), F.lit(0))
+    if {"level", "value"} & set(headers):
+        raise ValueError("headers named level or value would clash with the result's columns")
+    number = _c(value)
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        number = F.when(~F.isnan(number), number)
+    total = F.coalesce(F.sum(number), F.lit(0))
     folded = df.groupBy(*[_c(h) for h in headers]).agg(total.alias("value"))
     value_type = folded.schema["value"].dataType
     again = F.coalesce(F.sum("value"), F.lit(0)).cast(value_type).alias("value")

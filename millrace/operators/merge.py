@@ -40,13 +40,12 @@ def merge_rows(
     if stamp_column is not None and stamp_column not in target.columns:
         stamp_column = None
     from_batch = set(batch.columns)
-    mark = "__in_batch"
     t = target.withColumn("__in_target", F.lit(True)).alias("t")
-    u = batch.withColumn(mark, F.lit(True)).alias("u")
+    u = batch.withColumn("__in_batch", F.lit(True)).alias("u")
     on = [F.col(f"t.`{k}`") == F.col(f"u.`{k}`") for k in key]
 
     in_target = F.col("t.__in_target").isNotNull()
-    in_batch = F.col(f"u.{mark}").isNotNull()
+    in_batch = F.col("u.__in_batch").isNotNull()
     if unless_equal:
         changed = ~F.col(f"t.`{unless_equal}`").eqNullSafe(F.col(f"u.`{unless_equal}`"))
         touched = in_batch & (~in_target | changed)
@@ -57,7 +56,7 @@ def merge_rows(
         old = F.col(f"t.`{name}`")
         new = F.col(f"u.`{name}`") if name in from_batch else F.lit(None).cast(target.schema[name].dataType)
         if name == stamp_column:
-            new, old = stamp.cast(target.schema[name].dataType), old
+            new = stamp.cast(target.schema[name].dataType)
         if fresh:
             return new.alias(name)
         if name in key:

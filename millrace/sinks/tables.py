@@ -152,7 +152,7 @@ class KeyedTable:
             return [0]
         return [r[0] for r in batch.select(self._bucket()).distinct().collect()]  # at most one per bucket
 
-    def _write(self, df: DataFrame, buckets: list[int], batch_id: str, whole: bool) -> int:
+    def _write(self, df: DataFrame, buckets: list[int], batch_id: str, whole: bool) -> None:
         commits = self.commits()
         version = commits[-1]["version"] + 1 if commits else 1
         folder = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
@@ -182,8 +182,9 @@ class KeyedTable:
         try:
             line.coalesce(1).write.text(f"{self.root}/commits/version-{version:08d}")
         except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
             raise ConcurrentCommitError(f"version {version} of {self.root} exists already") from e
-        return seen["rows"]
 
     def merge(
         self,

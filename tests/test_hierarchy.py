@@ -105,6 +105,16 @@ def test_values_print_like_numbers(spark, staging):
     assert [c["value"] for c in tree["children"]] == ["2.0", "0.0", "15000000.0"]
 
 
+def test_nan_values_are_skipped(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("a", 2.0), ("b", float("nan"))], "h string, v double")
+    assert found_totals(df, ["h"], "v") == {(): 2.0, ("a",): 2.0, ("b",): 0.0}
+
+
+def test_headers_may_not_hide_the_result(sample):
+    with pytest.raises(ValueError):
+        hierarchy_totals(sample.withColumnRenamed("cust", "level"), ["product", "level"], "value")
+
+
 def test_numeric_headers_sort_as_numbers(spark, staging):
     df = spark.createDataFrame([(10, 1), (9, 1), (100, 1)], "h int, v int")
     tree = json.loads(hierarchy_tree(df, ["h"], "v", staging).first().tree)
