@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.errors import UnsupportedSourceError
@@ -22,6 +24,26 @@ PRODUCT_FEED = T.StructType(
 )
 
 
+def _bytes(size: str) -> int:
+    """A byte count from a setting such as ``128m`` or ``134217728b``."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
+def _has_large_files(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether some file is longer than one task's share; lists the files, reads none."""
+    share = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    lengths = spark.read.format("binaryFile").load(path).select("length")
+    return not lengths.filter(F.col("length") > share).isEmpty()
+
+
+def _has_quoted_line_breaks(spark: SparkSession, path: str | list[str], quote: str) -> bool:
+    """Whether some line holds an odd number of quotes, as the first line of a broken field does."""
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -31,11 +53,16 @@ def read_csv(
     """CSV with a header, commas and quoted fields that may span lines; ``""`` escapes a quote.
 
     Give a ``schema`` to read in one pass with text keys kept as text; without one, types are
-    inferred in a pass of their own. A file with ``multiLine`` is read by one task, so deliver
-    many files, or set ``multiLine`` to ``false`` where no field holds a line break.
+    inferred in a pass of their own. Spark gives a whole file to one task if fields may span
+    lines (``multiLine``). For files longer than one task's share, a look at their lines finds out
+    whether any field does; if none does, the files are split, which reads the same rows.
     """
-    settings = {"header": "true", "delimiter": ",", "multiLine": "true", "escape": '"'}
-    settings.update(options or {})
+    settings = {"header": "true", "delimiter": ",", "escape": '"', "quote": '"', "multiline": "true"}
+    settings.update({name.lower(): value for name, value in (options or {}).items()})
+    # counting quotes per line tells only where a doubled quote is the escape and lines end as usual
+    plain = settings["escape"] == settings["quote"] and not {"linesep", "encoding", "charset"} & set(settings)
+    if settings["multiline"].lower() == "true" and plain and _has_large_files(spark, path):
+        settings["multiline"] = str(_has_quoted_line_breaks(spark, path, settings["quote"])).lower()
     reader = spark.read.options(**settings)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     return reader.csv(path)

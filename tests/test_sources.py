@@ -11,6 +11,7 @@ from millrace.sources import (
     read_csv,
     read_source,
 )
+from millrace.sources.readers import _bytes
 
 CSV = '''name,sku,description
 A,s1,"line1
@@ -52,6 +53,41 @@ def test_reader_options_are_honoured(spark, path):
     assert {r.sku: r.description for r in backslash}["s6"] == '"dbl ""q"" x"'
 
 
+@pytest.fixture
+def small_share(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_large_files_are_split_where_no_field_spans_lines(spark, tmp_path, small_share, broken):
+    rows = [(f"s{i}", f'n "{i}", x', "text " * 5) for i in range(5000)]
+    if broken:
+        rows[4000] = ("s4000", "line\nbreak", "t")
+    folder = f"{tmp_path}/csv"
+    frame = spark.createDataFrame(rows, PRODUCT_FEED).coalesce(1)
+    frame.write.options(header="true", escape='"', ignoreTrailingWhiteSpace="false").csv(folder)
+    made = read_csv(spark, folder, PRODUCT_FEED)
+    assert (made.rdd.getNumPartitions() == 1) == broken
+    assert sorted(map(tuple, made.collect())) == sorted(rows)
+    kept = read_csv(spark, folder, PRODUCT_FEED, {"multiLine": "True", "escape": "\\"})
+    assert kept.rdd.getNumPartitions() == 1
+
+
+def test_byte_settings():
+    assert [_bytes(s) for s in ("134217728", "134217728b", "128m", "128MB", "1k", "2g")] == [
+        1 << 27,
+        1 << 27,
+        1 << 27,
+        1 << 27,
+        1 << 10,
+        1 << 31,
+    ]
+
+
 def test_a_schema_keeps_numeric_keys_as_text(spark, tmp_path):
     (tmp_path / "k.csv").write_text("sku,name,description\n007,a,b\n10,c,d\n")
     assert [r.sku for r in read_csv(spark, f"{tmp_path}/k.csv", PRODUCT_FEED).collect()] == ["007", "10"]
