@@ -490,6 +490,25 @@ def q_incremental_ingest(spark, sf_dir):
     return products.current().drop("updt_tmstmp")
 
 
+def q_incremental_deliveries(spark, sf_dir):
+    """Two deliveries into one folder, a run after each, and a run that finds nothing new."""
+    root = Staging(spark).root
+    products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=4, id_column="p_id")
+    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name")
+    first, second = part_batches(spark, sf_dir)
+    for delivery in (first, second, None):
+        if delivery is not None:
+            delivery.write.mode("append").parquet(f"{root}/inbox")
+        ingest_new_files(
+            read_new_files(spark, f"{root}/inbox", first.schema, "parquet"),
+            products,
+            counts,
+            f"{root}/checkpoint",
+            run_date=lambda number: (DAY_1, DAY_2)[number],
+        ).awaitTermination()
+    return products.current().drop("updt_tmstmp")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Products per name after keeping the latest valid row per key."""
     return q_count_by_name(spark, "/root/testdata/sf0.001")
@@ -721,5 +740,6 @@ def oracle_sql() -> dict[str, str]:
                 (select count(*) from before) + (select count(*) from fresh))
             select c as "componentName", e as "logEvent", 'success' as status, n as n_rows from p""",
         "catalog_table": _transformed(_PART),
+        "incremental_deliveries": f"with {_MERGED_PARTS} select * from m",
         "incremental_ingest": _transformed(_PART),
     }
