@@ -30,18 +30,23 @@ def _bytes(size: str) -> int:
     return int(number) << 10 * " kmgt".index(unit or " ")
 
 
-def _has_large_files(spark: SparkSession, path: str | list[str]) -> bool:
+_FILE_CHOICE = ("pathglobfilter", "recursivefilelookup", "modifiedbefore", "modifiedafter")
+
+
+def _has_large_files(spark: SparkSession, path: str | list[str], choice: Mapping[str, str]) -> bool:
     """Whether some file is longer than one task's share; lists the files, reads none."""
     share = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    lengths = spark.read.format("binaryFile").load(path).select("length")
+    lengths = spark.read.format("binaryFile").options(**choice).load(path).select("length")
     return not lengths.filter(F.col("length") > share).isEmpty()
 
 
-def _has_quoted_line_breaks(spark: SparkSession, path: str | list[str], quote: str) -> bool:
+def _has_quoted_line_breaks(
+    spark: SparkSession, path: str | list[str], choice: Mapping[str, str], quote: str
+) -> bool:
     """Whether some line holds an odd number of quotes, as the first line of a broken field does."""
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    return not spark.read.options(**choice).text(path).filter(quotes % 2 == 1).isEmpty()
 
 
 def read_csv(
@@ -61,8 +66,10 @@ def read_csv(
     settings.update({name.lower(): value for name, value in (options or {}).items()})
     # counting quotes per line tells only where a doubled quote is the escape and lines end as usual
     plain = settings["escape"] == settings["quote"] and not {"linesep", "encoding", "charset"} & set(settings)
-    if settings["multiline"].lower() == "true" and plain and _has_large_files(spark, path):
-        settings["multiline"] = str(_has_quoted_line_breaks(spark, path, settings["quote"])).lower()
+    choice = {name: settings[name] for name in _FILE_CHOICE if name in settings}
+    if str(settings["multiline"]).lower() == "true" and plain and _has_large_files(spark, path, choice):
+        spans = _has_quoted_line_breaks(spark, path, choice, settings["quote"])
+        settings["multiline"] = str(spans).lower()
     reader = spark.read.options(**settings)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     return reader.csv(path)

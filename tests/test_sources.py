@@ -77,6 +77,15 @@ def test_large_files_are_split_where_no_field_spans_lines(spark, tmp_path, small
     assert kept.rdd.getNumPartitions() == 1
 
 
+def test_only_the_chosen_files_decide(spark, tmp_path, small_share):
+    clean = "sku,name,description\n" + "s,n,some text\n" * 5000
+    (tmp_path / "clean.csv").write_text(clean)
+    (tmp_path / "broken.csv").write_text('sku,name,description\ns,n,"a\nb"\n')
+    assert read_csv(spark, str(tmp_path), PRODUCT_FEED).count() == 5001
+    chosen = read_csv(spark, str(tmp_path), PRODUCT_FEED, {"pathGlobFilter": "clean*"})
+    assert chosen.rdd.getNumPartitions() > 1 and chosen.count() == 5000
+
+
 def test_byte_settings():
     assert [_bytes(s) for s in ("134217728", "134217728b", "128m", "128MB", "1k", "2g")] == [
         1 << 27,
