@@ -48,7 +48,8 @@ _COMMIT = T.StructType(
         T.StructField("rows", T.LongType()),
     ]
 )
-_BUCKET = "__bucket"
+_LINE = T.StructType([T.StructField("value", T.StringType())])
+FOLD_EVERY = 50  # commits between gathering their records in one file
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str = PRODUCTS_DDL, location: str | None = None) -> None:
@@ -59,12 +60,20 @@ def ensure_table(spark: SparkSession, name: str, ddl: str = PRODUCTS_DDL, locati
 
 def _state(commits: list[Row]) -> dict[int, str]:
     """The folder that holds each bucket after the given commits."""
+    return {bucket: folder for folder, bucket in _used(commits, 1)}
+
+
+def _used(commits: list[Row], keep: int) -> set[tuple[str, int]]:
+    """The bucket folders that any of the last ``keep`` versions reads."""
     latest: dict[int, str] = {}
-    for commit in commits:
+    used = set()
+    for place, commit in enumerate(commits, 1):
         if commit["whole"]:
             latest = {}
         latest.update({b: commit["folder"] for b in commit["buckets"]})
-    return latest
+        if place > len(commits) - keep:
+            used.update((folder, bucket) for bucket, folder in latest.items())
+    return used
 
 
 class KeyedTable:
@@ -99,7 +108,7 @@ class KeyedTable:
         if not path_exists(self.spark, f"{self.root}/commits"):
             return []
         found = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits/*").collect()
-        return sorted(found, key=lambda c: c["version"])
+        return sorted({c["version"]: c for c in found}.values(), key=lambda c: c["version"])
 
     def has_batch(self, batch_id: str) -> bool:
         return any(c["batch_id"] == batch_id for c in self.commits())
@@ -122,14 +131,9 @@ class KeyedTable:
 
         Also removes what a writer that died left behind, so run it while no batch is running.
         """
-        if keep < 1:
-            raise ValueError("the current version is always kept")
-        commits = self.commits()
-        used = {
-            (folder, bucket)
-            for last in range(max(len(commits) - keep, 0) + 1, len(commits) + 1)
-            for bucket, folder in _state(commits[:last]).items()
-        }
+        if not 0 < keep < FOLD_EVERY:
+            raise ValueError(f"keep between 1 and {FOLD_EVERY - 1} versions")
+        used = _used(self.commits(), keep)
         removed = 0
         for folder in list_folder(self.spark, f"{self.root}/data"):
             path = f"{self.root}/data/{folder}"
@@ -178,13 +182,37 @@ class KeyedTable:
             "max_id": seen.get("max_id"),
             "rows": seen["rows"],
         }
-        line = self.spark.range(1).select(F.lit(json.dumps(record)).alias("value"))
         try:
-            line.coalesce(1).write.text(f"{self.root}/commits/version-{version:08d}")
+            self._write_records([record], f"version-{version:08d}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
             raise ConcurrentCommitError(f"version {version} of {self.root} exists already") from e
+        if version % FOLD_EVERY == 0:
+            self._fold_records(version)
+
+    def _write_records(self, records: list[dict], name: str) -> None:
+        lines = local_table(self.spark, [(json.dumps(r),) for r in records], _LINE)
+        lines.coalesce(1).write.text(f"{self.root}/commits/{name}")
+
+    def _fold_records(self, version: int) -> None:
+        """Gather the records up to ``version`` in one file, naming only buckets still in use.
+
+        The files gathered the last time are deleted now, so whoever lists them has time to read.
+        """
+        folder = f"{self.root}/commits"
+        names = list_folder(self.spark, folder)
+        commits = self.commits()
+        used = _used(commits, FOLD_EVERY)
+        records = [
+            {**c.asDict(), "buckets": [b for b in c["buckets"] if (c["folder"], b) in used]} for c in commits
+        ]
+        self._write_records(records, f"upto-{version:08d}")
+        gathered = max((n.removeprefix("upto-") for n in names if n.startswith("upto-")), default="")
+        for name in names:
+            kind, _, number = name.partition("-")
+            if (kind == "version" and number <= gathered) or (kind == "upto" and number < gathered):
+                delete_path(self.spark, f"{folder}/{name}")
 
     def merge(
         self,

@@ -241,6 +241,37 @@ def test_unused_folders_are_removed(spark, tmp_path):
         table.remove_unused(keep=0)
 
 
+def test_commit_records_are_gathered(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.sinks.tables.FOLD_EVERY", 3)
+    table = keyed(spark, tmp_path, 4)
+    stored = {}
+    for n in range(1, 9):
+        rows = [(100 * n + i, f"s{i * n % 7}", f"n{n}", "d", "r", "c") for i in range(1, 3)]
+        rows = list({r[1]: r for r in rows}.values())
+        table.merge(products(spark, rows), f"b{n}", PRODUCT_UPDATES)
+        for p_id, sku, name, *_ in rows:
+            stored[sku] = (sku, stored[sku][1] if sku in stored else p_id, name)
+        assert values(table) == sorted(stored.values())
+        assert table.max_id() == max(v[1] for v in stored.values())
+    names = sorted(n for n in os.listdir(f"{tmp_path}/t/commits") if not n.startswith("."))
+    assert names == ["upto-00000003", "upto-00000006", *[f"version-{v:08d}" for v in (4, 5, 6, 7, 8)]]
+    assert [c["version"] for c in table.commits()] == list(range(1, 9))
+    assert all(table.has_batch(f"b{n}") for n in range(1, 9))
+    table.remove_unused(keep=2)
+    assert values(table) == sorted(stored.values())
+
+
+def test_an_emptied_table_stays_empty_after_gathering(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.sinks.tables.FOLD_EVERY", 2)
+    table = KeyedTable(spark, f"{tmp_path}/c", COUNTS, "name")
+    table.merge_counts(spark.createDataFrame([("Ann", 2)], COUNTS), "b1")
+    table.merge_counts(spark.createDataFrame([], COUNTS), "b2", "replace")
+    assert table.current().collect() == []
+    table.merge_counts(spark.createDataFrame([], COUNTS), "b3")
+    table.merge_counts(spark.createDataFrame([("Bob", 1)], COUNTS), "b4")
+    assert list(map(tuple, table.current().collect())) == [("Bob", 1)]
+
+
 def test_unfinished_writes_are_not_seen(spark, tmp_path):
     table = keyed(spark, tmp_path)
     table.merge(products(spark, FIRST), "b1", PRODUCT_UPDATES)
