@@ -44,6 +44,15 @@ from millrace.sinks import COUNTS, PRODUCTS, ensure_table, write_rejects
 from millrace.sources import parse_sources, read_csv, read_source
 from millrace.streaming import ingest_new_files, read_new_files
 
+# The training-data operators are an optional part: without their folder the rest stands alone.
+try:
+    import corpus_pipeline
+    from millrace.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "millrace.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 DAY_1 = "2021-08-07T02:00:00+00:00"
 DAY_2 = "2021-08-08T02:00:00+00:00"
 CUT = "1998-07-01"
@@ -515,7 +524,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: function for name, function in globals().items() if name.startswith("q_")}
+    own = {name[2:]: function for name, function in globals().items() if name.startswith("q_")}
+    return own if llm is None else own | llm.queries() | {"pipeline": corpus_pipeline.run}
 
 
 # --- the same results in SQL -------------------------------------------------------------------
@@ -620,6 +630,13 @@ _TREE_TEXT = "cast(value as varchar)"
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return _oracle_sql()
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return _oracle_sql() | llm.oracle_sql() | whole
+
+
+def _oracle_sql() -> dict[str, str]:
     customers = "select *, cast(c_acctbal as decimal(18, 2)) as balance from customer"
     nulled = """select nullif(l_returnflag, 'A') as l_returnflag, nullif(l_linestatus, 'O') as l_linestatus,
         nullif(l_linenumber, 3) as l_linenumber, nullif(l_quantity, 7.0) as l_quantity from lineitem"""
