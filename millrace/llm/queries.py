@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.bpe import decode_ids, encode_texts, read_ranks
+from millrace.llm.language import predict_language, train_language_model
 from millrace.llm.lines import drop_frequent_lines
+from millrace.llm.quality_model import score_quality, train_quality_model, word_vectors
 from millrace.llm.substrings import remove_repeated_windows
 from millrace.llm.suffixes import remove_earlier_strings
 from millrace.staging import Staging
@@ -19,16 +23,51 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _fold(folds: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+
+
 def op2_substring_dedup(spark, sf_dir) -> DataFrame:
     out = remove_repeated_windows(_documents(spark, sf_dir), Staging(spark), window=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_quality_classifier(spark, sf_dir) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = _fold(5) == 0
+    vectors = word_vectors(docs)
+    net = train_quality_model(docs, labels, vectors, ~held_out, label="quality", sample=20_000)
+    return score_quality(docs, vectors, net).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op4_line_dedup(spark, sf_dir) -> DataFrame:
     out = drop_frequent_lines(_documents(spark, sf_dir), Staging(spark), least_chars=40, copies=5)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_byte_bpe(spark, sf_dir) -> DataFrame:
+    tokens = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    out = decode_ids(encode_texts(_documents(spark, sf_dir), tokens, public_tokenizers.PATTERN), tokens)
+    return out.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_language_id(spark, sf_dir) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = _fold(4) == 2
+    model = train_language_model(docs, ~held_out, window=128, per_language=1500)
+    return predict_language(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_suffix_array_dedup(spark, sf_dir) -> DataFrame:
     out = remove_earlier_strings(_documents(spark, sf_dir), Staging(spark), window=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
@@ -37,7 +76,10 @@ def op10_suffix_array_dedup(spark, sf_dir) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_quality_classifier": op3_quality_classifier,
         "op4_line_dedup": op4_line_dedup,
+        "op5_byte_bpe": op5_byte_bpe,
+        "op9_language_id": op9_language_id,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
 
