@@ -142,7 +142,8 @@ def over_chunks(
     answers = answers or []
     joined = packed
     for i, answer in enumerate(answers):
-        joined = joined.join(answer.withColumnRenamed("answer", f"answer{i}"), "chunk", "left")
+        # The same plan at every size: the answers grow with the chunks, so they are never broadcast.
+        joined = joined.join(answer.withColumnRenamed("answer", f"answer{i}").hint("merge"), "chunk", "left")
     n = len(answers)
     joined = joined.select("chunk", "ids", "lengths", "body", "rest", *[f"answer{i}" for i in range(n)])
 

@@ -12,6 +12,7 @@ from millrace.llm.bpe import decode_ids, encode_texts, read_ranks
 from millrace.llm.language import predict_language, train_language_model
 from millrace.llm.lines import drop_frequent_lines
 from millrace.llm.quality_model import score_quality, train_quality_model, word_vectors
+from millrace.llm.quality_rules import judge_quality
 from millrace.llm.substrings import remove_repeated_windows
 from millrace.llm.suffixes import remove_earlier_strings
 from millrace.staging import Staging
@@ -61,6 +62,12 @@ def op5_byte_bpe(spark, sf_dir) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark, sf_dir) -> DataFrame:
+    out = judge_quality(_documents(spark, sf_dir), Staging(spark))
+    base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return out.select(*base, "kept", "posterior")
+
+
 def op9_language_id(spark, sf_dir) -> DataFrame:
     docs = _documents(spark, sf_dir)
     held_out = _fold(4) == 2
@@ -79,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_classifier": op3_quality_classifier,
         "op4_line_dedup": op4_line_dedup,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_quality_rules": op6_quality_rules,
         "op9_language_id": op9_language_id,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
