@@ -29,6 +29,7 @@ from millrace.llm.hashing import byte_prefix, mix64, window_hash
 from millrace.staging import Staging
 
 GRAM = 32  # bytes of the string that an anchor starts with
+_PIECE = 1 << 17  # window starts hashed at a time
 SHARD_BYTES = 8 << 20
 _OUT = pa.schema(
     [
@@ -149,13 +150,21 @@ class _Anchors:
     """
 
     def __init__(self, chunk: Chunk, window: int):
-        data, n = chunk.data, len(chunk.data)
-        self.at = self.low = self.high = self.row = np.zeros(0, np.int64)
-        self.keys = np.zeros(0, np.uint64)
-        if n < window:
-            return
+        found = [
+            self._piece(chunk, at, min(at + _PIECE, len(chunk.data) - window + 1), window)
+            for at in range(0, len(chunk.data) - window + 1, _PIECE)
+        ]
+        empty = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)]
+        self.at, self.low, self.high, self.row, self.keys = (
+            np.concatenate(x) for x in zip(empty, *found, strict=True)
+        )
+
+    @staticmethod
+    def _piece(chunk: Chunk, first: int, last: int, window: int) -> tuple[np.ndarray, ...]:
+        """The anchors of the windows that start from ``first`` up to ``last``."""
+        data = chunk.data[first : last + window - 1]
         sums = byte_prefix(data)
-        places = np.arange(n - GRAM + 1)
+        places = np.arange(len(data) - GRAM + 1)
         hashes = window_hash(sums, places, places + GRAM)
         span = window - GRAM + 1
         ranked = (hashes & np.uint64(0xFFFFFFFF00000000)) | places.astype(np.uint64)
@@ -163,18 +172,21 @@ class _Anchors:
         blocks = np.concatenate([ranked, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, span)
         ahead = np.minimum.accumulate(blocks, axis=1).ravel()
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        starts = np.arange(n - window + 1)
+        starts = np.arange(last - first)
         least = np.minimum(behind[starts], ahead[starts + span - 1]) & np.uint64(0xFFFFFFFF)
-        row = np.searchsorted(chunk.start, starts, "right") - 1
-        inside = starts + window <= chunk.end[row]
-        starts, least, row = starts[inside], least[inside].astype(np.int64), row[inside]
-        if not len(starts):
-            return
-        new = np.append(True, (least[1:] != least[:-1]) | (row[1:] != row[:-1]))
-        first = np.flatnonzero(new)
-        self.at, self.low, self.row = least[first], starts[first], row[first]
-        self.high = starts[np.append(first[1:], len(starts)) - 1]
-        self.keys = mix64(hashes[self.at])
+        # Windows must end inside the document they start in; whole documents are taken at a time.
+        docs = slice(max(0, np.searchsorted(chunk.start, first, "right") - 1), np.searchsorted(chunk.start, last))
+        low = np.maximum(chunk.start[docs] - first, 0)
+        high = np.minimum(chunk.end[docs] - window + 1, last) - first
+        size = np.maximum(high - low, 0)
+        row = np.repeat(np.arange(len(chunk))[docs], size)
+        starts = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        least = least[starts].astype(np.int64)
+        new = np.ones(len(starts), bool)
+        new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+        begin = np.flatnonzero(new)
+        final = np.append(begin[1:], len(starts))[: len(begin)] - 1
+        return least[begin] + first, starts[begin] + first, starts[final] + first, row[begin], mix64(hashes[least[begin]])
 
 
 def _contexts(chunk: Chunk, anchors: _Anchors, repeated: np.ndarray, window: int, shards: int):
