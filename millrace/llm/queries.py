@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import decode_ids, encode_texts, read_ranks
+from millrace.llm.embeddings import link_vectors
 from millrace.llm.language import predict_language, train_language_model
 from millrace.llm.lines import drop_frequent_lines
+from millrace.llm.minhash import link_documents
 from millrace.llm.quality_model import score_quality, train_quality_model, word_vectors
 from millrace.llm.quality_rules import judge_quality
 from millrace.llm.substrings import remove_repeated_windows
@@ -28,6 +30,11 @@ def _fold(folds: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
 
 
+def op1_embedding_near_dedup(spark, sf_dir) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return link_vectors(vectors, Staging(spark), threshold=0.95)
+
+
 def op2_substring_dedup(spark, sf_dir) -> DataFrame:
     out = remove_repeated_windows(_documents(spark, sf_dir), Staging(spark), window=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -68,6 +75,10 @@ def op6_quality_rules(spark, sf_dir) -> DataFrame:
     return out.select(*base, "kept", "posterior")
 
 
+def op8_minhash_near_dedup(spark, sf_dir) -> DataFrame:
+    return link_documents(_documents(spark, sf_dir), Staging(spark), shingle=2, percent=80)
+
+
 def op9_language_id(spark, sf_dir) -> DataFrame:
     docs = _documents(spark, sf_dir)
     held_out = _fold(4) == 2
@@ -82,18 +93,53 @@ def op10_suffix_array_dedup(spark, sf_dir) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embedding_near_dedup": op1_embedding_near_dedup,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_quality_classifier": op3_quality_classifier,
         "op4_line_dedup": op4_line_dedup,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_quality_rules": op6_quality_rules,
+        "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_language_id": op9_language_id,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
 
 
+# Groups that links connect: every node with the nodes it reaches.
+_REACH = """reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_embedding_near_dedup": f"""
+            with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings
+                    where embedding is not null and list_bool_and(list_transform(embedding,
+                        lambda x: x is not null and isfinite(x)))
+                    and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+                links as (select x.vec_id as a, y.vec_id as b from v x join v y on x.vec_id <> y.vec_id
+                    and len(x.e) = len(y.e) where list_cosine_similarity(x.e, y.e) >= 0.95),
+                {_REACH},
+                n as (select a, count(*) as n from links group by a),
+                c as (select a, min(least(a, b)) as c from reach group by a)
+            select vec_id, coalesce(n, 0) as n_links, coalesce(c, vec_id) as component_id,
+                coalesce(c, vec_id) = vec_id as kept
+            from embeddings left join n on n.a = vec_id left join c on c.a = vec_id""",
+        "op8_minhash_near_dedup": f"""
+            with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{_SPACE}]+') as w from documents),
+                s as (select distinct doc_id, unnest(case when len(w) >= 2
+                    then list_transform(range(1, len(w)), lambda i: md5(w[i] || ' ' || w[i + 1]))
+                    when len(w) = 1 then [md5(w[1])] else [] end) as s from d),
+                n as (select doc_id, count(*) as n from s group by doc_id),
+                shared as (select x.doc_id as a, y.doc_id as b, count(*) as n from s x join s y on x.s = y.s
+                    and x.doc_id <> y.doc_id group by all),
+                links as (select a, b from shared z join n x on x.doc_id = a join n y on y.doc_id = b
+                    where 100 * z.n >= 80 * (x.n + y.n - z.n)),
+                {_REACH},
+                c as (select a, min(least(a, b)) as c from reach group by a)
+            select doc_id, coalesce(n, 0) as n_shingles, coalesce(c, doc_id) as component_id,
+                coalesce(c, doc_id) = doc_id as kept
+            from documents left join n using (doc_id) left join c on c.a = doc_id""",
         "op2_substring_dedup": f"""
             with d as (select row_number() over () as r, doc_id,
                     regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+') as w from documents),
