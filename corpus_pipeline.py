@@ -2,28 +2,72 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm.bpe import decode_ids, encode_texts, read_ranks
 from millrace.llm.lines import drop_frequent_lines
+from millrace.llm.minhash import link_documents
+from millrace.llm.mixing import in_mixed_order, mix_sources
+from millrace.llm.quality_rules import judge_quality
 from millrace.staging import Staging
 
-_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weighed rules keep."""
+    return judge_quality(docs, Staging(spark), carry=True).filter("kept").select("doc.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that five or more hold, except in the largest doc_id."""
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     out = drop_frequent_lines(docs, Staging(spark), carry=rest)
-    return out.select("doc_id", "text", "rest.*").select(docs.columns)
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("rest.n_chars"))
+    others = [F.col("rest")[c].alias(c) for c in rest if c != "n_chars"]
+    return out.select("doc_id", "text", n_chars.cast("long").alias("n_chars"), *others).select(docs.columns)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose five-word shingles overlap by 0.8 or more: the least doc_id."""
+    kept = link_documents(docs, Staging(spark), shingle=5, percent=80).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of the mixture, each source at the square root of its size."""
+    mixed = mix_sources(docs, Staging(spark), power=0.5, columns=tuple(docs.columns))
+    return in_mixed_order(mixed).select("doc.*")
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and digests of the ids and of the text they decode to."""
+    tokens = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    out = decode_ids(encode_texts(docs, tokens, public_tokenizers.PATTERN), tokens)
+    return out.select(
+        "doc_id",
+        "n_tokens",
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
-STAGES = [("line dedup", line_dedup)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", minhash_near_dedup),
+    ("source mixing", source_mixing),
+    ("byte-level BPE", byte_bpe),
+]
 
-#: The last stage's tokens cannot be expressed in SQL; tests compare the pipeline with a plain version.
+#: The near-duplicate groups and the tokens are beyond SQL; a test compares with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written and read again."""
+    """All stages in order over ``documents``, each one's result written and read again."""
     docs, staging = spark.read.parquet(f"{sf_dir}/documents.parquet"), Staging(spark)
     for name, stage in STAGES:
         docs = staging.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -13,6 +13,7 @@ from millrace.llm.embeddings import link_vectors
 from millrace.llm.language import predict_language, train_language_model
 from millrace.llm.lines import drop_frequent_lines
 from millrace.llm.minhash import link_documents
+from millrace.llm.mixing import mix_sources
 from millrace.llm.quality_model import score_quality, train_quality_model, word_vectors
 from millrace.llm.quality_rules import judge_quality
 from millrace.llm.substrings import remove_repeated_windows
@@ -75,6 +76,10 @@ def op6_quality_rules(spark, sf_dir) -> DataFrame:
     return out.select(*base, "kept", "posterior")
 
 
+def op7_source_mixing(spark, sf_dir) -> DataFrame:
+    return mix_sources(_documents(spark, sf_dir), Staging(spark), power=0.5)
+
+
 def op8_minhash_near_dedup(spark, sf_dir) -> DataFrame:
     return link_documents(_documents(spark, sf_dir), Staging(spark), shingle=2, percent=80)
 
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_line_dedup": op4_line_dedup,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_quality_rules": op6_quality_rules,
+        "op7_source_mixing": op7_source_mixing,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_language_id": op9_language_id,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
@@ -124,6 +130,23 @@ def oracle_sql() -> dict[str, str]:
             select vec_id, coalesce(n, 0) as n_links, coalesce(c, vec_id) as component_id,
                 coalesce(c, vec_id) = vec_id as kept
             from embeddings left join n on n.a = vec_id left join c on c.a = vec_id""",
+        "op7_source_mixing": """
+            with recursive n as (select source, sqrt(count(*)) as w from documents group by source),
+                q as (select source, row_number() over (order by source nulls last) as i, cast(greatest(1, floor(
+                    greatest(1024, 16 * count(*) over ()) * w / sum(w) over () + 0.5)) as bigint) as k from n),
+                p as (select list(k order by i) as k, cast(sum(k) as bigint) as n, list(cast(0 as bigint) order by i) as none from q),
+                due as (select cast(0 as bigint) as t, cast(null as bigint) as i, none as b from p
+                    union all select t + 1, pick, list_transform(b, lambda x, j: x + if(j = pick, 1, 0)) from (
+                        select t, b, list_sort(list_transform(list_filter(range(1, len(k) + 1),
+                            lambda j: b[j] < k[j] and b[j] * n // k[j] <= t),
+                            lambda j: {'d': ((b[j] + 1) * n + k[j] - 1) // k[j], 'j': j}))[1].j as pick
+                        from due, p where t < n)),
+                slots as (select i, t - 1 as slot, b[i] - 1 as turn from due where t > 0),
+                r as (select doc_id, source, row_number() over (partition by source
+                    order by md5(coalesce(cast(doc_id as varchar), '')), doc_id) - 1 as r from documents)
+            select doc_id, r.source, r // 16 as mix_block, r // 16 // q.k * p.n + slot as mix_slot, r % 16 as mix_place
+            from r join q on r.source is not distinct from q.source
+                join slots on slots.i = q.i and slots.turn = r // 16 % q.k, p""",
         "op8_minhash_near_dedup": f"""
             with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{_SPACE}]+') as w from documents),
