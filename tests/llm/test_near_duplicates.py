@@ -1,0 +1,172 @@
+"""Near-duplicate vectors and documents, and components, against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+
+from millrace.llm.embeddings import Quantised, _products, link_vectors
+from millrace.llm.graphs import components
+from millrace.llm.minhash import link_documents, shingle_sets, signatures
+
+
+class Union:
+    def __init__(self, n):
+        self.parent = list(range(n))
+
+    def find(self, x):
+        while self.parent[x] != x:
+            x = self.parent[x]
+        return x
+
+    def join(self, x, y):
+        self.parent[self.find(x)] = self.find(y)
+
+
+def least_ids(ids, union):
+    least = {}
+    for i, k in enumerate(ids):
+        if k is not None:
+            least[union.find(i)] = min(least.get(union.find(i), k), k)
+    return [least.get(union.find(i)) for i in range(len(ids))]
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
+
+
+def sample_vectors():
+    draw, rows = np.random.default_rng(1), []
+    for b in draw.normal(size=(120, 16)):
+        for _ in range(int(draw.integers(1, 4))):
+            rows.append((b + draw.normal(size=16) * draw.choice([0.1, 0.2, 0.25, 0.3, 0.4])).astype("float32").tolist())
+    hub = draw.normal(size=16)
+    rows += [(hub + draw.normal(size=16) * 0.15).astype("float32").tolist() for _ in range(150)]
+    rows += [hub.astype("float32").tolist()] * 40
+    bad = [None, [0.0] * 16, [float("nan")] + [1.0] * 15, [float("inf")] + [1.0] * 15, [None] + [1.0] * 15, []]
+    rows += [*bad, [1.0] * 8, [2.0] * 8, [1e-30] * 16, [1e30] * 16]
+    return [(i, e) for i, e in enumerate(rows)] + [(None, rows[0]), (0, rows[0]), (None, [5.0, 1.0])]
+
+
+def brute_vectors(rows, threshold):
+    usable = []
+    for _, e in rows:
+        good = bool(e) and all(x is not None and np.isfinite(x) for x in e) and any(e)
+        usable.append(np.array(e, float) / np.linalg.norm(np.array(e, float)) if good else None)
+    union, counts = Union(len(rows)), [0] * len(rows)
+    for i, u in enumerate(usable):
+        for j in range(i):
+            v = usable[j]
+            if u is not None and v is not None and len(u) == len(v) and u @ v >= threshold:
+                counts[i] += 1
+                counts[j] += 1
+                union.join(i, j)
+    return ordered(zip([k for k, _ in rows], counts, least_ids([k for k, _ in rows], union), strict=True))
+
+
+@pytest.mark.parametrize("tile", [16_384, 70])
+def test_vectors_match_brute_force(spark, staging, tile):
+    rows = sample_vectors()
+    table = spark.createDataFrame([(k, e, "x") for k, e in rows], "vec_id long, embedding array<float>, cls string")
+    out = link_vectors(table, staging, threshold=0.95, tile=tile).collect()
+    assert ordered(tuple(r)[:3] for r in out) == brute_vectors(rows, 0.95)
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out)
+
+
+def test_empty_vectors(spark, staging):
+    assert link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"), staging).count() == 0
+
+
+@pytest.mark.parametrize("dims", [3, 64, 1500])
+def test_error_bound_holds(dims):
+    vectors = np.random.default_rng(dims).normal(size=(80, dims)) * 10.0 ** np.arange(-40, 40)[:, None]
+    q = Quantised(vectors)
+    rough = _products(q.codes, q.codes) * q.scale[:, None] * q.scale[None, :]
+    bound = q.error[:, None] + (1 + q.error[:, None]) * q.error[None, :]
+    assert (np.abs(rough - q.unit @ q.unit.T) <= bound).all()
+    exact = q.codes.astype(np.int64) @ q.codes.astype(np.int64).T
+    assert (_products(q.codes, q.codes) == exact).all()
+
+
+def sample_documents():
+    random.seed(3)
+    words, texts = [f"w{i}" for i in range(400)], []
+    for g in range(45):
+        base = [random.choice(words) for _ in range(random.randint(20, 200))]
+        for _ in range(random.choice([1, 2, 8, 30 if g < 5 else 3])):
+            text = list(base)
+            for _ in range(random.randint(0, max(1, len(base) // random.choice([6, 8, 12, 30])))):
+                text[random.randrange(len(text))] = random.choice(words)
+            texts.append(" ".join(text).title() if random.random() < 0.2 else " ".join(text))
+    texts += [None, "", "solo", "SOLO", " \n ", "a b", "a  b", "x " * 20_000, texts[0]]
+    return texts
+
+
+def brute_documents(rows, size):
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        whole = {tuple(w)} if w else set()
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else whole)
+    union = Union(len(rows))
+    for i, one in enumerate(sets):
+        for j in range(i):
+            if one and sets[j] and 100 * len(one & sets[j]) >= 80 * len(one | sets[j]):
+                union.join(i, j)
+    ids = [k for k, _ in rows]
+    return ordered(zip(ids, map(len, sets), least_ids(ids, union), strict=True))
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_documents_match_brute_force(spark, staging, size):
+    texts = sample_documents()
+    rows = list(enumerate(texts)) + [(None, texts[1]), (7, texts[7])]
+    random.shuffle(rows)
+    table = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, keys string")
+    out = link_documents(table.repartition(4), staging, shingle=size).collect()
+    assert ordered(tuple(r)[:3] for r in out) == brute_documents(rows, size)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
+
+
+def test_pairs_that_miss_the_least_document_are_found(spark, staging):
+    """A chain of edits: neighbours are linked, the ends are not, whichever document is the least."""
+    base = [f"t{i}" for i in range(200)]
+    texts = []
+    for step in range(12):
+        texts.append(" ".join([f"s{i}" if i < 4 * step else w for i, w in enumerate(base)]))
+    rows = list(enumerate(texts))
+    out = link_documents(spark.createDataFrame(rows, "doc_id long, text string"), staging, shingle=2).collect()
+    assert ordered(tuple(r)[:3] for r in out) == brute_documents(rows, 2)
+
+
+def test_empty_documents(spark, staging):
+    assert link_documents(spark.createDataFrame([], "doc_id long, text string"), staging).count() == 0
+
+
+def test_signatures_estimate_overlap():
+    draw = np.random.default_rng(2)
+    shared = draw.integers(0, 2**64, 800, dtype=np.uint64)
+    one = np.unique(np.concatenate([shared, draw.integers(0, 2**64, 100, dtype=np.uint64)]))
+    two = np.unique(np.concatenate([shared, draw.integers(0, 2**64, 100, dtype=np.uint64)]))
+    long = np.unique(draw.integers(0, 2**64, 100_000, dtype=np.uint64))
+    rows = signatures([one, long, two], 600)
+    assert abs((rows[0] == rows[2]).mean() - 0.8) < 0.06
+    assert (rows[1] == signatures([long], 600)[0]).all()
+
+
+def test_shingles_of_long_texts_are_whole():
+    texts = [b"a b c", b"", None, b"word " * 400_000 + b"end", b"One", b"tWo words"]
+    assert [len(s) for s in shingle_sets(texts, 2)] == [2, 0, 0, 2, 1, 1]
+
+
+def test_components_of_random_graphs(spark, staging):
+    random.seed(1)
+    edges = [(random.randrange(300), random.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(300, 340)]
+    edges += [(400, i) for i in range(401, 460)] + [(5, 5)]
+    union = Union(500)
+    for a, b in edges:
+        union.join(a, b)
+    least = least_ids(range(500), union)
+    nodes = {x for a, b in edges if a != b for x in (a, b)}
+    out = components(spark.createDataFrame(edges, "a long, b long"), staging).collect()
+    assert {(r["node"], r["component"]) for r in out} == {(x, least[x]) for x in nodes} and len(out) == len(nodes)
