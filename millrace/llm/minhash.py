@@ -17,6 +17,7 @@ BANDS, ROWS = 36, 6
 GRID = 256  # documents on a side of a cell when a bucket's remaining pairs are compared
 _PIECE = 1 << 20  # bytes of text hashed at a time
 _BLOCK = 1 << 15  # shingles permuted at a time
+_SHARED = 4096  # shingles of an incidence block
 _U32 = np.uint32
 
 
@@ -138,7 +139,7 @@ def _sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 def _sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, size: int) -> DataFrame:
     """(cls, shingles) of the needed classes, from the text of each one's first document."""
-    wanted = classes.join(needed.distinct(), "cls").select("cls", "first_id", "n", "d1", "d2")
+    wanted = classes.join(needed, "cls").select("cls", "first_id", "n", "d1", "d2")
     rows = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"])).select("cls", "n", "d1", "d2", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,23 +178,69 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "one", "two").mapInArrow(run, "a long, b long, both long, either long")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    return _measured(pairs, sets).filter(F.col("both") * 100 >= F.col("either") * percent).select("a", "b")
+
+
+def _grouped(classes: DataFrame, links: DataFrame, staging: Staging) -> DataFrame:
+    """(cls, component) of every class, its own where it has no links."""
+    groups = components(links, staging).withColumnRenamed("node", "cls")
+    return classes.select("cls").join(groups, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+
+
+def _overlaps(sets: list[np.ndarray], one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Sizes of all intersections of some sets with some others, by products of incidence blocks."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, which, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(counts > 1) - 1  # a shingle of one set alone adds to no intersection
+    owner, which = owner[counts[which] > 1], shared[which[counts[which] > 1]]
+    order = np.argsort(which, kind="stable")
+    owner, which = owner[order], which[order]
+    total = np.zeros((len(one), len(two)), np.float32)
+    for at in range(0, int(which[-1]) + 1 if len(which) else 0, _SHARED):
+        own = slice(*np.searchsorted(which, (at, at + _SHARED)))
+        block = np.zeros((len(sets), _SHARED), np.float32)
+        block[owner[own], which[own] - at] = 1
+        total += block[one] @ block[two].T
+    return total
+
+
 def _cell_links(table: pa.Table, percent: int) -> pa.Table:
-    """Links between the two blocks of a bucket's cell, skipping pairs whose sizes differ too much."""
+    """Links between members of different groups in two blocks of a bucket: a forest of them."""
     low, high = table["low"][0].as_py(), table["high"][0].as_py()
-    block, cls = table["block"].to_numpy(), table["cls"].to_numpy()
-    sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
+    block, cls, group = (table[c].to_numpy() for c in ("block", "cls", "component"))
+    size = table["n"].to_numpy()
     one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    small, large = np.minimum.outer(size[one], size[two]), np.maximum.outer(size[one], size[two])
+    open_ = (group[one][:, None] != group[two][None, :]) & (100 * small >= percent * large)
+    if low == high:
+        open_ = np.triu(open_)
+    some, others = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
     a, b = [], []
-    for i in one.tolist():
-        for j in two.tolist():
-            if low == high and j <= i:
-                continue
-            small, large = sorted((len(sets[i]), len(sets[j])))
-            if 100 * small >= percent * large:
-                both, either = _jaccard(sets[i], sets[j])
-                if 100 * both >= percent * either:
-                    a.append(cls[i])
-                    b.append(cls[j])
+    if len(some):
+        one, two = one[some], two[others]
+        members = np.unique(np.concatenate([one, two]))
+        sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].take(pa.array(members)).to_pylist()]
+        both = _overlaps(sets, np.searchsorted(members, one), np.searchsorted(members, two))
+        either = size[one][:, None] + size[two][None, :] - both
+        rows, columns = np.nonzero(open_[np.ix_(some, others)] & (100 * both >= percent * either))
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for i, j in zip(one[rows].tolist(), two[columns].tolist(), strict=True):
+            first, second = find(int(group[i])), find(int(group[j]))
+            if first != second:
+                parent[max(first, second)] = min(first, second)
+                a.append(cls[i])
+                b.append(cls[j])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -211,11 +258,13 @@ def link_documents(
     """Groups of documents whose shingle sets overlap by ``percent`` of their union or more.
 
     Documents with equal sets are one class. Circulant MinHash signatures are cut into bands, and
-    classes that agree in a band share a bucket. Every class is compared with the least class of
-    each of its buckets, on the full sets, so a bucket costs as many comparisons as it has members.
-    A member that fails there could still be linked with another one: with distances one minus the
-    overlap, which obey the triangle inequality, only members about as far from the least class
-    as it can be; these, and only these, are then compared with each other in blocks.
+    classes that agree in a band share a bucket. Every class is first compared, on the full sets,
+    with one least class of its buckets, then with the least class of every bucket in which the
+    two are not in one group yet; a bucket costs at most as many comparisons as it has members.
+    Where a bucket still holds several groups, members of different groups are compared in cells
+    of two bounded blocks, each of which gives a forest of the links it finds. So no pair that
+    shares a bucket goes unchecked unless its documents are connected already, and pairs inside a
+    large group of copies are never made.
 
     With the default bands a pair at exactly 0.8 shares no bucket with a probability of 2e-5, and
     less above. Returns ``doc_id``, ``n_shingles``, ``component_id`` (least doc_id of the group)
@@ -237,24 +286,48 @@ def link_documents(
         entries.groupBy("key")
         .agg(F.count("*").alias("members"), F.min(F.struct("cls", "n")).alias("least"))
         .filter("members > 1")
-        .select("key", "members", F.col("least.cls").alias("b"), F.col("least.n").alias("n_b"))
+        .select("key", F.col("least.cls").alias("b"), F.col("least.n").alias("n_b"))
     )
     members = staging.write(
-        entries.join(buckets, "key").filter("cls <> b").select("key", F.col("cls").alias("a"), "b", "n", "n_b", "members"),
+        entries.join(buckets, "key").filter("cls <> b").select("key", F.col("cls").alias("a"), "b", "n", "n_b"),
         "members",
     )
+    sets = staging.write(_sets(plain, classes, _ends(members), shingle), "sets")
     near = (F.col("n") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n") * percent)
-    pairs = members.filter(near).select("a", "b").distinct()
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
-    sets = staging.write(_sets(plain, classes, needed, shingle), "sets")
-    measured = staging.write(_measured(pairs, sets), "measured")
-    links = measured.filter(F.col("both") * 100 >= F.col("either") * percent).select("a", "b")
-
-    rest = staging.write(_unsettled(members, measured, percent), "rest")
-    if not rest.isEmpty():
-        links = links.unionByName(_among(rest, plain, classes, sets, staging, shingle, percent))
-
-    groups = components(links, staging)
+    first = members.filter(near).groupBy("a").agg(F.min("b").alias("b"))
+    first = staging.write(first, "pairs")
+    links = staging.write(_linked(first, sets, percent), "links")
+    groups = staging.write(_grouped(classes, links, staging), "groups")
+
+    apart = (
+        members.filter(near)
+        .join(groups.select(F.col("cls").alias("a"), F.col("component").alias("group_a")), "a")
+        .join(groups.select(F.col("cls").alias("b"), F.col("component").alias("group_b")), "b")
+        .filter("group_a <> group_b")
+    )
+    second = staging.write(apart.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(staging.write(_linked(second, sets, percent), "links"))
+    groups = staging.write(_grouped(classes, links, staging), "groups")
+
+    rest = entries.join(groups, "cls")
+    mixed = (
+        rest.groupBy("key")
+        .agg(F.count("*").alias("members"), F.min("component").alias("least"), F.max("component").alias("most"))
+        .filter("members > 2 and least <> most")  # two members have been compared
+        .select("key", "members")
+    )
+    rest = staging.write(rest.join(mixed, "key"), "rest")
+    blocks = F.ceil(F.col("members") / GRID).cast("int")
+    celled = (
+        rest.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+        .withColumn("partner", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("low", F.least("block", "partner"))
+        .withColumn("high", F.greatest("block", "partner"))
+        .join(sets, "cls")
+        .select("key", "cls", "component", "n", "block", "low", "high", "shingles")
+    )
+    found = celled.groupBy("key", "low", "high").applyInArrow(lambda t: _cell_links(t, percent), "a long, b long")
+    groups = components(links.unionByName(staging.write(found.distinct(), "links")), staging)
     joined = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
     )
@@ -269,39 +342,3 @@ def link_documents(
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
-
-
-def _unsettled(members: DataFrame, measured: DataFrame, percent: int) -> DataFrame:
-    """(key, cls, n) of bucket members that may be linked with another member than the least one.
-
-    A distance is one minus the overlap; where sizes alone rule a link out, one minus the ratio of
-    the sizes is a lower bound of it. A member within reach of the least class needs no further
-    look unless some member out of reach is near enough to it by the triangle inequality.
-    """
-    reach = 1 - percent / 100
-    ratio = 1 - F.least("n", "n_b") / F.greatest("n", "n_b")
-    far = members.join(measured, ["a", "b"], "left").withColumn(
-        "distance", F.coalesce(1 - F.col("both") / F.col("either"), ratio)
-    )
-    far = far.withColumn("linked", F.coalesce(F.col("both") * 100 >= F.col("either") * percent, F.lit(False)))
-    strays = far.filter("not linked and members > 2").groupBy("key").agg(F.min("distance").alias("nearest"))
-    kept = far.join(strays, "key").filter(~F.col("linked") | (F.col("distance") >= F.col("nearest") - reach - 1e-9))
-    sizes = kept.groupBy("key").agg(F.count("*").alias("left"), F.min("linked").alias("all_linked"))
-    return kept.join(sizes.filter("left > 1 and not all_linked"), "key").select("key", F.col("a").alias("cls"), "n", "left")
-
-
-def _among(rest, plain, classes, sets, staging, shingle, percent) -> DataFrame:
-    """Links among what is left of the buckets: all pairs, in cells of two bounded blocks each."""
-    missing = rest.select("cls").distinct().join(sets, "cls", "left_anti")
-    more = staging.write(_sets(plain, classes, missing, shingle), "sets")
-    blocks = F.ceil(F.col("left") / GRID).cast("int")
-    celled = (
-        rest.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-        .withColumn("partner", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .withColumn("low", F.least("block", "partner"))
-        .withColumn("high", F.greatest("block", "partner"))
-        .join(sets.unionByName(more), "cls")
-        .select("key", "cls", "block", "low", "high", "shingles")
-    )
-    found = celled.groupBy("key", "low", "high").applyInArrow(lambda t: _cell_links(t, percent), "a long, b long")
-    return staging.write(found.distinct(), "links")
