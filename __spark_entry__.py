@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace import KeyedTable, Staging
 from millrace.functions import number_text, record_checksum, run_digits, run_hour, zipped_map
+from millrace.job import run_sources
 from millrace.operators import (
     audit_events,
     audit_json,
@@ -25,7 +26,6 @@ from millrace.operators import (
     error_rows,
     hierarchy_document,
     hierarchy_totals,
-    hierarchy_tree,
     latest_by_rank,
     latest_per_key,
     max_id,
@@ -38,6 +38,7 @@ from millrace.operators import (
     with_reject_reason,
     with_request_id,
     with_surrogate_key,
+    write_document,
 )
 from millrace.plans import run_ingest, transform_rows
 from millrace.sinks import COUNTS, PRODUCTS, ensure_table, write_rejects
@@ -56,6 +57,7 @@ except ModuleNotFoundError as missing:
 DAY_1 = "2021-08-07T02:00:00+00:00"
 DAY_2 = "2021-08-08T02:00:00+00:00"
 CUT = "1998-07-01"
+LATE = "1998-11-25"  # the few line items shipped from here on are a small batch
 FIRST_TYPES = ("ECONOMY", "SMALL", "STANDARD")
 
 
@@ -74,11 +76,12 @@ def events_feed(spark, sf_dir) -> DataFrame:
     )
 
 
-def _part_columns(df: DataFrame) -> DataFrame:
+def _part_columns(df: DataFrame, *further: str) -> DataFrame:
     return df.select(
         F.concat(F.col("p_brand"), F.lit("-"), F.col("p_size").cast("string")).alias("sku"),
         F.nullif(F.col("p_name"), F.lit("small ring")).alias("name"),
         F.concat(F.col("p_type"), F.lit(" "), F.col("p_partkey").cast("string")).alias("description"),
+        *further,
     )
 
 
@@ -101,7 +104,7 @@ def brand_type_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         F.col("p_partkey").cast("string").alias("description"),
         "p_size",
     )
-    small = F.col("p_size") <= 10
+    small = F.coalesce(F.col("p_size") <= 10, F.lit(False))
     return feed.filter(small).drop("p_size"), feed.filter(~small).drop("p_size")
 
 
@@ -119,12 +122,17 @@ def lineitem_feed(spark, sf_dir) -> DataFrame:
     return _lineitem_columns(_table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
 
 
-def lineitem_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def lineitem_batches(spark, sf_dir, cut: str = CUT) -> tuple[DataFrame, DataFrame]:
     lineitem = _table(spark, sf_dir, "lineitem")
-    early = F.col("l_shipdate") < F.lit(CUT).cast("timestamp")
+    early = _before(cut)
     return _lineitem_columns(lineitem.filter(early)), _lineitem_columns(lineitem.filter(~early))
 
 
+def _before(date: str):
+    """Shipped before a date; a row without a date belongs to the later batch, so none is lost."""
+    return F.coalesce(F.col("l_shipdate") < F.lit(date).cast("timestamp"), F.lit(False))
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 
@@ -243,8 +251,8 @@ def q_max_id(spark, sf_dir):
 # --- merges ------------------------------------------------------------------------------------
 
 
-def _merge_lineitem(spark, sf_dir, **settings):
-    first, second = lineitem_batches(spark, sf_dir)
+def _merge_lineitem(spark, sf_dir, cut=CUT, **settings):
+    first, second = lineitem_batches(spark, sf_dir, cut)
     staging = Staging(spark)
     stored = transform_rows(first, DAY_1, staging).withColumn("updt_tmstmp", F.lit(DAY_1).cast("timestamp"))
     target = staging.write(stored, "target")
@@ -260,7 +268,7 @@ def q_merge_products(spark, sf_dir):
 
 
 def q_merge_products_small(spark, sf_dir):
-    return _merge_lineitem(spark, sf_dir, small_batch=True)
+    return _merge_lineitem(spark, sf_dir, cut=LATE)
 
 
 def q_merge_report(spark, sf_dir):
@@ -269,23 +277,27 @@ def q_merge_report(spark, sf_dir):
 
 
 def q_merge_only_changed(spark, sf_dir):
+    return _merge_flags(spark, sf_dir)
+
+
+def q_merge_only_changed_nulls(spark, sf_dir):
+    """With a further column that is null in some rows, so that their checksums are null too."""
+    return _merge_flags(spark, sf_dir, F.nullif(F.col("l_linenumber"), F.lit(3)).cast("string").alias("line"))
+
+
+def _merge_flags(spark, sf_dir, *further):
     lineitem = _table(spark, sf_dir, "lineitem")
-    early = F.col("l_shipdate") < F.lit(CUT).cast("timestamp")
 
     def flags(rows):
         sku = F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("sku")
-        feed = rows.select(sku, F.col("l_returnflag").alias("name"), F.col("l_linestatus").alias("description"))
+        named = F.col("l_returnflag").alias("name"), F.col("l_linestatus").alias("description")
+        feed = rows.select(sku, *named, *further)
         latest = latest_per_key(feed, order_by=("name", "description"))
-        return latest.withColumn("record_checksum", record_checksum(["sku", "name", "description"]))
-
-    update = ("name", "description", "record_checksum")
-    return merge_rows(
-        flags(lineitem.filter(early)),
-        flags(lineitem.filter(~early)),
-        update=update,
-        unless_equal="record_checksum",
-        action="action",
-    )
+        return latest.withColumn("record_checksum", record_checksum(feed.columns))
+
+    target, batch = flags(lineitem.filter(_before(CUT))), flags(lineitem.filter(~_before(CUT)))
+    update = tuple(c for c in target.columns if c != "sku")
+    return merge_rows(target, batch, update=update, unless_equal="record_checksum", action="action")
 
 
 def _count_batches(spark, sf_dir):
@@ -332,7 +344,7 @@ def q_grand_total(spark, sf_dir):
 
 def q_hierarchy_tree(spark, sf_dir):
     lineitem = _table(spark, sf_dir, "lineitem")
-    return hierarchy_tree(lineitem, FLAG_HEADERS[:2], "l_quantity", Staging(spark))
+    return hierarchy_document(lineitem, FLAG_HEADERS[:2], "l_quantity", Staging(spark))
 
 
 def _customers(spark, sf_dir):
@@ -344,6 +356,14 @@ def q_hierarchy_document(spark, sf_dir):
     return hierarchy_document(_customers(spark, sf_dir), CUSTOMER_HEADERS, "balance", Staging(spark))
 
 
+def q_document_round_trip(spark, sf_dir):
+    """The written document, read back line by line."""
+    staging = Staging(spark)
+    fragments = hierarchy_document(_customers(spark, sf_dir), CUSTOMER_HEADERS, "balance", staging)
+    write_document(fragments, staging.path("document"))
+    return spark.read.text(staging.path("document")).select(F.col("value").alias("fragment"))
+
+
 # --- audit -------------------------------------------------------------------------------------
 
 
@@ -406,10 +426,10 @@ def q_split_zip_map(spark, sf_dir):
 
 
 def q_parse_run_date(spark, sf_dir):
-    run = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    run = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     hour = F.date_format(run_hour("run_date"), "yyyy-MM-dd HH:mm:ss").alias("run_hour")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", run.alias("run_date"))
-    return orders.select("o_orderkey", run_digits("run_date").alias("digits"), hour)
+    events = _table(spark, sf_dir, "events").select("event_id", run.alias("run_date"))
+    return events.select("event_id", run_digits("run_date").alias("digits"), hour)
 
 
 def q_number_text(spark, sf_dir):
@@ -446,7 +466,7 @@ def q_source_dispatch(spark, sf_dir):
 
 def _ingest_parts(spark, sf_dir, root: str) -> tuple[KeyedTable, KeyedTable]:
     products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=4, id_column="p_id")
-    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name")
+    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name", buckets=2)
     for batch, day in zip(part_batches(spark, sf_dir), (DAY_1, DAY_2), strict=True):
         run_ingest(spark, batch, products, counts, day, rejects_path=f"{root}/rejects", audit_path=f"{root}/audit")
     return products, counts
@@ -486,15 +506,51 @@ def q_catalog_table(spark, sf_dir):
     return spark.read.parquet(folder).drop("updt_tmstmp")
 
 
+def q_csv_header_order(spark, sf_dir):
+    """A CSV with its columns in another order and one more, through the whole job."""
+    staging = Staging(spark)
+    part = _table(spark, sf_dir, "part")
+    named = _part_columns(part, "p_partkey").select("name", "sku", "description", "p_partkey")
+    folder = write_rejects(named, staging.path("feed"), "all")
+    config = {"sources": [{"data_object": "PRODUCTS", "path": folder}]}
+    run_sources(spark, config, staging.path("lake"), buckets=4, run_date=DAY_1)
+    products = KeyedTable(spark, staging.path("lake/products"), PRODUCTS, "sku", buckets=4, id_column="p_id")
+    return products.current().drop("updt_tmstmp")
+
+
+def q_incremental_two_streams(spark, sf_dir):
+    """Two inboxes with a checkpoint each, under the same default name, into one table."""
+    root = Staging(spark).root
+    products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=4, id_column="p_id")
+    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name", buckets=2)
+    for number, (delivery, day) in enumerate(zip(part_batches(spark, sf_dir), (DAY_1, DAY_2), strict=True)):
+        delivery.write.parquet(f"{root}/inbox{number}")
+        ingest_new_files(
+            read_new_files(spark, f"{root}/inbox{number}", delivery.schema, "parquet"),
+            products,
+            counts,
+            f"{root}/checkpoint{number}",
+            rejects_path=f"{root}/rejects",
+            run_date=day,
+        ).awaitTermination()
+    return products.current().drop("updt_tmstmp")
+
+
 def q_incremental_ingest(spark, sf_dir):
     root = Staging(spark).root
-    products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", id_column="p_id")
-    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name")
+    products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=1, id_column="p_id")
+    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name", buckets=2)
     schema = _table(spark, sf_dir, "part").schema
     for _ in range(2):  # the second run finds nothing new
         stream = read_new_files(spark, sf_dir, schema, "parquet", pathGlobFilter="part.parquet")
         ingest_new_files(
-            stream, products, counts, f"{root}/checkpoint", run_date=DAY_1, prepare=_part_columns
+            stream,
+            products,
+            counts,
+            f"{root}/checkpoint",
+            rejects_path=f"{root}/rejects",
+            run_date=DAY_1,
+            prepare=_part_columns,
         ).awaitTermination()
     return products.current().drop("updt_tmstmp")
 
@@ -503,7 +559,7 @@ def q_incremental_deliveries(spark, sf_dir):
     """Two deliveries into one folder, a run after each, and a run that finds nothing new."""
     root = Staging(spark).root
     products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=4, id_column="p_id")
-    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name")
+    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name", buckets=2)
     first, second = part_batches(spark, sf_dir)
     for delivery in (first, second, None):
         if delivery is not None:
@@ -513,6 +569,7 @@ def q_incremental_deliveries(spark, sf_dir):
             products,
             counts,
             f"{root}/checkpoint",
+            rejects_path=f"{root}/rejects",
             run_date=lambda number: (DAY_1, DAY_2)[number],
         ).awaitTermination()
     return products.current().drop("updt_tmstmp")
@@ -538,7 +595,8 @@ _LINEITEM = """select 'O' || cast(l_orderkey as varchar) as sku, l_returnflag as
     l_linestatus || '-' || cast(l_linenumber as varchar) as description"""
 _VALID = "sku is not null and name is not null and description is not null"
 _FIRST = "p_type in ('ECONOMY', 'SMALL', 'STANDARD')"
-_EARLY = f"l_shipdate < timestamp '{CUT}'"
+_EARLY = f"coalesce(l_shipdate < timestamp '{CUT}', false)"
+_NOT_LATE = f"coalesce(l_shipdate < timestamp '{LATE}', false)"
 _DIGITS_1, _DIGITS_2 = "'202108070200000000'", "'202108080200000000'"
 
 
@@ -562,9 +620,10 @@ def _latest(feed: str) -> str:
         from ({feed}) where {_VALID}) where place = 1"""
 
 
-_MERGE = f"""
-    with t as ({_transformed(_LINEITEM + " from lineitem where " + _EARLY)}),
-    u as ({_transformed(_LINEITEM + " from lineitem where not " + _EARLY, _DIGITS_2, "(select max(p_id) from t)")}),
+def _merge(early: str) -> str:
+    return f"""
+    with t as ({_transformed(_LINEITEM + " from lineitem where " + early)}),
+    u as ({_transformed(_LINEITEM + " from lineitem where not " + early, _DIGITS_2, "(select max(p_id) from t)")}),
     m as (select coalesce(t.p_id, u.p_id) as p_id, coalesce(t.sku, u.sku) as sku,
         coalesce(u.name, t.name) as name, coalesce(u.description, t.description) as description,
         coalesce(u.request_id, t.request_id) as request_id,
@@ -573,6 +632,7 @@ _MERGE = f"""
         case when t.sku is null then 'insert' when u.sku is null then 'keep' else 'update' end as action
         from t full outer join u on t.sku = u.sku)"""
 
+
 _BRAND_TYPE = """select p_brand || '-' || p_type as sku, nullif(p_name, 'small ring') as name,
     cast(p_partkey as varchar) as description from part"""
 
@@ -604,10 +664,20 @@ def _totals(source: str, headers: list[str], value: str) -> str:
         from ({source}) group by rollup ({shown}) having {null_above}"""
 
 
-def _flags(where: str) -> str:
-    feed = "select 'O' || cast(l_orderkey as varchar) as sku, l_returnflag as name, l_linestatus as description"
-    return f"""select *, md5(sku || name || description) as record_checksum
-        from ({_latest(feed + " from lineitem where " + where)})"""
+_LINE = "cast(nullif(l_linenumber, 3) as varchar) as line"
+_CHANGED = """(u.sku is not null and (t.sku is null or u.record_checksum is null or t.record_checksum is null
+    or u.record_checksum <> t.record_checksum))"""
+
+
+def _flags(where: str, further: str = "") -> str:
+    more = further.rpartition(" ")[2]
+    feed = f"""select 'O' || cast(l_orderkey as varchar) as sku, l_returnflag as name,
+        l_linestatus as description{", " if more else ""}{further} from lineitem where {where}"""
+    if not more:
+        return f"select *, md5(sku || name || description) as record_checksum from ({_latest(feed)})"
+    return f"""select * exclude (place), md5(sku || name || description || {more}) as record_checksum from (
+        select *, row_number() over (partition by sku order by name desc, description desc,
+            {more} desc nulls last) as place from ({feed}) where {_VALID}) where place = 1"""
 
 
 _EVENT_BATCHES = f"""
@@ -629,6 +699,29 @@ _AUDIT = f"""select '2021-08-07T02:00:00' as "timestamp",
 _TREE_TEXT = "cast(value as varchar)"
 
 
+def _document(totals: str, headers: list[str]) -> str:
+    """The fragments of the document in order; a node is followed by its children or by what closes."""
+    depth = len(headers)
+    opening = "'{\"header\":\"root\",\"field_name\":\"root' || tail || '['"
+    wrapper = '{"header":"root","field_name":"root","value":"0","children":['
+    cases = [f"when 0 then {opening}"]
+    for level, name in enumerate(headers, 1):
+        inner = wrapper if level < depth else "[]}"
+        cases.append(f"""when {level} then '{{"header":"{name}","field_name":"' || cast({name} as varchar)
+            || tail || '{inner}'""")
+    close = "]}}"
+    after = [f"when next_level = {n} then repeat('{close}', least(level, {depth - 1}) - {n} + 1) || ','" for n in range(1, depth + 1)]
+    order = ", ".join(f"{h} nulls first" for h in headers)
+    return f"""with n as ({totals}),
+        w as (select *, row_number() over walk as position, lead(level) over walk as next_level from n
+            window walk as (order by {order})),
+        o as (select *, '","value":"' || {_TREE_TEXT} || '","children":' as tail from w)
+        select position, case level {" ".join(cases)} end || case when next_level > level then ''
+            {" ".join(after)}
+            else repeat('{close}', least(level, {depth - 1})) || ']}}' end as fragment from o"""
+
+
+
 def oracle_sql() -> dict[str, str]:
     if llm is None:
         return _oracle_sql()
@@ -640,7 +733,6 @@ def _oracle_sql() -> dict[str, str]:
     customers = "select *, cast(c_acctbal as decimal(18, 2)) as balance from customer"
     nulled = """select nullif(l_returnflag, 'A') as l_returnflag, nullif(l_linestatus, 'O') as l_linestatus,
         nullif(l_linenumber, 3) as l_linenumber, nullif(l_quantity, 7.0) as l_quantity from lineitem"""
-    wrapper = '"header":"root","field_name":"root","value":"0","children":['
     return {
         "valid_rows": f"select * from ({_EVENTS}) where {_VALID}",
         "error_rows": f"select * from ({_EVENTS}) where not ({_VALID})",
@@ -678,9 +770,9 @@ def _oracle_sql() -> dict[str, str]:
         "count_by_name": f"select name, count(*) as count_of_names from ({_latest(_PART)}) group by name",
         "count_all": "select count(*) as n_rows from lineitem",
         "max_id": f"select coalesce(max(p_id), 0) as max_id from ({_transformed(_PART, offset='100')})",
-        "merge_products": f"{_MERGE} select * exclude (action) from m",
-        "merge_products_small": f"{_MERGE} select * exclude (action) from m",
-        "merge_report": f"{_MERGE} select action, count(*) as n_rows from m group by action",
+        "merge_products": f"{_merge(_EARLY)} select * exclude (action) from m",
+        "merge_products_small": f"{_merge(_NOT_LATE)} select * exclude (action) from m",
+        "merge_report": f"{_merge(_EARLY)} select action, count(*) as n_rows from m group by action",
         "merge_only_changed": f"""with t as ({_flags(_EARLY)}), u as ({_flags("not " + _EARLY)})
             select coalesce(u.sku, t.sku) as sku, coalesce(u.name, t.name) as name,
             coalesce(u.description, t.description) as description,
@@ -688,39 +780,21 @@ def _oracle_sql() -> dict[str, str]:
             case when t.sku is null then 'insert' when u.record_checksum <> t.record_checksum then 'update'
                 else 'keep' end as action
             from t full outer join u on t.sku = u.sku""",
+        "merge_only_changed_nulls": f"""with t as ({_flags(_EARLY, _LINE)}), u as ({_flags("not " + _EARLY, _LINE)})
+            select coalesce(u.sku, t.sku) as sku, {", ".join(
+                f"case when {_CHANGED} then u.{c} else t.{c} end as {c}"
+                for c in ("name", "description", "line", "record_checksum"))},
+                case when t.sku is null then 'insert' when {_CHANGED} then 'update' else 'keep' end as action
+            from t full outer join u on t.sku = u.sku""",
         "merge_agg_stale": f"with {_MERGED_BRANDS} {_STALE}",
         "merge_agg_replace": f"with {_MERGED_BRANDS} select name, no_of_products from fresh",
         "hierarchy_totals": _totals("from lineitem", FLAG_HEADERS, "l_quantity"),
         "hierarchy_totals_nulls": _totals(nulled, FLAG_HEADERS, "l_quantity"),
         "grand_total": f"select cast(sum(balance) as decimal(28, 2)) as value from ({customers})",
-        "hierarchy_tree": f"""
-            with n as ({_totals("from lineitem", FLAG_HEADERS[:2], "l_quantity")}),
-            leaves as (select l_returnflag, string_agg('{{"header":"l_linestatus","field_name":"' || l_linestatus
-                || '","value":"' || {_TREE_TEXT} || '","children":[]}}', ',' order by l_linestatus) as inner_text
-                from n where level = 2 group by l_returnflag),
-            tops as (select string_agg('{{"header":"l_returnflag","field_name":"' || n.l_returnflag
-                || '","value":"' || {_TREE_TEXT} || '","children":{{{wrapper}' || inner_text || ']}}}}', ','
-                order by n.l_returnflag) as inner_text
-                from n join leaves on n.l_returnflag = leaves.l_returnflag where level = 1)
-            select '{{"header":"root","field_name":"root","value":"' || {_TREE_TEXT} || '","children":['
-                || tops.inner_text || ']}}' as tree from n, tops where level = 0""",
-        "hierarchy_document": f"""
-            with n as ({_totals(customers, CUSTOMER_HEADERS, "balance")}),
-            w as (select *, row_number() over walk as position, lead(level) over walk as next_level from n
-                window walk as (order by c_nationkey nulls first, c_mktsegment nulls first, c_name nulls first)),
-            o as (select *, '","value":"' || {_TREE_TEXT} || '","children":' as tail from w)
-            select position, case level
-                when 0 then '{{"header":"root","field_name":"root' || tail || '['
-                when 1 then '{{"header":"c_nationkey","field_name":"' || cast(c_nationkey as varchar)
-                    || tail || '{{{wrapper}'
-                when 2 then '{{"header":"c_mktsegment","field_name":"' || c_mktsegment || tail || '{{{wrapper}'
-                else '{{"header":"c_name","field_name":"' || c_name || tail || '[]}}' end
-                || case when next_level > level then ''
-                    when next_level = 3 then ','
-                    when next_level = 2 then ']}}}},'
-                    when next_level = 1 then ']}}}}]}}}},'
-                    else ']}}}}]}}}}]}}' end as fragment
-            from o""",
+        "hierarchy_tree": _document(_totals("from lineitem", FLAG_HEADERS[:2], "l_quantity"), FLAG_HEADERS[:2]),
+        "hierarchy_document": _document(_totals(customers, CUSTOMER_HEADERS, "balance"), CUSTOMER_HEADERS),
+        "document_round_trip": f"""select fragment from
+            ({_document(_totals(customers, CUSTOMER_HEADERS, "balance"), CUSTOMER_HEADERS)})""",
         "audit_events": _AUDIT,
         "audit_json": f"""select '{{"timestamp":"2021-08-07T02:00:00","message":"' || message || '","logEvent":"'
             || "logEvent" || '","logLevel":"' || "logLevel"
@@ -736,9 +810,9 @@ def _oracle_sql() -> dict[str, str]:
             from ({_EVENT_BATCHES})""",
         "split_zip_map": """select p_partkey, p_name as label, p_type as type, cast(2 as bigint) as n_keys
             from part""",
-        "parse_run_date": """select o_orderkey,
-            regexp_replace(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00'), '[^0-9]', '', 'g') as digits,
-            strftime(date_trunc('hour', o_orderdate), '%Y-%m-%d %H:%M:%S') as run_hour from orders""",
+        "parse_run_date": """select event_id,
+            regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00'), '[^0-9]', '', 'g') as digits,
+            strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as run_hour from events""",
         "number_text": """select cast(l_orderkey as varchar) as whole,
             cast(l_extendedprice * 1000 as varchar) as large, cast(l_discount / 1000 as varchar) as small
             from lineitem""",
@@ -757,6 +831,10 @@ def _oracle_sql() -> dict[str, str]:
                 (select count(*) from before) + (select count(*) from fresh))
             select c as "componentName", e as "logEvent", 'success' as status, n as n_rows from p""",
         "catalog_table": _transformed(_PART),
+        "csv_header_order": f"""
+            select p_id, sku, name, description, request_id, md5(name || sku || description || key) as record_checksum
+            from (select *, split_part(description, ' ', -1) as key from ({_transformed(_PART)}))""",
+        "incremental_two_streams": f"with {_MERGED_PARTS} select * from m",
         "incremental_deliveries": f"with {_MERGED_PARTS} select * from m",
         "incremental_ingest": _transformed(_PART),
     }

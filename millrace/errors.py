@@ -21,10 +21,6 @@ class SequenceOverflowError(IngestError):
     """A batch holds more rows than the sequence id has digits for."""
 
 
-class TreeTooLargeError(IngestError):
-    """A drill-down tree has too many nodes to be a single value."""
-
-
 class ConcurrentCommitError(IngestError):
     """Another writer committed the same table version first."""
 

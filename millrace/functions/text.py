@@ -27,11 +27,14 @@ def run_hour(run_date: Column | str) -> Column:
     return F.make_timestamp_ntz(year, month, day, hour, F.lit(0), F.lit(0)).cast("timestamp")
 
 
-def sequence_id(digits: Column | str, position: Column | str) -> Column:
-    """Sortable id: run digits padded right to 20, then the row position padded left to 12."""
+def sequence_id(digits: Column | str, position: Column | str, row_digits: int = ROW_DIGITS) -> Column:
+    """Sortable id: run digits padded right to 20, then the row position padded left to ``row_digits``.
+
+    The caller sees to it that no position has more digits.
+    """
     return F.concat(
         F.rpad(_column(digits), RUN_DIGITS, "0"),
-        F.lpad(_column(position).cast("string"), ROW_DIGITS, "0"),
+        F.lpad(_column(position).cast("string"), row_digits, "0"),
     )
 
 

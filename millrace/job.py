@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from millrace.plans import BatchLog, run_ingest
 from millrace.sinks import COUNTS, PRODUCTS, KeyedTable
-from millrace.sources import PRODUCT_FEED, parse_sources
+from millrace.sources import parse_sources
 
 
 def read_config(path: str) -> Mapping:
@@ -35,18 +35,27 @@ def run_sources(
     spark: SparkSession,
     config: Mapping,
     target: str,
+    *,
+    buckets: int,
     run_date: str | None = None,
-    buckets: int = 1,
     only: str | None = None,
     **settings,
 ) -> list[BatchLog]:
-    """Ingest every source of a config (or ``only`` the one named) into the tables below ``target``."""
+    """Ingest every source of a config (or ``only`` the one named) into the tables below ``target``.
+
+    Columns of a CSV source are named by its header; all of them take part in the checksum. Every
+    source is a batch of its own, named by the run date and its data object, so two sources of one
+    data object are an error.
+    """
     run_date = run_date or datetime.now(UTC).isoformat(timespec="seconds")
     products = KeyedTable(spark, f"{target}/products", PRODUCTS, "sku", buckets, "p_id")
-    counts = KeyedTable(spark, f"{target}/products_agg", COUNTS, "name")
+    counts = KeyedTable(spark, f"{target}/products_agg", COUNTS, "name", buckets)
     sources = [s for s in parse_sources(config) if only is None or s.data_object == only]
     if not sources:
         raise ValueError(f"the config has no source {only!r}" if only else "the config has no sources")
+    names = [s.data_object for s in sources]
+    if repeated := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(f"the config has several sources of {', '.join(repeated)}")
     return [
         run_ingest(
             spark,
@@ -57,7 +66,6 @@ def run_sources(
             batch_id=f"{run_date} {source.data_object}",
             rejects_path=f"{target}/rejects",
             audit_path=f"{target}/audit",
-            schema=PRODUCT_FEED if source.format == "csv" else None,
             data_object=source.data_object,
             **settings,
         )
@@ -71,10 +79,17 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--target", required=True, help="shared folder of the target tables")
     parser.add_argument("--source", help="ingest only the source with this data object")
     parser.add_argument("--job_run_date", help="ISO date and time of the run; now if left out")
-    parser.add_argument("--buckets", type=int, default=1, help="hash buckets of the products table")
+    parser.add_argument("--buckets", type=int, required=True, help="hash buckets of each target table")
     given = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("millrace").getOrCreate()
-    run_sources(spark, read_config(given.config), given.target, given.job_run_date, given.buckets, given.source)
+    run_sources(
+        spark,
+        read_config(given.config),
+        given.target,
+        buckets=given.buckets,
+        run_date=given.job_run_date,
+        only=given.source,
+    )
 
 
 if __name__ == "__main__":

@@ -3,7 +3,6 @@ from millrace.operators.audit import audit_events, audit_json, audit_summary
 from millrace.operators.hierarchy import (
     hierarchy_document,
     hierarchy_totals,
-    hierarchy_tree,
     write_document,
 )
 from millrace.operators.latest import latest_by_rank, latest_per_key
@@ -34,7 +33,6 @@ __all__ = [
     "error_rows",
     "hierarchy_document",
     "hierarchy_totals",
-    "hierarchy_tree",
     "latest_by_rank",
     "latest_per_key",
     "max_id",

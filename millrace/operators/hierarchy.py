@@ -1,4 +1,4 @@
-"""Drill-down sums over an ordered list of columns: long form, one JSON value, one JSON document."""
+"""Drill-down sums over an ordered list of columns: the long form, and one JSON document."""
 
 from __future__ import annotations
 
@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.errors import TreeTooLargeError
 from millrace.functions.text import number_text
-from millrace.operators.quality import observe_counts
 from millrace.operators.sequence import with_position
 from millrace.staging import Staging
 
@@ -64,58 +62,6 @@ def hierarchy_totals(
     return reduce(DataFrame.unionByName, parts)
 
 
-def hierarchy_tree(
-    df: DataFrame, headers: list[str], value: str, staging: Staging, max_nodes: int = 100_000
-) -> DataFrame:
-    """The whole tree as one JSON value in column ``tree``, children in ascending order.
-
-    A single value must fit one task, so a tree of more than ``max_nodes`` nodes is refused;
-    `hierarchy_document` writes a tree of any size, `hierarchy_totals` lists it.
-    """
-    counted, nodes = observe_counts(hierarchy_totals(df, headers, value, staging), "tree nodes")
-    value_type = counted.schema["value"].dataType
-    totals = staging.write(counted, "totals")
-    if nodes.get["rows"] > max_nodes:
-        raise TreeTooLargeError(f"{nodes.get['rows']} nodes exceed {max_nodes}; write a document instead")
-
-    text = number_text("value", value_type)
-    depth = len(headers)
-    children = F.array().cast("array<string>")
-    below = None
-    for level in range(depth, 0, -1):
-        here, name = headers[:level], headers[level - 1]
-        rows = totals.filter(F.col("level") == level).select(*[_c(h) for h in here], text.alias("__text"))
-        if below is not None:
-            rows = rows.join(below, here, "left")
-            children = _wrapper(F.lit(ROOT_VALUE), below.schema["__children"].dataType)
-        node = F.struct(
-            F.lit(name).alias("header"),
-            _c(name).cast("string").alias("field_name"),
-            F.col("__text").alias("value"),
-            children.alias("children"),
-        )
-        rows = rows.select(*[_c(h) for h in here], F.struct(_c(name).alias("at"), node.alias("node")).alias("__node"))
-        if level == 1:
-            # the root's own row joins the list it heads, so both arrive in one aggregate
-            root = totals.filter(F.col("level") == 0).select(text.alias("__root"))
-            rows = rows.unionByName(root, allowMissingColumns=True)
-        listed = F.transform(F.array_sort(F.collect_list("__node")), lambda n: n["node"]).alias("__children")
-        above = rows.groupBy(*[_c(h) for h in headers[: level - 1]])
-        below = above.agg(listed, F.max("__root").alias("__root")) if level == 1 else above.agg(listed)
-    tree = _wrapper(F.col("__root"), below.schema["__children"].dataType)
-    return below.select(F.to_json(tree).alias("tree"))
-
-
-def _wrapper(value: Column, children_type: T.DataType) -> Column:
-    """The object that heads a list of children; an absent list is an empty one."""
-    return F.struct(
-        F.lit(ROOT_NAME).alias("header"),
-        F.lit(ROOT_NAME).alias("field_name"),
-        value.alias("value"),
-        F.coalesce(F.col("__children"), F.array().cast(children_type)).alias("children"),
-    )
-
-
 def _json_text(value: Column) -> Column:
     """A JSON string literal of ``value``, quotes included."""
     return F.regexp_extract(F.to_json(F.struct(value.cast("string").alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
@@ -128,12 +74,10 @@ def hierarchy_document(df: DataFrame, headers: list[str], value: str, staging: S
     node's opening text plus whatever closes before the next node, and the next node's level says
     what that is. No node's children are ever gathered, so the tree may be of any size.
     """
-    totals = hierarchy_totals(df, headers, value, staging)
+    totals = staging.write(hierarchy_totals(df, headers, value, staging), "totals")
     value_type = totals.schema["value"].dataType
     depth = len(headers)
-    placed = with_position(totals, headers, staging, unique=True)
-    ahead = placed.select((F.col("position") - 1).alias("position"), F.col("level").alias("next_level"))
-    walk = placed.join(ahead, "position", "left")
+    walk = with_position(totals, headers, staging, ahead="level", unique=True)
 
     start = '{"header":"%s","field_name":"%s","value":' % (ROOT_NAME, ROOT_NAME)
     text = F.concat(F.lit('"'), number_text("value", value_type), F.lit('"'))

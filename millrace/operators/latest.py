@@ -38,7 +38,8 @@ def latest_by_rank(
 ) -> DataFrame:
     """The same rows by ``row_number() = 1``; each task drops all but its first row per key
     ahead of the shuffle. Use it when the columns cannot be compared as a struct."""
+    ties = sortable(df, [c for c in df.columns if c not in key and c not in order_by])
     rank = F.row_number().over(
-        W.partitionBy(*[F.col(f"`{c}`") for c in key]).orderBy(*[F.col(f"`{c}`").desc() for c in order_by])
+        W.partitionBy(*[F.col(f"`{c}`") for c in key]).orderBy(*[F.col(f"`{c}`").desc() for c in [*order_by, *ties]])
     )
     return df.withColumn("rank", rank).filter(F.col("rank") == 1).drop("rank")

@@ -21,7 +21,6 @@ def merge_rows(
     stamp_column: str | None = "updt_tmstmp",
     unless_equal: str | None = None,
     action: str | None = None,
-    small_batch: bool = False,
 ) -> DataFrame:
     """The table after the merge, with the target's columns.
 
@@ -29,12 +28,10 @@ def merge_rows(
     every other column (such as their id); both get ``stamp`` (now, by default) in
     ``stamp_column``. Keys only the target has stay as they are. The update is unconditional
     unless ``unless_equal`` names a column (such as the checksum): rows equal in it are kept
-    untouched. ``action`` adds a column saying insert, update or keep.
+    untouched; a null in it, on either side, counts as a change. ``action`` adds a column saying
+    insert, update or keep.
 
-    Both sides hold each key once, so no join key is hot. The general form is one full outer join
-    on the key. ``small_batch`` promises a batch that is small beside the target and joins each
-    way instead, which lets Spark broadcast the batch (it checks the size) and never shuffle the
-    target's wide rows; the result is the same.
+    Both sides hold each key once, so no join key is hot: one full outer join on the key.
     """
     stamp = F.current_timestamp() if stamp is None else stamp
     if stamp_column is not None and stamp_column not in target.columns:
@@ -47,18 +44,17 @@ def merge_rows(
     in_target = F.col("t.__in_target").isNotNull()
     in_batch = F.col("u.__in_batch").isNotNull()
     if unless_equal:
-        changed = ~F.col(f"t.`{unless_equal}`").eqNullSafe(F.col(f"u.`{unless_equal}`"))
+        equal = F.col(f"t.`{unless_equal}`") == F.col(f"u.`{unless_equal}`")
+        changed = ~F.coalesce(equal, F.lit(False))
         touched = in_batch & (~in_target | changed)
     else:
         touched = in_batch
 
-    def value(name: str, fresh: bool) -> Column:
+    def value(name: str) -> Column:
         old = F.col(f"t.`{name}`")
         new = F.col(f"u.`{name}`") if name in from_batch else F.lit(None).cast(target.schema[name].dataType)
         if name == stamp_column:
             new = stamp.cast(target.schema[name].dataType)
-        if fresh:
-            return new.alias(name)
         if name in key:
             return F.coalesce(old, F.col(f"u.`{name}`")).alias(name)
         if name == stamp_column or name in update:
@@ -67,15 +63,7 @@ def merge_rows(
 
     what = F.when(~in_target, F.lit("insert")).when(touched, F.lit("update")).otherwise(F.lit("keep"))
     extra = [what.alias(action)] if action else []
-    names = target.columns
-    if not small_batch:
-        return t.join(u, on, "full_outer").select(*[value(n, False) for n in names], *extra)
-
-    known = t.join(u, on, "left_outer").select(*[value(n, False) for n in names], *extra)
-    seen = target.select(*_cols(key)).join(batch.select(*_cols(key)), list(key), "left_semi")
-    fresh = batch.join(seen, list(key), "left_anti").alias("u")
-    extra = [F.lit("insert").alias(action)] if action else []
-    return known.unionByName(fresh.select(*[value(n, True) for n in names], *extra))
+    return t.join(u, on, "full_outer").select(*[value(n) for n in target.columns], *extra)
 
 
 def merge_counts(

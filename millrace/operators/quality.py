@@ -62,29 +62,39 @@ def constraint_violations(
 ) -> DataFrame:
     """Broken target constraints as ``(constraint_name, column_name, value, n_rows)``.
 
-    Each check reads its own column only and folds its rows per value before the shuffle, so a
-    value that fills a third of the table moves as one row per task.
+    All not-null and length checks share one pass over their columns; each unique column has one
+    of its own, because it needs a shuffle by its values. Rows are folded per value before they
+    move, so a value that fills a third of the table moves as one row per task.
     """
 
-    def found(kind: str, name: str, rows: DataFrame) -> DataFrame:
-        return rows.select(
+    def broken(kind: str, name: str, where: Column) -> Column:
+        row = F.struct(
             F.lit(kind).alias("constraint_name"),
             F.lit(name).alias("column_name"),
-            F.col("value").cast("string").alias("value"),
-            "n_rows",
+            F.col(f"`{name}`").cast("string").alias("value"),
         )
+        return F.when(where, row)
 
+    checks = [broken("not null", name, F.col(f"`{name}`").isNull()) for name in not_null]
+    checks += [
+        broken("max length", name, F.length(F.col(f"`{name}`")) > limit) for name, limit in (max_length or {}).items()
+    ]
     n_rows = F.count(F.lit(1)).alias("n_rows")
-    broken = []
+    found = []
+    if checks:
+        rows = df.select(F.inline(F.array_compact(F.array(*checks))))
+        found.append(rows.groupBy("constraint_name", "column_name", "value").agg(n_rows))
     for name in unique:
         value = df.select(F.col(f"`{name}`").alias("value")).filter("value IS NOT NULL")
-        broken.append(found("unique", name, value.groupBy("value").agg(n_rows).filter("n_rows > 1")))
-    for name in not_null:
-        value = df.select(F.col(f"`{name}`").alias("value")).filter("value IS NULL")
-        broken.append(found("not null", name, value.groupBy("value").agg(n_rows)))
-    for name, limit in (max_length or {}).items():
-        value = df.select(F.col(f"`{name}`").alias("value")).filter(F.length("value") > limit)
-        broken.append(found("max length", name, value.groupBy("value").agg(n_rows)))
-    if not broken:
+        repeated = value.groupBy("value").agg(n_rows).filter("n_rows > 1")
+        found.append(
+            repeated.select(
+                F.lit("unique").alias("constraint_name"),
+                F.lit(name).alias("column_name"),
+                F.col("value").cast("string").alias("value"),
+                "n_rows",
+            )
+        )
+    if not found:
         raise ValueError("name at least one constraint")
-    return reduce(DataFrame.unionByName, broken)
+    return reduce(DataFrame.unionByName, found)

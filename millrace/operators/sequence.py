@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,16 +15,46 @@ from millrace.functions.text import ROW_DIGITS, run_digits, sequence_id
 from millrace.operators.latest import sortable
 from millrace.staging import Staging, local_table
 
-_SLICE, _SPOT, _TIE, _RUN = "__slice", "__spot", "__tie", "__run"
+_SLICE, _SPOT, _TIE, _RUN, _NEXT = "__slice", "__spot", "__tie", "__run", "__next"
 _SPOT_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id: the row's place in its task
+_SAMPLED = 20  # sampled rows for each slice
+
+
+def _c(names) -> list[Column]:
+    return [F.col(f"`{n}`") for n in names]
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _slice_of(keys: list[Column], df: DataFrame, slices: int) -> Column:
+    """The number of each row's slice: how many bounds its keys reach.
 
-_OFFSETS = T.StructType(
-    [
-        T.StructField(_SLICE, T.IntegerType()),
-        T.StructField("__rows_before", T.LongType()),
-        T.StructField("__weight_before", T.LongType()),
-    ]
-)
+    The bounds are every so-maniest of a bounded random sample in order of the keys, one small
+    value for each slice, and become a literal. A row is compared with a few coarse bounds and
+    then with those between two of them. Bounds that come a little off only shift the cuts.
+    """
+    sample = df.select(F.struct(*keys).alias("k")).orderBy(F.rand(7)).limit(_SAMPLED * slices)
+    every = F.greatest(F.floor(F.size("all") / slices), F.lit(1)).cast("int")
+    bounds = sample.agg(F.sort_array(F.collect_list("k")).alias("all")).select(
+        F.filter("all", lambda x, i: (i + 1) % every == 0).alias("b")
+    )
+    text = bounds.select(F.to_json("b")).first()[0]
+    step = int(math.ceil(math.sqrt(slices)))
+    found = F.from_json(F.lit(text), bounds.schema["b"].dataType)
+    coarse = F.filter(found, lambda x, i: (i + 1) % step == 0)
+
+    def reached(some: Column, key: Column) -> Column:
+        return F.size(F.filter(some, lambda x: x <= key))
+
+    def place(key: Column) -> Column:
+        return _with(
+            reached(coarse, key) * step, lambda begin: begin + reached(F.slice(found, begin + 1, F.lit(step)), key)
+        )
+
+    return _with(F.struct(*keys), place)
 
 
 def with_position(
@@ -32,57 +65,69 @@ def with_position(
     position: str = "position",
     weight: str | None = None,
     running: str = "running_total",
+    ahead: str | None = None,
     unique: bool = False,
     slices: int | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Add the 1-based global position under ``order_by`` and, with ``weight``, its running total.
+    """Add the 1-based global position under ``order_by``; with ``weight`` its running total too.
 
-    Rows are range-partitioned into ordered slices and sorted inside each. The slices are staged
-    once, with each row's place in its slice; only one small row per slice (its row count and
-    weight) goes to the driver, which adds the slices up.
+    Rows are cut into ordered slices by bounds from a sample, and one exchange brings each slice
+    together, where it is sorted, numbered and summed. The slices are staged once; only one small
+    row per slice (its row count and weight) goes to the driver, which adds the slices up.
+    ``ahead`` names a column without nulls whose value in the next row becomes ``next_`` and its
+    name, null in the last row. Positions and totals are 64-bit; ``limit`` is the first one that the caller has no room for.
 
     Unless ``unique`` says that no two rows share the ordering values, the row's place in its
     input file is the last ordering key, so a group of equal rows is spread over as many slices
-    as its size asks for. ``df`` should then be a plain scan with filters and projections (or a
-    staged table), whose row order a re-run repeats.
+    as its size asks for. ``df`` is read twice, so it should be a plain scan with filters and
+    projections or a staged table, whose row order a re-run repeats.
     """
     columns = df.columns
-    keys = [F.col(f"`{c}`") for c in order_by]
+    keys = _c(order_by)
     if not unique:
         df = df.withColumn(_TIE, F.monotonically_increasing_id())
         keys.append(F.col(_TIE))
-    ranged = df.repartitionByRange(slices, *keys) if slices else df.repartitionByRange(*keys)
-    placed = ranged.sortWithinPartitions(*keys).select(
-        *[F.col(f"`{c}`") for c in columns],
-        F.spark_partition_id().alias(_SLICE),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(_SPOT_MASK)).alias(_SPOT),
+    slices = slices or 2 * int(staging.spark.conf.get("spark.sql.shuffle.partitions"))
+    inside = W.partitionBy(_SLICE).orderBy(*keys)
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = df.withColumn(_SLICE, _slice_of(keys, df, slices)).select(
+        *_c(columns),
+        _SLICE,
+        (F.row_number().over(inside).cast("long") - 1).alias(_SPOT),
+        *([F.sum(F.col(f"`{weight}`")).over(upto).alias(_RUN)] if weight else []),
+        *([F.lead(F.col(f"`{ahead}`")).over(inside).alias(_NEXT)] if ahead else []),
     )
-    if weight:
-        inside = W.partitionBy(_SLICE).orderBy(_SPOT).rowsBetween(W.unboundedPreceding, W.currentRow)
-        placed = placed.withColumn(_RUN, F.sum(F.col(f"`{weight}`")).over(inside))
     staged = staging.write(placed, "placed")
 
     total = F.sum(F.col(f"`{weight}`")) if weight else F.lit(0)
+    first = F.min_by(F.col(f"`{ahead}`"), _SPOT) if ahead else F.lit(None).cast("int")
     per_slice = (
         staged.groupBy(_SLICE)
-        .agg(F.count(F.lit(1)).alias("rows"), total.cast("long").alias("weight"))
+        .agg(F.count(F.lit(1)).alias("rows"), total.cast("long").alias("weight"), first.alias("first"))
         .orderBy(_SLICE)
         .collect()  # one row per slice, whatever the size of the data
     )
     offsets, rows, weights = [], 0, 0
-    for part in per_slice:
-        offsets.append((part[_SLICE], rows, weights))
+    for part, following in zip(per_slice, [*per_slice[1:], None], strict=False):
+        offsets.append((part[_SLICE], rows, weights, following["first"] if following else None))
         rows += part["rows"]
         weights += part["weight"] or 0
-    if max(rows, weights) >= 10**ROW_DIGITS:
-        raise SequenceOverflowError(f"{max(rows, weights)} rows do not fit {ROW_DIGITS} digits")
-
-    before = local_table(staging.spark, offsets, _OFFSETS)
-    out = staged.join(F.broadcast(before), _SLICE)
+    if limit is not None and max(rows, weights) >= limit:
+        raise SequenceOverflowError(f"position {max(rows, weights)} needs more digits than there are")
+
+    shape = [("__rows_before", T.LongType()), ("__weight_before", T.LongType())]
+    shape.append(("__next_first", df.schema[ahead].dataType if ahead else T.IntegerType()))
+    offsets_type = T.StructType([T.StructField(_SLICE, T.IntegerType()), *[T.StructField(*f) for f in shape]])
+    before = local_table(staging.spark, offsets, offsets_type)
+    out = staged.join(F.broadcast(before), _SLICE)  # a row for each slice
     added = [(F.col("__rows_before") + F.col(_SPOT) + 1).alias(position)]
     if weight:
         added.append((F.col("__weight_before") + F.col(_RUN)).alias(running))
-    return out.select(*[F.col(f"`{c}`") for c in columns], *added)
+    if ahead:
+        # the last row of a slice has none after it there, so it takes the next slice's first
+        added.append(F.coalesce(_NEXT, "__next_first").alias(f"next_{ahead}"))
+    return out.select(*_c(columns), *added)
 
 
 def with_request_id(
@@ -92,38 +137,40 @@ def with_request_id(
     order_by: tuple[str, ...] = ("sku", "name", "description"),
     column: str = "request_id",
     slices: int | None = None,
+    digits: int = ROW_DIGITS,
 ) -> DataFrame:
     """Give every row its sequence id: run date digits plus the row's global position.
 
     Columns outside ``order_by`` extend the ordering, so equal keys are numbered the same way
-    in every run.
+    in every run. A position of more than ``digits`` digits is an error, never cut.
     """
     ordering = [*order_by, *sortable(df, [c for c in df.columns if c not in order_by])]
-    placed = with_position(df, ordering, staging, position="__position", slices=slices)
-    return placed.withColumn(column, sequence_id(run_digits(F.lit(run_date)), "__position")).drop("__position")
+    placed = with_position(df, ordering, staging, position="__position", slices=slices, limit=10**digits)
+    made = sequence_id(run_digits(F.lit(run_date)), "__position", digits)
+    return placed.withColumn(column, made).drop("__position")
 
 
 def with_surrogate_key(
     df: DataFrame,
+    partitions: int,
     offset: int | Column = 0,
-    partitions: int = 100,
     column: str = "p_id",
     unique_key: list[str] | None = None,
 ) -> DataFrame:
     """Put a unique id above ``offset`` first: row k of task i of n gets ``offset + 1 + k*n + i``.
 
-    Spreads the rows over ``partitions`` tasks and needs no counting pass. Ids are unique but
-    follow the layout; use `with_dense_key` for ids that depend on the data alone. Where columns
-    identify a row, name them as ``unique_key``: rows are then spread and ordered by them, so a
-    task that runs again gives the same ids. Otherwise write the result before it is shuffled
-    further, because a re-run may see its rows in another order.
+    Spreads the rows over ``partitions`` tasks, which should follow from the size of the data, and
+    needs no counting pass. Ids are unique but follow the layout; use `with_dense_key` for ids that
+    depend on the data alone. Where columns identify a row, name them as ``unique_key``: rows are
+    then spread and ordered by them, so a task that runs again gives the same ids. Otherwise write
+    the result before it is shuffled further, because a re-run may see its rows in another order.
     """
     raw = F.monotonically_increasing_id()
     start = offset if isinstance(offset, Column) else F.lit(offset).cast("long")
     spot, task = raw.bitwiseAND(F.lit(_SPOT_MASK)), F.shiftright(raw, 33)
     key = start + 1 + spot * F.lit(partitions).cast("long") + task
     if unique_key:
-        by = [F.col(f"`{c}`") for c in unique_key]
+        by = _c(unique_key)
         spread = df.repartition(partitions, *by).sortWithinPartitions(*by)
     else:
         spread = df.repartition(partitions)

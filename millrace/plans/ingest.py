@@ -13,17 +13,19 @@ from pyspark.sql import types as T
 
 from millrace.errors import ConstraintError, EmptySourceError, IngestError, PhaseError
 from millrace.operators.aggregate import count_by
-from millrace.operators.audit import audit_events
+from millrace.operators.audit import SKIPPED, audit_events
 from millrace.operators.merge import PRODUCT_UPDATES
 from millrace.operators.quality import REQUIRED, all_present, observe_counts
 from millrace.plans.transform import transform_rows
 from millrace.sinks.database import DatabaseTable
 from millrace.sinks.files import append_audit, write_rejects
-from millrace.sinks.tables import PRODUCT_LENGTHS, KeyedTable
+from millrace.sinks.tables import PRODUCT_LENGTHS, PRODUCT_NOT_NULL, KeyedTable
 from millrace.sources import Source, read_source
 from millrace.staging import Staging, local_table
 
 _VALID = "row_is_valid"
+#: Text of a CSV row with more or fewer fields than the header; null for all others.
+_MALFORMED = "malformed_row"
 
 BATCHES = T.StructType(
     [
@@ -58,6 +60,10 @@ class BatchLog:
             raise PhaseError(verb, count["rows"], e) from e
         self.rows.append((status, table, data_object, count["rows"], "", datetime.now(UTC)))
 
+    def skip(self, table: str, data_object: str, batch_id: str) -> None:
+        """Log that a table holds a batch already."""
+        self.rows.append((SKIPPED, table, data_object, 0, f"{batch_id} is stored already", datetime.now(UTC)))
+
     def batches(self) -> DataFrame:
         return local_table(self.spark, self.rows, BATCHES)
 
@@ -72,7 +78,7 @@ def run_ingest(
     counts: KeyedTable | DatabaseTable,
     run_date: str | None = None,
     *,
-    rejects_path: str | None = None,
+    rejects_path: str,
     audit_path: str | None = None,
     batch_id: str | None = None,
     schema: T.StructType | str | None = None,
@@ -82,40 +88,51 @@ def run_ingest(
     counts_mode: str = "upsert",
     max_lengths: Mapping[str, int] = PRODUCT_LENGTHS,
     checksum_null_text: str | None = None,
-    small_batch_rows: int = 50_000,
+    not_null: tuple[str, ...] = PRODUCT_NOT_NULL,
+    allow_empty: bool = False,
     data_object: str = "PRODUCTS",
 ) -> BatchLog:
     """Ingest one batch and refresh the counts by name.
 
-    The source is read once: rows are staged with their validity while they are counted. A batch
-    id that a table already holds is skipped there, so a batch may be run again after a failure.
-    A batch of up to ``small_batch_rows`` is merged by the small-batch form, which pays off where
-    the session's ``spark.sql.autoBroadcastJoinThreshold`` admits a table of so many rows.
+    The source is read once: rows are staged with their validity while they are counted. Rows
+    without a required value, and CSV rows with more or fewer fields than the header, go to a
+    folder of the batch below ``rejects_path``. A value that is too long for its target column, or
+    missing where the target allows no null, is an error.
+
+    A batch id that a table already holds is skipped there with an audit event, so a batch may be
+    run again after a failure; the default id is the run date and the data object. An empty source
+    is an error, or with ``allow_empty`` a batch of no rows, recorded as committed.
     """
     required = tuple(dict.fromkeys((products.key, *required)))  # a row without its key cannot be kept
     run_date = run_date or datetime.now(UTC).isoformat(timespec="seconds")
-    batch_id = batch_id or run_date
+    batch_id = batch_id or f"{run_date} {data_object}"
     log = BatchLog(spark, spark.sparkContext.applicationId)
     staging = Staging(spark)
     stamp = F.lit(datetime.now(UTC).isoformat()).cast("timestamp")
     try:
-        if not products.has_batch(batch_id):
+        if products.has_batch(batch_id):
+            log.skip("products", data_object, batch_id)
+        else:
             with log.phase("read", "Received", "products", data_object) as count:
-                valid = _receive(spark, source, schema, prepare, required, staging, count, rejects_path, batch_id)
+                valid = _receive(
+                    spark, source, schema, prepare, required, staging, count, rejects_path, batch_id, allow_empty
+                )
+            if not count["rows"]:
+                products.commit_empty(batch_id)
+                counts.commit_empty(batch_id)
+                return log
             with log.phase("transform", "Transformed", "products", data_object) as count:
-                rows, count["rows"] = _transform(valid, run_date, staging, products, max_lengths, checksum_null_text)
+                rows, count["rows"] = _transform(
+                    valid, run_date, staging, products, max_lengths, not_null, checksum_null_text
+                )
                 transformed = count["rows"]
             with log.phase("load", "Delivered", "products", data_object) as count:
                 count["rows"] = transformed
-                products.merge(
-                    rows,
-                    batch_id,
-                    PRODUCT_UPDATES,
-                    stamp,
-                    unless_equal="record_checksum" if only_changed else None,
-                    small_batch=transformed <= small_batch_rows,
-                )
-        if not counts.has_batch(batch_id):
+                unless_equal = "record_checksum" if only_changed else None
+                products.merge(rows, batch_id, PRODUCT_UPDATES, stamp, unless_equal=unless_equal)
+        if counts.has_batch(batch_id):
+            log.skip("products_agg", "products_agg", batch_id)
+        else:
             _refresh_counts(products, counts, batch_id, counts_mode, log, staging)
     finally:
         if audit_path and log.rows:
@@ -124,34 +141,50 @@ def run_ingest(
     return log
 
 
-def _receive(spark, source, schema, prepare, required, staging, count, rejects_path, batch_id) -> DataFrame:
+def _receive(
+    spark, source, schema, prepare, required, staging, count, rejects_path, batch_id, allow_empty
+) -> DataFrame:
     """Read the source once into a staged table split by validity; returns the valid rows."""
-    raw = source if isinstance(source, DataFrame) else read_source(spark, source, schema)
-    feed = prepare(raw) if prepare else raw
-    marked = feed.withColumn(_VALID, all_present(required))
+    raw = source if isinstance(source, DataFrame) else read_source(spark, source, schema, _MALFORMED)
+    well_formed = F.lit(True)
+    if _MALFORMED in raw.columns:
+        well_formed = F.col(_MALFORMED).isNull()
+    feed = raw
+    if prepare:
+        feed = prepare(raw)
+        if _MALFORMED in raw.columns and _MALFORMED not in feed.columns:
+            raise ConstraintError(f"prepare must keep the column {_MALFORMED} of rows that could not be read")
+    missing = [c for c in required if c not in feed.columns]
+    if missing:
+        raise ConstraintError(f"the source has no column {', '.join(missing)}")
+    marked = feed.withColumn(_VALID, all_present(required) & well_formed)
     counted, seen = observe_counts(marked, f"received {batch_id}", rejected=~F.col(_VALID))
     staged = staging.write(counted, "received", (_VALID,))
     count["rows"] = seen.get["rows"]
-    if not count["rows"]:
+    if not count["rows"] and not allow_empty:
         raise EmptySourceError("the source has no records")
-    if seen.get["rejected"] and rejects_path:
+    if seen.get["rejected"]:
         write_rejects(staged.filter(~F.col(_VALID)).drop(_VALID), rejects_path, batch_id)
-    return staged.filter(F.col(_VALID)).drop(_VALID)
+    return staged.filter(F.col(_VALID)).drop(_VALID, _MALFORMED)
 
 
-def _transform(valid, run_date, staging, products, max_lengths, null_text) -> tuple[DataFrame, int]:
-    """Transform the valid rows; a value too long for its target column is an error."""
+def _transform(valid, run_date, staging, products, max_lengths, not_null, null_text) -> tuple[DataFrame, int]:
+    """Transform the valid rows; a value that the target's constraints refuse is an error."""
     seen = Observation("transformed")
-    measures = [F.count(F.lit(1)).alias("rows")]
-    for name, limit in max_lengths.items():
-        if name in valid.columns:
-            measures.append(F.count_if(F.length(F.col(f"`{name}`")) > limit).alias(name))
     made = transform_rows(valid, run_date, staging, products.max_id(), checksum_null_text=null_text)
-    rows = staging.write(made.observe(seen, *measures), "transformed")
+    measures = {("rows", ""): F.count(F.lit(1))}
+    for name, limit in max_lengths.items():
+        if name in made.columns:
+            measures["longer than the target column", name] = F.count_if(F.length(F.col(f"`{name}`")) > limit)
+    for name in not_null:
+        if name in made.columns:
+            measures["null where the target allows none", name] = F.count_if(F.col(f"`{name}`").isNull())
+    labelled = [c.alias(f"{kind}: {name}" if name else kind) for (kind, name), c in measures.items()]
+    rows = staging.write(made.observe(seen, *labelled), "transformed")
     found = seen.get
-    too_long = [f"{n} values of {c}" for c, n in found.items() if c != "rows" and n]
-    if too_long:
-        raise ConstraintError(f"longer than the target column: {', '.join(too_long)}")
+    broken = [f"{n} values {label}" for label, n in found.items() if label != "rows" and n]
+    if broken:
+        raise ConstraintError(", ".join(broken))
     return rows, found["rows"]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import record_checksum, run_digits, sequence_id
+from millrace.functions.text import ROW_DIGITS, record_checksum, run_digits, sequence_id
 from millrace.operators.aggregate import count_by
 from millrace.operators.latest import latest_by_rank, sortable
 from millrace.operators.sequence import with_position, with_surrogate_key
@@ -21,7 +21,7 @@ def transform_rows(
     order_by: tuple[str, ...] = ("name", "description"),
     id_column: str = "p_id",
     dense_ids: bool = True,
-    partitions: int = 100,
+    partitions: int | None = None,
     slices: int | None = None,
     checksum_delimiter: str = "",
     checksum_null_text: str | None = None,
@@ -38,10 +38,12 @@ def transform_rows(
     null, as `valid_rows` sees to. ``dense_ids`` numbers the keys in order from ``offset + 1``;
     otherwise ids follow the layout over ``partitions`` tasks, as `with_surrogate_key` describes.
     """
+    if not dense_ids and not partitions:
+        raise ValueError("ids by layout need a number of partitions")
     columns = valid.columns
     ordering = [*order_by, *sortable(valid, [c for c in columns if c != key and c not in order_by])]
     numbers = with_position(
-        count_by(valid, key, "__rows"),
+        staging.write(count_by(valid, key, "__rows"), "counted"),
         [key],
         staging,
         position="__position",
@@ -49,6 +51,7 @@ def transform_rows(
         running="__upto",
         unique=True,
         slices=slices,
+        limit=10**ROW_DIGITS,
     )
     kept = latest_by_rank(valid, (key,), tuple(ordering))
     made = kept.join(numbers, key).select(
@@ -59,4 +62,4 @@ def transform_rows(
     )
     if dense_ids:
         return made
-    return with_surrogate_key(made.drop(id_column), offset, partitions, id_column, unique_key=[key])
+    return with_surrogate_key(made.drop(id_column), partitions, offset, id_column, unique_key=[key])

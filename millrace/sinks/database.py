@@ -82,7 +82,8 @@ def upsert_statement(
     unchanged = ""
     if unless_equal:
         column = quote(unless_equal)
-        unchanged = f" WHERE {table.split('.')[-1]}.{column} IS DISTINCT FROM excluded.{column}"
+        old, new = f"{table.split('.')[-1]}.{column}", f"excluded.{column}"
+        unchanged = f" WHERE {old} IS NULL OR {new} IS NULL OR {old} <> {new}"
     return (
         f"INSERT INTO {table} ({', '.join(quote(c) for c in names)}) "
         f"VALUES ({', '.join([mark] * len(names))}) "
@@ -118,13 +119,16 @@ def upsert_rows(
                 cursor.executemany(statement, batch)
                 batch = list(islice(values, chunk))
             connection.commit()
-        except BaseException:
-            connection.rollback()
+        except BaseException as e:
+            try:
+                connection.rollback()
+            except Exception as after:
+                e.add_note(f"the rollback failed too: {after}")
             raise
         finally:
             connection.close()
 
-    rows_only.repartition(max_connections).foreachPartition(send)
+    rows_only.coalesce(max_connections).foreachPartition(send)  # fewer tasks than that stay as they are
 
 
 PRODUCT_SINK = ["p_id", "sku", "name", "description", "request_id", "record_checksum"]
@@ -215,6 +219,9 @@ class DatabaseTable:
     def has_batch(self, batch_id: str) -> bool:
         return False
 
+    def commit_empty(self, batch_id: str) -> None:
+        """A batch without rows changes nothing, and the database keeps no batch ids."""
+
     def max_id(self) -> int:
         return (self.read_max_id() if self.read_max_id else 0) or 0
 

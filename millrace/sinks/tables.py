@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.errors import ConcurrentCommitError
 from millrace.operators.merge import merge_counts, merge_rows
-from millrace.staging import delete_path, list_folder, local_table, path_exists
+from millrace.staging import delete_path, list_folder, local_table, path_exists, read_text, write_once
 
 # Column names, types and lengths of the two target tables.
 PRODUCTS_DDL = (
@@ -37,65 +37,36 @@ PRODUCTS = T.StructType(
 )
 COUNTS = T.StructType([T.StructField("name", T.StringType()), T.StructField("no_of_products", T.LongType())])
 
-_COMMIT = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("batch_id", T.StringType()),
-        T.StructField("folder", T.StringType()),
-        T.StructField("buckets", T.ArrayType(T.IntegerType())),
-        T.StructField("whole", T.BooleanType()),
-        T.StructField("max_id", T.LongType()),
-        T.StructField("rows", T.LongType()),
-    ]
-)
-_LINE = T.StructType([T.StructField("value", T.StringType())])
-FOLD_EVERY = 50  # commits between gathering their records in one file
-
-
 def ensure_table(spark: SparkSession, name: str, ddl: str = PRODUCTS_DDL, location: str | None = None) -> None:
     """Create a parquet catalog table if it is missing; lengths are checked when it is written."""
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{place}")
 
 
-def _state(commits: list[Row]) -> dict[int, str]:
-    """The folder that holds each bucket after the given commits."""
-    return {bucket: folder for folder, bucket in _used(commits, 1)}
-
-
-def _used(commits: list[Row], keep: int) -> set[tuple[str, int]]:
-    """The bucket folders that any of the last ``keep`` versions reads."""
-    latest: dict[int, str] = {}
-    used = set()
-    for place, commit in enumerate(commits, 1):
-        if commit["whole"]:
-            latest = {}
-        latest.update({b: commit["folder"] for b in commit["buckets"]})
-        if place > len(commits) - keep:
-            used.update((folder, bucket) for bucket, folder in latest.items())
-    return used
-
-
 class KeyedTable:
     """A table with one row per key, changed by whole-batch commits.
 
-    A commit writes new folders and then one small commit record; readers follow the records, so
-    they see a batch wholly or not at all, and no folder is overwritten while it is read. With
-    ``buckets`` above 1 rows are kept by hash of the key and a commit rewrites only the buckets
-    its batch touches; choose a number that leaves one bucket at a size one task writes well. The
-    table takes one writer at a time. It is a folder convention over plain parquet; where the
-    catalog has a table format with row-level changes, its ``MERGE`` does this job.
+    Rows are kept by hash of the key in ``buckets`` folders; choose a number that leaves one
+    bucket at a size one task writes well. It is stored with the table, and opening the table
+    with another number is an error. A commit writes one file for each bucket that its batch
+    touches and then one small record that names every bucket's folder, put in place in one
+    atomic step; readers take the last record, so they see a batch wholly or not at all, and no
+    folder is overwritten while it is read. The table takes one writer at a time; of two, one
+    gets an error. It is a folder convention over plain parquet; where the catalog has a table
+    format with row-level changes, its ``MERGE`` does this job.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
-        schema: T.StructType = PRODUCTS,
-        key: str = "sku",
-        buckets: int = 1,
+        schema: T.StructType,
+        key: str,
+        buckets: int,
         id_column: str | None = None,
     ):
+        if buckets < 1:
+            raise ValueError("a table has at least one bucket")
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.key, self.buckets, self.id_column = key, buckets, id_column
 
@@ -103,48 +74,64 @@ class KeyedTable:
         """The same table for another session."""
         return KeyedTable(spark, self.root, self.schema, self.key, self.buckets, self.id_column)
 
-    def commits(self) -> list[Row]:
-        """The commit records in order: one small row per batch."""
-        if not path_exists(self.spark, f"{self.root}/commits"):
-            return []
-        found = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits/*").collect()
-        return sorted({c["version"]: c for c in found}.values(), key=lambda c: c["version"])
+    def _versions(self) -> list[str]:
+        """Names of the version records, oldest first; half-written ones begin with ``_``."""
+        return sorted(n for n in list_folder(self.spark, f"{self.root}/versions") if n[0] not in "_.")
+
+    def _read(self, name: str) -> dict:
+        return json.loads(read_text(self.spark, f"{self.root}/versions/{name}"))
+
+    def latest(self) -> dict:
+        """The last version's record: ``version``, ``batch_id``, ``folders`` by bucket, ``max_id``."""
+        names = self._versions()
+        if not names:
+            return {"version": 0, "batch_id": None, "buckets": self.buckets, "folders": {}, "max_id": 0}
+        record = self._read(names[-1])
+        if record["buckets"] != self.buckets:
+            raise ValueError(f"{self.root} has {record['buckets']} buckets, not {self.buckets}")
+        return record
+
+    def _marker(self, batch_id: str) -> str:
+        return f"{self.root}/batches/{hashlib.sha256(batch_id.encode()).hexdigest()}"
 
     def has_batch(self, batch_id: str) -> bool:
-        return any(c["batch_id"] == batch_id for c in self.commits())
+        return self.latest()["batch_id"] == batch_id or path_exists(self.spark, self._marker(batch_id))
 
     def max_id(self) -> int:
-        """The greatest id ever stored, from the commit records; 0 for a new table."""
-        return max((c["max_id"] or 0 for c in self.commits()), default=0)
+        """The greatest id ever stored; 0 for a new table."""
+        return self.latest()["max_id"]
 
     def current(self, buckets: Iterable[int] | None = None) -> DataFrame:
         """The table now, or only the given buckets of it."""
-        latest = _state(self.commits())
-        wanted = latest if buckets is None else [b for b in buckets if b in latest]
-        paths = [f"{self.root}/data/{latest[b]}/bucket={b}" for b in sorted(wanted)]
+        folders = self.latest()["folders"]
+        wanted = folders if buckets is None else [str(b) for b in buckets if str(b) in folders]
+        paths = [f"{self.root}/data/{folders[b]}/bucket={b}" for b in sorted(wanted, key=int)]
         if not paths:
             return local_table(self.spark, [], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def remove_unused(self, keep: int = 2) -> int:
-        """Delete bucket folders that none of the last ``keep`` versions reads; returns how many.
+        """Delete bucket folders and records of all but the last ``keep`` versions; returns how many folders.
 
         Also removes what a writer that died left behind, so run it while no batch is running.
         """
-        if not 0 < keep < FOLD_EVERY:
-            raise ValueError(f"keep between 1 and {FOLD_EVERY - 1} versions")
-        used = _used(self.commits(), keep)
+        if keep < 1:
+            raise ValueError("keep at least the last version")
+        names = self._versions()
+        used = {(f, b) for name in names[-keep:] for b, f in self._read(name)["folders"].items()}
         removed = 0
         for folder in list_folder(self.spark, f"{self.root}/data"):
             path = f"{self.root}/data/{folder}"
             buckets = [n for n in list_folder(self.spark, path) if n.startswith("bucket=")]
-            unused = [n for n in buckets if (folder, int(n.removeprefix("bucket="))) not in used]
+            unused = [n for n in buckets if (folder, n.removeprefix("bucket=")) not in used]
             if len(unused) == len(buckets):
                 delete_path(self.spark, path)
             else:
                 for name in unused:
                     delete_path(self.spark, f"{path}/{name}")
             removed += len(unused)
+        for name in set(list_folder(self.spark, f"{self.root}/versions")) - set(names[-keep:]):
+            delete_path(self.spark, f"{self.root}/versions/{name}")
         return removed
 
     def _bucket(self) -> Column:
@@ -152,67 +139,39 @@ class KeyedTable:
         return F.pmod(F.hash(F.col(f"`{self.key}`")), F.lit(self.buckets))
 
     def _touched(self, batch: DataFrame) -> list[int]:
-        if self.buckets == 1:
-            return [0]
         return [r[0] for r in batch.select(self._bucket()).distinct().collect()]  # at most one per bucket
 
-    def _write(self, df: DataFrame, buckets: list[int], batch_id: str, whole: bool) -> None:
-        commits = self.commits()
-        version = commits[-1]["version"] + 1 if commits else 1
-        folder = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
-        observation = Observation(f"commit {folder}")
-        measures = [F.count(F.lit(1)).alias("rows")]
-        if self.id_column:
-            measures.append(F.max(F.col(f"`{self.id_column}`")).alias("max_id"))
-        counted = df.observe(observation, *measures)
-        path = f"{self.root}/data/{folder}"
-        if self.buckets == 1:
-            counted.write.parquet(f"{path}/bucket=0")
-        else:
-            counted.withColumn("bucket", self._bucket()).write.partitionBy("bucket").parquet(path)
-        seen = observation.get
-        if seen["rows"] == 0:
-            buckets = []
+    def _commit(self, before: dict, batch_id: str, folders: dict[str, str], max_id: int | None) -> None:
+        if before["batch_id"] is not None:
+            # the record holds only its own batch's id; that of the version before moves to a marker
+            write_once(self.spark, self._marker(before["batch_id"]), before["batch_id"])
         record = {
-            "version": version,
+            "version": before["version"] + 1,
             "batch_id": batch_id,
-            "folder": folder,
-            "buckets": sorted(buckets),
-            "whole": whole,
-            "max_id": seen.get("max_id"),
-            "rows": seen["rows"],
+            "buckets": self.buckets,
+            "folders": folders,
+            "max_id": max(before["max_id"], max_id or 0),
         }
-        try:
-            self._write_records([record], f"version-{version:08d}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            raise ConcurrentCommitError(f"version {version} of {self.root} exists already") from e
-        if version % FOLD_EVERY == 0:
-            self._fold_records(version)
-
-    def _write_records(self, records: list[dict], name: str) -> None:
-        lines = local_table(self.spark, [(json.dumps(r),) for r in records], _LINE)
-        lines.coalesce(1).write.text(f"{self.root}/commits/{name}")
-
-    def _fold_records(self, version: int) -> None:
-        """Gather the records up to ``version`` in one file, naming only buckets still in use.
-
-        The files gathered the last time are deleted now, so whoever lists them has time to read.
-        """
-        folder = f"{self.root}/commits"
-        names = list_folder(self.spark, folder)
-        commits = self.commits()
-        used = _used(commits, FOLD_EVERY)
-        records = [
-            {**c.asDict(), "buckets": [b for b in c["buckets"] if (c["folder"], b) in used]} for c in commits
-        ]
-        self._write_records(records, f"upto-{version:08d}")
-        gathered = max((n.removeprefix("upto-") for n in names if n.startswith("upto-")), default="")
-        for name in names:
-            kind, _, number = name.partition("-")
-            if (kind == "version" and number <= gathered) or (kind == "upto" and number < gathered):
-                delete_path(self.spark, f"{folder}/{name}")
+        name = f"{self.root}/versions/{record['version']:012d}.json"
+        if not write_once(self.spark, name, json.dumps(record)):
+            raise ConcurrentCommitError(f"version {record['version']} of {self.root} exists already")
+
+    def _write(self, df: DataFrame, touched: list[int], before: dict, batch_id: str, whole: bool) -> None:
+        """Write the touched buckets, one file each, and commit; ``whole`` forgets all others."""
+        folder = f"v{before['version'] + 1:012d}-{uuid.uuid4().hex[:8]}"
+        observation = Observation(f"commit {folder}")
+        greatest = F.max(F.col(f"`{self.id_column}`")) if self.id_column else F.lit(None).cast("long")
+        counted = df.observe(observation, F.count(F.lit(1)).alias("rows"), greatest.alias("max_id"))
+        counted.withColumn("bucket", self._bucket()).write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
+        seen = observation.get
+        folders = {} if whole else dict(before["folders"])
+        folders.update({str(b): folder for b in sorted(touched)})
+        self._commit(before, batch_id, folders, seen.get("max_id"))
+
+    def commit_empty(self, batch_id: str) -> None:
+        """Record a batch without rows as committed."""
+        before = self.latest()
+        self._commit(before, batch_id, before["folders"], None)
 
     def merge(
         self,
@@ -222,30 +181,24 @@ class KeyedTable:
         stamp: Column | None = None,
         stamp_column: str | None = "updt_tmstmp",
         unless_equal: str | None = None,
-        small_batch: bool = False,
     ) -> None:
-        """Merge ``batch`` (one row per key) by `merge_rows` and commit it as ``batch_id``."""
-        touched = self._touched(batch)
-        target = self.current(touched)
-        if self.buckets > 1 and not small_batch:
-            # the join needs this shuffle anyway; its partitions are the buckets, so each task
-            # writes one bucket and nothing is shuffled again
-            target = target.repartition(self.buckets, self.key)
-            batch = batch.repartition(self.buckets, self.key)
-        merged = merge_rows(
-            target,
-            batch,
-            (self.key,),
-            update,
-            stamp,
-            stamp_column,
-            unless_equal=unless_equal,
-            small_batch=small_batch,
-        )
-        self._write(merged, touched, batch_id, whole=False)
+        """Merge ``batch`` (one row per key) by `merge_rows` and commit it as ``batch_id``.
+
+        Both sides are partitioned by bucket, which the join needs anyway, so each task writes one
+        bucket; buckets that the batch does not touch are neither read nor written.
+        """
+        before, touched = self.latest(), self._touched(batch)
+        if not touched:
+            self._commit(before, batch_id, before["folders"], None)
+            return
+        target = self.current(touched).repartition(self.buckets, self.key)
+        batch = batch.repartition(self.buckets, self.key)
+        merged = merge_rows(target, batch, (self.key,), update, stamp, stamp_column, unless_equal=unless_equal)
+        self._write(merged, touched, before, batch_id, whole=False)
 
     def merge_counts(self, counts: DataFrame, batch_id: str, mode: str = "upsert") -> None:
         """Merge a complete set of fresh counts by `merge_counts` and commit it."""
-        if self.buckets > 1:
-            raise ValueError("a table of counts is rewritten whole; give it one bucket")
-        self._write(merge_counts(self.current(), counts, self.key, mode), [0], batch_id, whole=True)
+        before, touched = self.latest(), self._touched(counts)
+        counts = counts.repartition(self.buckets, self.key)
+        target = self.current(touched).repartition(self.buckets, self.key)
+        self._write(merge_counts(target, counts, self.key, mode), touched, before, batch_id, whole=mode == "replace")

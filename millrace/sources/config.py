@@ -21,11 +21,17 @@ class Source:
 
 
 def parse_options(options) -> dict[str, str]:
-    """Reader options from a mapping, or from text such as ``header='True', delimiter=','``."""
+    """Reader options from a mapping, or from text such as ``header='True', delimiter=','``.
+
+    Text that is not a list of such pairs is an error.
+    """
     if not options:
         return {}
     if isinstance(options, Mapping):
         return {str(k): str(v) for k, v in options.items()}
+    rest = _OPTION.sub("", options)
+    if rest.strip(" ,\t\n"):
+        raise ValueError(f"these options cannot be read: {rest.strip()}")
     return dict(_OPTION.findall(options))
 
 

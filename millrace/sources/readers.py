@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.errors import UnsupportedSourceError
@@ -24,55 +22,39 @@ PRODUCT_FEED = T.StructType(
 )
 
 
-def _bytes(size: str) -> int:
-    """A byte count from a setting such as ``128m`` or ``134217728b``."""
-    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", size.strip().lower()).groups()
-    return int(number) << 10 * " kmgt".index(unit or " ")
-
-
-_FILE_CHOICE = ("pathglobfilter", "recursivefilelookup", "modifiedbefore", "modifiedafter")
-
-
-def _has_large_files(spark: SparkSession, path: str | list[str], choice: Mapping[str, str]) -> bool:
-    """Whether some file is longer than one task's share; lists the files, reads none."""
-    share = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    lengths = spark.read.format("binaryFile").options(**choice).load(path).select("length")
-    return not lengths.filter(F.col("length") > share).isEmpty()
-
-
-def _has_quoted_line_breaks(
-    spark: SparkSession, path: str | list[str], choice: Mapping[str, str], quote: str
-) -> bool:
-    """Whether some line holds an odd number of quotes, as the first line of a broken field does."""
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
-    return not spark.read.options(**choice).text(path).filter(quotes % 2 == 1).isEmpty()
-
-
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str | None = None,
     options: Mapping[str, str] | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """CSV with a header, commas and quoted fields that may span lines; ``""`` escapes a quote.
 
-    Give a ``schema`` to read in one pass with text keys kept as text; without one, types are
-    inferred in a pass of their own. Spark gives a whole file to one task if fields may span
-    lines (``multiLine``). For files longer than one task's share, a look at their lines finds out
-    whether any field does; if none does, the files are split, which reads the same rows.
+    Columns are named by the header. Without a ``schema`` they are all text and nothing is
+    inferred; a file whose header has other names or another order is an error, with a schema
+    too. ``malformed`` names a column for the text of rows that have more or fewer fields than
+    the header; it is null for all others. One rule holds for files of every size: Spark gives a
+    whole file to one task while fields may span lines; say ``multiLine=false`` where none do.
     """
-    settings = {"header": "true", "delimiter": ",", "escape": '"', "quote": '"', "multiline": "true"}
+    settings = {
+        "header": "true",
+        "delimiter": ",",
+        "escape": '"',
+        "quote": '"',
+        "multiline": "true",
+        "enforceschema": "false",
+    }
     settings.update({name.lower(): value for name, value in (options or {}).items()})
-    # counting quotes per line tells only where a doubled quote is the escape and lines end as usual
-    plain = settings["escape"] == settings["quote"] and not {"linesep", "encoding", "charset"} & set(settings)
-    choice = {name: settings[name] for name in _FILE_CHOICE if name in settings}
-    if str(settings["multiline"]).lower() == "true" and plain and _has_large_files(spark, path, choice):
-        spans = _has_quoted_line_breaks(spark, path, choice, settings["quote"])
-        settings["multiline"] = str(spans).lower()
-    reader = spark.read.options(**settings)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-    return reader.csv(path)
+    if schema is None:
+        names = spark.read.options(**settings).csv(path).columns
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if malformed:
+        settings["columnnameofcorruptrecord"] = malformed
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+    return spark.read.options(**settings).schema(schema).csv(path)
 
 
 def jdbc_options(
@@ -108,9 +90,15 @@ def read_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 
 def read_source(
-    spark: SparkSession, source: Source, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    source: Source,
+    schema: T.StructType | str | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """Read one described source; an unknown type or format is an error."""
+    """Read one described source; an unknown type or format is an error.
+
+    ``malformed`` is the column that `read_csv` gives rows it could not read; other formats have none.
+    """
     options = parse_options(source.options)
     if source.source_type == "jdbc":
         return read_table(spark, options)
@@ -121,7 +109,7 @@ def read_source(
     if not source.path:
         raise UnsupportedSourceError(f"source {source.data_object!r} has no path")
     if source.format == "csv":
-        return read_csv(spark, source.path, schema, options)
+        return read_csv(spark, source.path, schema, options, malformed)
     reader = spark.read.format(source.format).options(**options)
     return (reader.schema(schema) if schema is not None else reader).load(source.path)
 

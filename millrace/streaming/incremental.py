@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.plans.ingest import run_ingest
 from millrace.sinks.tables import KeyedTable
+from millrace.staging import read_text
 
 
 def read_new_files(
@@ -18,8 +21,11 @@ def read_new_files(
     files_per_batch: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """A streaming DataFrame over a folder of files."""
-    defaults = {"header": "true", "escape": '"', "multiLine": "true"} if format == "csv" else {}
+    """A streaming DataFrame over a folder of files.
+
+    A stream's columns are fixed when it starts; CSV files whose header names others are an error.
+    """
+    defaults = {"header": "true", "escape": '"', "multiLine": "true", "enforceSchema": "false"} if format == "csv" else {}
     reader = spark.readStream.format(format).schema(schema).options(**{**defaults, **options})
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -31,18 +37,22 @@ def ingest_new_files(
     products: KeyedTable,
     counts: KeyedTable,
     checkpoint: str,
-    name: str = "ingest",
+    *,
+    rejects_path: str,
     run_date=None,
     **settings,
 ) -> StreamingQuery:
     """Run `run_ingest` on every micro-batch of what has arrived, then stop.
 
-    A micro-batch may be handed over again after a failure. Its batch id is its stream name and
-    number, and a table that holds that id already skips it. ``run_date`` is a text or a function
-    of the batch number. The checkpoint must be on shared storage.
+    A micro-batch may be handed over again after a failure. Its batch id is the stream's own id,
+    which its checkpoint keeps, and the batch number, so several streams may feed one table; a
+    table that holds the id already skips the batch. Files without rows are a batch of no rows.
+    ``run_date`` is a text or a function of the batch number. The checkpoint must be on shared
+    storage.
     """
 
     def one_batch(batch: DataFrame, number: int) -> None:
+        stream_id = json.loads(read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"]
         date = run_date(number) if callable(run_date) else run_date
         run_ingest(
             batch.sparkSession,
@@ -50,7 +60,9 @@ def ingest_new_files(
             products.on(batch.sparkSession),
             counts.on(batch.sparkSession),
             date,
-            batch_id=f"{name}-{number:010d}",
+            batch_id=f"{stream_id}-{number:010d}",
+            rejects_path=rejects_path,
+            allow_empty=True,
             **settings,
         )
 

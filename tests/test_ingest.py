@@ -1,4 +1,5 @@
 import glob
+import hashlib
 import json
 import os
 
@@ -26,8 +27,8 @@ BATCH_3 = [("s10", "Ann", "z")]
 class Job:
     def __init__(self, spark, root):
         self.spark, self.root = spark, root
-        self.products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", id_column="p_id")
-        self.counts = KeyedTable(spark, f"{root}/counts", COUNTS, "name")
+        self.products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", 2, "p_id")
+        self.counts = KeyedTable(spark, f"{root}/counts", COUNTS, "name", 2)
 
     def run(self, rows, day, **settings):
         feed = rows if isinstance(rows, Source) else self.spark.createDataFrame(rows, PRODUCT_FEED)
@@ -88,7 +89,9 @@ def test_transform_stays_in_the_jvm_and_distributed(spark, staging, monkeypatch)
     plans.append(plan_of(transform_rows(feed, DAYS[0], staging)))
     for plan in plans:
         assert "Python" not in plan and "SinglePartition" not in plan
-    assert "partial_count" in plans[0] and "WindowGroupLimit" in plans[1]
+    # counting by key and numbering the slices: two exchanges, each behind a fold or a key alone
+    assert [plan.count("Exchange") for plan in plans[:2]] == [1, 1]
+    assert "partial_count" in plans[0] and "hashpartitioning(__slice" in plans[1] and "WindowGroupLimit" in plans[2]
 
 
 def test_three_worked_batches(job):
@@ -106,7 +109,7 @@ def test_three_worked_batches(job):
     found = sorted((r.sku or "", r.name or "", r.batch_id) for r in rejects.select("*", F.col("batch_id").cast("string")).collect())
     assert [f[:2] for f in found] == [("", "Dee"), ("s3", "")]
 
-    job.run(BATCH_2, DAYS[1], small_batch_rows=0)
+    job.run(BATCH_2, DAYS[1])
     assert job.rows() == [
         (1, "s1", "Ann", "d9", RUNS[1] + "000000000001"),
         (2, "s10", "Cid", "z", RUNS[0] + "000000000003"),
@@ -127,7 +130,10 @@ def test_three_worked_batches(job):
 def test_a_batch_runs_once(job):
     job.run(BATCH_1, DAYS[0])
     before = job.products.current().collect()
-    assert job.run(BATCH_1, DAYS[0]).rows == []
+    again = job.run(BATCH_1, DAYS[0])
+    assert [r[:2] for r in again.rows] == [("Skipped", "products"), ("Skipped", "products_agg")]
+    events = [json.loads(r.value) for r in job.spark.read.text(f"{job.root}/audit").collect()]
+    assert [e["logLevel"] for e in events if e["logEvent"] == "Skipped"] == ["INFO", "INFO"]
     assert sorted(job.products.current().collect()) == sorted(before)
 
 
@@ -138,9 +144,9 @@ def test_a_batch_resumes_after_the_products_were_committed(job, monkeypatch):
         job.run(BATCH_1, DAYS[0])
     monkeypatch.setattr(KeyedTable, "merge_counts", merge_counts)
     log = job.run(BATCH_1, DAYS[0])
-    assert {r[1] for r in log.rows} == {"products_agg"}
+    assert {r[1] for r in log.rows if r[0] != "Skipped"} == {"products_agg"}
     assert len(job.rows()) == 3 and len(job.names()) == 3
-    assert len(job.products.commits()) == 1
+    assert job.products.latest()["version"] == 1
 
 
 def test_an_empty_source_fails_and_is_logged(job):
@@ -148,7 +154,7 @@ def test_an_empty_source_fails_and_is_logged(job):
         job.run([], DAYS[0])
     (event,) = [json.loads(r.value) for r in job.spark.read.text(f"{job.root}/audit").collect()]
     assert event["logEvent"] == "Batch Failure" and "no records" in event["message"]
-    assert job.products.commits() == []
+    assert job.products.latest()["version"] == 0
 
 
 def test_a_batch_of_rejects_only_delivers_nothing(job):
@@ -158,7 +164,7 @@ def test_a_batch_of_rejects_only_delivers_nothing(job):
 
 
 def test_too_long_values_fail(job):
-    with pytest.raises(ConstraintError, match="1 values of name"):
+    with pytest.raises(ConstraintError, match="1 values longer than the target column: name"):
         job.run([("s", "n" * 71, "d")], DAYS[0])
     assert job.rows() == []
     job.run([("s", "n" * 71, "d")], DAYS[0], max_lengths={})
@@ -206,7 +212,7 @@ def test_a_database_is_a_target_too(spark, tmp_path):
     products = DatabaseTable("products", "sku", connect, read, greatest, mark="?", max_connections=1)
     counts = DatabaseTable("products_agg", "name", connect, None, mark="?", max_connections=1)
     for batch, day in zip((BATCH_1, BATCH_2, BATCH_3), DAYS, strict=True):
-        run_ingest(spark, spark.createDataFrame(batch, PRODUCT_FEED), products, counts, day, only_changed=True)
+        run_ingest(spark, spark.createDataFrame(batch, PRODUCT_FEED), products, counts, day, only_changed=True, rejects_path=f"{tmp_path}/r")
     assert sorted(map(tuple, products.current().collect())) == [
         (1, "s1", "Ann", "d9", RUNS[1] + "000000000001"),
         (2, "s10", "Ann", "z", RUNS[2] + "000000000001"),
@@ -238,7 +244,7 @@ def test_database_reads_are_split_by_id(spark, monkeypatch):
 
 def test_a_csv_source_is_read_once(job, tmp_path):
     (tmp_path / "in.csv").write_text("sku,name,description\n" + "".join(f"{s},{n},{d}\n" for s, n, d in BATCH_2))
-    job.run(Source("PRODUCTS", f"{tmp_path}/in.csv"), DAYS[0], schema=PRODUCT_FEED)
+    job.run(Source("PRODUCTS", f"{tmp_path}/in.csv"), DAYS[0])
     assert [r[1] for r in job.rows()] == ["s1", "s2", "s4"]
 
 
@@ -252,7 +258,7 @@ def test_new_files_only(spark, job, tmp_path):
     def go():
         stream = read_new_files(spark, str(inbox), PRODUCT_FEED, files_per_batch=1)
         ingest_new_files(
-            stream, job.products, job.counts, f"{tmp_path}/ckpt", run_date=lambda n: DAYS[n]
+            stream, job.products, job.counts, f"{tmp_path}/ckpt", rejects_path=f"{tmp_path}/r", run_date=lambda n: DAYS[n]
         ).awaitTermination()
 
     drop("1.csv", [r for r in BATCH_1 if None not in r])
@@ -262,7 +268,7 @@ def test_new_files_only(spark, job, tmp_path):
     drop("2.csv", BATCH_2)
     go()
     assert [r[:3] for r in job.rows()] == [(1, "s1", "Ann"), (2, "s10", "Cid"), (3, "s2", "Ann"), (6, "s4", "Bob")]
-    assert [c["batch_id"] for c in job.products.commits()] == ["ingest-0000000000", "ingest-0000000001"]
+    assert job.products.latest()["version"] == 2
     assert job.names() == [("Ann", 2), ("Bob", 1), ("Cid", 1)]
 
 
@@ -279,13 +285,79 @@ def test_the_job_runs_every_source_of_a_config(spark, tmp_path):
     )
     assert read_config(f"{tmp_path}/config.json") == read_config(f"{tmp_path}/config.yaml")
     target = f"{tmp_path}/lake"
-    common = ["--config", f"{tmp_path}/config.yaml", "--target", target, "--job_run_date", DAYS[0]]
+    common = ["--config", f"{tmp_path}/config.yaml", "--target", target, "--job_run_date", DAYS[0], "--buckets", "2"]
     main([*common, "--source", "A"])
-    table = KeyedTable(spark, f"{target}/products", PRODUCTS, "sku", id_column="p_id")
+    table = KeyedTable(spark, f"{target}/products", PRODUCTS, "sku", 2, "p_id")
     assert [r.sku for r in table.current().orderBy("sku").collect()] == ["s1", "s2", "s4"]
     main(common)
-    assert [c["batch_id"] for c in table.commits()] == [f"{DAYS[0]} A", f"{DAYS[0]} B"]
-    counts = KeyedTable(spark, f"{target}/products_agg", COUNTS, "name").current()
+    assert table.latest()["version"] == 2 and all(table.has_batch(f"{DAYS[0]} {x}") for x in "AB")
+    counts = KeyedTable(spark, f"{target}/products_agg", COUNTS, "name", 2).current()
     assert sorted(map(tuple, counts.collect())) == [("Ann", 3), ("Bob", 1)]
     with pytest.raises(ValueError, match="no source"):
-        run_sources(spark, {"sources": []}, target)
+        run_sources(spark, {"sources": []}, target, buckets=2)
+    with pytest.raises(ValueError, match="several sources of A"):
+        run_sources(spark, {"sources": [entries[0], entries[0]]}, target, buckets=2)
+
+
+def test_csv_columns_are_named_by_the_header(spark, job, tmp_path):
+    (tmp_path / "in.csv").write_text("name,sku,size,description\nAnn,s1,9,d1\nBob,s2,,d2\nCid,s3,1,d3,more\nDee,s4\n")
+    job.run(Source("PRODUCTS", f"{tmp_path}/in.csv"), DAYS[0], checksum_null_text="")
+    assert [r[1:4] for r in job.rows()] == [("s1", "Ann", "d1"), ("s2", "Bob", "d2")]
+    sums = {r.sku: r.record_checksum for r in job.products.current().collect()}
+    assert sums == {"s1": hashlib.md5(b"Anns19d1").hexdigest(), "s2": hashlib.md5(b"Bobs2d2").hexdigest()}
+    rejects = spark.read.option("header", "true").csv(f"{job.root}/rejects")
+    assert {(r.sku, r.malformed_row) for r in rejects.collect()} == {("s3", "Cid,s3,1,d3,more"), ("s4", "Dee,s4")}
+
+
+def test_a_file_with_other_columns_is_an_error(job, tmp_path):
+    (tmp_path / "a.csv").write_text("sku,name,description\ns1,n,d\n")
+    (tmp_path / "b.csv").write_text("name,sku,description\nn,s2,d\n")
+    with pytest.raises(PhaseError, match="failed to read"):
+        job.run(Source("PRODUCTS", f"{tmp_path}/*.csv"), DAYS[0])
+    (tmp_path / "c.tsv").write_text("sku,description\ns1,d\n")
+    with pytest.raises(ConstraintError, match="no column name"):
+        job.run(Source("PRODUCTS", f"{tmp_path}/c.tsv"), DAYS[0])
+
+
+def test_a_null_checksum_is_refused(spark, job):
+    feed = spark.createDataFrame([("s", "n", "d", None)], "sku string, name string, description string, size string")
+    settings = {"rejects_path": f"{job.root}/rejects"}
+    with pytest.raises(ConstraintError, match="null where the target allows none: record_checksum"):
+        run_ingest(spark, feed, job.products, job.counts, DAYS[0], **settings)
+    run_ingest(spark, feed, job.products, job.counts, DAYS[0], checksum_null_text="", **settings)
+    assert len(job.rows()) == 1
+
+
+def test_a_delivery_without_rows_does_not_stop_the_next(spark, job, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+
+    def go():
+        stream = read_new_files(spark, str(inbox), PRODUCT_FEED)
+        settings = {"rejects_path": f"{tmp_path}/r", "run_date": lambda n: DAYS[n]}
+        ingest_new_files(stream, job.products, job.counts, f"{tmp_path}/ckpt", **settings).awaitTermination()
+
+    (inbox / "1.csv").write_text("sku,name,description\n")
+    go()
+    assert job.rows() == [] and job.products.latest()["version"] == 1
+    (inbox / "2.csv").write_text("sku,name,description\ns1,Ann,d\n")
+    go()
+    assert [r[1] for r in job.rows()] == ["s1"] and job.names() == [("Ann", 1)]
+
+
+def test_two_streams_feed_one_table(spark, job, tmp_path):
+    for k in range(2):
+        (tmp_path / f"inbox{k}").mkdir()
+        (tmp_path / f"inbox{k}/1.csv").write_text(f"sku,name,description\ns{k},n{k},d\n")
+        for _ in range(2):
+            stream = read_new_files(spark, f"{tmp_path}/inbox{k}", PRODUCT_FEED)
+            ingest_new_files(
+                stream, job.products, job.counts, f"{tmp_path}/ckpt{k}", rejects_path=f"{tmp_path}/r", run_date=DAYS[0]
+            ).awaitTermination()
+    assert [r[1] for r in job.rows()] == ["s0", "s1"] and job.names() == [("n0", 1), ("n1", 1)]
+
+
+def test_a_replayed_batch_is_stored_once(job):
+    for _ in range(2):
+        job.run(BATCH_3, DAYS[2], batch_id="stream-7")
+    assert len(job.rows()) == 1 and job.products.latest()["version"] == 1

@@ -28,10 +28,9 @@ def batch(spark):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_worked_merge(spark, small):
+def test_worked_merge(spark):
     stamp = F.lit("2021-08-08").cast("timestamp")
-    merged = merge_rows(target(spark), batch(spark), stamp=stamp, action="action", small_batch=small)
+    merged = merge_rows(target(spark), batch(spark), stamp=stamp, action="action")
     found = sorted((r.sku, r.p_id, r.name, r.description, r.request_id, str(r.updt_tmstmp)[:10], r.action) for r in merged.collect())
     assert found == [
         ("s1", 1, "Ann", "d9", "q1", "2021-08-08", "update"),
@@ -41,10 +40,9 @@ def test_worked_merge(spark, small):
     ]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_unless_equal_keeps_unchanged_rows(spark, small):
+def test_unless_equal_keeps_unchanged_rows(spark):
     merged = merge_rows(
-        target(spark), batch(spark), unless_equal="record_checksum", action="action", small_batch=small
+        target(spark), batch(spark), unless_equal="record_checksum", action="action"
     )
     found = {r.sku: (r.action, r.request_id) for r in merged.collect()}
     assert found == {"s1": ("update", "q1"), "s10": ("keep", "r3"), "s2": ("keep", "r5"), "s4": ("insert", "q3")}
@@ -56,11 +54,10 @@ def test_the_default_stamp_is_now(spark):
     assert newest.first()[0]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_null_values_overwrite(spark, small):
+def test_null_values_overwrite(spark):
     t = spark.createDataFrame([("k", "old", 1)], "sku string, name string, extra int")
     u = spark.createDataFrame([("k", None), ("n", None)], "sku string, name string")
-    merged = merge_rows(t, u, update=("name",), small_batch=small)
+    merged = merge_rows(t, u, update=("name",))
     assert sorted(map(tuple, merged.collect())) == [("k", None, 1), ("n", None, None)]
 
 
@@ -69,25 +66,24 @@ KEYS = st.dictionaries(st.text("abc", max_size=2), st.integers(0, 5), max_size=8
 
 @SLOW
 @given(old=KEYS, new=KEYS)
-def test_both_forms_equal_a_dict_update(spark, old, new):
+def test_a_merge_equals_a_dict_update(spark, old, new):
     t = spark.createDataFrame(list(old.items()), "k string, v int")
     u = spark.createDataFrame(list(new.items()), "k string, v int")
-    for small in (False, True):
-        merged = merge_rows(t, u, ("k",), ("v",), small_batch=small)
-        assert {r.k: r.v for r in merged.collect()} == {**old, **new}
-
-
-def test_a_small_batch_does_not_shuffle_the_wide_target(spark, tmp_path):
-    spark.range(200_000).select(
-        F.concat(F.lit("k"), "id").alias("sku"), F.md5(F.col("id").cast("string")).alias("name")
-    ).write.parquet(f"{tmp_path}/t")
-    t = spark.read.parquet(f"{tmp_path}/t")
-    u = spark.createDataFrame([("k5", "new"), ("x", "new")], "sku string, name string")
-    u.write.parquet(f"{tmp_path}/u")
-    merged = merge_rows(t, spark.read.parquet(f"{tmp_path}/u"), update=("name",), small_batch=True)
-    first = plan_of(merged).split("Union")[1]
-    assert "BroadcastHashJoin" in first
-    assert merged.count() == 200_001
+    merged = merge_rows(t, u, ("k",), ("v",))
+    assert {r.k: r.v for r in merged.collect()} == {**old, **new}
+
+
+def test_a_null_checksum_counts_as_a_change(spark):
+    schema = "sku string, name string, record_checksum string"
+    t = spark.createDataFrame([("a", "old", None), ("b", "old", "c"), ("c", "old", "c"), ("d", "old", None)], schema)
+    u = spark.createDataFrame([("a", "new", None), ("b", "new", None), ("c", "new", "c"), ("d", "new", "c")], schema)
+    merged = merge_rows(t, u, update=("name", "record_checksum"), unless_equal="record_checksum", action="action")
+    assert {r.sku: (r.name, r.action) for r in merged.collect()} == {
+        "a": ("new", "update"),
+        "b": ("new", "update"),
+        "c": ("old", "keep"),
+        "d": ("new", "update"),
+    }
 
 
 def test_counts_keep_stale_values_unless_replaced(spark):

@@ -38,11 +38,11 @@ def test_transform_equals_the_model(spark, tmp_path_factory, rows):
 
 
 @QUICK
-@given(batches=st.lists(BATCH, min_size=2, max_size=3), buckets=st.sampled_from([1, 3]), small=st.booleans())
-def test_ingest_equals_the_model(spark, tmp_path_factory, batches, buckets, small):
+@given(batches=st.lists(BATCH, min_size=2, max_size=3), buckets=st.sampled_from([1, 3]))
+def test_ingest_equals_the_model(spark, tmp_path_factory, batches, buckets):
     root = str(tmp_path_factory.mktemp("m"))
     products = KeyedTable(spark, f"{root}/p", PRODUCTS, "sku", buckets, "p_id")
-    counts = KeyedTable(spark, f"{root}/c", COUNTS, "name")
+    counts = KeyedTable(spark, f"{root}/c", COUNTS, "name", buckets)
     stored, names = {}, {}
     for rows, day in zip(batches, DAYS, strict=False):
         log = run_ingest(
@@ -52,7 +52,6 @@ def test_ingest_equals_the_model(spark, tmp_path_factory, batches, buckets, smal
             counts,
             day,
             rejects_path=f"{root}/rejects",
-            small_batch_rows=1000 if small else -1,
         )
         offset = max((row[0] for row in stored.values()), default=0)
         kept = numbered(rows, day)

@@ -67,7 +67,7 @@ def test_no_step_puts_the_rows_through_one_task(spark, staging, monkeypatch):
     df = spark.range(1000).select(F.col("id").alias("k"), F.lit(2).alias("w"))
     plans.append(plan_of(with_position(df, ["k"], staging, weight="w")))
     assert len(plans) == 2
-    assert "rangepartitioning" in plans[0]
+    assert plans[0].count("Exchange") == 1 and "hashpartitioning(__slice" in plans[0]
     assert "BroadcastHashJoin" in plans[1]
     for plan in plans:
         assert "SinglePartition" not in plan and "Python" not in plan
@@ -81,7 +81,19 @@ def test_empty_input(spark, staging):
 def test_too_many_rows_for_the_digits(spark, staging):
     df = spark.createDataFrame([(1, 10**12)], "k int, w bigint")
     with pytest.raises(SequenceOverflowError):
-        with_position(df, ["k"], staging, weight="w")
+        with_position(df, ["k"], staging, weight="w", limit=10**12)
+    placed = with_position(df, ["k"], staging, weight="w").first()
+    assert placed.running_total == 10**12
+    many = spark.range(100).select(F.col("id").cast("string").alias("sku"))
+    with pytest.raises(SequenceOverflowError):
+        with_request_id(many, "2021-08-07T02:00:00+00:00", staging, ("sku",), digits=2)
+
+
+def test_the_next_row_is_seen_across_slices(spark, staging):
+    df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    placed = with_position(df, ["k"], staging, ahead="v", slices=9, unique=True)
+    found = {r.k: r.next_v for r in placed.collect()}
+    assert found == {k: (k + 1) * 3 if k < 499 else None for k in range(500)}
 
 
 def test_surrogate_key_equals_the_rdd_numbering(spark):
@@ -100,8 +112,8 @@ def test_dense_key_follows_the_order(spark, staging):
 
 def test_surrogate_key_by_a_unique_key_does_not_depend_on_row_order(spark):
     rows = [(f"k{i}",) for i in range(300)]
-    there = with_surrogate_key(spark.createDataFrame(rows, "k string"), 5, 7, unique_key=["k"])
-    back = with_surrogate_key(spark.createDataFrame(rows[::-1], "k string").repartition(3), 5, 7, unique_key=["k"])
+    there = with_surrogate_key(spark.createDataFrame(rows, "k string"), 7, 5, unique_key=["k"])
+    back = with_surrogate_key(spark.createDataFrame(rows[::-1], "k string").repartition(3), 7, 5, unique_key=["k"])
     ids = {r.k: r.p_id for r in there.collect()}
     assert ids == {r.k: r.p_id for r in back.collect()}
     assert len(set(ids.values())) == 300 and min(ids.values()) > 5

@@ -27,6 +27,7 @@ from millrace.sinks import (
     write_rejects,
 )
 from millrace.sinks.tables import COUNTS_DDL, PRODUCT_LENGTHS, PRODUCT_NOT_NULL
+from millrace.staging import write_once
 
 
 PRODUCTS_TABLE = table_statement(
@@ -182,15 +183,14 @@ def values(table):
 
 
 @pytest.mark.parametrize("buckets", [1, 8])
-@pytest.mark.parametrize("small", [False, True])
-def test_keyed_table(spark, tmp_path, buckets, small):
+def test_keyed_table(spark, tmp_path, buckets):
     table = keyed(spark, tmp_path, buckets)
     assert values(table) == [] and table.max_id() == 0
-    table.merge(products(spark, FIRST), "b1", PRODUCT_UPDATES, small_batch=small)
-    table.merge(products(spark, SECOND), "b2", PRODUCT_UPDATES, small_batch=small)
+    table.merge(products(spark, FIRST), "b1", PRODUCT_UPDATES)
+    table.merge(products(spark, SECOND), "b2", PRODUCT_UPDATES)
     assert values(table) == [("s1", 1, "Ann"), ("s2", 2, 'A"n'), ("s4", 4, "; drop")]
     assert table.max_id() == 4 and table.has_batch("b2") and not table.has_batch("b3")
-    table.merge(products(spark, []), "b3", PRODUCT_UPDATES, small_batch=small)
+    table.merge(products(spark, []), "b3", PRODUCT_UPDATES)
     assert len(values(table)) == 3 and table.max_id() == 4 and table.has_batch("b3")
 
 
@@ -202,7 +202,8 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     table.merge(products(spark, [(201, "s7", "new", "d", "r", "c")]), "b2", PRODUCT_UPDATES)
     after = set(table.current().inputFiles())
     assert len(before - after) == 1 and len(after - before) == 1
-    assert table.commits()[-1]["buckets"] == [spark.range(1).select(F.expr("pmod(hash('s7'), 16)")).first()[0]]
+    (bucket,) = [b for b, folder in table.latest()["folders"].items() if folder.startswith("v000000000002")]
+    assert int(bucket) == spark.range(1).select(F.expr("pmod(hash('s7'), 16)")).first()[0]
     assert len(values(table)) == 200
 
 
@@ -211,6 +212,8 @@ def test_each_bucket_is_one_file(spark, tmp_path):
     many = [(i, f"s{i}", "n", "d", "r", "c") for i in range(1, 201)]
     table.merge(products(spark, many), "b1", PRODUCT_UPDATES)
     assert len(table.current().inputFiles()) == 4
+    table.merge(products(spark, many[:3]), "b2", PRODUCT_UPDATES)
+    assert len(table.current().inputFiles()) == 4
 
 
 def test_a_bucketed_merge_shuffles_each_side_once(spark, tmp_path, monkeypatch):
@@ -241,29 +244,24 @@ def test_unused_folders_are_removed(spark, tmp_path):
         table.remove_unused(keep=0)
 
 
-def test_commit_records_are_gathered(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("millrace.sinks.tables.FOLD_EVERY", 3)
+def test_every_batch_is_remembered_and_one_record_says_all(spark, tmp_path):
     table = keyed(spark, tmp_path, 4)
     stored = {}
-    for n in range(1, 9):
+    for n in range(1, 6):
         rows = [(100 * n + i, f"s{i * n % 7}", f"n{n}", "d", "r", "c") for i in range(1, 3)]
         rows = list({r[1]: r for r in rows}.values())
         table.merge(products(spark, rows), f"b{n}", PRODUCT_UPDATES)
         for p_id, sku, name, *_ in rows:
             stored[sku] = (sku, stored[sku][1] if sku in stored else p_id, name)
-        assert values(table) == sorted(stored.values())
-        assert table.max_id() == max(v[1] for v in stored.values())
-    names = sorted(n for n in os.listdir(f"{tmp_path}/t/commits") if not n.startswith("."))
-    assert names == ["upto-00000003", "upto-00000006", *[f"version-{v:08d}" for v in (4, 5, 6, 7, 8)]]
-    assert [c["version"] for c in table.commits()] == list(range(1, 9))
-    assert all(table.has_batch(f"b{n}") for n in range(1, 9))
-    table.remove_unused(keep=2)
-    assert values(table) == sorted(stored.values())
-
-
-def test_an_emptied_table_stays_empty_after_gathering(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("millrace.sinks.tables.FOLD_EVERY", 2)
-    table = KeyedTable(spark, f"{tmp_path}/c", COUNTS, "name")
+    greatest = table.max_id()
+    table.remove_unused(keep=1)
+    assert [n for n in os.listdir(f"{tmp_path}/t/versions") if n[0] != "."] == ["000000000005.json"]
+    assert values(table) == sorted(stored.values()) and table.max_id() == greatest
+    assert all(table.has_batch(f"b{n}") for n in range(1, 6)) and not table.has_batch("b6")
+
+
+def test_an_emptied_table_stays_empty(spark, tmp_path):
+    table = KeyedTable(spark, f"{tmp_path}/c", COUNTS, "name", 2)
     table.merge_counts(spark.createDataFrame([("Ann", 2)], COUNTS), "b1")
     table.merge_counts(spark.createDataFrame([], COUNTS), "b2", "replace")
     assert table.current().collect() == []
@@ -272,6 +270,30 @@ def test_an_emptied_table_stays_empty_after_gathering(spark, tmp_path, monkeypat
     assert list(map(tuple, table.current().collect())) == [("Bob", 1)]
 
 
+def test_another_number_of_buckets_is_an_error(spark, tmp_path):
+    many = [(i, f"s{i}", "n", "d", "r", "c") for i in range(1, 21)]
+    keyed(spark, tmp_path, 4).merge(products(spark, many), "b1", PRODUCT_UPDATES)
+    for use in (lambda t: t.merge(products(spark, many), "b2", PRODUCT_UPDATES), lambda t: t.current()):
+        with pytest.raises(ValueError, match="4 buckets"):
+            use(keyed(spark, tmp_path, 1))
+    assert len(values(keyed(spark, tmp_path, 4))) == 20
+
+
+def test_a_writer_that_died_does_not_block_the_table(spark, tmp_path):
+    table = keyed(spark, tmp_path, 2)
+    table.merge(products(spark, FIRST), "b1", PRODUCT_UPDATES)
+    # what a writer leaves that dies while it writes its record
+    (tmp_path / "t/versions/_000000000002.json.0123").write_text('{"vers')
+    table.merge(products(spark, SECOND), "b2", PRODUCT_UPDATES)
+    assert len(values(table)) == 3 and table.latest()["version"] == 2
+
+
+def test_a_file_is_written_once(spark, tmp_path):
+    assert write_once(spark, f"{tmp_path}/a/b", "one") and not write_once(spark, f"{tmp_path}/a/b", "two")
+    assert (tmp_path / "a/b").read_text() == "one"
+    assert [n for n in os.listdir(tmp_path / "a") if not n.startswith(".")] == ["b"]
+
+
 def test_unfinished_writes_are_not_seen(spark, tmp_path):
     table = keyed(spark, tmp_path)
     table.merge(products(spark, FIRST), "b1", PRODUCT_UPDATES)
@@ -281,21 +303,20 @@ def test_unfinished_writes_are_not_seen(spark, tmp_path):
 
 def test_a_second_writer_of_a_version_fails(spark, tmp_path, monkeypatch):
     table = keyed(spark, tmp_path)
-    monkeypatch.setattr(KeyedTable, "commits", lambda self: [])
+    new = table.latest()
+    monkeypatch.setattr(KeyedTable, "latest", lambda self: dict(new))
     table.merge(products(spark, FIRST), "b1", PRODUCT_UPDATES)
     with pytest.raises(ConcurrentCommitError):
         table.merge(products(spark, SECOND), "b2", PRODUCT_UPDATES)
 
 
 def test_counts_table(spark, tmp_path):
-    table = KeyedTable(spark, f"{tmp_path}/c", COUNTS, "name")
+    table = KeyedTable(spark, f"{tmp_path}/c", COUNTS, "name", 4)
     for batch, rows in (("b1", [("Ann", 2), ("Cid", 1)]), ("b2", [("Ann", 3)])):
         table.merge_counts(spark.createDataFrame(rows, COUNTS), batch)
     assert sorted(map(tuple, table.current().collect())) == [("Ann", 3), ("Cid", 1)]
     table.merge_counts(spark.createDataFrame([("Ann", 3)], COUNTS), "b3", "replace")
     assert sorted(map(tuple, table.current().collect())) == [("Ann", 3)]
-    with pytest.raises(ValueError):
-        KeyedTable(spark, f"{tmp_path}/d", COUNTS, "name", 4).merge_counts(spark.createDataFrame([], COUNTS), "b")
 
 
 def test_audit_of_good_and_failed_batches(spark):

@@ -11,7 +11,6 @@ from millrace.sources import (
     read_csv,
     read_source,
 )
-from millrace.sources.readers import _bytes
 
 CSV = '''name,sku,description
 A,s1,"line1
@@ -53,54 +52,31 @@ def test_reader_options_are_honoured(spark, path):
     assert {r.sku: r.description for r in backslash}["s6"] == '"dbl ""q"" x"'
 
 
-@pytest.fixture
-def small_share(spark):
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "16k")
-    yield
-    spark.conf.set(key, before)
-
-
-@pytest.mark.parametrize("broken", [False, True])
-def test_large_files_are_split_where_no_field_spans_lines(spark, tmp_path, small_share, broken):
-    rows = [(f"s{i}", f'n "{i}", x', "text " * 5) for i in range(5000)]
-    if broken:
-        rows[4000] = ("s4000", "line\nbreak", "t")
+@pytest.mark.parametrize("share", ["16k", "128m"])
+def test_one_rule_for_files_of_every_size(spark, tmp_path, share):
+    """Quotes that even out in a line although a field spans lines; the file is above and below a share."""
+    rows = [(f"s{i}", 'a "q"\n"b" end', "text " * 5) for i in range(2000)]
     folder = f"{tmp_path}/csv"
     frame = spark.createDataFrame(rows, PRODUCT_FEED).coalesce(1)
     frame.write.options(header="true", escape='"', ignoreTrailingWhiteSpace="false").csv(folder)
-    made = read_csv(spark, folder, PRODUCT_FEED)
-    assert (made.rdd.getNumPartitions() == 1) == broken
-    assert sorted(map(tuple, made.collect())) == sorted(rows)
-    kept = read_csv(spark, folder, PRODUCT_FEED, {"multiLine": "True", "escape": "\\"})
-    assert kept.rdd.getNumPartitions() == 1
-
-
-def test_only_the_chosen_files_decide(spark, tmp_path, small_share):
-    clean = "sku,name,description\n" + "s,n,some text\n" * 5000
-    (tmp_path / "clean.csv").write_text(clean)
-    (tmp_path / "broken.csv").write_text('sku,name,description\ns,n,"a\nb"\n')
-    assert read_csv(spark, str(tmp_path), PRODUCT_FEED).count() == 5001
-    chosen = read_csv(spark, str(tmp_path), PRODUCT_FEED, {"pathGlobFilter": "clean*"})
-    assert chosen.rdd.getNumPartitions() > 1 and chosen.count() == 5000
-
-
-def test_byte_settings():
-    assert [_bytes(s) for s in ("134217728", "134217728b", "128m", "128MB", "1k", "2g")] == [
-        1 << 27,
-        1 << 27,
-        1 << 27,
-        1 << 27,
-        1 << 10,
-        1 << 31,
-    ]
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, share)
+    try:
+        assert sorted(map(tuple, read_csv(spark, folder, PRODUCT_FEED).collect())) == sorted(rows)
+        split = read_csv(spark, folder, PRODUCT_FEED, {"multiLine": "false"})
+        assert (split.rdd.getNumPartitions() > 1) == (share == "16k")
+    finally:
+        spark.conf.set(key, before)
 
 
-def test_a_schema_keeps_numeric_keys_as_text(spark, tmp_path):
-    (tmp_path / "k.csv").write_text("sku,name,description\n007,a,b\n10,c,d\n")
-    assert [r.sku for r in read_csv(spark, f"{tmp_path}/k.csv", PRODUCT_FEED).collect()] == ["007", "10"]
-    assert read_csv(spark, f"{tmp_path}/k.csv").schema["sku"].dataType.simpleString() == "int"
+def test_the_header_names_the_columns(spark, tmp_path):
+    (tmp_path / "k.csv").write_text("description,sku\n007,a\n10,c,x\n9\n")
+    made = read_csv(spark, f"{tmp_path}/k.csv", malformed="bad")
+    assert [f.dataType.simpleString() for f in made.schema] == ["string"] * 3
+    assert sorted(map(tuple, made.collect()), key=str) == [("007", "a", None), ("10", "c", "10,c,x"), ("9", None, "9")]
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, f"{tmp_path}/k.csv", "sku string, description string").collect()
 
 
 def test_config(spark, path):
@@ -111,14 +87,17 @@ def test_config(spark, path):
                 "data_object": "PRODUCTS",
                 "source_type": "local",
                 "path": path,
-                "options": "header='True', inferSchema='True', delimiter=',',multiLine='True'",
+                "options": "header='true', sep=',',  comment='#'",
                 "format": "csv",
             }
         ],
     }
     (source,) = parse_sources(config)
-    assert source.options == {"header": "True", "inferSchema": "True", "delimiter": ",", "multiLine": "True"}
+    assert source.options == {"header": "true", "sep": ",", "comment": "#"}
     assert read_source(spark, source, ORDER).count() == 7
+    for wrong in ("header=True", 'header="true"', "header='true' oops"):
+        with pytest.raises(ValueError):
+            parse_options(wrong)
     assert parse_options(None) == {} and parse_options({"a": 1}) == {"a": "1"}
     assert parse_sources({}) == []
 
