@@ -1,0 +1,154 @@
+"""Quality rules, source mixing and the pipeline against plain versions."""
+
+import random
+from collections import Counter
+
+import pytest
+from conftest import DATA, plan_of
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from plain import base_failed, encoded, kept_by_rules, mixed, text_counts, without_frequent_lines, without_near_copies
+
+import corpus_pipeline
+from millrace.llm.mixing import in_mixed_order, mix_sources, schedule
+from millrace.llm.quality_rules import fit_votes, judge_quality
+
+ODD = [
+    None,
+    "",
+    " \n\t ",
+    "one",
+    "a b c d e f g h " * 30,
+    "UPPER CASE!! WORDS!! " * 20,
+    "x | y | z | " * 20,
+    "line one\nline one\n\nline one\nother",
+    "tab\x0bsep\x0cform feed " * 9,
+    "word " * 20_000,
+    "mot clé ñandú größe " * 12 + "\n#*$%&|<>",
+]
+
+
+def documents(spark):
+    return [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "source").collect()]
+
+
+def test_counts_and_verdicts_match_the_plain_version(spark, staging):
+    docs = documents(spark) + [(1000 + i, t, None) for i, t in enumerate(ODD)]
+    table = spark.createDataFrame([(i, t, 7, "x") for i, t, _ in docs], "doc_id long, text string, n_words int, doc string")
+    out = {r["doc_id"]: r for r in judge_quality(table, staging).collect()}
+    assert len(out) == len(docs)
+    for i, text, _ in docs:
+        counts = text_counts(text)
+        assert {k: out[i][k] for k in counts} == counts, (i, text)
+        assert out[i]["base_failed"] == base_failed(counts)
+    assert sorted(i for i, r in out.items() if r["kept"]) == sorted(d[0] for d in kept_by_rules(docs))
+
+
+def test_rules_stay_in_the_jvm(spark, staging):
+    plan = plan_of(judge_quality(spark.read.parquet(f"{DATA}/documents.parquet"), staging))
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_rules_carry_all_columns(spark, staging):
+    table = spark.createDataFrame([(1, "t", 5), (1, "t", 5), (None, None, None)], "doc_id long, text string, kept int")
+    out = judge_quality(table, staging, carry=True).select("doc.*").collect()
+    assert sorted(map(str, map(tuple, out))) == ["(1, 't', 5)", "(1, 't', 5)", "(None, None, None)"]
+    assert judge_quality(table.filter("false"), staging).count() == 0
+
+
+def test_accuracies_are_estimated():
+    random.seed(2)
+    true = {"a": 0.95, "b": 0.8, "c": 0.72}
+    patterns = Counter()
+    for _ in range(20_000):
+        good = random.choice([1, -1])
+        patterns[tuple(0 if random.random() < 0.2 else good if random.random() < p else -good for p in true.values())] += 1
+    model = fit_votes(list(patterns.items()), list(true))
+    assert all(abs(model.accuracy[r] - p) < 0.03 for r, p in true.items())
+
+
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=12))
+@settings(max_examples=80, deadline=None)
+def test_schedule_stays_within_a_block(quota):
+    n, done = sum(quota), [0] * len(quota)
+    slots = schedule(quota)
+    assert [t for _, _, t in slots] == list(range(n))
+    for source, block, slot in slots:
+        assert block == done[source]
+        done[source] += 1
+        assert all(abs(done[s] - q * (slot + 1) / n) < 1 for s, q in enumerate(quota))
+    assert done == quota
+
+
+def mixture(spark, counts):
+    rows = [(100 * k + i, name) for k, (name, n) in enumerate(counts.items()) for i in range(n)]
+    random.shuffle(rows)
+    return spark.createDataFrame(rows, "doc_id long, source string")
+
+
+def test_blocks_follow_the_weights(spark, staging):
+    counts = {"hot": 90, "a": 30, None: 20, "b": 12}
+    weights = {"hot": 0.25, "a": 0.25, None: 0.25, "b": 0.25}
+    out = mix_sources(mixture(spark, counts), staging, weights=weights, block_rows=4).collect()
+    assert len(out) == 152 and Counter(r.source for r in out) == counts
+    slots = {}
+    for r in out:
+        assert slots.setdefault(r.mix_slot, (r.source, r.mix_block)) == (r.source, r.mix_block)
+    first = [slots[t][0] for t in range(12)]  # all sources have blocks left
+    assert all(abs(first[: t + 1].count(s) - (t + 1) / 4) < 1 for t in range(12) for s in weights)
+    assert sorted(r.mix_place for r in out if r.source == "b") == sorted(list(range(4)) * 3)
+
+
+def test_mixing_edges(spark, staging):
+    table = spark.createDataFrame(
+        [(1, "s", 1), (1, "s", 1), (None, "s", 2), (None, None, 3)], "doc_id long, source string, mix_slot int"
+    )
+    out = mix_sources(table, staging, columns=("mix_slot", "doc_id")).collect()
+    assert sorted(r.doc["mix_slot"] for r in out) == [1, 1, 2, 3]
+    assert len({(r.mix_slot, r.mix_place) for r in out}) == 4
+    assert mix_sources(table.filter("false"), staging).count() == 0
+    for weights in ({"s": 1.0}, {"s": 1.0, None: 0.0}):
+        with pytest.raises(ValueError, match="no positive weight"):
+            mix_sources(table, staging, weights=weights)
+
+
+def test_mixing_matches_the_plain_version(spark, staging):
+    docs = documents(spark)
+    table = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    placed = in_mixed_order(mix_sources(table, staging)).collect()
+    assert [r.doc_id for r in placed] == [d[0] for d in mixed(docs)]
+    plan = plan_of(mix_sources(table.select("doc_id", "source"), staging))
+    assert "Python" not in plan and "Arrow" not in plan and "SinglePartition" not in plan
+
+
+def test_pipeline_matches_the_plain_version(spark, staging, tmp_path):
+    out = corpus_pipeline.run(spark, DATA).collect()
+    docs = kept_by_rules(documents(spark))
+    docs = without_near_copies(without_frequent_lines(docs))
+    assert sorted(tuple(r) for r in out) == sorted(encoded(mixed(docs)))
+    assert len(docs) < 200
+
+
+def test_stages_keep_the_columns_of_documents(spark, staging):
+    table = spark.read.parquet(f"{DATA}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, table, DATA)
+        assert made.columns == table.columns
+        assert [f.dataType for f in made.schema] == [f.dataType for f in table.schema]
+        assert stage(spark, table.filter("false"), DATA).count() == 0
+
+
+def test_stages_take_nulls_and_repeated_rows(spark, staging):
+    text = " ".join(f"word{i}" for i in range(50))
+    rows = [(1, text, "en", "s", 5), (1, text, "en", "s", 5), (2, text, None, None, None), (None, None, None, None, None)]
+    table = spark.createDataFrame(rows, spark.read.parquet(f"{DATA}/documents.parquet").schema)
+    left = {name: stage(spark, table, DATA).count() for name, stage in corpus_pipeline.STAGES}
+    assert left == {"quality rules": 3, "line dedup": 4, "MinHash near-dedup": 3, "source mixing": 4, "byte-level BPE": 4}
+
+
+def test_registered_queries_run_over_whole_tables():
+    import __spark_entry__ as entry
+
+    names = set(entry.queries())
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert set(entry.oracle_sql()) <= names
