@@ -98,6 +98,7 @@ class Staging:
         self.spark = spark
         run = f"millrace-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
         self.root = f"{(root or shared_folder(spark)).rstrip('/')}/{run}"
+        self._paths: list[tuple[DataFrame, str]] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -108,8 +109,18 @@ class Staging:
     def write(self, df: DataFrame, stem: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write ``df`` once and return the table read back with the same schema."""
         path = self.path(self.new_name(stem))
-        df.write.partitionBy(*partition_by).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        self._paths.append((staged, path))
+        return staged
+
+    def remove(self, *tables: DataFrame) -> None:
+        """Delete staged tables that nothing reads any more."""
+        for table in tables:
+            for staged, path in self._paths:
+                if staged is table:
+                    delete_path(self.spark, path)
+        self._paths = [x for x in self._paths if not any(x[0] is t for t in tables)]
 
     def clear(self) -> None:
         """Delete this run's folder; only call it when no DataFrame still reads from it."""
