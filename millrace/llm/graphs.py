@@ -24,9 +24,11 @@ def components(edges: DataFrame, staging: Staging) -> DataFrame:
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = staging.write(large, "edges")
+        staging.remove(edges)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         edges = staging.write(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), "edges")
+        staging.remove(large)
         after = _state(edges)
         if after == before:
             break

@@ -328,6 +328,7 @@ def link_documents(
     )
     found = celled.groupBy("key", "low", "high").applyInArrow(lambda t: _cell_links(t, percent), "a long, b long")
     groups = components(links.unionByName(staging.write(found.distinct(), "links")), staging)
+    staging.remove(members, sets, first, second, rest)
     joined = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
     )
