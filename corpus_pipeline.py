@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import decode_ids, encode_texts, read_ranks
+from millrace.llm.bpe import encode_texts, read_ranks
 from millrace.llm.lines import drop_frequent_lines
 from millrace.llm.minhash import link_documents
 from millrace.llm.mixing import in_mixed_order, mix_sources
@@ -44,7 +44,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of the ids and of the text they decode to."""
     tokens = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    out = decode_ids(encode_texts(docs, tokens, public_tokenizers.PATTERN), tokens)
+    out = encode_texts(docs, tokens, public_tokenizers.PATTERN, decode=True)
     return out.select(
         "doc_id",
         "n_tokens",

@@ -20,7 +20,8 @@ _NORMAL, _UNKNOWN, _BPE = 1, 2, 2
 _FIRST = 0x100
 _BYTE_CHARS = {b: _FIRST + b for b in range(256)}
 
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 1 << 17
+_ROWS = 250  # documents taken at a time
 LONG_TEXT = 1 << 20
 
 
@@ -97,13 +98,29 @@ class Encoder:
         return b"".join(self._ids(list(g)) for g in groups)
 
 
+def _decoded(ids: bytes | None, table: list[bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
+def _table(tokens: list[bytes]) -> list[bytes]:
+    """The bytes of each id: its piece's characters, mapped back to the bytes they stand for."""
+    back = {_FIRST + b: b for b in range(256)}
+    return [_mapped(t).translate(back).encode("latin-1") for t in tokens]
+
+
 def encode_texts(
-    docs: DataFrame, tokens: list[bytes], pattern: str, *, id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokens: list[bytes],
+    pattern: str,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    decode: bool = False,
 ) -> DataFrame:
     """Encode every whole text: each match of ``pattern`` by itself, by the merges of ``tokens``.
 
     Returns ``doc_id``, ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens`` for every
-    row. A null text encodes as an empty one; a null id stays null; other columns are ignored. The
+    row, and with ``decode`` also ``decoded``, as `decode_ids` makes it, in the same tasks. A null text encodes as an empty one; a null id stays null; other columns are ignored. The
     model is made once from the vocabulary and travels with the tasks (some 2 MB, as large as the
     vocabulary). Each task remembers at most ``CACHE_ENTRIES`` pre-tokens and takes a long text a
     few thousand pre-tokens at a time.
@@ -111,18 +128,19 @@ def encode_texts(
     model = bpe_model(tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokens, model, pattern)
+        encode, table = Encoder(tokens, model, pattern), _table(tokens) if decode else []
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
                 ids = [encode(t or "") for t in part.column(1).to_pylist()]
-                count = np.array([len(i) // 4 for i in ids], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array(count)], ["doc_id", "ids", "n_tokens"]
-                )
+                columns = [part.column(0), pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
+                if decode:
+                    columns.append(pa.array([_decoded(i, table) for i in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = ["doc_id", "ids", "n_tokens", *(["decoded"] if decode else [])]
     plain = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, ids binary, n_tokens long")
+    return plain.mapInArrow(run, "doc_id long, ids binary, n_tokens long" + (", decoded binary" if decode else ""))
 
 
 def decode_ids(encoded: DataFrame, tokens: list[bytes]) -> DataFrame:
@@ -132,17 +150,12 @@ def decode_ids(encoded: DataFrame, tokens: list[bytes]) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = {_FIRST + b: b for b in range(256)}
-        pieces = [_mapped(t) for t in tokens]
-        table = [p.translate(back).encode("latin-1") for p in pieces]
+        table = _table(tokens)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                texts = [
-                    b"".join(map(table.__getitem__, np.frombuffer(i or b"", "<u4").tolist()))
-                    for i in part.column(1).to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*part.schema.names, "decoded"])
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
+                texts = pa.array([_decoded(i, table) for i in part.column(1).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], [*part.schema.names, "decoded"])
 
     return encoded.select("doc_id", "ids", "n_tokens").mapInArrow(
         run, "doc_id long, ids binary, n_tokens long, decoded binary"

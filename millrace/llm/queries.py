@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import decode_ids, encode_texts, read_ranks
+from millrace.llm.bpe import encode_texts, read_ranks
 from millrace.llm.embeddings import link_vectors
 from millrace.llm.language import predict_language, train_language_model
 from millrace.llm.lines import drop_frequent_lines
@@ -61,7 +61,7 @@ def op4_line_dedup(spark, sf_dir) -> DataFrame:
 
 def op5_byte_bpe(spark, sf_dir) -> DataFrame:
     tokens = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    out = decode_ids(encode_texts(_documents(spark, sf_dir), tokens, public_tokenizers.PATTERN), tokens)
+    out = encode_texts(_documents(spark, sf_dir), tokens, public_tokenizers.PATTERN, decode=True)
     return out.select(
         "doc_id",
         "n_tokens",
