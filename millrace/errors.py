@@ -29,6 +29,6 @@ class PhaseError(IngestError):
     """A batch phase failed; carries the rows counted so far."""
 
     def __init__(self, phase, rows, cause):
-        super().__init__(f"batch failed to {phase} {rows} records: {cause}")
+        super().__init__(f"could not {phase} the batch, {rows} rows in: {cause}")
         self.phase = phase
         self.rows = rows

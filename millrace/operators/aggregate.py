@@ -12,7 +12,7 @@ def count_by(df: DataFrame, column: str = "name", count_column: str = "count_of_
 
 
 def count_by_sql(
-    df: DataFrame, column: str = "name", count_column: str = "count_of_names", view: str = "products_table"
+    df: DataFrame, column: str = "name", count_column: str = "count_of_names", view: str = "keyed_rows"
 ) -> DataFrame:
     """The same count as SQL over a temporary view of ``df``."""
     df.createOrReplaceTempView(view)

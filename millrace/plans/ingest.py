@@ -189,7 +189,7 @@ def _transform(valid, run_date, staging, products, max_lengths, not_null, null_t
 
 
 def _refresh_counts(products, counts, batch_id, mode, log, staging) -> None:
-    """Count the products by name and merge the counts; reads the name column only."""
+    """Count the products by name, reading that column only, and merge the counts that changed."""
     with log.phase("read", "Received", "products_agg", "products_agg") as count:
         seen = Observation(f"counts {batch_id}")
         made = count_by(products.current(), "name", "no_of_products")
@@ -199,5 +199,7 @@ def _refresh_counts(products, counts, batch_id, mode, log, staging) -> None:
     with log.phase("aggregate", "Transformed", "products_agg", "products_agg") as count:
         count["rows"] = seen.get["names"]
     with log.phase("load", "Delivered", "products_agg", "products_agg") as count:
+        if mode == "upsert":
+            fresh = staging.write(counts.changed(fresh), "changed")
         counts.merge_counts(fresh, batch_id, mode)
         count["rows"] = seen.get["names"]

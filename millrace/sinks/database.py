@@ -232,6 +232,9 @@ class DatabaseTable:
         """Upsert a transformed batch; the database stamps the rows it touches."""
         upsert_products(batch, self.connect, self.table, self.mark, self.max_connections, unless_equal)
 
+    def changed(self, counts: DataFrame) -> DataFrame:
+        return counts  # the database finds out
+
     def merge_counts(self, counts: DataFrame, batch_id: str, mode: str = "upsert") -> None:
         if mode != "upsert":
             raise ValueError("counts in a database are upserted, never removed")

@@ -196,8 +196,16 @@ class KeyedTable:
         merged = merge_rows(target, batch, (self.key,), update, stamp, stamp_column, unless_equal=unless_equal)
         self._write(merged, touched, before, batch_id, whole=False)
 
+    def changed(self, counts: DataFrame) -> DataFrame:
+        """Those of the fresh counts that the table does not hold already."""
+        same = [F.col(f"n.`{c}`") == F.col(f"o.`{c}`") for c in self.schema.names]
+        return counts.alias("n").join(self.current().alias("o"), same, "left_anti")
+
     def merge_counts(self, counts: DataFrame, batch_id: str, mode: str = "upsert") -> None:
-        """Merge a complete set of fresh counts by `merge_counts` and commit it."""
+        """Merge fresh counts by `merge_counts` and commit them; give a complete set to replace all.
+
+        An upsert rewrites only the buckets of the names it is given, see `changed`.
+        """
         before, touched = self.latest(), self._touched(counts)
         counts = counts.repartition(self.buckets, self.key)
         target = self.current(touched).repartition(self.buckets, self.key)

@@ -90,7 +90,7 @@ def test_transform_stays_in_the_jvm_and_distributed(spark, staging, monkeypatch)
     for plan in plans:
         assert "Python" not in plan and "SinglePartition" not in plan
     # counting by key and numbering the slices: two exchanges, each behind a fold or a key alone
-    assert [plan.count("Exchange") for plan in plans[:2]] == [1, 1]
+    assert plans[0].count("Exchange") <= 1 and plans[1].count("Exchange") == 1
     assert "partial_count" in plans[0] and "hashpartitioning(__slice" in plans[1] and "WindowGroupLimit" in plans[2]
 
 
@@ -172,7 +172,7 @@ def test_too_long_values_fail(job):
 
 
 def test_unreadable_source(job):
-    with pytest.raises(PhaseError, match="failed to read 0 records"):
+    with pytest.raises(PhaseError, match="could not read the batch, 0 rows in"):
         job.run(Source("X", f"{job.root}/missing.csv"), DAYS[0], schema=PRODUCT_FEED)
 
 
@@ -312,7 +312,7 @@ def test_csv_columns_are_named_by_the_header(spark, job, tmp_path):
 def test_a_file_with_other_columns_is_an_error(job, tmp_path):
     (tmp_path / "a.csv").write_text("sku,name,description\ns1,n,d\n")
     (tmp_path / "b.csv").write_text("name,sku,description\nn,s2,d\n")
-    with pytest.raises(PhaseError, match="failed to read"):
+    with pytest.raises(PhaseError, match="could not read"):
         job.run(Source("PRODUCTS", f"{tmp_path}/*.csv"), DAYS[0])
     (tmp_path / "c.tsv").write_text("sku,description\ns1,d\n")
     with pytest.raises(ConstraintError, match="no column name"):
@@ -361,3 +361,16 @@ def test_a_replayed_batch_is_stored_once(job):
     for _ in range(2):
         job.run(BATCH_3, DAYS[2], batch_id="stream-7")
     assert len(job.rows()) == 1 and job.products.latest()["version"] == 1
+
+
+def test_only_buckets_of_changed_counts_are_rewritten(spark, tmp_path):
+    job = Job(spark, str(tmp_path))
+    job.counts = KeyedTable(spark, f"{tmp_path}/counts", COUNTS, "name", 16)
+    job.run([(f"s{i}", f"n{i % 40}", "d") for i in range(80)], DAYS[0])
+    before = set(job.counts.current().inputFiles())
+    job.run([("t1", "n7", "d")], DAYS[1])
+    after = set(job.counts.current().inputFiles())
+    assert len(before - after) == 1 and len(after - before) == 1
+    assert dict(job.names()) == {f"n{i}": 3 if i == 7 else 2 for i in range(40)}
+    job.run([("t2", "n8", "d")], DAYS[2], counts_mode="replace")
+    assert dict(job.names())["n8"] == 3 and len(job.names()) == 40
