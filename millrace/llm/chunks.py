@@ -239,11 +239,12 @@ def decode_sorted(steps: np.ndarray) -> np.ndarray:
 class Repeats:
     """Which of a chunk's keys occur more than once anywhere, asked with ``bits`` bits of each key.
 
-    Fewer bits make smaller messages and some false repeats, never a missed one.
+    Fewer bits make smaller messages and some false repeats, never a missed one. Keys that
+    ``hot`` or more chunks hold are told apart from the others.
     """
 
-    def __init__(self, total: int, bits: int):
-        self.bits, self.shards = bits, shards_for(total)
+    def __init__(self, total: int, bits: int, hot: int | None = None):
+        self.bits, self.hot, self.shards = bits, hot, shards_for(total)
 
     def _sorted(self, keys: np.ndarray):
         return np.unique(keys >> np.uint64(64 - self.bits), return_inverse=True, return_counts=True)
@@ -256,26 +257,30 @@ class Repeats:
         if full:
             yield parts_batch(full, [chunk.number] * len(full), parts)
 
-    @staticmethod
-    def reduce(chunks: list[int], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    def reduce(self, chunks: list[int], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
         keys = [decode_sorted(decode(p)[0]) for p in parts]
         both = np.sort(np.concatenate(keys))
-        shared = both[1:][both[1:] == both[:-1]]
-        shared = shared[np.diff(shared, prepend=shared[:1] + np.uint64(1)) != 0]
+        begin = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        counts = np.diff(np.append(begin, len(both)))
+        shared, counts = both[begin[counts > 1]], counts[counts > 1]
+        hot = counts >= (self.hot or len(chunks) + 1)
         for chunk, own in zip(chunks, keys, strict=True):
             at = np.searchsorted(own, shared)
-            at = at[(at < len(own)) & (own[np.minimum(at, len(own) - 1)] == shared)]
-            if len(at):
-                flags = np.zeros(len(own), bool)
-                flags[at] = True
-                yield chunk, encode(np.packbits(flags))
-
-    def flags(self, keys: np.ndarray, reply: list[tuple[int, bytes]]) -> np.ndarray:
-        """For the keys that were asked: whether each occurs elsewhere, in this chunk or another."""
+            held = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == shared)
+            if held.any():
+                flags = np.zeros((2, len(own)), bool)
+                flags[0, at[held]] = True
+                flags[1, at[held & hot]] = True
+                yield chunk, encode(np.packbits(flags[0]), np.packbits(flags[1]))
+
+    def flags(self, keys: np.ndarray, reply: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """For the keys that were asked: whether each occurs elsewhere, here or in another chunk, and is hot."""
         distinct, place, counts = self._sorted(keys)
-        repeated = counts > 1
+        found = np.zeros((2, len(distinct)), bool)
+        found[0] = counts > 1
         edges = shard_edges(distinct, self.shards, self.bits)
         for shard, part in reply:
             low, high = edges[shard], edges[shard + 1]
-            repeated[low:high] |= np.unpackbits(decode(part)[0], count=int(high - low)).astype(bool)
-        return repeated[place]
+            for row, bits in zip(found, decode(part), strict=True):
+                row[low:high] |= np.unpackbits(bits, count=int(high - low)).astype(bool)
+        return found[0][place], found[1][place]

@@ -62,7 +62,7 @@ def _candidates(text: _Words, lengths: list[int], levels: list[Repeats], replies
         at = np.flatnonzero(cover(np.flatnonzero(whole), window - length + 1, len(whole)))
         repeated = np.zeros(len(whole), bool)
         if len(at):
-            repeated[at] = level.flags(text.windows(at, length), reply)
+            repeated[at], _ = level.flags(text.windows(at, length), reply)
         whole &= runs_of(repeated, window - length + 1)
     return whole
 
@@ -102,7 +102,7 @@ def remove_repeated_windows(
                 yield from level.ask(chunk, found.windows(at, length))
 
         parts = over_chunks(packed, ask, PARTS_TYPE, answers)
-        answers.append(to_chunks(by_shard(parts, Repeats.reduce), staging))
+        answers.append(to_chunks(by_shard(parts, level.reduce), staging))
         levels.append(level)
 
     def finish(chunk: Chunk, replies: list) -> Iterator[pa.RecordBatch]:

@@ -17,10 +17,13 @@ from millrace.llm.chunks import (
     Repeats,
     by_shard,
     decode,
+    decode_sorted,
     encode,
+    encode_sorted,
     over_chunks,
     pack,
     parts_batch,
+    shard_edges,
     shards_for,
     to_chunks,
     total_bytes,
@@ -29,6 +32,7 @@ from millrace.llm.hashing import byte_prefix, mix64, window_hash
 from millrace.staging import Staging
 
 GRAM = 32  # bytes of the string that an anchor starts with
+_ENTRIES, _HOT, _SPANS = range(3)  # kinds of parts that chunks send
 _PIECE = 1 << 17  # window starts hashed at a time
 SHARD_BYTES = 8 << 20
 _OUT = pa.schema(
@@ -201,7 +205,7 @@ def _contexts(chunk: Chunk, anchors: _Anchors, repeated: np.ndarray, window: int
     found = found[np.lexsort((anchors.low[found], rank[anchors.row[found]]))]
     body, seen = chunk.body, {}
     low, high, at = anchors.low[found].tolist(), anchors.high[found].tolist(), anchors.at[found].tolist()
-    first, later, of = [], [], []
+    first, later = [], []
     for i in range(len(found)):
         key = (body[low[i] : high[i] + window], at[i] - low[i])
         number = seen.setdefault(key, len(first))
@@ -209,9 +213,9 @@ def _contexts(chunk: Chunk, anchors: _Anchors, repeated: np.ndarray, window: int
             first.append(i)
         else:
             later.append(i)
-            of.append(number)
-    first, later, of = (np.array(x, np.int64) for x in (first, later, of))
+    first, later = np.array(first, np.int64), np.array(later, np.int64)
     shard = (anchors.keys[found[first]] % np.uint64(shards)).astype(np.int64)
+    parts = []
     for s in np.unique(shard).tolist():
         own = np.flatnonzero(shard == s)
         a = found[first[own]]
@@ -225,8 +229,8 @@ def _contexts(chunk: Chunk, anchors: _Anchors, repeated: np.ndarray, window: int
             row.astype(np.int32),
             anchors.low[a] - chunk.start[row],
         )
-        yield s, part
-    return found[later]
+        parts.append((s, part))
+    return parts, found[later]
 
 
 def encode_text(text: bytes, *arrays: np.ndarray) -> bytes:
@@ -318,9 +322,71 @@ def _reducer(window: int):
     return reduce
 
 
+class _HotWindows:
+    """The windows of a chunk's hot anchors, compared by 64-bit hashes instead of sorted suffixes.
+
+    Each distinct window is sent once, with the least doc_id that holds it here, so the edges of a
+    passage that very many documents share are spread over all shards.
+    """
+
+    def __init__(self, chunk: Chunk, anchors: _Anchors, hot: np.ndarray, window: int, shards: int):
+        low, size = anchors.low[hot], anchors.high[hot] - anchors.low[hot] + 1
+        at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        rank = np.empty(len(chunk), np.int64)
+        rank[np.argsort(chunk.ids, kind="stable")] = np.arange(len(chunk))
+        row = np.repeat(anchors.row[hot], size)
+        order = np.lexsort((at, rank[row]))
+        self.at, row = at[order], row[order]
+        sums = byte_prefix(chunk.data)
+        self.keys, self.first, self.place = np.unique(
+            window_hash(sums, self.at, self.at + window), return_index=True, return_inverse=True
+        )
+        self.ids = chunk.ids[row[self.first]]
+        self.edges = shard_edges(self.keys, shards)
+
+    def parts(self) -> Iterator[tuple[int, bytes]]:
+        for s in range(len(self.edges) - 1):
+            own = slice(self.edges[s], self.edges[s + 1])
+            if own.start < own.stop:
+                yield s, encode(encode_sorted(self.keys[own]), self.ids[own])
+
+    @staticmethod
+    def reduce(chunks: list[int], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """For each chunk, which of its windows start earlier in another one."""
+        asked = [decode(p) for p in parts]
+        keys = np.concatenate([decode_sorted(k) for k, _ in asked])
+        ids = np.concatenate([i for _, i in asked])
+        size = np.array([len(i) for _, i in asked])
+        source = np.repeat(np.arange(len(chunks)), size)
+        order = np.lexsort((source, ids, keys))
+        later = np.zeros(len(keys), bool)
+        later[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+        begin = np.cumsum(size) - size
+        for k, chunk in enumerate(chunks):
+            own = later[begin[k] : begin[k] + size[k]]
+            if own.any():
+                yield chunk, encode(np.packbits(own))
+
+    def removed(self, reply: list[tuple[int, bytes]]) -> np.ndarray:
+        """Starts of the windows that start earlier, here or elsewhere."""
+        later = np.ones(len(self.at), bool)
+        elsewhere = np.zeros(len(self.keys), bool)
+        for s, part in reply:
+            low, high = self.edges[s], self.edges[s + 1]
+            elsewhere[low:high] = np.unpackbits(decode(part)[0], count=int(high - low)).astype(bool)
+        later[self.first] = elsewhere
+        return self.at[later]
+
+
 def remove_earlier_strings(
-    docs: DataFrame, staging: Staging, *, id: str = "doc_id", text: str = "text", window: int = 100,
+    docs: DataFrame,
+    staging: Staging,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    window: int = 100,
     chunk_bytes: int = CHUNK_BYTES,
+    hot_chunks: int = 64,
 ) -> DataFrame:
     """Remove every byte covered by a ``window``-byte string that also starts earlier.
 
@@ -330,7 +396,9 @@ def remove_earlier_strings(
     anywhere are dropped by an exchange of hashes. The stretches around the others meet in shards;
     there the suffixes to the right and the reversed prefixes to the left of the anchors are put
     in order, multikey quicksort first and blind tries below its shallow depth. Two windows are
-    equal where both orders show enough shared bytes, which compares the bytes themselves.
+    equal where both orders show enough shared bytes, which compares the bytes themselves. Anchors
+    that ``hot_chunks`` or more chunks hold would gather in one shard; their windows are compared
+    by 64-bit hashes, spread over all shards, with the same result.
 
     Returns ``doc_id``, ``text`` (remaining bytes, binary because a cut may split a character),
     ``n_bytes``, ``n_removed``, ``n_spans`` and ``spans`` (start and end of each maximal removed
@@ -340,7 +408,8 @@ def remove_earlier_strings(
     """
     packed = pack(docs, staging, id, text, chunk_bytes)
     size = total_bytes(packed)
-    seen = Repeats(size // 30, min(64, max(44, math.ceil(math.log2(size + 1)) + 8)))
+    bits = min(64, max(44, math.ceil(math.log2(size + 1)) + 8))
+    seen = Repeats(size // 30, bits, hot_chunks)
     shards = shards_for(size, SHARD_BYTES)
 
     def ask(chunk: Chunk, _):
@@ -348,42 +417,49 @@ def remove_earlier_strings(
         if len(anchors.keys):
             yield from seen.ask(chunk, anchors.keys)
 
-    answers = to_chunks(by_shard(over_chunks(packed, ask, PARTS_TYPE), Repeats.reduce), staging)
+    answers = to_chunks(by_shard(over_chunks(packed, ask, PARTS_TYPE), seen.reduce), staging)
 
     def gather(chunk: Chunk, replies: list):
         anchors = _Anchors(chunk, window)
         if not len(anchors.keys):
             return
-        repeated = seen.flags(anchors.keys, replies[0])
-        entries = _contexts(chunk, anchors, repeated, window, shards)
-        own = []
-        while True:
-            try:
-                own.append(next(entries))
-            except StopIteration as end:
-                copies = end.value
-                break
-        if own:
-            yield parts_batch([s for s, _ in own], [chunk.number] * len(own), [p for _, p in own])
+        repeated, hot = seen.flags(anchors.keys, replies[0])
+        entries, copies = _contexts(chunk, anchors, repeated & ~hot, window, shards)
+        parts = [(s, _ENTRIES, p) for s, p in entries]
+        if hot.any():
+            parts += [(s, _HOT, p) for s, p in _HotWindows(chunk, anchors, hot, window, shards).parts()]
         if len(copies):
             row = anchors.row[copies]
             spans = encode(
                 row.astype(np.int32), anchors.low[copies] - chunk.start[row], anchors.high[copies] - anchors.low[copies]
             )
-            yield parts_batch([-1], [chunk.number], [spans])
+            parts.append((0, _SPANS, spans))
+        if parts:
+            kinds = [k * shards + s for s, k, _ in parts]
+            yield parts_batch(kinds, [chunk.number] * len(parts), [p for _, _, p in parts])
 
     gathered = staging.write(over_chunks(packed, gather, PARTS_TYPE, [answers]), "contexts")
-    found = by_shard(gathered.filter("shard >= 0"), _reducer(window)).union(gathered.filter("shard < 0"))
-    spans = to_chunks(found, staging)
+    of = lambda kind: gathered.filter(
+        (F.col("shard") >= kind * shards) & (F.col("shard") < (kind + 1) * shards)
+    ).withColumn("shard", F.col("shard") - kind * shards)
+    spans = to_chunks(by_shard(of(_ENTRIES), _reducer(window)).union(of(_SPANS)), staging)
+    earlier = to_chunks(by_shard(of(_HOT), _HotWindows.reduce), staging)
+    staging.remove(gathered)
 
     def finish(chunk: Chunk, replies: list):
         n = len(chunk.data)
         change = np.zeros(n + 1, np.int64)
-        for _, part in replies[0]:
+        for _, part in replies[1]:
             row, start, more = decode(part)
             begin = chunk.start[row] + start
             np.add.at(change, begin, 1)
             np.add.at(change, begin + more + window, -1)
+        if any(decode(part)[1].any() for _, part in replies[0]):  # the chunk holds hot anchors
+            anchors = _Anchors(chunk, window)
+            _, hot = seen.flags(anchors.keys, replies[0])
+            begin = _HotWindows(chunk, anchors, hot, window, shards).removed(replies[2])
+            np.add.at(change, begin, 1)
+            np.add.at(change, begin + window, -1)
         removed = np.cumsum(change[:-1]) > 0
         edge = np.diff(removed.astype(np.int8), prepend=0, append=0)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -412,4 +488,4 @@ def remove_earlier_strings(
         )
 
     schema = "doc_id long, text binary, n_bytes long, n_removed long, n_spans long, spans array<array<long>>"
-    return over_chunks(packed, finish, schema, [spans])
+    return over_chunks(packed, finish, schema, [answers, spans, earlier])

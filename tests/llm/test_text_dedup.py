@@ -132,11 +132,12 @@ def earlier_strings(rows, window):
     return out
 
 
-@pytest.mark.parametrize("chunk_bytes", [500, 1 << 22])
+@pytest.mark.parametrize(("chunk_bytes", "hot"), [(500, 64), (500, 2), (2000, 4), (1 << 22, 64)])
 @pytest.mark.parametrize("window", [100, 50])
-def test_suffixes_match_brute_force(spark, staging, chunk_bytes, window):
+def test_suffixes_match_brute_force(spark, staging, chunk_bytes, hot, window):
     ids = random.sample(range(1000), len(TEXTS))
-    out = remove_earlier_strings(frame(spark, TEXTS, ids), staging, window=window, chunk_bytes=chunk_bytes).collect()
+    table, settings_ = frame(spark, TEXTS, ids), {"window": window, "chunk_bytes": chunk_bytes, "hot_chunks": hot}
+    out = remove_earlier_strings(table, staging, **settings_).collect()
     got = sorted((r["doc_id"], hashlib.sha256(r["text"]).hexdigest(), *list(r)[2:5]) for r in out)
     assert got == earlier_strings(sorted(zip(ids, TEXTS, strict=True), key=lambda x: x[0]), window)
     for r in out:
