@@ -14,7 +14,7 @@ from millrace.llm.hashing import byte_prefix, mix64, prefix, window_hash, words
 from millrace.staging import Staging
 
 BANDS, ROWS = 36, 6
-GRID = 256  # documents on a side of a cell when a bucket's remaining pairs are compared
+GRID = 256  # documents on a side of a cell when members of a bucket's groups are compared
 _PIECE = 1 << 20  # bytes of text hashed at a time
 _BLOCK = 1 << 15  # shingles permuted at a time
 _SHARED = 4096  # shingles of an incidence block
@@ -262,7 +262,8 @@ def link_documents(
     with one least class of its buckets, then with the least class of every bucket in which the
     two are not in one group yet; a bucket costs at most as many comparisons as it has members.
     Where a bucket still holds several groups, members of different groups are compared in cells
-    of two bounded blocks, each of which gives a forest of the links it finds. So no pair that
+    of two bounded blocks, each of which gives a forest of the links it finds; the blocks of the
+    largest group there only meet those of the others. So no pair that
     shares a bucket goes unchecked unless its documents are connected already, and pairs inside a
     large group of copies are never made.
 
@@ -314,13 +315,21 @@ def link_documents(
         rest.groupBy("key")
         .agg(F.count("*").alias("members"), F.min("component").alias("least"), F.max("component").alias("most"))
         .filter("members > 2 and least <> most")  # two members have been compared
-        .select("key", "members")
+        .select("key")
     )
     rest = staging.write(rest.join(mixed, "key"), "rest")
-    blocks = F.ceil(F.col("members") / GRID).cast("int")
+    # No pair inside one group is needed, so the blocks of a bucket's largest group only meet the
+    # blocks of all others, numbered from 0 on; these meet each other too.
+    groups_in = rest.groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = groups_in.groupBy("key").agg(F.max(F.struct("size", "component")).alias("hub"), F.sum("size").alias("all"))
+    hubs = F.ceil(F.col("hub.size") / GRID).cast("int")
+    others = F.ceil((F.col("all") - F.col("hub.size")) / GRID).cast("int")
+    draw, in_hub = F.xxhash64("cls"), F.col("component") == F.col("hub.component")
+    block = F.when(in_hub, others + F.pmod(draw, hubs)).otherwise(F.pmod(draw, others)).cast("int")
+    last = F.when(in_hub, others).otherwise(others + hubs) - 1
     celled = (
-        rest.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-        .withColumn("partner", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        rest.join(largest, "key")
+        .select("key", "cls", "component", "n", block.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("partner"))
         .withColumn("low", F.least("block", "partner"))
         .withColumn("high", F.greatest("block", "partner"))
         .join(sets, "cls")

@@ -139,6 +139,22 @@ def test_pairs_that_miss_the_least_document_are_found(spark, staging):
     assert ordered(tuple(r)[:3] for r in out) == brute_documents(rows, 2)
 
 
+def test_large_mixed_buckets_are_compared_in_cells(spark, staging, monkeypatch):
+    """Templates that are nearly near enough: few least documents, many groups, blocks of three."""
+    monkeypatch.setattr("millrace.llm.minhash.GRID", 3)
+    random.seed(9)
+    base, texts = [f"t{i}" for i in range(60)], []
+    for _ in range(90):
+        text = list(base)
+        for k in random.sample(range(60), random.randint(0, 5)):
+            text[k] = f"x{random.randrange(10)}"
+        texts.append(" ".join(text))
+    rows = list(enumerate(texts))
+    out = link_documents(spark.createDataFrame(rows, "doc_id long, text string"), staging, shingle=2).collect()
+    wanted = brute_documents(rows, 2)
+    assert ordered(tuple(r)[:3] for r in out) == wanted and len({w[2] for w in wanted}) > 5
+
+
 def test_empty_documents(spark, staging):
     assert link_documents(spark.createDataFrame([], "doc_id long, text string"), staging).count() == 0
 
