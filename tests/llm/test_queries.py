@@ -1,0 +1,50 @@
+"""Every training-data query on the smallest tables: against its SQL, or its columns and rows."""
+
+import os
+
+import duckdb
+import pytest
+from conftest import DATA
+
+from millrace.llm import queries
+
+# The columns that each query must return; more may follow.
+COLUMNS = {
+    "op1": "vec_id n_links component_id kept",
+    "op2": "doc_id n_words n_removed kept_sha256",
+    "op3": "doc_id held_out score predicted",
+    "op4": "doc_id n_lines n_dropped kept_sha256",
+    "op5": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op6": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op7": "doc_id source",
+    "op8": "doc_id n_shingles component_id kept",
+    "op9": "doc_id held_out lang_pred score",
+    "op10": "doc_id n_bytes n_removed n_spans kept_sha256",
+}
+KINDS = {"score": "double", "predicted": "int", "held_out": "boolean", "kept": "boolean", "base_failed": "boolean"}
+
+
+@pytest.fixture(scope="module")
+def database():
+    connection = duckdb.connect()
+    for file in os.listdir(DATA):
+        connection.execute(f"create view {file.removesuffix('.parquet')} as select * from '{DATA}/{file}'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_query(spark, database, name):
+    made = queries.queries()[name](spark, DATA)
+    wanted = COLUMNS[name.split("_")[0]].split()
+    assert made.columns[: len(wanted)] == wanted
+    for field, kind in made.dtypes:
+        text = field.endswith("sha256") or field in ("lang_pred", "source")
+        assert field not in wanted or kind == KINDS.get(field, "string" if text else "bigint"), field
+    rows = made.collect()
+    table = "embeddings" if name.startswith("op1_") else "documents"
+    assert len(rows) == database.execute(f"select count(*) from {table}").fetchone()[0]
+    if name in queries.oracle_sql():
+        found = database.execute(queries.oracle_sql()[name])
+        names = [c[0] for c in found.description]
+        assert sorted(names) == sorted(made.columns)
+        assert sorted(repr(tuple(r[c] for c in names)) for r in rows) == sorted(map(repr, found.fetchall()))
