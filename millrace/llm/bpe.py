@@ -120,10 +120,11 @@ def encode_texts(
     """Encode every whole text: each match of ``pattern`` by itself, by the merges of ``tokens``.
 
     Returns ``doc_id``, ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens`` for every
-    row, and with ``decode`` also ``decoded``, as `decode_ids` makes it, in the same tasks. A null text encodes as an empty one; a null id stays null; other columns are ignored. The
-    model is made once from the vocabulary and travels with the tasks (some 2 MB, as large as the
-    vocabulary). Each task remembers at most ``CACHE_ENTRIES`` pre-tokens and takes a long text a
-    few thousand pre-tokens at a time.
+    row, and with ``decode`` also ``decoded``, as `decode_ids` makes it, in the same tasks. A null
+    text encodes as an empty one; a null id stays null; other columns are ignored. The model is
+    made once from the vocabulary and travels with the tasks (some 2 MB, as large as the
+    vocabulary). Each task remembers at most ``CACHE_ENTRIES`` pre-tokens and takes a long text
+    some ten thousand pre-tokens at a time.
     """
     model = bpe_model(tokens)
 

@@ -55,12 +55,16 @@ def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
     return out
 
 
-def _permute(x: np.ndarray) -> np.ndarray:
+# Two permutations of the 32-bit numbers, each by a pair of odd multipliers.
+_PLACING, _RANKING = (_U32(0x85EBCA6B), _U32(0xC2B2AE35)), (_U32(0x7FEB352D), _U32(0x846CA68B))
+
+
+def _permute(x: np.ndarray, by: tuple) -> np.ndarray:
     """A permutation of the 32-bit numbers, in place."""
     x ^= x >> _U32(16)
-    x *= _U32(0x7FEB352D)
+    x *= by[0]
     x ^= x >> _U32(15)
-    x *= _U32(0x846CA68B)
+    x *= by[1]
     x ^= x >> _U32(16)
     return x
 
@@ -68,13 +72,13 @@ def _permute(x: np.ndarray) -> np.ndarray:
 def signatures(sets: list[np.ndarray], length: int) -> np.ndarray:
     """Circulant MinHash of non-empty sets.
 
-    Shingles are placed by one permutation of the 32-bit numbers (their hash, cut to 32 bits).
+    Shingles, cut to 32 bits of their hash, are placed by a first permutation of the 32-bit numbers.
     Coordinate k is the least value of a second permutation, shifted circularly by k, over the
     set's places; so two permutations give all coordinates.
     """
     out = np.full((len(sets), length), np.iinfo(_U32).max, _U32)
     size = np.array([len(s) for s in sets])
-    placed = np.concatenate(sets).astype(_U32) if len(sets) else np.zeros(0, _U32)
+    placed = _permute(np.concatenate(sets).astype(_U32), _PLACING) if len(sets) else np.zeros(0, _U32)
     begin = np.cumsum(size) - size
     for at in range(0, len(placed), _BLOCK):
         block = placed[at : at + _BLOCK]
@@ -82,7 +86,7 @@ def signatures(sets: list[np.ndarray], length: int) -> np.ndarray:
         high = np.searchsorted(begin, at + len(block))
         cuts = np.maximum(begin[low:high] - at, 0)
         for k in range(length):
-            own = np.minimum.reduceat(_permute(block + _U32(k + 1)), cuts)
+            own = np.minimum.reduceat(_permute(block + _U32(k), _RANKING), cuts)
             np.minimum(out[low:high, k], own, out=out[low:high, k])
     return out
 
@@ -149,13 +153,11 @@ def _sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, size: int) ->
                 sets = shingle_sets(part.column(4).to_pylist(), size)
                 digest = part.column(2).to_numpy()
                 # Rows that share an id but not the text are no member of the class.
-                same = [
-                    i for i, s in enumerate(sets) if len(s) and np.bitwise_xor.reduce(mix64(s)).astype(np.int64) == digest[i]
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i].tobytes() for i in same], pa.binary())],
-                    ["cls", "shingles"],
-                )
+                marks = [np.bitwise_xor.reduce(mix64(s)).astype(np.int64) if len(s) else None for s in sets]
+                same = [i for i, mark in enumerate(marks) if mark == digest[i]]
+                own = part.column(0).take(pa.array(same, pa.int64()))
+                shingles = pa.array([sets[i].tobytes() for i in same], pa.binary())
+                yield pa.RecordBatch.from_arrays([own, shingles], ["cls", "shingles"])
 
     return rows.mapInArrow(run, "cls long, shingles binary").dropDuplicates(["cls"])
 

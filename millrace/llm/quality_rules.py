@@ -94,8 +94,8 @@ def votes() -> dict[str, Column]:
         "capitals": bad(_over("n_capitals", 50, "n_letters")),
         "marks": bad(_over("n_marked", 25, "n_words")),
         "letters": bad(_over("word_chars", 166, "n_letters")),
-        "word_length": F.when((F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 15 * F.col("n_words")), -1)
-        .when((F.col("word_chars") >= 3 * F.col("n_words")) & (F.col("word_chars") <= 10 * F.col("n_words")) & prose, 1)
+        "word_length": F.when(~F.col("word_chars").between(2 * F.col("n_words"), 15 * F.col("n_words")), -1)
+        .when(F.col("word_chars").between(3 * F.col("n_words"), 10 * F.col("n_words")) & prose, 1)
         .otherwise(0),
         "vocabulary": F.when(_over("n_words", 1000, "n_distinct"), -1)
         .when(_over("n_distinct", 25, "n_words") & prose, 1)
