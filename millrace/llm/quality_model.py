@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.llm.hashing import mix64
 
 BUCKETS, DIMS, NEIGHBOURS = 1 << 14, 32, 2
+FEATURES = 2 * DIMS + 4
 _TOKEN = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+")
 _SPLIT = 1 << 16  # tokens taken at a time
 
@@ -108,9 +109,23 @@ def word_vectors(docs: DataFrame, *, text: str = "text") -> np.ndarray:
     return vectors
 
 
+def _alike(vectors: np.ndarray, buckets: np.ndarray, step: int) -> float:
+    """Mean product of the vectors of words ``step`` apart, some words at a time."""
+    total, pairs = 0.0, max(1, len(buckets) - step)
+    for at in range(0, len(buckets) - step, _SPLIT):
+        one = vectors[buckets[at : at + _SPLIT][: len(buckets) - step - at]]
+        two = vectors[buckets[at + step : at + step + _SPLIT]]
+        total += float(np.einsum("ij,ij->", one, two))
+    return total / pairs
+
+
 def pooled(text: str | None, tokens: Tokens, vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of a whole text's word vectors, the spread of its words and its length."""
-    out = np.zeros(2 * DIMS + 2, np.float32)
+    """A whole text's word vectors pooled: their mean and spread, and how alike neighbours are.
+
+    The last places hold the concentration of the words, the mean products of vectors one and two
+    words apart, and the length.
+    """
+    out = np.zeros(FEATURES, np.float32)
     buckets = tokens(text) if text else np.zeros(0, np.int32)
     n = len(buckets)
     if n:
@@ -120,7 +135,9 @@ def pooled(text: str | None, tokens: Tokens, vectors: np.ndarray) -> np.ndarray:
         mean = (own * weight).sum(axis=0)
         out[:DIMS] = mean
         out[DIMS : 2 * DIMS] = np.sqrt(np.maximum((own * own * weight).sum(axis=0) - mean * mean, 0))
-        out[-2] = np.sqrt((weight * weight).sum())
+        out[-4] = np.sqrt((weight * weight).sum())
+        for step in (1, 2):
+            out[-4 + step] = _alike(vectors, buckets, step)
     out[-1] = np.log1p(n) / 10
     return out
 
@@ -157,7 +174,8 @@ class TwoLayerNet:
                 hidden = np.tanh(z[own] @ p["w1"] + p["b1"])
                 error = (1 / (1 + np.exp(-np.clip(hidden @ p["w2"] + p["b2"], -40, 40))) - y[own]) / len(own)
                 back = error[:, None] * p["w2"] * (1 - hidden * hidden)
-                grads = {"w1": z[own].T @ back, "b1": back.sum(axis=0), "w2": hidden.T @ error, "b2": error.sum(keepdims=True)}
+                grads = {"w1": z[own].T @ back, "b1": back.sum(axis=0), "w2": hidden.T @ error}
+                grads["b2"] = error.sum(keepdims=True)
                 speed = rate * (1 - epoch / epochs) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
                 for k, g in grads.items():
                     g = g + decay * p[k]
@@ -199,7 +217,7 @@ def train_quality_model(
         .agg((F.avg(F.col(f"`{label}`").cast("double")) >= 0.5).cast("int").alias("y"))
     )
     n = known.count()
-    net = TwoLayerNet(2 * DIMS + 2)
+    net = TwoLayerNet(FEATURES)
     if not n:
         net.params["w2"][:] = 0
         return net
