@@ -25,7 +25,7 @@ from millrace.staging import Staging, local_table
 
 _VALID = "row_is_valid"
 #: Text of a CSV row with more or fewer fields than the header; null for all others.
-_MALFORMED = "malformed_row"
+MALFORMED = "malformed_row"
 
 BATCHES = T.StructType(
     [
@@ -145,15 +145,15 @@ def _receive(
     spark, source, schema, prepare, required, staging, count, rejects_path, batch_id, allow_empty
 ) -> DataFrame:
     """Read the source once into a staged table split by validity; returns the valid rows."""
-    raw = source if isinstance(source, DataFrame) else read_source(spark, source, schema, _MALFORMED)
+    raw = source if isinstance(source, DataFrame) else read_source(spark, source, schema, MALFORMED)
     well_formed = F.lit(True)
-    if _MALFORMED in raw.columns:
-        well_formed = F.col(_MALFORMED).isNull()
+    if MALFORMED in raw.columns:
+        well_formed = F.col(MALFORMED).isNull()
     feed = raw
     if prepare:
         feed = prepare(raw)
-        if _MALFORMED in raw.columns and _MALFORMED not in feed.columns:
-            raise ConstraintError(f"prepare must keep the column {_MALFORMED} of rows that could not be read")
+        if MALFORMED in raw.columns and MALFORMED not in feed.columns:
+            raise ConstraintError(f"prepare must keep the column {MALFORMED} of rows that could not be read")
     missing = [c for c in required if c not in feed.columns]
     if missing:
         raise ConstraintError(f"the source has no column {', '.join(missing)}")
@@ -165,7 +165,7 @@ def _receive(
         raise EmptySourceError("the source has no records")
     if seen.get["rejected"]:
         write_rejects(staged.filter(~F.col(_VALID)).drop(_VALID), rejects_path, batch_id)
-    return staged.filter(F.col(_VALID)).drop(_VALID, _MALFORMED)
+    return staged.filter(F.col(_VALID)).drop(_VALID, MALFORMED)
 
 
 def _transform(valid, run_date, staging, products, max_lengths, not_null, null_text) -> tuple[DataFrame, int]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.plans.ingest import run_ingest
+from millrace.plans.ingest import MALFORMED, run_ingest
 from millrace.sinks.tables import KeyedTable
 from millrace.staging import read_text
 
@@ -24,8 +24,16 @@ def read_new_files(
     """A streaming DataFrame over a folder of files.
 
     A stream's columns are fixed when it starts; CSV files whose header names others are an error.
+    A CSV stream has a further column with the text of rows that have more or fewer fields than the
+    header, null for all others, by which `ingest_new_files` rejects them.
     """
-    defaults = {"header": "true", "escape": '"', "multiLine": "true", "enforceSchema": "false"} if format == "csv" else {}
+    defaults = {}
+    if format == "csv":
+        defaults = {"header": "true", "escape": '"', "multiLine": "true", "enforceSchema": "false"}
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+        options = {k: v for k, v in options.items() if k.lower() != "columnnameofcorruptrecord"}
+        options["columnNameOfCorruptRecord"] = MALFORMED
     reader = spark.readStream.format(format).schema(schema).options(**{**defaults, **options})
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -345,6 +345,21 @@ def test_a_delivery_without_rows_does_not_stop_the_next(spark, job, tmp_path):
     assert [r[1] for r in job.rows()] == ["s1"] and job.names() == [("Ann", 1)]
 
 
+@pytest.mark.parametrize("schema", [PRODUCT_FEED, "sku string, name string, description string"])
+def test_a_stream_rejects_rows_with_other_fields_than_the_header(spark, job, tmp_path, schema):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "1.csv").write_text("sku,name,description\ns1,Ann,d\ns2,Bob, Jr,d2\ns3,Cid\ns4,\"Dee, Jr\",d4\n")
+    stream = read_new_files(spark, str(inbox), schema)
+    ingest_new_files(
+        stream, job.products, job.counts, f"{tmp_path}/ckpt", rejects_path=f"{tmp_path}/r", run_date=DAYS[0]
+    ).awaitTermination()
+    assert [r[1:3] for r in job.rows()] == [("s1", "Ann"), ("s4", "Dee, Jr")]
+    assert job.names() == [("Ann", 1), ("Dee, Jr", 1)]
+    rejects = spark.read.option("header", "true").csv(f"{tmp_path}/r")
+    assert {(r.sku, r.malformed_row) for r in rejects.collect()} == {("s2", "s2,Bob, Jr,d2"), ("s3", "s3,Cid")}
+
+
 def test_two_streams_feed_one_table(spark, job, tmp_path):
     for k in range(2):
         (tmp_path / f"inbox{k}").mkdir()
