@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.graphs import components
@@ -99,12 +99,25 @@ def _jaccard(one: np.ndarray, two: np.ndarray) -> tuple[int, int]:
     return both, len(one) + len(two) - both
 
 
+def text_mark(text: Column) -> Column:
+    """A digest that tells texts apart; with the id it stands for a row, and for repeats of that row."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def _plain(docs: DataFrame, id: str, text: str) -> DataFrame:
-    return docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
+    whole = F.col(f"`{text}`")
+    return docs.select(
+        F.col(f"`{id}`").cast("long").alias("doc_id"), whole.cast("binary").alias("text"), text_mark(whole).alias("mark")
+    )
+
+
+def _first(id: str, mark: str) -> Column:
+    """A value that orders rows by id, null ids last, and then by their text's mark."""
+    return F.struct(F.col(id).isNull().alias("unnamed"), F.col(id), F.col(mark))
 
 
 def _sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """For each row: set size, 128-bit digest of the set, and one key for each band."""
+    """For each row: the text's mark, set size, 128-bit digest of the set, and one key for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix64(np.arange(1, bands + 1, dtype=np.uint64))
@@ -130,35 +143,37 @@ def _sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array(n),
                         pa.array(digest[0]),
                         pa.array(digest[1]),
                         pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
                     ],
-                    ["doc_id", "n", "d1", "d2", "keys"],
+                    ["doc_id", "mark", "n", "d1", "d2", "keys"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, mark binary, n long, d1 long, d2 long, keys array<long>")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """(cls, shingles) of the needed classes, from the text of each one's first document."""
-    wanted = classes.join(needed, "cls").select("cls", "first_id", "n", "d1", "d2")
-    rows = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"])).select("cls", "n", "d1", "d2", "text")
+    """(cls, shingles) of the needed classes, from the text of each one's first row.
+
+    A row is found by its id and its text's mark, so rows that share an id, or have none, do not
+    meet the classes of each other.
+    """
+    wanted = classes.join(needed, "cls").select("cls", "first.doc_id", "first.mark")
+    same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["mark"] == wanted["mark"])
+    rows = docs.join(wanted, same).select("cls", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sets = shingle_sets(part.column(4).to_pylist(), size)
-                digest = part.column(2).to_numpy()
-                # Rows that share an id but not the text are no member of the class.
-                marks = [np.bitwise_xor.reduce(mix64(s)).astype(np.int64) if len(s) else None for s in sets]
-                same = [i for i, mark in enumerate(marks) if mark == digest[i]]
-                own = part.column(0).take(pa.array(same, pa.int64()))
-                shingles = pa.array([sets[i].tobytes() for i in same], pa.binary())
-                yield pa.RecordBatch.from_arrays([own, shingles], ["cls", "shingles"])
+                sets = shingle_sets(part.column(1).to_pylist(), size)
+                shingles = pa.array([s.tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), shingles], ["cls", "shingles"])
 
+    # Repeats of the row give the same set.
     return rows.mapInArrow(run, "cls long, shingles binary").dropDuplicates(["cls"])
 
 
@@ -256,6 +271,7 @@ def link_documents(
     percent: int = 80,
     bands: int = BANDS,
     rows: int = ROWS,
+    marks: bool = False,
 ) -> DataFrame:
     """Groups of documents whose shingle sets overlap by ``percent`` of their union or more.
 
@@ -274,13 +290,17 @@ def link_documents(
     and ``kept``. Null and empty texts, and those without words, have no shingles and link with
     nothing. Rows that share an id and the text link as copies. A null id stays null, loses to any
     other as component_id, and is kept only if its group has no other id.
+
+    With ``marks`` there are also ``mark`` (`text_mark` of the row's text) and ``chosen``: true for
+    one document of each group, the least by (doc_id, mark) with null ids last, and for exact
+    repeats of its row, with the same id and text. It is true for rows that have no shingles.
     """
     plain = _plain(docs, id, text)
     sketched = staging.write(_sketches(plain, shingle, bands, rows), "sketches")
     classes = (
         sketched.filter("n > 0")
         .groupBy("d1", "d2", "n")
-        .agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"), F.count("*").alias("copies"))
+        .agg(F.min(_first("doc_id", "mark")).alias("first"), F.first("keys").alias("keys"), F.count("*").alias("copies"))
         .withColumn("cls", F.monotonically_increasing_id())
     )
     classes = staging.write(classes, "classes")
@@ -343,14 +363,17 @@ def link_documents(
     joined = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
     )
-    least = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    known = joined.join(least, "component").select("d1", "d2", "n", "component_id")
-    out = sketched.select("doc_id", "n", "d1", "d2")
-    linked = out.filter("n > 0").join(known, ["d1", "d2", "n"]).select("doc_id", "n", "component_id")
-    alone = out.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    least = joined.groupBy("component").agg(F.min("first").alias("least"))
+    known = joined.join(least, "component").select("d1", "d2", "n", "least")
+    own = ["doc_id", "n", "mark"]
+    out = sketched.select(*own, "d1", "d2")
+    linked = out.filter("n > 0").join(known, ["d1", "d2", "n"]).select(*own, "least")
+    alone = out.filter("n = 0").select(*own, _first("doc_id", "mark").alias("least"))
+    kept = F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
     return linked.unionByName(alone).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.col("least.doc_id").alias("component_id"),
+        kept.alias("kept"),
+        *(["mark", (kept & F.col("mark").eqNullSafe(F.col("least.mark"))).alias("chosen")] if marks else []),
     )

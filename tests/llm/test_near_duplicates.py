@@ -155,6 +155,28 @@ def test_large_mixed_buckets_are_compared_in_cells(spark, staging, monkeypatch):
     assert ordered(tuple(r)[:3] for r in out) == wanted and len({w[2] for w in wanted}) > 5
 
 
+def test_rows_without_an_id_or_with_a_shared_one_meet_no_class_of_another(spark, staging, monkeypatch):
+    """Texts under no id, or under one id, are fetched once for each class, not once for each pair."""
+    random.seed(4)
+    words = [f"w{i}" for i in range(3_000)]
+    base = [[random.choice(words) for _ in range(30)] for _ in range(40)]
+    texts = [" ".join(b) for b in base] + [" ".join([*b, f"more{i}"]) for i, b in enumerate(base)]
+    rows = [(None if i % 2 else 5, t) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, kind = [], type(table)
+    mapped = kind.mapInArrow
+
+    def counted(self, run, schema, *more, **settings):
+        if schema == "cls long, shingles binary":
+            seen.append(self.count())
+        return mapped(self, run, schema, *more, **settings)
+
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    out = link_documents(table, staging, shingle=2).collect()
+    assert ordered(tuple(r)[:3] for r in out) == brute_documents(rows, 2)
+    assert seen and 0 < max(seen) <= len(rows)
+
+
 def test_empty_documents(spark, staging):
     assert link_documents(spark.createDataFrame([], "doc_id long, text string"), staging).count() == 0
 
