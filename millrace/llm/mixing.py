@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import batched
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +18,7 @@ from millrace.staging import Staging
 
 SLOTS = 1024  # about as many slots as a period has; more where there are many sources
 BLOCK_ROWS = 16
+PIECE = 1 << 20  # blocks of a schedule that the driver holds at a time
 
 
 def quotas(weights: dict, slots: int = SLOTS) -> dict:
@@ -21,25 +27,47 @@ def quotas(weights: dict, slots: int = SLOTS) -> dict:
     return {name: max(1, int(slots * w / total + 0.5)) for name, w in weights.items()}
 
 
-def schedule(quota: list[int]) -> list[tuple[int, int, int]]:
-    """(source, block, slot) for one period: earliest deadline first among released blocks.
+def pfair(weights: list, blocks: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(source, block, slot) of so many blocks of each source: earliest deadline first among released blocks.
 
-    With q of n slots, block j (from 0) of a source is released at j * n / q, rounded down, and
-    due by (j + 1) * n / q, rounded up. Each block then gets a slot inside its window, so after
-    any number of slots a source is less than one block from its exact share.
+    With a share w of all weights, block j (from 0) of a source is released at j / w, rounded down,
+    and due by (j + 1) / w, rounded up, in exact fractions. Each block gets a slot inside its
+    window, so after any number of slots a source with blocks left is less than one block from its
+    exact share. Slots in which no block is released stay empty.
     """
-    n, out = sum(quota), []
-    waiting = [(0, source, 0) for source in range(len(quota))]
-    heapq.heapify(waiting)
+    total = sum(map(Fraction, weights))
+    spans = [(total / Fraction(w)).as_integer_ratio() for w in weights]  # slots for each block
+    waiting = [(0, source, 0) for source, n in enumerate(blocks) if n]
     ready: list[tuple[int, int, int]] = []
-    for slot in range(n):
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, source, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(block + 1) * n // quota[source]), source, block))
+            over, under = spans[source]
+            heapq.heappush(ready, (-(-(block + 1) * over // under), source, block))
         _, source, block = heapq.heappop(ready)
-        out.append((source, block, slot))
-        if block + 1 < quota[source]:
-            heapq.heappush(waiting, ((block + 1) * n // quota[source], source, block + 1))
+        yield source, block, slot
+        slot += 1
+        if block + 1 < blocks[source]:
+            over, under = spans[source]
+            heapq.heappush(waiting, ((block + 1) * over // under, source, block + 1))
+
+
+def schedule(quota: list[int]) -> list[tuple[int, int, int]]:
+    """(source, block, slot) for one period in which each source gets its quota of blocks."""
+    return list(pfair(quota, quota))
+
+
+def _staged(slots: Iterator[tuple[int, int, int]], staging: Staging) -> DataFrame:
+    """A schedule as a staged table, written a bounded piece at a time."""
+    names = ["number", "mix_block", "slot"]
+    out = staging.spark.range(0).select(*[F.col("id").alias(n) for n in names])
+    for piece in batched(slots, PIECE):
+        columns = np.array(piece, np.int64).T
+        table = pa.table([pa.array(c) for c in columns], names=names)
+        out = out.unionByName(staging.write(staging.spark.createDataFrame(table), "schedule"))
     return out
 
 
@@ -62,19 +90,26 @@ def mix_sources(
 ) -> DataFrame:
     """Give every row its place in a mixture that follows target weights from its first block on.
 
-    ``weights`` maps each source (None for rows without one) to its target; without it a source of
-    n rows weighs n to the ``power``. Rows of a source are put in order of a hash of their id and
-    cut into blocks of ``block_rows``. A Pfair schedule of one period, made on the driver, says
-    which slot each block takes; it repeats, so all rows are placed by a join with its bounded
-    table. As long as every source has blocks left, each is less than one block from its target
-    after every slot; a source that has run out leaves its slots empty, and the others go on in
-    their proportions. No row is dropped or repeated.
+    ``weights`` maps each source (None for rows without one) to its target. Rows of a source are put
+    in order of a hash of their id and cut into blocks of ``block_rows``. The driver makes a Pfair
+    schedule of all blocks, which are joined with it: as long as a source has blocks left, it is
+    less than one block from its exact target after every slot, over the whole run.
+
+    Without ``weights`` a source of n rows weighs n to the ``power``, and as the SQL of
+    ``op7_source_mixing`` has it, that weight is first rounded to whole blocks of a period of about
+    ``slots`` slots, at least one. The schedule of that period repeats; a source is less than one
+    block from its rounded share, but the rounding itself, up to half a block a period (more for a
+    source below half a block), adds up over the periods.
+
+    A source that has run out leaves its slots empty, and the others go on in their proportions. No
+    row is dropped or repeated.
 
     Returns ``doc_id``, ``source``, ``mix_block`` (in the source), ``mix_slot``, ``mix_place`` (in
     the block) and, if asked for, a struct ``doc`` of ``columns``. Rows are numbered with a range
     partitioning, so a source that holds most rows is spread over many tasks. Null ids have a hash
     too; equal ids are ordered by their place in the input. A source without a positive weight is
-    an error, because its rows would be lost. Only one number for each source reaches the driver.
+    an error, because its rows would be lost. Only one number for each source reaches the driver,
+    which with ``weights`` spends a few microseconds on each block, and holds a bounded part of them.
     """
     spark = docs.sparkSession
     plain = docs.select(
@@ -98,26 +133,32 @@ def mix_sources(
             {"source": name, "number": number, "quota": quota[name], "before": before, "unnamed": int(name is None)}
         )
         before += counts[name]
-    placed = schedule([quota[name] for name in names]) if names else []
     table = _rows(spark, sources, "source string, number long, quota long, before long, unnamed int")
-    places = _rows(
-        spark,
-        [{"number": s, "turn": b, "slot": t} for s, b, t in placed],
-        "number long, turn long, slot long",
-    )
     positioned = with_position(plain, ["unnamed", "source", "draw", "doc_id"], staging, position="position")
     same = positioned["source"].eqNullSafe(table["source"])
     row = F.col("position") - 1 - F.col("before")
-    # Both tables are bounded: a row for each source, and a row for each slot of a period.
+    # The table has a row for each source.
     blocked = (
         positioned.join(F.broadcast(table), same)
         .drop(table["source"], table["unnamed"])
         .withColumn("mix_block", F.floor(row / block_rows))
         .withColumn("mix_place", F.pmod(row, F.lit(block_rows)))
-        .withColumn("turn", F.pmod("mix_block", "quota"))
     )
-    out = blocked.join(F.broadcast(places), ["number", "turn"])
-    slot = F.floor(F.col("mix_block") / F.col("quota")) * period + F.col("slot")
+    if weights is not None:
+        blocks = [-(-counts[name] // block_rows) for name in names]
+        places = _staged(pfair([given[name] for name in names], blocks), staging)
+        out = blocked.join(places, ["number", "mix_block"])
+        slot = F.col("slot")
+    else:
+        placed = schedule([quota[name] for name in names]) if names else []
+        places = _rows(
+            spark,
+            [{"number": s, "turn": b, "slot": t} for s, b, t in placed],
+            "number long, turn long, slot long",
+        )
+        turned = blocked.withColumn("turn", F.pmod("mix_block", "quota"))
+        out = turned.join(F.broadcast(places), ["number", "turn"])  # a row for each slot of a period
+        slot = F.floor(F.col("mix_block") / F.col("quota")) * period + F.col("slot")
     return out.select(
         "doc_id", "source", "mix_block", slot.alias("mix_slot"), "mix_place", *(["doc"] if columns else [])
     )

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from conftest import DATA, plan_of
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from plain import base_failed, encoded, kept_by_rules, mixed, text_counts, without_frequent_lines, without_near_copies
 
 import corpus_pipeline
-from millrace.llm.mixing import in_mixed_order, mix_sources, schedule
+from millrace.llm.mixing import in_mixed_order, mix_sources, pfair, schedule
 from millrace.llm.quality_rules import fit_votes, judge_quality
 
 ODD = [
@@ -80,6 +81,31 @@ def test_schedule_stays_within_a_block(quota):
     assert done == quota
 
 
+def deviation(placed, weights):
+    """The most blocks any source with blocks left is off its target after a slot; (source, slot) in slot order."""
+    weights = {s: Fraction(w) for s, w in weights.items()}
+    total, left = sum(weights.values()), Counter(source for source, _ in placed)
+    done, most = Counter(), 0
+    for source, slot in placed:
+        done[source] += 1
+        if done[source] == left[source]:
+            break
+        most = max(most, *(abs(done[s] - (slot + 1) * w / total) for s, w in weights.items()))
+    return most
+
+
+def test_given_weights_hold_over_many_periods(spark, staging):
+    weights, blocks = {"hot": 0.9999, "rare": 0.0001}, {"hot": 29_000, "rare": 4}
+    placed = [(list(weights)[k], t) for k, _, t in pfair(list(weights.values()), list(blocks.values()))]
+    assert Counter(s for s, _ in placed) == blocks and deviation(placed, weights) < 1
+    weights = {"a": 0.4444, "b": 0.3333, "c": 0.2218, None: 0.0005}
+    table = mixture(spark, {"a": 5_000, "b": 4_000, "c": 3_000, None: 6})
+    out = mix_sources(table, staging, weights=weights, block_rows=1).collect()
+    assert len(out) == 12_006 and len({r.mix_slot for r in out}) == 12_006
+    placed = [(r.source, r.mix_slot) for r in sorted(out, key=lambda r: r.mix_slot)]
+    assert placed[8_999][1] == 8_999 and deviation(placed, weights) < 1
+
+
 def mixture(spark, counts):
     rows = [(100 * k + i, name) for k, (name, n) in enumerate(counts.items()) for i in range(n)]
     random.shuffle(rows)
