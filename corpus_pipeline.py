@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import encode_texts, read_ranks
 from millrace.llm.lines import drop_frequent_lines
-from millrace.llm.minhash import link_documents
+from millrace.llm.minhash import link_documents, text_mark
 from millrace.llm.mixing import in_mixed_order, mix_sources
 from millrace.llm.quality_rules import judge_quality
 from millrace.staging import Staging
@@ -29,10 +29,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles overlap by 0.8 or more: the least doc_id."""
-    kept = link_documents(docs, Staging(spark), shingle=5, percent=80).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """One document of each group whose five-word shingles overlap by 0.8 or more: the least doc_id.
+
+    Null ids are the last, and of different texts under one id the least by their digest is kept.
+    Exact repeats of a row, with the same id and text, are one document and stay or go together.
+    """
+    linked = link_documents(docs, Staging(spark), shingle=5, percent=80, marks=True).filter("chosen")
+    chosen = linked.select(F.col("doc_id").alias("chosen_id"), F.col("mark").alias("chosen_mark")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("chosen_id")) & text_mark(F.col("text")).eqNullSafe(F.col("chosen_mark"))
+    return docs.join(chosen, same, "left_semi")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,6 +172,24 @@ def test_stages_take_nulls_and_repeated_rows(spark, staging):
     assert left == {"quality rules": 3, "line dedup": 4, "MinHash near-dedup": 3, "source mixing": 4, "byte-level BPE": 4}
 
 
+def test_near_dedup_goes_by_the_row_where_ids_repeat_or_are_null(spark):
+    """The other text of a kept id, near copies without an id, and other near copies of one id are dropped."""
+    one, two, three, four = ([f"{k}{i}" for i in range(60)] for k in "abcd")
+    whole, near = lambda words: " ".join(words), lambda words: " ".join([*words, "end"])
+    rows = [
+        *[(1, whole(two)), (2, near(two)), (2, whole(one)), (7, near(one))],  # 2 is kept for one, not for two
+        *[(None, whole(three)), (3, near(three)), (None, "alone")],
+        *[(None, whole(four)), (None, near(four))],
+    ]
+    schema = spark.read.parquet(f"{DATA}/documents.parquet").schema
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.minhash_near_dedup(spark, table, DATA).collect()]
+    known = [(i, t) for i, t in left if i is not None]
+    assert sorted(known) == sorted([(1, whole(two)), (2, whole(one)), (3, near(three))])
+    unnamed = [t for i, t in left if i is None]
+    assert len(unnamed) == 2 and "alone" in unnamed and set(unnamed) & {whole(four), near(four)}
+
+
 def test_registered_queries_run_over_whole_tables():
     import __spark_entry__ as entry
 
