@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import encode_texts, read_ranks
+from millrace.llm.centroids import cluster_vectors
 from millrace.llm.embeddings import link_vectors
 from millrace.llm.language import predict_language, train_language_model
 from millrace.llm.lines import drop_frequent_lines
 from millrace.llm.minhash import link_documents
 from millrace.llm.mixing import mix_sources
+from millrace.llm.neighbours import nearest_vectors
 from millrace.llm.quality_model import score_quality, train_quality_model, word_vectors
 from millrace.llm.quality_rules import judge_quality
 from millrace.llm.substrings import remove_repeated_windows
 from millrace.llm.suffixes import remove_earlier_strings
+from millrace.llm.whitening import whiten_vectors
 from millrace.staging import Staging
 
 _SPACE = r"\x20\x09-\x0D"
@@ -27,13 +30,16 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def _fold(folds: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
 
 
 def op1_embedding_near_dedup(spark, sf_dir) -> DataFrame:
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return link_vectors(vectors, Staging(spark), threshold=0.95)
+    return link_vectors(_embeddings(spark, sf_dir), Staging(spark), threshold=0.95)
 
 
 def op2_substring_dedup(spark, sf_dir) -> DataFrame:
@@ -96,6 +102,20 @@ def op10_suffix_array_dedup(spark, sf_dir) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_centroid_clustering(spark, sf_dir) -> DataFrame:
+    return cluster_vectors(_embeddings(spark, sf_dir), Staging(spark), dims=64, scale=64, clusters=16, rounds=3)
+
+
+def op12_nearest_neighbours(spark, sf_dir) -> DataFrame:
+    every_twentieth = F.col("vec_id") % 20 == 0
+    return nearest_vectors(_embeddings(spark, sf_dir), Staging(spark), every_twentieth, most=20)
+
+
+def op13_embedding_whitening(spark, sf_dir) -> DataFrame:
+    out = whiten_vectors(_embeddings(spark, sf_dir), Staging(spark), scale=256, most=4)
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embedding_near_dedup": op1_embedding_near_dedup,
@@ -108,6 +128,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_language_id": op9_language_id,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_nearest_neighbours": op12_nearest_neighbours,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
 
 
@@ -115,8 +138,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _REACH = """reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)"""
 
 
+def _clustered(rounds: int) -> str:
+    """The vectors ``v``, and centroids ``c<i>`` and nearest clusters ``a<i>`` after ``i`` rounds."""
+    parts = [
+        """v as (select row_number() over () as r, vec_id, list_transform(embedding,
+            lambda x: cast(floor(64 * cast(x as double)) as bigint)) as x from embeddings
+            where len(embedding) = 64 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))))""",
+        """c0 as (select cast(row_number() over (order by sha256('1:' || vec_id), x) - 1 as integer) as c, x as m from v
+            qualify c < 16)""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} as (select r, vec_id, x, c, d from (select r, vec_id, x, c, cast(list_sum(list_transform(
+            range(1, 65), lambda j: (x[j] - m[j]) * (x[j] - m[j]))) as bigint) as d from v, c{i})
+            qualify row_number() over (partition by r order by d, c) = 1)""")
+        parts.append(f"""c{i + 1} as (select c, coalesce(f, m) as m from c{i} left join (select c, list(f order by j) as f
+            from (select c, j, cast(floor_of(sum(y), count(*)) as bigint) as f
+                from (select c, unnest(x) as y, unnest(range(1, 65)) as j from a{i}) group by c, j) group by c) using (c))""")
+    return ", ".join(parts[:-1]).replace("floor_of(sum(y), count(*))", "(sum(y) - ((sum(y) % count(*)) + count(*)) % count(*)) // count(*)")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_centroid_clustering": f"""
+            with {_clustered(3)}
+            select vec_id, c as cluster, d as distance, cast(sum(d) over (partition by c) as bigint) as cluster_inertia,
+                cast(sum(d) over () as bigint) as inertia, sha256(array_to_string(m, ',')) as centroid_sha256
+            from a3 join c3 using (c)""",
         "op1_embedding_near_dedup": f"""
             with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings
                     where embedding is not null and list_bool_and(list_transform(embedding,

@@ -20,8 +20,16 @@ COLUMNS = {
     "op8": "doc_id n_shingles component_id kept",
     "op9": "doc_id held_out lang_pred score",
     "op10": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op11": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op12": "query_id rank vec_id score",
+    "op13": "vec_id component n deviation whitened explained identity_error",
 }
 KINDS = {"score": "double", "predicted": "int", "held_out": "boolean", "kept": "boolean", "base_failed": "boolean"}
+KINDS |= {"cluster": "int", "rank": "int", "component": "int", "whitened": "double", "explained": "double"}
+KINDS |= {"identity_error": "double"}
+# Rows of a query for each row of its table.
+ROWS = {"op12": ("count(*) filter (vec_id % 20 = 0) * 20", "embeddings"), "op13": ("count(*) * 4", "embeddings")}
+ROWS |= dict.fromkeys(["op1", "op11"], ("count(*)", "embeddings"))
 
 
 @pytest.fixture(scope="module")
@@ -41,8 +49,8 @@ def test_query(spark, database, name):
         text = field.endswith("sha256") or field in ("lang_pred", "source")
         assert field not in wanted or kind == KINDS.get(field, "string" if text else "bigint"), field
     rows = made.collect()
-    table = "embeddings" if name.startswith("op1_") else "documents"
-    assert len(rows) == database.execute(f"select count(*) from {table}").fetchone()[0]
+    count, table = ROWS.get(name.split("_")[0], ("count(*)", "documents"))
+    assert len(rows) == database.execute(f"select {count} from {table}").fetchone()[0]
     if name in queries.oracle_sql():
         found = database.execute(queries.oracle_sql()[name])
         names = [c[0] for c in found.description]
