@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace import KeyedTable, Staging
 from millrace.functions import number_text, record_checksum, run_digits, run_hour, zipped_map
-from millrace.job import run_sources
+from millrace.job import open_tables, run_sources
 from millrace.operators import (
     audit_events,
     audit_json,
@@ -40,6 +40,7 @@ from millrace.operators import (
     with_surrogate_key,
     write_document,
 )
+from millrace.operators.merge import PRODUCT_UPDATES
 from millrace.plans import run_ingest, transform_rows
 from millrace.sinks import COUNTS, PRODUCTS, ensure_table, write_rejects
 from millrace.sources import parse_sources, read_csv, read_source
@@ -49,15 +50,15 @@ from millrace.streaming import ingest_new_files, read_new_files
 try:
     import corpus_pipeline
     from millrace.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "millrace.llm"):
-        raise
+except ImportError:  # the folder, or one of the libraries it needs
     corpus_pipeline = llm = None
 
 DAY_1 = "2021-08-07T02:00:00+00:00"
 DAY_2 = "2021-08-08T02:00:00+00:00"
+DAY_3 = "2021-08-09T02:00:00+00:00"
 CUT = "1998-07-01"
 LATE = "1998-11-25"  # the few line items shipped from here on are a small batch
+LAST = "1998-11-28"
 FIRST_TYPES = ("ECONOMY", "SMALL", "STANDARD")
 
 
@@ -317,6 +318,68 @@ def q_merge_agg_replace(spark, sf_dir):
     return merge_counts(*_count_batches(spark, sf_dir), mode="replace")
 
 
+# --- keyed tables: deltas, folds, signed counts -------------------------------------------------
+
+
+def _ship_batches(spark, sf_dir) -> list[DataFrame]:
+    """Nearly all line items, then those of a few late days, then those of the last days."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    early, late = _before(LATE), _before(LAST)
+    return [_lineitem_columns(lineitem.filter(c)) for c in (early, ~early & late, ~late)]
+
+
+def _merged_by_ship_date(spark, sf_dir) -> KeyedTable:
+    """Three batches merged into a keyed table, the small ones beside its base."""
+    staging = Staging(spark)
+    products, _ = open_tables(spark, staging.root, buckets=4)
+    for number, batch in enumerate(_ship_batches(spark, sf_dir)):
+        rows = staging.write(transform_rows(valid_rows(batch), (DAY_1, DAY_2, DAY_3)[number], staging), "batch")
+        offset = products.reserve_ids(rows.count(), f"b{number}")
+        products.merge(rows.withColumn("p_id", F.col("p_id") + offset), f"b{number}", PRODUCT_UPDATES)
+    return products
+
+
+def q_merge_deltas(spark, sf_dir):
+    """Read from bases and deltas, the newest row of each key."""
+    return _merged_by_ship_date(spark, sf_dir).current().drop("updt_tmstmp")
+
+
+def q_merge_deltas_compacted(spark, sf_dir):
+    """The same after every delta was folded into its base."""
+    products = _merged_by_ship_date(spark, sf_dir)
+    products.compact()
+    return products.current().drop("updt_tmstmp")
+
+
+def _sized_batches(spark, sf_dir) -> list[DataFrame]:
+    """Products keyed by brand and type in three batches by size; later names replace earlier ones."""
+    feed = _table(spark, sf_dir, "part").select(
+        F.concat(F.col("p_brand"), F.lit("-"), F.col("p_type")).alias("sku"),
+        F.nullif(F.col("p_name"), F.lit("small ring")).alias("name"),
+        F.col("p_partkey").cast("string").alias("description"),
+        F.coalesce("p_size", F.lit(0)).alias("p_size"),
+    )
+    size = F.col("p_size")
+    return [feed.filter(c).drop("p_size") for c in (size <= 20, (size > 20) & (size <= 45), size > 45)]
+
+
+def _signed_counts(spark, sf_dir, mode: str) -> DataFrame:
+    root = Staging(spark).root
+    products, counts = open_tables(spark, root, buckets=4)
+    for batch, day in zip(_sized_batches(spark, sf_dir), (DAY_1, DAY_2, DAY_3), strict=True):
+        run_ingest(spark, batch, products, counts, day, rejects_path=f"{root}/rejects", counts_mode=mode)
+    return counts.current()
+
+
+def q_signed_counts(spark, sf_dir):
+    """Counts that three batches moved by the names they changed; a name of no product keeps its last."""
+    return _signed_counts(spark, sf_dir, "upsert")
+
+
+def q_signed_counts_replace(spark, sf_dir):
+    return _signed_counts(spark, sf_dir, "replace")
+
+
 # --- drill-down sums ---------------------------------------------------------------------------
 
 FLAG_HEADERS = ["l_returnflag", "l_linestatus", "l_linenumber"]
@@ -465,8 +528,7 @@ def q_source_dispatch(spark, sf_dir):
 
 
 def _ingest_parts(spark, sf_dir, root: str) -> tuple[KeyedTable, KeyedTable]:
-    products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=4, id_column="p_id")
-    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name", buckets=2)
+    products, counts = open_tables(spark, root, buckets=4)
     for batch, day in zip(part_batches(spark, sf_dir), (DAY_1, DAY_2), strict=True):
         run_ingest(spark, batch, products, counts, day, rejects_path=f"{root}/rejects", audit_path=f"{root}/audit")
     return products, counts
@@ -514,15 +576,14 @@ def q_csv_header_order(spark, sf_dir):
     folder = write_rejects(named, staging.path("feed"), "all")
     config = {"sources": [{"data_object": "PRODUCTS", "path": folder}]}
     run_sources(spark, config, staging.path("lake"), buckets=4, run_date=DAY_1)
-    products = KeyedTable(spark, staging.path("lake/products"), PRODUCTS, "sku", buckets=4, id_column="p_id")
+    products, _ = open_tables(spark, staging.path("lake"), buckets=4)
     return products.current().drop("updt_tmstmp")
 
 
 def q_incremental_two_streams(spark, sf_dir):
     """Two inboxes with a checkpoint each, under the same default name, into one table."""
     root = Staging(spark).root
-    products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=4, id_column="p_id")
-    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name", buckets=2)
+    products, counts = open_tables(spark, root, buckets=4)
     for number, (delivery, day) in enumerate(zip(part_batches(spark, sf_dir), (DAY_1, DAY_2), strict=True)):
         delivery.write.parquet(f"{root}/inbox{number}")
         ingest_new_files(
@@ -558,8 +619,7 @@ def q_incremental_ingest(spark, sf_dir):
 def q_incremental_deliveries(spark, sf_dir):
     """Two deliveries into one folder, a run after each, and a run that finds nothing new."""
     root = Staging(spark).root
-    products = KeyedTable(spark, f"{root}/products", PRODUCTS, "sku", buckets=4, id_column="p_id")
-    counts = KeyedTable(spark, f"{root}/products_agg", COUNTS, "name", buckets=2)
+    products, counts = open_tables(spark, root, buckets=4)
     first, second = part_batches(spark, sf_dir)
     for delivery in (first, second, None):
         if delivery is not None:
@@ -597,7 +657,7 @@ _VALID = "sku is not null and name is not null and description is not null"
 _FIRST = "p_type in ('ECONOMY', 'SMALL', 'STANDARD')"
 _EARLY = f"coalesce(l_shipdate < timestamp '{CUT}', false)"
 _NOT_LATE = f"coalesce(l_shipdate < timestamp '{LATE}', false)"
-_DIGITS_1, _DIGITS_2 = "'202108070200000000'", "'202108080200000000'"
+_DIGITS_1, _DIGITS_2, _DIGITS_3 = "'202108070200000000'", "'202108080200000000'", "'202108090200000000'"
 
 
 def _transformed(feed: str, digits: str = _DIGITS_1, offset: str = "0", extra: str = "") -> str:
@@ -633,6 +693,19 @@ def _merge(early: str) -> str:
         from t full outer join u on t.sku = u.sku)"""
 
 
+def _three(feed: str, first: str, second: str, third: str) -> str:
+    """A feed's three batches (a, b, d), and the table after the second (m) and the third (e)."""
+
+    def after(old: str, new: str) -> str:
+        kept = ", ".join(f"coalesce(u.{c}, t.{c}) as {c}" for c in ("name", "description", "request_id", "record_checksum"))
+        return f"""select coalesce(t.p_id, u.p_id) as p_id, coalesce(t.sku, u.sku) as sku, {kept}
+            from {old} t full outer join {new} u on t.sku = u.sku"""
+
+    return f"""a as ({_transformed(f"{feed} where {first}")}),
+    b as ({_transformed(f"{feed} where {second}", _DIGITS_2, "(select max(p_id) from a)")}), m as ({after("a", "b")}),
+    d as ({_transformed(f"{feed} where {third}", _DIGITS_3, "(select max(p_id) from m)")}), e as ({after("m", "d")})"""
+
+
 _BRAND_TYPE = """select p_brand || '-' || p_type as sku, nullif(p_name, 'small ring') as name,
     cast(p_partkey as varchar) as description from part"""
 
@@ -664,6 +737,13 @@ def _totals(source: str, headers: list[str], value: str) -> str:
         from ({source}) group by rollup ({shown}) having {null_above}"""
 
 
+_NOT_LAST = f"coalesce(l_shipdate < timestamp '{LAST}', false)"
+_SHIPPED = _three(
+    _LINEITEM + " from lineitem", _NOT_LATE, f"not {_NOT_LATE} and {_NOT_LAST}", f"not {_NOT_LAST}"
+)
+_SIZE = "coalesce(p_size, 0)"
+_SIZED = _three(_BRAND_TYPE, f"{_SIZE} <= 20", f"{_SIZE} > 20 and {_SIZE} <= 45", f"{_SIZE} > 45")
+
 _LINE = "cast(nullif(l_linenumber, 3) as varchar) as line"
 _CHANGED = """(u.sku is not null and (t.sku is null or u.record_checksum is null or t.record_checksum is null
     or u.record_checksum <> t.record_checksum))"""
@@ -788,6 +868,13 @@ def _oracle_sql() -> dict[str, str]:
             from t full outer join u on t.sku = u.sku""",
         "merge_agg_stale": f"with {_MERGED_BRANDS} {_STALE}",
         "merge_agg_replace": f"with {_MERGED_BRANDS} select name, no_of_products from fresh",
+        "merge_deltas": f"with {_SHIPPED} select * from e",
+        "merge_deltas_compacted": f"with {_SHIPPED} select * from e",
+        "signed_counts": f"""with {_SIZED}, n as (select 1 as step, name from a union all
+                select 2, name from m union all select 3, name from e),
+            c as (select step, name, count(*) as n from n group by step, name)
+            select name, max_by(n, step) as no_of_products from c group by name""",
+        "signed_counts_replace": f"with {_SIZED} select name, count(*) as no_of_products from e group by name",
         "hierarchy_totals": _totals("from lineitem", FLAG_HEADERS, "l_quantity"),
         "hierarchy_totals_nulls": _totals(nulled, FLAG_HEADERS, "l_quantity"),
         "grand_total": f"select cast(sum(balance) as decimal(28, 2)) as value from ({customers})",

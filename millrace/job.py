@@ -31,6 +31,13 @@ def read_config(path: str) -> Mapping:
     return yaml.safe_load(text)
 
 
+def open_tables(spark: SparkSession, target: str, buckets: int, **settings) -> tuple[KeyedTable, KeyedTable]:
+    """The products and their counts below ``target``, which one log commits together."""
+    settings["log"] = f"{target}/commits"
+    products = KeyedTable(spark, f"{target}/products", PRODUCTS, "sku", buckets, "p_id", **settings)
+    return products, KeyedTable(spark, f"{target}/products_agg", COUNTS, "name", buckets, **settings)
+
+
 def run_sources(
     spark: SparkSession,
     config: Mapping,
@@ -48,8 +55,7 @@ def run_sources(
     data object are an error.
     """
     run_date = run_date or datetime.now(UTC).isoformat(timespec="seconds")
-    products = KeyedTable(spark, f"{target}/products", PRODUCTS, "sku", buckets, "p_id")
-    counts = KeyedTable(spark, f"{target}/products_agg", COUNTS, "name", buckets)
+    products, counts = open_tables(spark, target, buckets)
     sources = [s for s in parse_sources(config) if only is None or s.data_object == only]
     if not sources:
         raise ValueError(f"the config has no source {only!r}" if only else "the config has no sources")

@@ -7,23 +7,25 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.errors import ConstraintError, EmptySourceError, IngestError, PhaseError
+from millrace.errors import ConcurrentCommitError, ConstraintError, EmptySourceError, IngestError, PhaseError
 from millrace.operators.aggregate import count_by
 from millrace.operators.audit import SKIPPED, audit_events
 from millrace.operators.merge import PRODUCT_UPDATES
 from millrace.operators.quality import REQUIRED, all_present, observe_counts
 from millrace.plans.transform import transform_rows
+from millrace.sinks.commits import Change
 from millrace.sinks.database import DatabaseTable
 from millrace.sinks.files import append_audit, write_rejects
-from millrace.sinks.tables import PRODUCT_LENGTHS, PRODUCT_NOT_NULL, KeyedTable
+from millrace.sinks.tables import PRODUCT_LENGTHS, PRODUCT_NOT_NULL, KeyedTable, commit_together, retried
 from millrace.sources import Source, read_source
 from millrace.staging import Staging, local_table
 
 _VALID = "row_is_valid"
+COUNTED = "name"  # the column of the products that is counted
 #: Text of a CSV row with more or fewer fields than the header; null for all others.
 MALFORMED = "malformed_row"
 
@@ -92,7 +94,11 @@ def run_ingest(
     allow_empty: bool = False,
     data_object: str = "PRODUCTS",
 ) -> BatchLog:
-    """Ingest one batch and refresh the counts by name.
+    """Ingest one batch and bring the counts by name up to date.
+
+    Two keyed tables with one log are committed by one record, so a reader sees the batch in both or
+    in neither, and a run that dies before it leaves neither changed. The counts move by the signed
+    changes of the batch's own rows; the products are not read for them.
 
     The source is read once: rows are staged with their validity while they are counted. Rows
     without a required value, and CSV rows with more or fewer fields than the header, go to a
@@ -112,28 +118,36 @@ def run_ingest(
     try:
         if products.has_batch(batch_id):
             log.skip("products", data_object, batch_id)
+            before = None
         else:
             with log.phase("read", "Received", "products", data_object) as count:
                 valid = _receive(
                     spark, source, schema, prepare, required, staging, count, rejects_path, batch_id, allow_empty
                 )
             if not count["rows"]:
-                products.commit_empty(batch_id)
-                counts.commit_empty(batch_id)
+                _commit_empty(products, counts, batch_id)
                 return log
             with log.phase("transform", "Transformed", "products", data_object) as count:
                 rows, count["rows"] = _transform(
-                    valid, run_date, staging, products, max_lengths, not_null, checksum_null_text
+                    valid, run_date, staging, products, max_lengths, not_null, checksum_null_text, batch_id
                 )
                 transformed = count["rows"]
+            settings = {"stamp": stamp, "unless_equal": "record_checksum" if only_changed else None}
             with log.phase("load", "Delivered", "products", data_object) as count:
                 count["rows"] = transformed
-                unless_equal = "record_checksum" if only_changed else None
-                products.merge(rows, batch_id, PRODUCT_UPDATES, stamp, unless_equal=unless_equal)
+                if _joint(products, counts):
+                    facts = retried(lambda: _store_both(products, counts, rows, batch_id, counts_mode, settings))
+                else:
+                    before = _content(products)
+                    change = products.merge(rows, batch_id, PRODUCT_UPDATES, track=COUNTED, **settings)
+            if _joint(products, counts):
+                _log_counts(log, facts)
+                return log
         if counts.has_batch(batch_id):
             log.skip("products_agg", "products_agg", batch_id)
         else:
-            _refresh_counts(products, counts, batch_id, counts_mode, log, staging)
+            moved = None if before is None or change is None else (before, change)
+            _refresh_counts(products, counts, batch_id, counts_mode, log, staging, moved)
     finally:
         if audit_path and log.rows:
             append_audit(log.events(), audit_path)
@@ -141,6 +155,60 @@ def run_ingest(
     return log
 
 
+def _joint(products: KeyedTable | DatabaseTable, counts: KeyedTable | DatabaseTable) -> bool:
+    """Whether one record commits both tables."""
+    both = isinstance(products, KeyedTable) and isinstance(counts, KeyedTable)
+    return both and products.log.root == counts.log.root
+
+
+def _content(products: KeyedTable | DatabaseTable) -> int | None:
+    return products.latest()["content"] if isinstance(products, KeyedTable) else None
+
+
+def _commit_empty(products, counts, batch_id: str) -> None:
+    if _joint(products, counts):
+        version = products.log.last()["version"]
+        empty = [Change(t.name, t.buckets, version) for t in (products, counts)]
+        commit_together([products, counts], empty, batch_id)
+    else:
+        products.commit_empty(batch_id)
+        counts.commit_empty(batch_id)
+
+
+def _signed(products: KeyedTable, change: Change) -> DataFrame:
+    """By how much a change of the products moves the count of each name: +1 for a new one, -1 for an old one."""
+    moves = products.moves(change, COUNTED)
+    steps = moves.select(F.inline(F.array(_step("new", 1), _step("old", -1)))).filter(F.col(COUNTED).isNotNull())
+    return steps.groupBy(COUNTED).agg(F.sum("no_of_products").alias("no_of_products")).filter("no_of_products <> 0")
+
+
+def _step(name: str, by: int) -> Column:
+    return F.struct(F.col(name).alias(COUNTED), F.lit(by).cast("long").alias("no_of_products"))
+
+
+def _store_both(products: KeyedTable, counts: KeyedTable, rows: DataFrame, batch_id: str, mode: str, settings: dict) -> dict:
+    """Write what the batch changes in both tables and commit them together; the facts of the counts after it.
+
+    The counts move by what the batch's own rows say. They are counted anew only where they do not
+    sum up the products as these are, such as when the counts are new and the products are not.
+    """
+    change, covers = products.prepare(rows, PRODUCT_UPDATES, track=COUNTED, **settings), (products.name, None)
+    covered = counts.latest()["covers"].get(products.name, 0) == products.latest()["content"]
+    if covered:
+        made = counts.prepare_counts(_signed(products, change), mode, kind="signed", covers=covers)
+    else:
+        made = counts.prepare_counts(count_by(products.with_change(change), COUNTED, "no_of_products"), mode, kind="all", covers=covers)
+    if made.based_on != change.based_on:
+        raise ConcurrentCommitError("another writer committed while the batch was merged")
+    return commit_together([products, counts], [change, made], batch_id)["tables"][counts.name]["facts"]
+
+
+def _log_counts(log: BatchLog, facts: dict) -> None:
+    for verb, status, fact in (("read", "Received", "rows"), ("aggregate", "Transformed", "names"), ("load", "Delivered", "names")):
+        with log.phase(verb, status, "products_agg", "products_agg") as count:
+            count["rows"] = facts.get(fact, 0)
+
+
 def _receive(
     spark, source, schema, prepare, required, staging, count, rejects_path, batch_id, allow_empty
 ) -> DataFrame:
@@ -168,10 +236,14 @@ def _receive(
     return staged.filter(F.col(_VALID)).drop(_VALID, MALFORMED)
 
 
-def _transform(valid, run_date, staging, products, max_lengths, not_null, null_text) -> tuple[DataFrame, int]:
-    """Transform the valid rows; a value that the target's constraints refuse is an error."""
+def _transform(valid, run_date, staging, products, max_lengths, not_null, null_text, batch_id) -> tuple[DataFrame, int]:
+    """Transform the valid rows; a value that the target's constraints refuse is an error.
+
+    The rows are numbered from 1, and a keyed table reserves as many ids for the batch.
+    """
     seen = Observation("transformed")
-    made = transform_rows(valid, run_date, staging, products.max_id(), checksum_null_text=null_text)
+    keyed = isinstance(products, KeyedTable)
+    made = transform_rows(valid, run_date, staging, 0 if keyed else products.max_id(), checksum_null_text=null_text)
     measures = {("rows", ""): F.count(F.lit(1))}
     for name, limit in max_lengths.items():
         if name in made.columns:
@@ -185,21 +257,35 @@ def _transform(valid, run_date, staging, products, max_lengths, not_null, null_t
     broken = [f"{n} values {label}" for label, n in found.items() if label != "rows" and n]
     if broken:
         raise ConstraintError(", ".join(broken))
+    if keyed and found["rows"]:
+        offset = products.reserve_ids(found["rows"], batch_id)
+        rows = rows.withColumn("p_id", F.col("p_id") + F.lit(offset).cast("long"))
     return rows, found["rows"]
 
 
-def _refresh_counts(products, counts, batch_id, mode, log, staging) -> None:
-    """Count the products by name, reading that column only, and merge the counts that changed."""
+def _refresh_counts(products, counts, batch_id, mode, log, staging, moved: tuple[int, Change] | None) -> None:
+    """Bring counts with a log of their own up to date, by the batch's signed moves where they summed up the
+    products before it, else by counting the products anew."""
+    keyed = isinstance(counts, KeyedTable) and isinstance(products, KeyedTable)
+    covers = (products.name, products.latest()["content"]) if keyed else None
+    if keyed and moved and counts.latest()["covers"].get(products.name, 0) == moved[0] and covers[1] <= moved[0] + 1:
+        with log.phase("load", "Received", "products_agg", "products_agg") as count:
+            counts.merge_counts(_signed(products, moved[1]), batch_id, mode, kind="signed", covers=covers)
+            facts = counts.latest()["facts"]
+            count["rows"] = facts.get("rows", 0)
+        for verb, status in (("aggregate", "Transformed"), ("load", "Delivered")):
+            with log.phase(verb, status, "products_agg", "products_agg") as count:
+                count["rows"] = facts.get("names", 0)
+        return
     with log.phase("read", "Received", "products_agg", "products_agg") as count:
         seen = Observation(f"counts {batch_id}")
-        made = count_by(products.current(), "name", "no_of_products")
+        made = count_by(products.current(), COUNTED, "no_of_products")
         read, names = F.sum("no_of_products").alias("read"), F.count(F.lit(1)).alias("names")
         fresh = staging.write(made.observe(seen, read, names), "counts")
         count["rows"] = seen.get["read"] or 0
     with log.phase("aggregate", "Transformed", "products_agg", "products_agg") as count:
         count["rows"] = seen.get["names"]
     with log.phase("load", "Delivered", "products_agg", "products_agg") as count:
-        if mode == "upsert":
-            fresh = staging.write(counts.changed(fresh), "changed")
-        counts.merge_counts(fresh, batch_id, mode)
+        settings = {"kind": "all", "covers": covers} if keyed else {}
+        counts.merge_counts(fresh, batch_id, mode, **settings)
         count["rows"] = seen.get["names"]

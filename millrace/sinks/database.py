@@ -133,6 +133,7 @@ def upsert_rows(
 
 PRODUCT_SINK = ["p_id", "sku", "name", "description", "request_id", "record_checksum"]
 COUNT_COLUMN = "no. of products"
+_IN_DATABASE = {"no_of_products": COUNT_COLUMN}  # names that differ from those of the keyed tables
 
 
 def upsert_products(
@@ -209,9 +210,16 @@ class DatabaseTable:
 
         return cls(table, key, connect, read, greatest if id_column else None, mark, max_connections)
 
-    def ensure(self, schema: T.StructType, id_column: str | None = None, **constraints) -> None:
-        """Create the table if it is missing; see `table_statement` for the constraints."""
-        run_statement(self.connect, table_statement(self.table, schema, self.key, id_column, **constraints))
+    def ensure(
+        self, schema: T.StructType, id_column: str | None = None, not_null: Iterable[str] = (), **constraints
+    ) -> None:
+        """Create the table if it is missing; see `table_statement` for the constraints.
+
+        The counts column of `COUNTS` is created under the name that `upsert_counts` writes.
+        """
+        named = T.StructType([T.StructField(_IN_DATABASE.get(f.name, f.name), f.dataType) for f in schema])
+        filled = [_IN_DATABASE.get(name, name) for name in not_null]
+        run_statement(self.connect, table_statement(self.table, named, self.key, id_column, filled, **constraints))
 
     def on(self, spark: SparkSession) -> DatabaseTable:
         return self
@@ -226,15 +234,13 @@ class DatabaseTable:
         return (self.read_max_id() if self.read_max_id else 0) or 0
 
     def current(self) -> DataFrame:
-        return self.read()
+        """The table, with the column names of the keyed tables."""
+        return self.read().withColumnsRenamed({theirs: ours for ours, theirs in _IN_DATABASE.items()})
 
     def merge(self, batch: DataFrame, batch_id: str, update, stamp=None, unless_equal=None, **_) -> None:
         """Upsert a transformed batch; the database stamps the rows it touches."""
         upsert_products(batch, self.connect, self.table, self.mark, self.max_connections, unless_equal)
 
-    def changed(self, counts: DataFrame) -> DataFrame:
-        return counts  # the database finds out
-
     def merge_counts(self, counts: DataFrame, batch_id: str, mode: str = "upsert") -> None:
         if mode != "upsert":
             raise ValueError("counts in a database are upserted, never removed")

@@ -12,7 +12,7 @@ from test_sinks import PRODUCTS_TABLE, factory
 
 from millrace import KeyedTable, Staging
 from millrace.errors import ConstraintError, EmptySourceError, PhaseError
-from millrace.job import main, read_config, run_sources
+from millrace.job import main, open_tables, read_config, run_sources
 from millrace.plans import run_ingest, transform_rows
 from millrace.sinks import COUNTS, PRODUCTS, DatabaseTable
 from millrace.sources import PRODUCT_FEED, Source
@@ -287,12 +287,11 @@ def test_the_job_runs_every_source_of_a_config(spark, tmp_path):
     target = f"{tmp_path}/lake"
     common = ["--config", f"{tmp_path}/config.yaml", "--target", target, "--job_run_date", DAYS[0], "--buckets", "2"]
     main([*common, "--source", "A"])
-    table = KeyedTable(spark, f"{target}/products", PRODUCTS, "sku", 2, "p_id")
+    table, counts = open_tables(spark, target, 2)
     assert [r.sku for r in table.current().orderBy("sku").collect()] == ["s1", "s2", "s4"]
     main(common)
     assert table.latest()["version"] == 2 and all(table.has_batch(f"{DAYS[0]} {x}") for x in "AB")
-    counts = KeyedTable(spark, f"{target}/products_agg", COUNTS, "name", 2).current()
-    assert sorted(map(tuple, counts.collect())) == [("Ann", 3), ("Bob", 1)]
+    assert sorted(map(tuple, counts.current().collect())) == [("Ann", 3), ("Bob", 1)]
     with pytest.raises(ValueError, match="no source"):
         run_sources(spark, {"sources": []}, target, buckets=2)
     with pytest.raises(ValueError, match="several sources of A"):
@@ -380,7 +379,7 @@ def test_a_replayed_batch_is_stored_once(job):
 
 def test_only_buckets_of_changed_counts_are_rewritten(spark, tmp_path):
     job = Job(spark, str(tmp_path))
-    job.counts = KeyedTable(spark, f"{tmp_path}/counts", COUNTS, "name", 16)
+    job.counts = KeyedTable(spark, f"{tmp_path}/counts", COUNTS, "name", 16, delta_ratio=0)
     job.run([(f"s{i}", f"n{i % 40}", "d") for i in range(80)], DAYS[0])
     before = set(job.counts.current().inputFiles())
     job.run([("t1", "n7", "d")], DAYS[1])

@@ -26,6 +26,7 @@ from millrace.sinks import (
     upsert_statement,
     write_rejects,
 )
+from millrace.sinks.commits import CommitLog
 from millrace.sinks.tables import COUNTS_DDL, PRODUCT_LENGTHS, PRODUCT_NOT_NULL
 from millrace.staging import write_once
 
@@ -116,6 +117,31 @@ def test_counts_statement(spark, tmp_path):
     )
 
 
+def test_a_counts_table_takes_the_counts_it_was_made_for(spark, tmp_path):
+    """The statement that creates the table and the one that fills it, run by a database in this process."""
+    made, database = [], duckdb.connect()
+
+    class Creating(FakeConnection):
+        def execute(self, statement):
+            made.append(statement)
+
+        def commit(self):
+            pass
+
+    read = lambda: spark.createDataFrame(database.execute("select * from products_agg").fetchall(), "name string, `no. of products` bigint")
+    table = DatabaseTable("products_agg", "name", lambda: Creating(str(tmp_path)), read, mark="?", max_connections=1)
+    table.ensure(COUNTS, not_null=["no_of_products"])
+    database.execute(made[0])
+    table.connect = factory(str(tmp_path))
+    for n in (1, 2):
+        table.merge_counts(spark.createDataFrame([("Ann", n)], COUNTS), f"b{n}")
+    for path in sorted(glob.glob(f"{tmp_path}/*.commit"), key=os.path.getmtime):
+        for statement, values in json.load(open(path)):
+            database.executemany(statement, values)
+    assert [tuple(r) for r in table.current().collect()] == [("Ann", 2)]
+    assert table.current().columns == COUNTS.names
+
+
 def test_target_tables_carry_their_constraints(tmp_path):
     assert PRODUCTS_TABLE == (
         'CREATE TABLE IF NOT EXISTS products ("p_id" BIGINT PRIMARY KEY NOT NULL, "sku" VARCHAR(70) UNIQUE NOT NULL, '
@@ -127,7 +153,7 @@ def test_target_tables_carry_their_constraints(tmp_path):
     connection.execute = run.append
     DatabaseTable("products_agg", "name", lambda: connection, None).ensure(COUNTS, not_null=("no_of_products",))
     assert run == [
-        'CREATE TABLE IF NOT EXISTS products_agg ("name" VARCHAR PRIMARY KEY, "no_of_products" BIGINT NOT NULL)'
+        'CREATE TABLE IF NOT EXISTS products_agg ("name" VARCHAR PRIMARY KEY, "no. of products" BIGINT NOT NULL)'
     ]
 
 
@@ -174,8 +200,8 @@ def test_catalog_tables_check_lengths(spark, tmp_path):
         spark.sql("DROP TABLE t_counts")
 
 
-def keyed(spark, root, buckets=1):
-    return KeyedTable(spark, f"{root}/t", PRODUCTS, "sku", buckets, "p_id")
+def keyed(spark, root, buckets=1, **settings):
+    return KeyedTable(spark, f"{root}/t", PRODUCTS, "sku", buckets, "p_id", **settings)
 
 
 def values(table):
@@ -195,20 +221,21 @@ def test_keyed_table(spark, tmp_path, buckets):
 
 
 def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    table = keyed(spark, tmp_path, 16)
+    table = keyed(spark, tmp_path, 16, delta_ratio=0)
     many = [(i, f"s{i}", "n", "d", "r", "c") for i in range(1, 201)]
     table.merge(products(spark, many), "b1", PRODUCT_UPDATES)
     before = set(table.current().inputFiles())
     table.merge(products(spark, [(201, "s7", "new", "d", "r", "c")]), "b2", PRODUCT_UPDATES)
     after = set(table.current().inputFiles())
     assert len(before - after) == 1 and len(after - before) == 1
-    (bucket,) = [b for b, folder in table.latest()["folders"].items() if folder.startswith("v000000000002")]
+    files = table.latest()["files"]
+    (bucket,) = [b for b, own in files.items() if own["parts"][0][0].startswith("v000000000002")]
     assert int(bucket) == spark.range(1).select(F.expr("pmod(hash('s7'), 16)")).first()[0]
     assert len(values(table)) == 200
 
 
 def test_each_bucket_is_one_file(spark, tmp_path):
-    table = keyed(spark, tmp_path, 4)
+    table = keyed(spark, tmp_path, 4, delta_ratio=0)
     many = [(i, f"s{i}", "n", "d", "r", "c") for i in range(1, 201)]
     table.merge(products(spark, many), "b1", PRODUCT_UPDATES)
     assert len(table.current().inputFiles()) == 4
@@ -220,8 +247,8 @@ def test_a_bucketed_merge_shuffles_each_side_once(spark, tmp_path, monkeypatch):
     table = keyed(spark, tmp_path, 4)
     many = [(i, f"s{i}", "n", "d", "r", "c") for i in range(1, 201)]
     table.merge(products(spark, many), "b1", PRODUCT_UPDATES)
-    plans = []
-    monkeypatch.setattr(KeyedTable, "_write", lambda self, df, *a, **k: plans.append(plan_of(df)))
+    plans, write = [], KeyedTable._write
+    monkeypatch.setattr(KeyedTable, "_write", lambda self, df, *a: plans.append(plan_of(df)) or write(self, df, *a))
     products(spark, many).write.parquet(f"{tmp_path}/batch")
     table.merge(spark.read.parquet(f"{tmp_path}/batch"), "b2", PRODUCT_UPDATES)
     assert plans[0].count("Exchange") == 2 and plans[0].count("hashpartitioning(sku") == 2
@@ -229,7 +256,7 @@ def test_a_bucketed_merge_shuffles_each_side_once(spark, tmp_path, monkeypatch):
 
 
 def test_unused_folders_are_removed(spark, tmp_path):
-    table = keyed(spark, tmp_path, 4)
+    table = keyed(spark, tmp_path, 4, delta_ratio=0)
     for n in range(4):
         rows = [(i, f"s{i}", f"n{n}", "d", "r", "c") for i in range(1, 41)]
         table.merge(products(spark, rows), f"b{n}", PRODUCT_UPDATES)
@@ -303,9 +330,16 @@ def test_unfinished_writes_are_not_seen(spark, tmp_path):
 
 def test_a_second_writer_of_a_version_fails(spark, tmp_path, monkeypatch):
     table = keyed(spark, tmp_path)
-    new = table.latest()
-    monkeypatch.setattr(KeyedTable, "latest", lambda self: dict(new))
+    new = table.log.last()
     table.merge(products(spark, FIRST), "b1", PRODUCT_UPDATES)
+    prepare = KeyedTable.prepare
+
+    def outdated(self, *args, **settings):
+        with monkeypatch.context() as patch:
+            patch.setattr(CommitLog, "last", lambda self: dict(new))
+            return prepare(self, *args, **settings)
+
+    monkeypatch.setattr(KeyedTable, "prepare", outdated)
     with pytest.raises(ConcurrentCommitError):
         table.merge(products(spark, SECOND), "b2", PRODUCT_UPDATES)
 
