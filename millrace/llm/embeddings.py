@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.graphs import components
 from millrace.staging import Staging
 
-TILE = 16_384  # vectors on each side of a tile
+TILE_BYTES = 8 << 20  # of the vectors on each side of a tile, as doubles
 _STRIP = 256  # rows of a tile that are multiplied at a time
 _EXACT = 1024  # dimensions whose int8 products add up exactly in single precision
 _OUT = pa.schema([("cls", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
@@ -24,7 +24,8 @@ class Quantised:
     """
 
     def __init__(self, vectors: np.ndarray):
-        self.unit = vectors / np.linalg.norm(vectors / np.abs(vectors).max(axis=1, keepdims=True), axis=1, keepdims=True)
+        # Scaled by the largest component first, so neither very large nor very small ones lose their squares.
+        self.unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
         self.unit /= np.linalg.norm(self.unit, axis=1, keepdims=True)
         self.scale = np.abs(self.unit).max(axis=1) / 127
         codes = np.rint(self.unit / self.scale[:, None])
@@ -139,12 +140,12 @@ def link_vectors(
     id: str = "vec_id",
     embedding: str = "embedding",
     threshold: float = 0.95,
-    tile: int = TILE,
+    tile: int | None = None,
 ) -> DataFrame:
     """Every vector's number of near duplicates and the connected group it belongs to.
 
-    Identical vectors are folded into one class first. The classes are spread over blocks of at
-    most about ``tile``, and each pair of blocks is one tile of the product, whose two sides are
+    Identical vectors are folded into one class first. The classes are spread over blocks of
+    about ``tile`` (by default as many as fit `TILE_BYTES`), and each pair of blocks is one tile of the product, whose two sides are
     all a task holds. Int8 products with the error bound of `Quantised` rule out most pairs; the
     rest are computed in double precision. A tile gives each vector's count of links and a forest
     that connects what its links connect, so a group of any size leaves it as one edge for each
@@ -153,8 +154,10 @@ def link_vectors(
     Returns ``vec_id``, ``n_links`` (other rows with a cosine of ``threshold`` or more),
     ``component_id`` (least vec_id reachable) and ``kept`` (it is the row's own). Null, empty and
     zero vectors and those with null or non-finite components link with nothing, nor do vectors of
-    different lengths. Rows with equal ids are vectors of their own. A null vec_id stays null,
-    loses to any other as component_id, and is kept only if its whole group has null ids.
+    different lengths. Components may be of any size that a double holds. A cosine of exactly the
+    threshold links. Rows with equal ids are vectors of their own. A null vec_id stays null,
+    loses to any other as component_id, and is kept only if its whole group has null ids. An empty
+    table gives an empty result; other columns are ignored, whatever their names.
     """
     value = F.col(f"`{embedding}`").cast("array<double>")
     plain = vectors.select(F.col(f"`{id}`").cast("long").alias("vec_id"), value.alias("embedding")).withColumn(
@@ -172,7 +175,9 @@ def link_vectors(
         .select(F.monotonically_increasing_id().alias("cls"), "*", F.size("embedding").alias("dims"))
     )
     classes = staging.write(classes, "classes")
-    blocks = max(1, -(-classes.count() // tile))
+    size = classes.agg(F.count("*").alias("n"), F.coalesce(F.max("dims"), F.lit(1)).alias("dims")).first()
+    tile = tile or max(256, TILE_BYTES // (8 * size["dims"]))
+    blocks = max(1, -(-size["n"] // tile))
     block = F.pmod(F.xxhash64("cls"), F.lit(blocks))
     tiled = (
         classes.withColumn("block", block)

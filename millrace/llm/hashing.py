@@ -1,12 +1,15 @@
 """Hashes of words and of byte and word windows of whole texts, computed with numpy.
 
-A window's hash is a polynomial over its elements, read off prefix sums, so it costs the same for
-any length. All arithmetic is modulo 2**64.
+Words are mixed eight bytes at a time, and windows of words by doubling: a window's hash mixes
+those of its two halves. So no two short texts collide by their algebra, as they can under
+a polynomial modulo 2**64. Byte windows, which only choose candidates or are compared afterwards, are such
+polynomials, read off prefix sums at the same cost for any length.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -61,6 +64,46 @@ def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], U)  # masks of the first n bytes
+_LONG_WORD = 256  # bytes from which a word is hashed on its own
+_STEP = U(0x9E3779B97F4A7C15)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of words given by their bounds; another seed gives independent ones."""
+    length = ends - starts
+    out = mix64(length.astype(U) + U(int(_STEP) * (seed + 1) & (1 << 64) - 1))
+    # Every place of the bytes as the start of a 64-bit number; the words are read from these.
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    own = np.flatnonzero(length < _LONG_WORD)
+    at, left = starts[own], length[own]
+    while len(own):
+        part = eights[at] & _LOW_BYTES[np.minimum(left, 8)]
+        out[own] = mix64((out[own] ^ part) * _STEP + U(seed))
+        more = left > 8
+        own, at, left = own[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(length >= _LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]], seed)
+    return out
+
+
+class Windows:
+    """Hashes of all windows of some lengths over a row of element hashes, each made of two shorter ones."""
+
+    def __init__(self, elements: np.ndarray):
+        self._known = {1: elements}
+
+    def __call__(self, length: int) -> np.ndarray:
+        """One hash for each place at which a window of the length fits."""
+        if length not in self._known:
+            half = -(-length // 2)
+            part = self(half)
+            n = max(0, len(part) - (length - half))
+            self._known[length] = mix64(part[:n] * _STEP + part[length - half : length - half + n])
+        return self._known[length]
+
+
 def runs_of(flags: np.ndarray, length: int) -> np.ndarray:
     """Whether ``length`` flags in a row are set from each place on."""
     total = np.zeros(len(flags) + 1, np.int64)

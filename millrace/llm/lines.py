@@ -44,9 +44,9 @@ def line_key(line: bytes, least: int) -> bytes | None:
 
 
 class _Lines:
-    """A chunk's distinct keys in order of their hashes, and the documents that hold each."""
+    """A chunk's distinct keys in order of their hashes, and the largest ``copies`` ids that hold each."""
 
-    def __init__(self, chunk: Chunk, least: int):
+    def __init__(self, chunk: Chunk, least: int, copies: int):
         seen: dict[int, int] = {}
         docs: list[set[int]] = []
         self.keys: list[list[int]] = []  # for each document and line the key's number, or -1
@@ -72,33 +72,41 @@ class _Lines:
         self.hash, self.print = high[order], low[order]
         self.place = np.empty(len(order), np.int64)
         self.place[order] = np.arange(len(order))
-        self.n_docs = np.array([len(docs[k]) for k in order], np.int64)
-        self.last = np.array([max(int(chunk.ids[i]) for i in docs[k]) for k in order], np.int64)
+        ids = chunk.ids.tolist()
+        held = [sorted({ids[i] for i in docs[k]})[-copies:] for k in order]
+        self.n_ids = np.array([len(h) for h in held], np.int64)
+        self.ids = np.array([i for h in held for i in h], np.int64)
+        self.first_id = np.append(0, np.cumsum(self.n_ids))
+        self.last = self.ids[self.first_id[1:] - 1] if len(held) else np.zeros(0, np.int64)
 
 
 def _reducer(copies: int):
     def reduce(chunks: list[int], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
         asked = []
         for part in parts:
-            steps, prints, counts, last = decode(part)
-            asked.append((decode_sorted(steps), prints, counts, last))
-        keys, prints, counts, last = (np.concatenate(x) for x in zip(*asked, strict=True))
+            steps, prints, n_ids, ids = decode(part)
+            asked.append((decode_sorted(steps), prints, n_ids, ids))
+        keys, prints, n_ids, ids = (np.concatenate(x) for x in zip(*asked, strict=True))
         # Arrays over the distinct hashes; the fingerprint tells apart keys that share a hash.
         distinct = np.unique(keys)
         number = PerfectHash(distinct)
         at = number(keys)
         fingerprint = np.zeros(len(distinct), np.uint32)
         fingerprint[at] = prints
-        total = np.zeros(len(distinct), np.int64)
+        own = np.repeat(prints == fingerprint[at], n_ids)
+        holder, ids = np.repeat(at, n_ids)[own], ids[own]
         newest = np.full(len(distinct), NULL_ID, np.int64)
-        own = prints == fingerprint[at]
-        np.add.at(total, at[own], counts[own])
-        np.maximum.at(newest, at[own], last[own])
-        for chunk, (k, p, _, l) in zip(chunks, asked, strict=True):
-            at = number(k)
+        np.maximum.at(newest, holder, ids)
+        # An id counts once for a key, in however many chunks and rows it holds it.
+        order = np.lexsort((ids, holder))
+        holder, ids = holder[order], ids[order]
+        new = np.append(True, (holder[1:] != holder[:-1]) | (ids[1:] != ids[:-1]))[: len(holder)]
+        total = np.bincount(holder[new], minlength=len(distinct))
+        for chunk, (k, p, n, i) in zip(chunks, asked, strict=True):
+            at, last = number(k), i[np.cumsum(n) - 1]
             frequent = (total[at] >= copies) & (fingerprint[at] == p)
             if frequent.any():
-                verdict = np.where(frequent, np.where(newest[at] == l, _LAST, _DROP), _KEEP)
+                verdict = np.where(frequent, np.where(newest[at] == last, _LAST, _DROP), _KEEP)
                 yield chunk, encode(verdict.astype(np.uint8))
 
     return reduce
@@ -115,33 +123,33 @@ def drop_frequent_lines(
     carry: tuple[str, ...] = (),
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Drop lines whose key occurs in ``copies`` or more documents, except in the largest doc_id.
+    """Drop lines whose key occurs under ``copies`` or more doc_ids, except in the largest of them.
 
     A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` with A-Z lower-cased; keys below
     ``least_chars`` code points are kept wherever they are. Each chunk sends its distinct key
-    hashes with a document count and the largest id, once for each key, so a line that a third of
-    all documents hold costs one entry for each chunk. A shard builds a minimal perfect hash over
+    hashes with the largest ``copies`` ids that hold each, once for each key, so a line that a third of
+    all documents hold costs a few ids for each chunk. A shard builds a minimal perfect hash over
     its distinct hashes, with compact arrays of fingerprints, counts and last ids, and the chunks'
     keys probe these. Keys are told apart by 96 bits of hash.
 
     Returns ``doc_id``, ``text``, ``n_lines`` (before dropping), ``n_dropped`` and, with
     ``carry``, a struct ``rest`` of those columns. A null or empty text is one empty line and
-    gives an empty text. A null id orders before all others. Repeated rows count as documents of
-    their own, and all rows of the largest id keep their lines.
+    gives an empty text; very long texts are read whole. Rows with equal ids, repeated ones among them,
+    are one document, and all rows of the largest id keep their lines. Rows without an id are one document
+    too, which orders before all others. An empty table gives an empty result.
     """
     packed = pack(docs, staging, id, text, chunk_bytes, carry)
     shards = shards_for(total_bytes(packed) // 40)
 
     def ask(chunk: Chunk, _) -> Iterator[pa.RecordBatch]:
-        found = _Lines(chunk, least_chars)
+        found = _Lines(chunk, least_chars, copies)
         edges = shard_edges(found.hash, shards)
         full = [s for s in range(shards) if edges[s] < edges[s + 1]]
         parts = []
         for s in full:
             own = slice(edges[s], edges[s + 1])
-            parts.append(
-                encode(encode_sorted(found.hash[own]), found.print[own], found.n_docs[own], found.last[own])
-            )
+            ids = found.ids[found.first_id[own.start] : found.first_id[own.stop]]
+            parts.append(encode(encode_sorted(found.hash[own]), found.print[own], found.n_ids[own], ids))
         if full:
             yield parts_batch(full, [chunk.number] * len(full), parts)
 
@@ -149,7 +157,7 @@ def drop_frequent_lines(
     answers = to_chunks(by_shard(parts, _reducer(copies)), staging)
 
     def finish(chunk: Chunk, replies: list) -> Iterator[pa.RecordBatch]:
-        found = _Lines(chunk, least_chars)
+        found = _Lines(chunk, least_chars, copies)
         edges = shard_edges(found.hash, shards)
         verdict = np.zeros(len(found.hash) + 1, np.uint8)  # the last entry serves lines without a key
         for shard, part in replies[0]:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.graphs import components
-from millrace.llm.hashing import byte_prefix, mix64, prefix, window_hash, words
+from millrace.llm.hashing import Windows, mix64, word_hashes, words
 from millrace.staging import Staging
 
 BANDS, ROWS = 36, 6
@@ -38,17 +38,15 @@ def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
         data = np.frombuffer(body, np.uint8)
         end = np.cumsum([len(t or b"") + 1 for t in texts[at:upto]]) - 1
         starts, ends = words(data)
-        hashes = mix64(window_hash(byte_prefix(data), starts, ends)) if len(starts) else np.zeros(0, np.uint64)
-        sums = prefix(hashes)
+        hashes = word_hashes(data, starts, ends)
+        shingles = Windows(hashes)(size)
         last = np.searchsorted(starts, end)
         first = np.append(0, last[:-1])
-        places = np.arange(max(0, len(starts) - size + 1))
-        shingles = window_hash(sums, places, places + size)
         for low, high in zip(first.tolist(), last.tolist(), strict=True):
             if high - low >= size:
                 out.append(np.unique(shingles[low : high - size + 1]))
             elif high > low:
-                out.append(window_hash(sums, np.array([low]), np.array([high])))
+                out.append(Windows(hashes[low:high])(high - low))
             else:
                 out.append(np.zeros(0, np.uint64))
         at = upto

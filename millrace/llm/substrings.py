@@ -21,7 +21,7 @@ from millrace.llm.chunks import (
     to_chunks,
     total_bytes,
 )
-from millrace.llm.hashing import byte_prefix, cover, mix64, prefix, runs_of, window_hash, words
+from millrace.llm.hashing import Windows, cover, runs_of, word_hashes, words
 from millrace.staging import Staging
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())])
@@ -40,29 +40,30 @@ class _Words:
 
     def __init__(self, chunk: Chunk):
         starts, ends = words(chunk.data)
-        hashes = window_hash(byte_prefix(chunk.data), starts, ends) if len(starts) else np.zeros(0, np.uint64)
-        self.sums = prefix(mix64(hashes))
+        self._make = lambda seed: Windows(word_hashes(chunk.data, starts, ends, seed))
+        self._windows: dict[int, Windows] = {}
         self.first = np.searchsorted(starts, chunk.start)
         self.counts = np.searchsorted(starts, chunk.end) - self.first
         self.left = np.repeat(self.first + self.counts, self.counts) - np.arange(len(starts))
 
-    def windows(self, at: np.ndarray, length: int) -> np.ndarray:
-        return window_hash(self.sums, at, at + length)
+    def windows(self, at: np.ndarray, length: int, seed: int) -> np.ndarray:
+        if seed not in self._windows:
+            self._windows[seed] = self._make(seed)
+        return self._windows[seed](length)[at]
 
 
-def _candidates(text: _Words, lengths: list[int], levels: list[Repeats], replies: list) -> np.ndarray:
+def _candidates(text: _Words, window: int, levels: list[tuple[int, int, Repeats]], replies: list) -> np.ndarray:
     """Starts of the windows to look at on the level after the last reply.
 
     A window of the full length can only occur again if each shorter window in it does, so a
     level keeps just the windows inside such stretches.
     """
-    window = lengths[-1]
     whole = text.left >= window
-    for length, level, reply in zip(lengths, levels, replies, strict=False):
+    for (length, seed, level), reply in zip(levels, replies, strict=False):
         at = np.flatnonzero(cover(np.flatnonzero(whole), window - length + 1, len(whole)))
         repeated = np.zeros(len(whole), bool)
         if len(at):
-            repeated[at], _ = level.flags(text.windows(at, length), reply)
+            repeated[at], _ = level.flags(text.windows(at, length, seed), reply)
         whole &= runs_of(repeated, window - length + 1)
     return whole
 
@@ -76,38 +77,39 @@ def remove_repeated_windows(
     Levels of doubling window length: on the first, all windows of about a quarter of the length
     are exchanged; a longer window is asked about only where all shorter ones inside it are
     repeated, and nothing is sent once no candidate is left. Short windows travel as a few bits
-    more than their number needs, the last level as 64-bit hashes of windows whose halves are
-    both known to repeat.
+    more than their number needs, the full length as 64-bit hashes of windows whose halves are
+    both known to repeat. What these call repeated is asked once more by independent 64-bit hashes, so
+    a window is removed by 128 bits.
 
     Returns one row per row: ``doc_id``, ``text`` (kept words joined by one space), ``n_words``,
     ``n_removed``. Null and empty texts have no words and give an empty text; a null id stays
-    null. Repeated rows are documents of their own, so their windows count as repeats. Other
-    columns are ignored, whatever their names.
+    null. Texts of any length are processed whole; one longer than a chunk is a chunk of its own. Repeated
+    rows are documents of their own, so their windows count as repeats. An empty table gives an empty
+    result. Other columns are ignored, whatever their names.
     """
-    lengths = level_lengths(window)
+    steps = [(length, 0) for length in level_lengths(window)] + [(window, 1)]
     packed = pack(docs, staging, id, text, chunk_bytes)
     size = total_bytes(packed)
     few = min(64, max(40, math.ceil(math.log2(size + 1)) + 8))
     answers: list[DataFrame] = []
-    levels: list[Repeats] = []
-    for i, length in enumerate(lengths):
-        last = i == len(lengths) - 1
-        level = Repeats(size // 6, 64 if last else min(64, few + 8 * i))
+    levels: list[tuple[int, int, Repeats]] = []
+    for i, (length, seed) in enumerate(steps):
+        level = Repeats(size // 6, 64 if length == window else min(64, few + 8 * i))
 
-        def ask(chunk: Chunk, replies: list, length=length, level=level, levels=tuple(levels)):
+        def ask(chunk: Chunk, replies: list, length=length, seed=seed, level=level, levels=tuple(levels)):
             found = _Words(chunk)
-            whole = _candidates(found, lengths, list(levels), replies)
+            whole = _candidates(found, window, list(levels), replies)
             at = np.flatnonzero(cover(np.flatnonzero(whole), window - length + 1, len(whole)))
             if len(at):
-                yield from level.ask(chunk, found.windows(at, length))
+                yield from level.ask(chunk, found.windows(at, length, seed))
 
         parts = over_chunks(packed, ask, PARTS_TYPE, answers)
         answers.append(to_chunks(by_shard(parts, level.reduce), staging))
-        levels.append(level)
+        levels.append((length, seed, level))
 
     def finish(chunk: Chunk, replies: list) -> Iterator[pa.RecordBatch]:
         found = _Words(chunk)
-        whole = _candidates(found, lengths, levels, replies)
+        whole = _candidates(found, window, levels, replies)
         removed = cover(np.flatnonzero(whole), window, len(whole))
         gone = np.zeros(len(removed) + 1, np.int64)
         np.cumsum(removed, out=gone[1:])

@@ -208,3 +208,33 @@ def test_components_of_random_graphs(spark, staging):
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     out = components(spark.createDataFrame(edges, "a long, b long"), staging).collect()
     assert {(r["node"], r["component"]) for r in out} == {(x, least[x]) for x in nodes} and len(out) == len(nodes)
+
+
+def thue_morse(n):
+    """Two words of 2**n letters whose polynomials modulo 2**64 agree for any base."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_collide_under_polynomials_stay_apart(spark, staging):
+    one, two = thue_morse(10)
+    rows = [(1, one), (2, two), (3, f"x {one}"), (4, f"x {two}"), (5, one)]
+    out = link_documents(spark.createDataFrame(rows, "doc_id long, text string"), staging).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+    # sequences of two words in that order, as whole texts and inside shingles
+    texts = [" ".join({"a": "left", "b": "right"}[c] for c in w).encode() for w in thue_morse(6)]
+    for size in (2, 5, 64, 100):
+        sets = shingle_sets(texts, size)
+        plain = [{tuple(t.split()[i : i + size]) for i in range(max(1, 64 - size + 1))} for t in texts]
+        assert [len(s) for s in sets] == [len(p) for p in plain]
+        assert len(np.intersect1d(*sets)) == len(plain[0] & plain[1])
+
+
+def test_vectors_of_any_size_are_compared(spark, staging):
+    rows = [(1, [1e200, 2e200]), (2, [1e200, 2.0001e200]), (3, [1e-200, 2e-200]), (4, [1.0, 2.0]), (5, [1e300, -1e-300])]
+    rows += [(6, [5e-324, 0.0]), (7, [1.0, 0.0])]
+    out = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), staging).collect()
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out}
+    assert found == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (2, 5), 6: (2, 5), 7: (2, 5)}

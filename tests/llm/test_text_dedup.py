@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from millrace.llm.chunks import decode, encode, shard_edges
+from millrace.llm.hashing import Windows, word_hashes
 from millrace.llm.lines import drop_frequent_lines
 from millrace.llm.perfect_hash import PerfectHash
 from millrace.llm.substrings import level_lengths, remove_repeated_windows
@@ -162,11 +163,16 @@ def test_null_ids_and_texts(spark, staging, operator):
         assert {(r["doc_id"], len(r["text"])) for r in out} == {(None, len(long.encode())), (None, 0), (3, 0)}
 
 
-def test_repeated_rows_count_as_documents(spark, staging):
-    line = "a line of more than forty characters, held by one document"
-    docs = spark.createDataFrame([(1, line)] * 4 + [(2, line)], "doc_id long, text string")
-    out = sorted(map(tuple, drop_frequent_lines(docs, staging).collect()))
-    assert out == [(1, "", 1, 1)] * 4 + [(2, line, 1, 0)]
+@pytest.mark.parametrize("chunk_bytes", [4 << 20, 1])
+def test_rows_of_one_id_are_one_document(spark, staging, chunk_bytes):
+    """Ids are counted, not rows, also where they meet from many chunks."""
+    line, other = ("a line of more than forty characters, held by one document", "another line that is as long as it has to be")
+    rows = [(1, line)] * 4 + [(2, line)] + [(k, f"{other}\n{line if k > 90 else k}") for k in (7, 8, 9, 9, 10, 11, 11, 91, 92)]
+    docs = spark.createDataFrame(rows + [(None, other), (None, other)], "doc_id long, text string").repartition(3)
+    out = sorted(map(tuple, drop_frequent_lines(docs, staging, chunk_bytes=chunk_bytes).collect()), key=repr)
+    wanted = [(1, line, 1, 0)] * 4 + [(2, line, 1, 0), *[(k, str(k), 2, 1) for k in (7, 8, 9, 9, 10, 11, 11)]]
+    wanted += [(91, line, 2, 1), (92, f"{other}\n{line}", 2, 0), (None, "", 1, 1), (None, "", 1, 1)]
+    assert out == sorted(wanted, key=repr)
 
 
 @given(st.lists(st.integers(0, 2**64 - 1), unique=True, max_size=400))
@@ -201,3 +207,26 @@ def test_arrays_travel_whole():
     edges = shard_edges(keys, 7)
     assert edges[0] == 0 and edges[-1] == len(keys)
     assert [int(k) * 7 >> 64 for k in keys] == np.repeat(np.arange(7), np.diff(edges)).tolist()
+
+
+def test_windows_that_collide_under_polynomials_stay(spark, staging):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, "same " * 34 + word), (2, "same " * 34 + other)]
+    out = remove_repeated_windows(spark.createDataFrame(rows, "doc_id long, text string"), staging).collect()
+    assert [r["n_removed"] for r in out] == [0, 0]
+
+
+def test_word_hashes_tell_words_apart():
+    texts = [b"a", b"b", b"ab", b"a" * 7, b"a" * 8, b"a" * 9, b"a" * 255, b"a" * 256, b"a" * 257, b"\x00", b"\x00\x00", b"a" * 8 + b"\x00"]
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    starts = ends - [len(t) for t in texts]
+    one, two = word_hashes(data, starts, ends), word_hashes(data, starts, ends, 1)
+    assert len(set(one) | set(two)) == 2 * len(texts)
+    again = np.frombuffer(b"xyz" + data.tobytes(), np.uint8)
+    assert (word_hashes(again, starts + 3, ends + 3) == one).all()
+    windows = Windows(one)
+    assert [len(windows(n)) for n in (1, 2, 5, 12, 13, 35)] == [12, 11, 8, 1, 0, 0]
