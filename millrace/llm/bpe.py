@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Piece types and field numbers of the model file's format; fixed values.
@@ -21,6 +21,7 @@ _FIRST = 0x100
 _BYTE_CHARS = {b: _FIRST + b for b in range(256)}
 
 CACHE_ENTRIES = 1 << 17
+CACHED_LETTERS = 64  # longer pre-tokens are encoded anew each time
 _ROWS = 250  # documents taken at a time
 LONG_TEXT = 1 << 20
 
@@ -88,8 +89,9 @@ class Encoder:
         if len(self.cache) + len(missing) > CACHE_ENTRIES:
             self.cache.clear()
             missing = list(set(pieces))
-        self.cache.update(zip(missing, self._encode(missing), strict=True))
-        return b"".join(map(self.cache.__getitem__, pieces))
+        made = dict(zip(missing, self._encode(missing), strict=True))
+        self.cache.update((p, ids) for p, ids in made.items() if len(p) <= CACHED_LETTERS)
+        return b"".join([made[p] if p in made else self.cache[p] for p in pieces])
 
     def __call__(self, text: str) -> bytes:
         if len(text) < LONG_TEXT:
@@ -116,12 +118,14 @@ def encode_texts(
     id: str = "doc_id",
     text: str = "text",
     decode: bool = False,
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Encode every whole text: each match of ``pattern`` by itself, by the merges of ``tokens``.
 
     Returns ``doc_id``, ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens`` for every
-    row, and with ``decode`` also ``decoded``, as `decode_ids` makes it, in the same tasks. A null
-    text encodes as an empty one; a null id stays null; other columns are ignored. The model is
+    row, with ``decode`` also ``decoded``, as `decode_ids` makes it, in the same tasks, and columns
+    ``also``. A null text encodes as an empty one; a null id stays null; repeated rows are encoded each;
+    an empty table gives an empty result; other columns are ignored. The model is
     made once from the vocabulary and travels with the tasks (some 2 MB, as large as the
     vocabulary). Each task remembers at most ``CACHE_ENTRIES`` pre-tokens and takes a long text
     some ten thousand pre-tokens at a time.
@@ -137,11 +141,14 @@ def encode_texts(
                 columns = [part.column(0), pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
                 if decode:
                     columns.append(pa.array([_decoded(i, table) for i in ids], pa.binary()))
+                columns += part.columns[2:]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "ids", "n_tokens", *(["decoded"] if decode else [])]
-    plain = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, ids binary, n_tokens long" + (", decoded binary" if decode else ""))
+    names = ["doc_id", "ids", "n_tokens", *(["decoded"] if decode else []), *(also or {})]
+    own = F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
+    plain = docs.select(*own, *[c.alias(name) for name, c in (also or {}).items()])
+    more = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in plain.schema[2:])
+    return plain.mapInArrow(run, "doc_id long, ids binary, n_tokens long" + (", decoded binary" if decode else "") + more)
 
 
 def decode_ids(encoded: DataFrame, tokens: list[bytes]) -> DataFrame:

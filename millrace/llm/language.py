@@ -113,16 +113,16 @@ def train_language_model(
 ) -> ByteCNN:
     """Fit the network on about ``per_language`` windows of each language among rows where ``learn``.
 
-    The sample is bounded by that parameter times the number of languages: rows are drawn at a
-    rate that follows from each language's count, by a hash of the text, and a drawn row gives one
-    window at a place its hash chooses. Null texts and languages, and texts without a letter, are
+    The sample is bounded by that parameter times the number of languages: different texts are drawn at
+    a rate that follows from how many each language has, by a hash of the text, and a drawn text gives one
+    window at a place its hash chooses, however many copies of it there are. Null texts and languages, and texts without a letter, are
     not learned from. Without any row to learn from, every prediction is ``und``.
     """
     usable = learn & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").rlike(r"\p{L}")
     rows = docs.filter(usable).select(
         F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), F.xxhash64(f"`{text}`").alias("h")
     )
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.01).alias("n")).collect()}
     if not counts:
         return ByteCNN([UNKNOWN], window)
     spot = F.pmod("h", F.lit(1_000_000_007))
@@ -132,7 +132,8 @@ def train_language_model(
         drawn |= (F.col("lang") == name) & (spot < int(share * 1_000_000_007) + 1)
     place = 1 + F.pmod(F.shiftright("h", 20), F.greatest(F.length("text") - window, F.lit(1)))
     piece = F.lower(F.substr("text", place.cast("int"), F.lit(window)))
-    sample = sorted((r["lang"], r["piece"]) for r in rows.filter(drawn).select("lang", piece.alias("piece")).collect())
+    found = rows.filter(drawn).groupBy("lang", "h").agg(F.min(piece).alias("piece")).collect()  # copies fold in their tasks
+    sample = sorted((r["lang"], r["piece"]) for r in found)
     languages = sorted(counts)
     windows = np.vstack([cut(p.encode()[:window], window) for _, p in sample])
     labels = np.array([languages.index(name) for name, _ in sample])
@@ -147,6 +148,8 @@ def predict_language(
     A text is lower-cased and cut into windows of fixed length; the network runs over batches of
     windows, and a text's scores are the softmax of the mean over all its windows. ``score`` is
     the probability of ``lang_pred``. A null text, or one without a letter, is ``und`` with score 0.
+    Repeated rows are predicted alike, of equal scores the first language in order of its name wins, a null id
+    stays null, and an empty table gives an empty result; other columns are ignored.
     """
     also = also or {}
     has_letter = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))

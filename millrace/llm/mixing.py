@@ -6,7 +6,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import batched
+from math import gcd, isqrt, lcm
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +16,20 @@ from pyspark.sql import functions as F
 from millrace.operators.sequence import with_position
 from millrace.staging import Staging
 
-SLOTS = 1024  # about as many slots as a period has; more where there are many sources
 BLOCK_ROWS = 16
-PIECE = 1 << 20  # blocks of a schedule that the driver holds at a time
+MOST_SLOTS = 1 << 20  # in a period; the driver makes the schedule of one
 
 
-def quotas(weights: dict, slots: int = SLOTS) -> dict:
-    """Blocks that each source gets in one period, at least one."""
-    slots, total = max(slots, 16 * len(weights)), sum(weights.values())
-    return {name: max(1, int(slots * w / total + 0.5)) for name, w in weights.items()}
+def whole_weights(weights: dict) -> dict:
+    """The least whole numbers in the proportions of the weights, taken as decimals: blocks in one period."""
+    exact = {name: Fraction(str(w)) for name, w in weights.items()}
+    scale = lcm(*[w.denominator for w in exact.values()])
+    whole = {name: int(w * scale) for name, w in exact.items()}
+    shared = gcd(*whole.values())
+    whole = {name: w // shared for name, w in whole.items()}
+    if sum(whole.values()) > MOST_SLOTS:
+        raise ValueError(f"the weights repeat after {sum(whole.values())} blocks, more than {MOST_SLOTS}; use rounder ones")
+    return whole
 
 
 def pfair(weights: list, blocks: list[int]) -> Iterator[tuple[int, int, int]]:
@@ -60,17 +65,6 @@ def schedule(quota: list[int]) -> list[tuple[int, int, int]]:
     return list(pfair(quota, quota))
 
 
-def _staged(slots: Iterator[tuple[int, int, int]], staging: Staging) -> DataFrame:
-    """A schedule as a staged table, written a bounded piece at a time."""
-    names = ["number", "mix_block", "slot"]
-    out = staging.spark.range(0).select(*[F.col("id").alias(n) for n in names])
-    for piece in batched(slots, PIECE):
-        columns = np.array(piece, np.int64).T
-        table = pa.table([pa.array(c) for c in columns], names=names)
-        out = out.unionByName(staging.write(staging.spark.createDataFrame(table), "schedule"))
-    return out
-
-
 def _rows(spark, values: list[dict], schema: str) -> DataFrame:
     """A DataFrame of a few rows that the driver made."""
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(values)), f"array<struct<{schema}>>")))
@@ -85,21 +79,17 @@ def mix_sources(
     source: str = "source",
     power: float = 0.5,
     block_rows: int = BLOCK_ROWS,
-    slots: int = SLOTS,
     columns: tuple[str, ...] = (),
 ) -> DataFrame:
     """Give every row its place in a mixture that follows target weights from its first block on.
 
-    ``weights`` maps each source (None for rows without one) to its target. Rows of a source are put
-    in order of a hash of their id and cut into blocks of ``block_rows``. The driver makes a Pfair
-    schedule of all blocks, which are joined with it: as long as a source has blocks left, it is
-    less than one block from its exact target after every slot, over the whole run.
-
-    Without ``weights`` a source of n rows weighs n to the ``power``, and as the SQL of
-    ``op7_source_mixing`` has it, that weight is first rounded to whole blocks of a period of about
-    ``slots`` slots, at least one. The schedule of that period repeats; a source is less than one
-    block from its rounded share, but the rounding itself, up to half a block a period (more for a
-    source below half a block), adds up over the periods.
+    ``weights`` maps each source (None for rows without one) to its target; without them a source of
+    n rows weighs the whole part of n to the ``power``. Rows of a source are put in order of a hash
+    of their id and cut into blocks of ``block_rows``. Weights are whole numbers, or are brought to the least ones
+    in the same proportions, so their exact shares repeat after as many blocks as these add up to. The
+    driver makes a Pfair schedule of that one period, and a column expression repeats it: after every
+    slot of the whole run a source with blocks left is less than one block from its exact
+    target. Weights that only repeat after more than ``MOST_SLOTS`` blocks are an error, never rounded.
 
     A source that has run out leaves its slots empty, and the others go on in their proportions. No
     row is dropped or repeated.
@@ -107,9 +97,9 @@ def mix_sources(
     Returns ``doc_id``, ``source``, ``mix_block`` (in the source), ``mix_slot``, ``mix_place`` (in
     the block) and, if asked for, a struct ``doc`` of ``columns``. Rows are numbered with a range
     partitioning, so a source that holds most rows is spread over many tasks. Null ids have a hash
-    too; equal ids are ordered by their place in the input. A source without a positive weight is
-    an error, because its rows would be lost. Only one number for each source reaches the driver,
-    which with ``weights`` spends a few microseconds on each block, and holds a bounded part of them.
+    too; equal ids, repeated rows among them, are ordered by their place in the input. An empty table gives an
+    empty result; texts are not read. A source without a positive weight is an error, because its
+    rows would be lost. Only one number for each source reaches the driver.
     """
     spark = docs.sparkSession
     plain = docs.select(
@@ -121,11 +111,13 @@ def mix_sources(
     )
     counts = {r["source"]: r["count"] for r in plain.groupBy("source").count().collect()}
     names = sorted(counts, key=lambda name: (name is None, name or ""))
-    given = weights if weights is not None else {name: counts[name] ** power for name in names}
+    given = weights
+    if given is None:
+        given = {name: max(1, isqrt(n) if power == 0.5 else int(n**power)) for name, n in counts.items()}
     without = [name for name in names if not given.get(name, 0) > 0]
     if without:
         raise ValueError(f"no positive weight for sources {without}")
-    quota = quotas({name: given[name] for name in names}, slots)
+    quota = whole_weights({name: given[name] for name in names}) if names else {}
     period, before = sum(quota.values()), 0
     sources = []
     for number, name in enumerate(names):
@@ -144,21 +136,13 @@ def mix_sources(
         .withColumn("mix_block", F.floor(row / block_rows))
         .withColumn("mix_place", F.pmod(row, F.lit(block_rows)))
     )
-    if weights is not None:
-        blocks = [-(-counts[name] // block_rows) for name in names]
-        places = _staged(pfair([given[name] for name in names], blocks), staging)
-        out = blocked.join(places, ["number", "mix_block"])
-        slot = F.col("slot")
-    else:
-        placed = schedule([quota[name] for name in names]) if names else []
-        places = _rows(
-            spark,
-            [{"number": s, "turn": b, "slot": t} for s, b, t in placed],
-            "number long, turn long, slot long",
-        )
-        turned = blocked.withColumn("turn", F.pmod("mix_block", "quota"))
-        out = turned.join(F.broadcast(places), ["number", "turn"])  # a row for each slot of a period
-        slot = F.floor(F.col("mix_block") / F.col("quota")) * period + F.col("slot")
+    placed = np.array(schedule([quota[name] for name in names]), np.int64).reshape(-1, 3)
+    period_table = pa.table([pa.array(c) for c in placed.T], names=["number", "turn", "slot"])
+    # A row for each slot of a period; Spark broadcasts it where it is small.
+    places = staging.write(spark.createDataFrame(period_table), "schedule")
+    turned = blocked.withColumn("turn", F.pmod("mix_block", "quota"))
+    out = turned.join(places, ["number", "turn"])
+    slot = F.floor(F.col("mix_block") / F.col("quota")) * period + F.col("slot")
     return out.select(
         "doc_id", "source", "mix_block", slot.alias("mix_slot"), "mix_place", *(["doc"] if columns else [])
     )

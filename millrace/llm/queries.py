@@ -178,9 +178,10 @@ def oracle_sql() -> dict[str, str]:
                 coalesce(c, vec_id) = vec_id as kept
             from embeddings left join n on n.a = vec_id left join c on c.a = vec_id""",
         "op7_source_mixing": """
-            with recursive n as (select source, sqrt(count(*)) as w from documents group by source),
-                q as (select source, row_number() over (order by source nulls last) as i, cast(greatest(1, floor(
-                    greatest(1024, 16 * count(*) over ()) * w / sum(w) over () + 0.5)) as bigint) as k from n),
+            with recursive n as (select source, cast(greatest(1, floor(sqrt(count(*)))) as bigint) as w
+                    from documents group by source),
+                g as (select list_reduce(list(w), lambda x, y: gcd(x, y)) as g from n),
+                q as (select source, row_number() over (order by source nulls last) as i, cast(w // g as bigint) as k from n, g),
                 p as (select list(k order by i) as k, cast(sum(k) as bigint) as n, list(cast(0 as bigint) order by i) as none from q),
                 due as (select cast(0 as bigint) as t, cast(null as bigint) as i, none as b from p
                     union all select t + 1, pick, list_transform(b, lambda x, j: x + if(j = pick, 1, 0)) from (

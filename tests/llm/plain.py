@@ -10,7 +10,6 @@ import public_tokenizers
 import regex
 import tiktoken
 
-from millrace.llm.mixing import quotas, schedule
 from millrace.llm.quality_rules import fit_votes
 
 SPACE = " \t\n\r\x0b\x0c"
@@ -119,12 +118,24 @@ def without_near_copies(docs, size=5, percent=80):
     return [doc for k, doc in enumerate(docs) if least[find(k)] == doc[0]]
 
 
-def mixed(docs, power=0.5, block_rows=16):
+def earliest_deadline_first(quota):
+    """The source of each slot of a period, one slot at a time."""
+    n, done, out = sum(quota), [0] * len(quota), []
+    for slot in range(n):
+        released = [k for k, q in enumerate(quota) if done[k] < q and done[k] * n // q <= slot]
+        pick = min(released, key=lambda k: (-(-(done[k] + 1) * n // quota[k]), k))
+        out.append((pick, done[pick]))
+        done[pick] += 1
+    return out
+
+
+def mixed(docs, block_rows=16):
     counts = Counter(source for _, _, source in docs)
     names = sorted(counts)
-    quota = quotas({name: counts[name] ** power for name in names})
+    weights = [math.isqrt(counts[name]) for name in names]
+    quota = dict(zip(names, [w // math.gcd(*weights) for w in weights], strict=True))
     period = sum(quota.values())
-    slots = {(names[s], b): t for s, b, t in schedule([quota[name] for name in names])}
+    slots = {(names[s], b): t for t, (s, b) in enumerate(earliest_deadline_first(list(quota.values())))}
     order = sorted(docs, key=lambda d: (d[2], hashlib.md5(str(d[0]).encode()).hexdigest(), d[0]))
     seen, placed = Counter(), []
     for doc in order:

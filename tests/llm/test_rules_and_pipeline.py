@@ -1,5 +1,6 @@
 """Quality rules, source mixing and the pipeline against plain versions."""
 
+import math
 import random
 from collections import Counter
 from fractions import Fraction
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from plain import base_failed, encoded, kept_by_rules, mixed, text_counts, without_frequent_lines, without_near_copies
 
 import corpus_pipeline
-from millrace.llm.mixing import in_mixed_order, mix_sources, pfair, schedule
+from millrace.llm.mixing import in_mixed_order, mix_sources, pfair, schedule, whole_weights
 from millrace.llm.quality_rules import fit_votes, judge_quality
 
 ODD = [
@@ -95,6 +96,9 @@ def deviation(placed, weights):
 
 
 def test_given_weights_hold_over_many_periods(spark, staging):
+    assert whole_weights({"a": 0.1, "b": 0.3, "c": "0.6"}) == {"a": 1, "b": 3, "c": 6}
+    with pytest.raises(ValueError, match="rounder"):
+        whole_weights({"a": 1.0, "b": 0.123456789})
     weights, blocks = {"hot": 0.9999, "rare": 0.0001}, {"hot": 29_000, "rare": 4}
     placed = [(list(weights)[k], t) for k, _, t in pfair(list(weights.values()), list(blocks.values()))]
     assert Counter(s for s, _ in placed) == blocks and deviation(placed, weights) < 1
@@ -112,6 +116,18 @@ def mixture(spark, counts):
     return spark.createDataFrame(rows, "doc_id long, source string")
 
 
+def test_weights_from_sizes_do_not_drift(spark, staging):
+    """Sizes whose roots share no period; every block of the run stays within one of its exact target."""
+    counts = {"a": 9_001, "b": 3_607, "c": 401, None: 17, "e": 1}
+    weights = {name: math.isqrt(n) for name, n in counts.items()}
+    out = mix_sources(mixture(spark, counts), staging, block_rows=1).collect()
+    placed = [(r.source, r.mix_slot) for r in sorted(out, key=lambda r: r.mix_slot)]
+    done, total = Counter(), sum(weights.values())
+    for source, slot in placed:
+        done[source] += 1
+        assert all(abs(done[s] - Fraction((slot + 1) * w, total)) < 1 for s, w in weights.items() if done[s] < counts[s])
+
+
 def test_blocks_follow_the_weights(spark, staging):
     counts = {"hot": 90, "a": 30, None: 20, "b": 12}
     weights = {"hot": 0.25, "a": 0.25, None: 0.25, "b": 0.25}
@@ -151,7 +167,9 @@ def test_pipeline_matches_the_plain_version(spark, staging, tmp_path):
     out = corpus_pipeline.run(spark, DATA).collect()
     docs = kept_by_rules(documents(spark))
     docs = without_near_copies(without_frequent_lines(docs))
-    assert sorted(tuple(r) for r in out) == sorted(encoded(mixed(docs)))
+    ordered = sorted(out, key=lambda r: (r["part"], r["place"]))
+    assert len({(r["part"], r["place"]) for r in out}) == len(out)
+    assert [tuple(r)[:5] for r in ordered] == encoded(mixed(docs))  # in the order of the mixture
     assert len(docs) < 200
 
 
@@ -169,7 +187,36 @@ def test_stages_take_nulls_and_repeated_rows(spark, staging):
     rows = [(1, text, "en", "s", 5), (1, text, "en", "s", 5), (2, text, None, None, None), (None, None, None, None, None)]
     table = spark.createDataFrame(rows, spark.read.parquet(f"{DATA}/documents.parquet").schema)
     left = {name: stage(spark, table, DATA).count() for name, stage in corpus_pipeline.STAGES}
-    assert left == {"quality rules": 3, "line dedup": 4, "MinHash near-dedup": 3, "source mixing": 4, "byte-level BPE": 4}
+    assert left == {"quality rules": 3, "line dedup": 4, "MinHash near-dedup": 2, "source mixing": 4, "byte-level BPE": 4}
+
+
+def test_near_dedup_leaves_one_of_many_repeats(spark):
+    text = " ".join(f"word{i}" for i in range(50))
+    rows = [(9, text, "en", "s", 5)] * 300 + [(6, text, "en", "s", 5), (7, None, "en", "s", 0), (7, None, "en", "s", 0)]
+    table = spark.createDataFrame(rows, spark.read.parquet(f"{DATA}/documents.parquet").schema).repartition(4)
+    assert sorted(r.doc_id for r in corpus_pipeline.minhash_near_dedup(spark, table, DATA).collect()) == [6, 7]
+
+
+def test_stages_take_further_columns_whatever_their_names(spark):
+    """Names that the stages and operators use inside, and no n_chars."""
+    names = ["chosen_id", "chosen_mark", "mark", "doc", "id", "no_id", "kept", "rest", "quota", "position", "part", "ids", "n", "keys"]
+    text = " ".join(f"word{i}" for i in range(50))
+    rows = [(k, f"{text} {k * 'x'}", "s", *[f"{n}{k}" for n in names]) for k in (1, 2, 3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, table, DATA)
+        assert made.columns == table.columns, name
+        assert all(r["chosen_id"] == f"chosen_id{r['doc_id']}" for r in made.collect())
+    assert corpus_pipeline.byte_bpe(spark, table, DATA).count() == 3
+
+
+def test_a_mixture_is_read_back_in_order_from_many_files(spark, tmp_path):
+    rows = [(i, f"text {i}", f"s{i * i % 7 % 3}") for i in range(2000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    corpus_pipeline.source_mixing(spark, table, DATA).write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.byte_bpe(spark, spark.read.parquet(f"{tmp_path}/mixed"), DATA).collect()
+    ordered = [r["doc_id"] for r in sorted(out, key=lambda r: (r["part"], r["place"]))]
+    assert ordered == [d[0] for d in mixed(rows)]
 
 
 def test_near_dedup_goes_by_the_row_where_ids_repeat_or_are_null(spark):
