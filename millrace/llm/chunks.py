@@ -193,10 +193,22 @@ def shards_for(keys: int, shard_keys: int = SHARD_KEYS) -> int:
     return max(1, -(-keys // shard_keys))
 
 
-def shard_edges(sorted_keys: np.ndarray, shards: int, bits: int = 64) -> np.ndarray:
-    """Where each shard's slice of a chunk's sorted ``bits``-bit keys begins and the last one ends."""
-    bounds = np.array([((s << bits) + shards - 1) // shards for s in range(1, shards)], np.uint64)
-    return np.concatenate(([0], np.searchsorted(sorted_keys, bounds), [len(sorted_keys)]))
+def filled_shards(sorted_keys: np.ndarray, shards: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The shards that a chunk's sorted ``bits``-bit keys fall into, and where the slice of each begins.
+
+    Shards cut the range of the keys evenly. The second array has one place more, the end. Work and
+    memory follow the keys, not the number of shards.
+    """
+    kept = min(bits, 32)
+    shard = ((sorted_keys >> np.uint64(bits - kept)) * np.uint64(shards)) >> np.uint64(kept)
+    begin = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])[: len(shard)])
+    return shard[begin].astype(np.int64), np.append(begin, len(shard))
+
+
+def slice_of(shard: int, filled: tuple[np.ndarray, np.ndarray]) -> slice:
+    """Where the keys of one filled shard lie."""
+    at = int(np.searchsorted(filled[0], shard))
+    return slice(int(filled[1][at]), int(filled[1][at + 1]))
 
 
 def encode(*arrays: np.ndarray) -> bytes:
@@ -238,48 +250,79 @@ def decode_sorted(steps: np.ndarray) -> np.ndarray:
 class Repeats:
     """Which of a chunk's keys occur more than once anywhere, asked with ``bits`` bits of each key.
 
-    Fewer bits make smaller messages and some false repeats, never a missed one. Keys that
-    ``hot`` or more chunks hold are told apart from the others.
+    Fewer bits make smaller messages and some false repeats, never a missed one. A key may come in
+    several forms, such as an anchor in several surroundings. Keys with ``dense`` forms or more, all
+    chunks' forms added, and ``FEW`` or more for each chunk that holds the key, are told apart.
     """
 
-    def __init__(self, total: int, bits: int, hot: int | None = None):
-        self.bits, self.hot, self.shards = bits, hot, shards_for(total)
+    FEW = 4
+
+    def __init__(self, total: int, bits: int, dense: int | None = None):
+        self.bits, self.dense, self.shards = bits, dense, shards_for(total)
 
     def _sorted(self, keys: np.ndarray):
         return np.unique(keys >> np.uint64(64 - self.bits), return_inverse=True, return_counts=True)
 
-    def ask(self, chunk: Chunk, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        distinct = np.unique(keys >> np.uint64(64 - self.bits))
-        edges = shard_edges(distinct, self.shards, self.bits)
-        full = [s for s in range(self.shards) if edges[s] < edges[s + 1]]
-        parts = [encode(encode_sorted(distinct[edges[s] : edges[s + 1]])) for s in full]
-        if full:
-            yield parts_batch(full, [chunk.number] * len(full), parts)
+    def _forms(self, place: np.ndarray, counts: np.ndarray, form: Callable[[np.ndarray], np.ndarray]):
+        """The places of keys with ``FEW`` forms or more in this chunk, and how many forms each has."""
+        own = np.flatnonzero(counts[place] >= self.FEW)
+        keys, forms = place[own], form(own)
+        order = np.lexsort((forms, keys))
+        keys, forms = keys[order], forms[order]
+        new = np.append(True, (keys[1:] != keys[:-1]) | (forms[1:] != forms[:-1]))[: len(keys)]
+        several, number = np.unique(keys[new], return_counts=True)
+        return several[number >= self.FEW], number[number >= self.FEW]
+
+    def ask(
+        self, chunk: Chunk, keys: np.ndarray, form: Callable[[np.ndarray], np.ndarray] | None = None
+    ) -> Iterator[pa.RecordBatch]:
+        """Parts for the shards; ``form`` gives a hash of the form of the keys at some places."""
+        distinct, place, counts = self._sorted(keys)
+        several, number = self._forms(place, counts, form) if form else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        numbers, edges = filled_shards(distinct, self.shards, self.bits)
+        parts = []
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            own = slice(*np.searchsorted(several, [low, high]))
+            parts.append(encode(encode_sorted(distinct[low:high]), several[own] - low, number[own]))
+        if parts:
+            yield parts_batch(numbers.tolist(), [chunk.number] * len(parts), parts)
 
     def reduce(self, chunks: list[int], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        keys = [decode_sorted(decode(p)[0]) for p in parts]
+        asked = [decode(p) for p in parts]
+        keys = [decode_sorted(steps) for steps, _, _ in asked]
         both = np.sort(np.concatenate(keys))
         begin = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
         counts = np.diff(np.append(begin, len(both)))
-        shared, counts = both[begin[counts > 1]], counts[counts > 1]
-        hot = counts >= (self.hot or len(chunks) + 1)
+        both = both[begin]
+        dense = np.zeros(len(both), bool)
+        if self.dense is not None:
+            forms = np.zeros(len(both), np.int64)
+            for own, (_, several, number) in zip(keys, asked, strict=True):
+                forms[np.searchsorted(both, own[several])] += number
+            dense = forms >= np.maximum(self.dense, self.FEW * counts)
+        told = (counts > 1) | dense
+        shared, dense = both[told], dense[told]
         for chunk, own in zip(chunks, keys, strict=True):
             at = np.searchsorted(own, shared)
             held = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == shared)
             if held.any():
                 flags = np.zeros((2, len(own)), bool)
                 flags[0, at[held]] = True
-                flags[1, at[held & hot]] = True
+                flags[1, at[held & dense]] = True
                 yield chunk, encode(np.packbits(flags[0]), np.packbits(flags[1]))
 
+    @staticmethod
+    def any_dense(reply: list[tuple[int, bytes]]) -> bool:
+        return any(decode(part)[1].any() for _, part in reply)
+
     def flags(self, keys: np.ndarray, reply: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """For the keys that were asked: whether each occurs elsewhere, here or in another chunk, and is hot."""
+        """For the keys that were asked: whether each occurs elsewhere, here or in another chunk, and is dense."""
         distinct, place, counts = self._sorted(keys)
         found = np.zeros((2, len(distinct)), bool)
         found[0] = counts > 1
-        edges = shard_edges(distinct, self.shards, self.bits)
+        filled = filled_shards(distinct, self.shards, self.bits)
         for shard, part in reply:
-            low, high = edges[shard], edges[shard + 1]
+            own = slice_of(shard, filled)
             for row, bits in zip(found, decode(part), strict=True):
-                row[low:high] |= np.unpackbits(bits, count=int(high - low)).astype(bool)
+                row[own] |= np.unpackbits(bits, count=own.stop - own.start).astype(bool)
         return found[0][place], found[1][place]

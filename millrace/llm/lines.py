@@ -20,11 +20,12 @@ from millrace.llm.chunks import (
     decode_sorted,
     encode,
     encode_sorted,
+    filled_shards,
     over_chunks,
     pack,
     parts_batch,
-    shard_edges,
     shards_for,
+    slice_of,
     to_chunks,
     total_bytes,
 )
@@ -143,25 +144,24 @@ def drop_frequent_lines(
 
     def ask(chunk: Chunk, _) -> Iterator[pa.RecordBatch]:
         found = _Lines(chunk, least_chars, copies)
-        edges = shard_edges(found.hash, shards)
-        full = [s for s in range(shards) if edges[s] < edges[s + 1]]
+        full, edges = filled_shards(found.hash, shards)
         parts = []
-        for s in full:
-            own = slice(edges[s], edges[s + 1])
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            own = slice(low, high)
             ids = found.ids[found.first_id[own.start] : found.first_id[own.stop]]
             parts.append(encode(encode_sorted(found.hash[own]), found.print[own], found.n_ids[own], ids))
-        if full:
-            yield parts_batch(full, [chunk.number] * len(full), parts)
+        if parts:
+            yield parts_batch(full.tolist(), [chunk.number] * len(parts), parts)
 
     parts = over_chunks(packed, ask, PARTS_TYPE)
     answers = to_chunks(by_shard(parts, _reducer(copies)), staging)
 
     def finish(chunk: Chunk, replies: list) -> Iterator[pa.RecordBatch]:
         found = _Lines(chunk, least_chars, copies)
-        edges = shard_edges(found.hash, shards)
+        filled = filled_shards(found.hash, shards)
         verdict = np.zeros(len(found.hash) + 1, np.uint8)  # the last entry serves lines without a key
         for shard, part in replies[0]:
-            verdict[edges[shard] : edges[shard + 1]] = decode(part)[0]
+            verdict[slice_of(shard, filled)] = decode(part)[0]
         texts, n_lines, n_dropped = [], [], []
         for i, (lines, keys) in enumerate(zip(found.lines, found.keys, strict=True)):
             where = np.array(keys, np.int64)

@@ -17,13 +17,10 @@ from millrace.llm.chunks import (
     Repeats,
     by_shard,
     decode,
-    decode_sorted,
     encode,
-    encode_sorted,
     over_chunks,
     pack,
     parts_batch,
-    shard_edges,
     shards_for,
     to_chunks,
     total_bytes,
@@ -32,7 +29,7 @@ from millrace.llm.hashing import byte_prefix, mix64, window_hash
 from millrace.staging import Staging
 
 GRAM = 32  # bytes of the string that an anchor starts with
-_ENTRIES, _HOT, _SPANS = range(3)  # kinds of parts that chunks send
+_FINER = 4  # shards of single windows for each shard of stretches
 _PIECE = 1 << 17  # window starts hashed at a time
 SHARD_BYTES = 8 << 20
 _OUT = pa.schema(
@@ -193,44 +190,77 @@ class _Anchors:
         return least[begin] + first, starts[begin] + first, starts[final] + first, row[begin], mix64(hashes[least[begin]])
 
 
-def _contexts(chunk: Chunk, anchors: _Anchors, repeated: np.ndarray, window: int, shards: int):
-    """One entry for each distinct stretch around a repeated anchor, with its first occurrence.
+class _Stretches:
+    """What a chunk files: runs of windows that share an anchor, from ``low`` to ``high``, and their keys."""
+
+    def __init__(self, low, high, at, row, keys):
+        self.low, self.high, self.at, self.row, self.keys = low, high, at, row, keys
+
+    @staticmethod
+    def of(anchors: _Anchors, own: np.ndarray) -> _Stretches:
+        return _Stretches(anchors.low[own], anchors.high[own], anchors.at[own], anchors.row[own], anchors.keys[own])
+
+    def windows(self, chunk: Chunk, window: int) -> _Stretches:
+        """Each window as a stretch of its own, under a key of all its bytes."""
+        size = self.high - self.low + 1
+        first = np.repeat(self.low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        keys = mix64(window_hash(byte_prefix(chunk.data), first, first + window))
+        return _Stretches(first, first, np.repeat(self.at, size), np.repeat(self.row, size), keys)
+
+    def only(self, own: np.ndarray) -> _Stretches:
+        return _Stretches(self.low[own], self.high[own], self.at[own], self.row[own], self.keys[own])
+
+
+def _surroundings(chunk: Chunk, anchors: _Anchors, window: int):
+    """Hashes of the stretches around some anchors; equal stretches have equal ones."""
+
+    def form(own: np.ndarray) -> np.ndarray:
+        if not len(own):
+            return np.zeros(0, np.uint64)
+        low = anchors.low[own]
+        offset = mix64((anchors.at[own] - low).astype(np.uint64))
+        return window_hash(byte_prefix(chunk.data), low, anchors.high[own] + window) ^ offset
+
+    return form
+
+
+def _entries(chunk: Chunk, found: _Stretches, window: int, first_shard: int, shards: int):
+    """Parts with one entry for each distinct stretch, with its first occurrence, and the other occurrences.
 
     Later occurrences of the same stretch in this chunk are only listed behind it: whatever the
     other chunks hold, all their windows start earlier here.
     """
     rank = np.empty(len(chunk), np.int64)
     rank[np.argsort(chunk.ids, kind="stable")] = np.arange(len(chunk))
-    found = np.flatnonzero(repeated)
-    found = found[np.lexsort((anchors.low[found], rank[anchors.row[found]]))]
+    found = found.only(np.lexsort((found.low, rank[found.row])))
     body, seen = chunk.body, {}
-    low, high, at = anchors.low[found].tolist(), anchors.high[found].tolist(), anchors.at[found].tolist()
+    low, high, at = found.low.tolist(), found.high.tolist(), found.at.tolist()
     first, later = [], []
-    for i in range(len(found)):
+    for i in range(len(low)):
         key = (body[low[i] : high[i] + window], at[i] - low[i])
         number = seen.setdefault(key, len(first))
         if number == len(first):
             first.append(i)
         else:
             later.append(i)
-    first, later = np.array(first, np.int64), np.array(later, np.int64)
-    shard = (anchors.keys[found[first]] % np.uint64(shards)).astype(np.int64)
+    sent = found.only(np.array(first, np.int64))
+    shard = (sent.keys % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    numbers, begin = np.unique(shard[order], return_index=True)
     parts = []
-    for s in np.unique(shard).tolist():
-        own = np.flatnonzero(shard == s)
-        a = found[first[own]]
-        text = b"".join(body[i:j] for i, j in zip(anchors.low[a].tolist(), (anchors.high[a] + window).tolist(), strict=True))
-        row = anchors.row[a]
+    for s, i, j in zip(numbers.tolist(), begin.tolist(), [*begin[1:].tolist(), len(order)], strict=False):
+        a = sent.only(order[i:j])
+        text = b"".join(body[x:y] for x, y in zip(a.low.tolist(), (a.high + window).tolist(), strict=True))
         part = encode_text(
             text,
-            (anchors.high[a] - anchors.low[a]).astype(np.int32),
-            (anchors.at[a] - anchors.low[a]).astype(np.int32),
-            chunk.ids[row],
-            row.astype(np.int32),
-            anchors.low[a] - chunk.start[row],
+            (a.high - a.low).astype(np.int32),
+            (a.at - a.low).astype(np.int32),
+            chunk.ids[a.row],
+            a.row.astype(np.int32),
+            a.low - chunk.start[a.row],
         )
-        parts.append((s, part))
-    return parts, found[later]
+        parts.append((first_shard + s, part))
+    return parts, found.only(np.array(later, np.int64))
 
 
 def encode_text(text: bytes, *arrays: np.ndarray) -> bytes:
@@ -322,62 +352,6 @@ def _reducer(window: int):
     return reduce
 
 
-class _HotWindows:
-    """The windows of a chunk's hot anchors, compared by 64-bit hashes instead of sorted suffixes.
-
-    Each distinct window is sent once, with the least doc_id that holds it here, so the edges of a
-    passage that very many documents share are spread over all shards.
-    """
-
-    def __init__(self, chunk: Chunk, anchors: _Anchors, hot: np.ndarray, window: int, shards: int):
-        low, size = anchors.low[hot], anchors.high[hot] - anchors.low[hot] + 1
-        at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        rank = np.empty(len(chunk), np.int64)
-        rank[np.argsort(chunk.ids, kind="stable")] = np.arange(len(chunk))
-        row = np.repeat(anchors.row[hot], size)
-        order = np.lexsort((at, rank[row]))
-        self.at, row = at[order], row[order]
-        sums = byte_prefix(chunk.data)
-        self.keys, self.first, self.place = np.unique(
-            window_hash(sums, self.at, self.at + window), return_index=True, return_inverse=True
-        )
-        self.ids = chunk.ids[row[self.first]]
-        self.edges = shard_edges(self.keys, shards)
-
-    def parts(self) -> Iterator[tuple[int, bytes]]:
-        for s in range(len(self.edges) - 1):
-            own = slice(self.edges[s], self.edges[s + 1])
-            if own.start < own.stop:
-                yield s, encode(encode_sorted(self.keys[own]), self.ids[own])
-
-    @staticmethod
-    def reduce(chunks: list[int], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        """For each chunk, which of its windows start earlier in another one."""
-        asked = [decode(p) for p in parts]
-        keys = np.concatenate([decode_sorted(k) for k, _ in asked])
-        ids = np.concatenate([i for _, i in asked])
-        size = np.array([len(i) for _, i in asked])
-        source = np.repeat(np.arange(len(chunks)), size)
-        order = np.lexsort((source, ids, keys))
-        later = np.zeros(len(keys), bool)
-        later[order[1:]] = keys[order[1:]] == keys[order[:-1]]
-        begin = np.cumsum(size) - size
-        for k, chunk in enumerate(chunks):
-            own = later[begin[k] : begin[k] + size[k]]
-            if own.any():
-                yield chunk, encode(np.packbits(own))
-
-    def removed(self, reply: list[tuple[int, bytes]]) -> np.ndarray:
-        """Starts of the windows that start earlier, here or elsewhere."""
-        later = np.ones(len(self.at), bool)
-        elsewhere = np.zeros(len(self.keys), bool)
-        for s, part in reply:
-            low, high = self.edges[s], self.edges[s + 1]
-            elsewhere[low:high] = np.unpackbits(decode(part)[0], count=int(high - low)).astype(bool)
-        later[self.first] = elsewhere
-        return self.at[later]
-
-
 def remove_earlier_strings(
     docs: DataFrame,
     staging: Staging,
@@ -386,7 +360,7 @@ def remove_earlier_strings(
     text: str = "text",
     window: int = 100,
     chunk_bytes: int = CHUNK_BYTES,
-    hot_chunks: int = 64,
+    dense: int = 4096,
 ) -> DataFrame:
     """Remove every byte covered by a ``window``-byte string that also starts earlier.
 
@@ -396,70 +370,78 @@ def remove_earlier_strings(
     anywhere are dropped by an exchange of hashes. The stretches around the others meet in shards;
     there the suffixes to the right and the reversed prefixes to the left of the anchors are put
     in order, multikey quicksort first and blind tries below its shallow depth. Two windows are
-    equal where both orders show enough shared bytes, which compares the bytes themselves. Anchors
-    that ``hot_chunks`` or more chunks hold would gather in one shard; their windows are compared
-    by 64-bit hashes, spread over all shards, with the same result.
+    equal where both orders show enough shared bytes, which compares the bytes themselves.
+
+    An anchor in ``dense`` different stretches or more, and on average four or more for each chunk
+    that holds it, such as the edge of a passage of very many documents or a mark-up attribute, is
+    not filed as a whole: each of its windows is a stretch of its own, under a hash of all its
+    bytes. Windows whose hash occurs once are dropped by another exchange, and the others meet in
+    the shards of their hashes and go through the same sort. So what meets under one key is at most
+    ``dense`` stretches or a few for each chunk, whatever the texts.
 
     Returns ``doc_id``, ``text`` (remaining bytes, binary because a cut may split a character),
     ``n_bytes``, ``n_removed``, ``n_spans`` and ``spans`` (start and end of each maximal removed
     run in the text's bytes). "Earlier" is a smaller doc_id, or an earlier start in one document;
-    a null id orders first, rows with equal ids by their place in the input files. Null texts are
-    empty. Other columns are ignored.
+    a null id orders first, rows with equal ids (repeated rows too) by their place in the input
+    files. Null texts are empty, an empty table gives an empty one, and a very long text is a chunk
+    of its own that is never cut. Other columns are ignored, whatever their names.
     """
     packed = pack(docs, staging, id, text, chunk_bytes)
     size = total_bytes(packed)
     bits = min(64, max(44, math.ceil(math.log2(size + 1)) + 8))
-    seen = Repeats(size // 30, bits, hot_chunks)
+    seen, singles = Repeats(size // 30, bits, dense), Repeats(size // 8, 64)
     shards = shards_for(size, SHARD_BYTES)
+    spans_shard = shards * (1 + _FINER)
 
     def ask(chunk: Chunk, _):
         anchors = _Anchors(chunk, window)
         if len(anchors.keys):
-            yield from seen.ask(chunk, anchors.keys)
+            yield from seen.ask(chunk, anchors.keys, _surroundings(chunk, anchors, window))
 
     answers = to_chunks(by_shard(over_chunks(packed, ask, PARTS_TYPE), seen.reduce), staging)
 
+    def ask_windows(chunk: Chunk, replies: list):
+        if seen.any_dense(replies[0]):
+            anchors = _Anchors(chunk, window)
+            own = np.flatnonzero(seen.flags(anchors.keys, replies[0])[1])
+            yield from singles.ask(chunk, _Stretches.of(anchors, own).windows(chunk, window).keys)
+
+    asked = over_chunks(packed, ask_windows, PARTS_TYPE, [answers])
+    window_answers = to_chunks(by_shard(asked, singles.reduce), staging)
+
     def gather(chunk: Chunk, replies: list):
         anchors = _Anchors(chunk, window)
         if not len(anchors.keys):
             return
-        repeated, hot = seen.flags(anchors.keys, replies[0])
-        entries, copies = _contexts(chunk, anchors, repeated & ~hot, window, shards)
-        parts = [(s, _ENTRIES, p) for s, p in entries]
-        if hot.any():
-            parts += [(s, _HOT, p) for s, p in _HotWindows(chunk, anchors, hot, window, shards).parts()]
-        if len(copies):
-            row = anchors.row[copies]
-            spans = encode(
-                row.astype(np.int32), anchors.low[copies] - chunk.start[row], anchors.high[copies] - anchors.low[copies]
-            )
-            parts.append((0, _SPANS, spans))
+        repeated, many = seen.flags(anchors.keys, replies[0])
+        whole = _Stretches.of(anchors, np.flatnonzero(repeated & ~many))
+        parts, copies = _entries(chunk, whole, window, 0, shards)
+        copies = [copies]
+        if many.any():
+            each = _Stretches.of(anchors, np.flatnonzero(many)).windows(chunk, window)
+            each = each.only(np.flatnonzero(singles.flags(each.keys, replies[1])[0]))
+            more, again = _entries(chunk, each, window, shards, shards * _FINER)
+            parts, copies = parts + more, [*copies, again]
+        for c in copies:
+            if len(c.low):
+                spans = encode(c.row.astype(np.int32), c.low - chunk.start[c.row], c.high - c.low)
+                parts.append((spans_shard, spans))
         if parts:
-            kinds = [k * shards + s for s, k, _ in parts]
-            yield parts_batch(kinds, [chunk.number] * len(parts), [p for _, _, p in parts])
-
-    gathered = staging.write(over_chunks(packed, gather, PARTS_TYPE, [answers]), "contexts")
-    of = lambda kind: gathered.filter(
-        (F.col("shard") >= kind * shards) & (F.col("shard") < (kind + 1) * shards)
-    ).withColumn("shard", F.col("shard") - kind * shards)
-    spans = to_chunks(by_shard(of(_ENTRIES), _reducer(window)).union(of(_SPANS)), staging)
-    earlier = to_chunks(by_shard(of(_HOT), _HotWindows.reduce), staging)
+            yield parts_batch([s for s, _ in parts], [chunk.number] * len(parts), [p for _, p in parts])
+
+    gathered = staging.write(over_chunks(packed, gather, PARTS_TYPE, [answers, window_answers]), "contexts")
+    met = by_shard(gathered.filter(F.col("shard") < spans_shard), _reducer(window))
+    spans = to_chunks(met.union(gathered.filter(F.col("shard") == spans_shard)), staging)
     staging.remove(gathered)
 
     def finish(chunk: Chunk, replies: list):
         n = len(chunk.data)
         change = np.zeros(n + 1, np.int64)
-        for _, part in replies[1]:
+        for _, part in replies[0]:
             row, start, more = decode(part)
             begin = chunk.start[row] + start
             np.add.at(change, begin, 1)
             np.add.at(change, begin + more + window, -1)
-        if any(decode(part)[1].any() for _, part in replies[0]):  # the chunk holds hot anchors
-            anchors = _Anchors(chunk, window)
-            _, hot = seen.flags(anchors.keys, replies[0])
-            begin = _HotWindows(chunk, anchors, hot, window, shards).removed(replies[2])
-            np.add.at(change, begin, 1)
-            np.add.at(change, begin + window, -1)
         removed = np.cumsum(change[:-1]) > 0
         edge = np.diff(removed.astype(np.int8), prepend=0, append=0)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -488,4 +470,4 @@ def remove_earlier_strings(
         )
 
     schema = "doc_id long, text binary, n_bytes long, n_removed long, n_spans long, spans array<array<long>>"
-    return over_chunks(packed, finish, schema, [answers, spans, earlier])
+    return over_chunks(packed, finish, schema, [spans])

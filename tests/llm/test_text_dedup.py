@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm.chunks import decode, encode, shard_edges
+from millrace.llm.chunks import Repeats, decode, encode, filled_shards, slice_of
 from millrace.llm.hashing import Windows, word_hashes
 from millrace.llm.lines import drop_frequent_lines
 from millrace.llm.perfect_hash import PerfectHash
@@ -133,11 +133,11 @@ def earlier_strings(rows, window):
     return out
 
 
-@pytest.mark.parametrize(("chunk_bytes", "hot"), [(500, 64), (500, 2), (2000, 4), (1 << 22, 64)])
+@pytest.mark.parametrize(("chunk_bytes", "dense"), [(500, 4096), (500, 4), (2000, 8), (1 << 22, 4096), (1 << 22, 4)])
 @pytest.mark.parametrize("window", [100, 50])
-def test_suffixes_match_brute_force(spark, staging, chunk_bytes, hot, window):
+def test_suffixes_match_brute_force(spark, staging, chunk_bytes, dense, window):
     ids = random.sample(range(1000), len(TEXTS))
-    table, settings_ = frame(spark, TEXTS, ids), {"window": window, "chunk_bytes": chunk_bytes, "hot_chunks": hot}
+    table, settings_ = frame(spark, TEXTS, ids), {"window": window, "chunk_bytes": chunk_bytes, "dense": dense}
     out = remove_earlier_strings(table, staging, **settings_).collect()
     got = sorted((r["doc_id"], hashlib.sha256(r["text"]).hexdigest(), *list(r)[2:5]) for r in out)
     assert got == earlier_strings(sorted(zip(ids, TEXTS, strict=True), key=lambda x: x[0]), window)
@@ -145,6 +145,44 @@ def test_suffixes_match_brute_force(spark, staging, chunk_bytes, hot, window):
         assert sum(e - s for s, e in r["spans"]) == r["n_removed"] and len(r["spans"]) == r["n_spans"]
 
 
+@pytest.mark.parametrize("dense", [4096, 64])
+@pytest.mark.parametrize("chunk_bytes", [3000, 40000])
+def test_strings_in_many_surroundings(spark, staging, chunk_bytes, dense):
+    """One attribute and one passage amid very many values: more surroundings than one key may hold."""
+    attribute, passage = '" class="product-card product-card--', "An honest passage that stands in many documents. " * 4
+    values = [hashlib.sha256(str(i % 500).encode()).hexdigest() for i in range(700)]
+    texts = [f"{v[:30]}{attribute}{v}" + (f"{v[::-1]}{passage}{v[7:50]}" if i % 3 == 0 else "") for i, v in enumerate(values)]
+    ids = random.sample(range(10000), len(texts))
+    out = remove_earlier_strings(frame(spark, texts, ids), staging, chunk_bytes=chunk_bytes, dense=dense).collect()
+    got = sorted((r["doc_id"], hashlib.sha256(r["text"]).hexdigest(), *list(r)[2:5]) for r in out)
+    assert got == earlier_strings(sorted(zip(ids, texts, strict=True), key=lambda x: x[0]), 100)
+
+
+def test_keys_in_many_forms_are_dense():
+    """Forms are counted over all chunks, and those of a key alone in its chunk count too."""
+    level, chunk = Repeats(10, 64, dense=10), type("C", (), {"number": 0})
+    keys = [np.array([5] * 6 + [7] * 2 + [9] * 12, np.uint64), np.array([5] * 5 + [7], np.uint64)]
+    forms = np.arange(20, dtype=np.uint64)
+    asked = [next(level.ask(chunk, k, lambda own, k=k: forms[own])).column(2)[0].as_py() for k in keys]
+    replies = dict(level.reduce([0, 1], asked))
+    told = [level.flags(k, [(0, replies[i])]) for i, k in enumerate(keys)]
+    assert [sorted(set(k[many].tolist())) for k, (_, many) in zip(keys, told, strict=True)] == [[5, 9], [5]]
+    assert all(repeated.all() for repeated, _ in told)
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=60), st.integers(1, 40), st.sampled_from([20, 40, 64]))
+@settings(max_examples=60, deadline=None)
+def test_filled_shards_hold_all_keys_in_order(keys, shards, bits):
+    keys = np.unique(np.array(keys, np.uint64) >> np.uint64(64 - bits))
+    numbers, edges = filled_shards(keys, shards, bits)
+    assert (np.diff(numbers) > 0).all() and edges[-1] == len(keys) and len(edges) == len(numbers) + 1
+    assert all(0 <= s < shards and edges[i] < edges[i + 1] for i, s in enumerate(numbers))
+    for i, s in enumerate(numbers.tolist()):
+        own = slice_of(s, (numbers, edges))
+        assert own == slice(edges[i], edges[i + 1])
+        assert all(abs(int(k) * shards / 2**bits - s) < 1.001 for k in keys[own])
+
+
 OPERATORS = [remove_repeated_windows, drop_frequent_lines, remove_earlier_strings]
 
 
@@ -204,9 +242,9 @@ def test_arrays_travel_whole():
     back = decode(encode(*arrays))
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, back, strict=True))
     keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
-    edges = shard_edges(keys, 7)
+    shards, edges = filled_shards(keys, 7)
     assert edges[0] == 0 and edges[-1] == len(keys)
-    assert [int(k) * 7 >> 64 for k in keys] == np.repeat(np.arange(7), np.diff(edges)).tolist()
+    assert [int(k) * 7 >> 64 for k in keys] == np.repeat(shards, np.diff(edges)).tolist()
 
 
 def test_windows_that_collide_under_polynomials_stay(spark, staging):
