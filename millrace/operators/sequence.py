@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +17,7 @@ from millrace.staging import Staging, local_table
 _SLICE, _SPOT, _TIE, _RUN, _NEXT = "__slice", "__spot", "__tie", "__run", "__next"
 _SPOT_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id: the row's place in its task
 _SAMPLED = 20  # sampled rows for each slice
+_CUT = 4096  # characters of a text that a bound between slices has at most
 
 
 def _c(names) -> list[Column]:
@@ -29,32 +29,66 @@ def _with(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _slice_of(keys: list[Column], df: DataFrame, slices: int) -> Column:
-    """The number of each row's slice: how many bounds its keys reach.
+def _shared(a: Column, b: Column) -> Column:
+    """How many characters two strings of at most ``_CUT`` have in common from the start."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(_CUT.bit_length()))])
+
+    def longer(n: Column, step: Column) -> Column:
+        fits = F.least(F.length(a), F.length(b)) >= n + step
+        return F.when(fits & (F.substring(a, n + 1, step) == F.substring(b, n + 1, step)), n + step).otherwise(n)
+
+    return F.aggregate(steps, F.lit(0), longer)
 
-    The bounds are every so-maniest of a bounded random sample in order of the keys, one small
-    value for each slice, and become a literal. A row is compared with a few coarse bounds and
-    then with those between two of them. Bounds that come a little off only shift the cuts.
+
+def _bounds(df: DataFrame, keys: list[Column], slices: int) -> DataFrame:
+    """One row ``b`` with the ordered cuts between slices, each no longer than it takes to part two keys.
+
+    About ``_SAMPLED`` rows for each slice are drawn by their random numbers alone, put in order, and
+    every so-maniest is compared with the one before: the cut keeps the columns in which both
+    agree, of the first other one as many characters as tell them apart, and nothing of the rest.
     """
-    sample = df.select(F.struct(*keys).alias("k")).orderBy(F.rand(7)).limit(_SAMPLED * slices)
-    every = F.greatest(F.floor(F.size("all") / slices), F.lit(1)).cast("int")
-    bounds = sample.agg(F.sort_array(F.collect_list("k")).alias("all")).select(
-        F.filter("all", lambda x, i: (i + 1) % every == 0).alias("b")
+    drawn = df.select(F.rand(7).alias("r")).orderBy("r").limit(_SAMPLED * slices).agg(F.max("r")).first()[0]
+    sample = df.filter(F.rand(7) <= F.lit(drawn if drawn is not None else 0.0)).select(
+        *[k.alias(f"k{i}") for i, k in enumerate(keys)]
     )
-    text = bounds.select(F.to_json("b")).first()[0]
-    step = int(math.ceil(math.sqrt(slices)))
-    found = F.from_json(F.lit(text), bounds.schema["b"].dataType)
-    coarse = F.filter(found, lambda x, i: (i + 1) % step == 0)
+    kinds = [f.dataType for f in sample.schema]
+    cut = [isinstance(kind, T.StringType) for kind in kinds]
+    names = [f"k{i}" for i in range(len(keys))]
+    sample = sample.select(*[F.substring(n, 1, _CUT).alias(n) if c else F.col(n) for n, c in zip(names, cut, strict=True)])
+    inside = W.partitionBy(F.lit(0))  # the sample alone, some rows for each slice
+    row, before = F.struct(*names), F.lag(F.struct(*names)).over(inside.orderBy(*names))
+    every = F.greatest(F.floor(F.count(F.lit(1)).over(inside) / slices), F.lit(1))
+    placed = sample.select(
+        row.alias("own"), before.alias("before"), (F.row_number().over(inside.orderBy(*names)) % every).alias("spot")
+    ).filter("spot = 0")
+    agree, fields = F.lit(True), []
+    for name, short in zip(names, cut, strict=True):
+        own, other = F.col(f"own.{name}"), F.col(f"before.{name}")
+        same = own.eqNullSafe(other)
+        parting = F.substring(own, F.lit(1), F.coalesce(_shared(own, other), F.lit(0)) + 1) if short else own
+        fields.append(F.when(agree & same, own).when(agree, parting).alias(name))
+        agree = agree & same
+    return placed.select(F.struct(*fields).alias("k")).agg(F.sort_array(F.collect_list("k")).alias("b"))
 
-    def reached(some: Column, key: Column) -> Column:
-        return F.size(F.filter(some, lambda x: x <= key))
+
+def _slice_of(keys: list[Column], df: DataFrame, slices: int) -> Column:
+    """The number of each row's slice: how many bounds its keys reach, found by halving.
+
+    The bounds, one small value for each slice, become a literal. Bounds that come a little off only
+    shift the cuts. Rows that agree in the first ``_CUT`` characters of a longer text lie in one slice.
+    """
+    bounds = _bounds(df, keys, slices)
+    text, n = bounds.select(F.to_json("b"), F.size("b")).first()
+    found = F.from_json(F.lit(text), bounds.schema["b"].dataType)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))]) if n else F.array().cast("array<int>")
 
     def place(key: Column) -> Column:
-        return _with(
-            reached(coarse, key) * step, lambda begin: begin + reached(F.slice(found, begin + 1, F.lit(step)), key)
-        )
+        def further(at: Column, step: Column) -> Column:
+            return F.when((at + step <= n) & (F.get(found, at + step - 1) <= key), at + step).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), further)
 
-    return _with(F.struct(*keys), place)
+    return _with(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), place)
 
 
 def with_position(
@@ -72,7 +106,7 @@ def with_position(
 ) -> DataFrame:
     """Add the 1-based global position under ``order_by``; with ``weight`` its running total too.
 
-    Rows are cut into ordered slices by bounds from a sample, and one exchange brings each slice
+    Rows are cut into ordered slices by short bounds from a sample, and one exchange brings each slice
     together, where it is sorted, numbered and summed. The slices are staged once; only one small
     row per slice (its row count and weight) goes to the driver, which adds the slices up.
     ``ahead`` names a column without nulls whose value in the next row becomes ``next_`` and its

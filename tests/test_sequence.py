@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace import Staging
 from millrace.errors import SequenceOverflowError
-from millrace.operators import with_dense_key, with_position, with_request_id, with_surrogate_key
+from millrace.operators import sequence, with_dense_key, with_position, with_request_id, with_surrogate_key
 
 SLOW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 WORDS = st.text(alphabet="abéZ_ 9", max_size=4)
@@ -60,6 +60,32 @@ def test_a_group_of_copies_is_spread_over_slices(spark, staging, monkeypatch):
     assert len(hot) >= 3 and max(hot.values()) < 8_000
 
 
+def test_bounds_of_long_texts_are_short(spark, staging):
+    """Texts of 100 KB that differ soon, late or not at all: cuts hold what parts two keys, not the texts."""
+    long = F.repeat(F.lit("wört "), 20_000)
+    k = F.when(F.col("id") % 3 == 0, F.concat(F.lit("same"), long)).otherwise(F.concat(F.lit("é/"), F.col("id").cast("string"), long))
+    df = staging.write(spark.range(400).repartition(5).select(k.alias("k"), "id"), "long")
+    bounds = sequence._bounds(df, [F.col("k"), F.col("id")], 8).first()["b"]
+    assert 7 <= len(bounds) <= 8 and bounds == sorted(bounds, key=lambda b: (b.k0.encode(), b.k1 or 0))
+    assert all(len(b.k0) <= sequence._CUT if b.k0.startswith("same") else len(b.k0) < 8 for b in bounds)
+    placed = with_position(df, ["k", "id"], staging, slices=8, unique=True).select("position", "id", F.left("k", F.lit(9)).alias("k"))
+    found = [r.id for r in placed.orderBy("position").collect()]
+    wanted = sorted(range(400), key=lambda i: ("same" + "wört " * 2 if i % 3 == 0 else f"é/{i}wört ", i))
+    assert found == wanted
+
+
+@SLOW
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.text(alphabet="aé𝄞", max_size=5)), st.integers(0, 2)), max_size=60))
+def test_bounds_part_the_sampled_keys(spark, rows):
+    """A cut lies above the sampled key before it and not above its own."""
+    df = spark.createDataFrame(rows, "k string, n int").coalesce(1)
+    bounds = sequence._bounds(df, [F.col("k"), F.col("n")], 100).first()["b"]
+    order = lambda k, n: ((0, b"") if k is None else (1, k.encode()), -1 if n is None else n)
+    keys, cuts = sorted(order(*r) for r in rows), [order(*b) for b in bounds]
+    assert len(cuts) == len(keys) and all(c <= k for c, k in zip(cuts, keys, strict=True))
+    assert all(a < c or a == k for a, c, k in zip(keys, cuts[1:], keys[1:], strict=False))
+
+
 def test_no_step_puts_the_rows_through_one_task(spark, staging, monkeypatch):
     plans = []
     write = Staging.write
