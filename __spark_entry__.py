@@ -635,6 +635,46 @@ def q_incremental_deliveries(spark, sf_dir):
     return products.current().drop("updt_tmstmp")
 
 
+def _deliver_out_of_order(spark, sf_dir) -> tuple[KeyedTable, KeyedTable]:
+    """Parts by brand and type in three deliveries by size, the oldest last; rods and rings are withdrawals."""
+    root = Staging(spark).root
+    products, counts = open_tables(spark, root, buckets=4, further="changed INT")
+    size = F.col("p_size")
+    feed = _table(spark, sf_dir, "part").select(
+        F.concat(F.col("p_brand"), F.lit("-"), F.col("p_type")).alias("sku"),
+        F.nullif(F.col("p_name"), F.lit("small ring")).alias("name"),
+        F.col("p_partkey").cast("string").alias("description"),
+        size.alias("changed"),
+        F.col("p_name").rlike(" (rod|ring)$").alias("withdrawn"),
+    )
+    deliveries = (size > 20) & (size <= 45), size > 45, size.isNull() | (size <= 20)
+    for wanted in deliveries:
+        feed.filter(wanted).write.mode("append").parquet(f"{root}/inbox")
+        ingest_new_files(
+            read_new_files(spark, f"{root}/inbox", feed.schema, "parquet"),
+            products,
+            counts,
+            f"{root}/checkpoint",
+            rejects_path=f"{root}/rejects",
+            run_date=lambda number: (DAY_1, DAY_2, DAY_3)[number],
+            newer_by="changed",
+            withdrawn="withdrawn",
+            counts_mode="replace",
+        ).awaitTermination()
+    return products, counts
+
+
+def q_incremental_out_of_order(spark, sf_dir):
+    """The greatest version of each key, whatever the order of the deliveries; withdrawn keys are out."""
+    products, _ = _deliver_out_of_order(spark, sf_dir)
+    return products.current().select("sku", "name", "description", "changed", "record_checksum")
+
+
+def q_incremental_withdrawn_counts(spark, sf_dir):
+    """Counts by signed changes over the same deliveries."""
+    return _deliver_out_of_order(spark, sf_dir)[1].current()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Products per name after keeping the latest valid row per key."""
     return q_count_by_name(spark, "/root/testdata/sf0.001")
@@ -744,6 +784,13 @@ _SHIPPED = _three(
 _SIZE = "coalesce(p_size, 0)"
 _SIZED = _three(_BRAND_TYPE, f"{_SIZE} <= 20", f"{_SIZE} > 20 and {_SIZE} <= 45", f"{_SIZE} > 45")
 
+# The newest version of each key, of equal versions the withdrawn and then the greatest row.
+_VERSIONS = f"""f as (select b.*, p_size as changed, coalesce(regexp_matches(p_name, ' (rod|ring)$'), false) as withdrawn
+        from ({_BRAND_TYPE}) b join part on cast(p_partkey as varchar) = b.description),
+    r as (select *, row_number() over (partition by sku order by changed desc, withdrawn desc, name desc,
+        description desc) as place from f where sku is not null and name is not null and changed is not null),
+    v as (select * from r where place = 1 and not withdrawn)"""
+
 _LINE = "cast(nullif(l_linenumber, 3) as varchar) as line"
 _CHANGED = """(u.sku is not null and (t.sku is null or u.record_checksum is null or t.record_checksum is null
     or u.record_checksum <> t.record_checksum))"""
@@ -924,4 +971,8 @@ def _oracle_sql() -> dict[str, str]:
         "incremental_two_streams": f"with {_MERGED_PARTS} select * from m",
         "incremental_deliveries": f"with {_MERGED_PARTS} select * from m",
         "incremental_ingest": _transformed(_PART),
+        "incremental_out_of_order": f"""with {_VERSIONS} select sku, name, description, changed,
+            md5(sku || name || description || changed::varchar || withdrawn::varchar) as record_checksum from v""",
+        "incremental_withdrawn_counts": f"""with {_VERSIONS} select name, count(*) as no_of_products from v
+            group by name""",
     }

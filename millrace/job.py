@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from millrace.plans import BatchLog, run_ingest
 from millrace.sinks import COUNTS, PRODUCTS, KeyedTable
@@ -31,10 +32,17 @@ def read_config(path: str) -> Mapping:
     return yaml.safe_load(text)
 
 
-def open_tables(spark: SparkSession, target: str, buckets: int, **settings) -> tuple[KeyedTable, KeyedTable]:
-    """The products and their counts below ``target``, which one log commits together."""
+def open_tables(
+    spark: SparkSession, target: str, buckets: int, further: str | None = None, **settings
+) -> tuple[KeyedTable, KeyedTable]:
+    """The products and their counts below ``target``, which one log commits together.
+
+    ``further`` has columns that the products keep beside their own, as DDL, such as a version.
+    """
     settings["log"] = f"{target}/commits"
-    products = KeyedTable(spark, f"{target}/products", PRODUCTS, "sku", buckets, "p_id", **settings)
+    more = T.StructType.fromDDL(further).fields if further else []
+    schema = T.StructType([*PRODUCTS.fields, *more])
+    products = KeyedTable(spark, f"{target}/products", schema, "sku", buckets, "p_id", **settings)
     return products, KeyedTable(spark, f"{target}/products_agg", COUNTS, "name", buckets, **settings)
 
 

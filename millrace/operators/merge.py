@@ -21,6 +21,7 @@ def merge_rows(
     stamp_column: str | None = "updt_tmstmp",
     unless_equal: str | None = None,
     action: str | None = None,
+    newer_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """The table after the merge, with the target's columns.
 
@@ -29,7 +30,9 @@ def merge_rows(
     ``stamp_column``. Keys only the target has stay as they are. The update is unconditional
     unless ``unless_equal`` names a column (such as the checksum): rows equal in it are kept
     untouched; a null in it, on either side, counts as a change. ``action`` adds a column saying
-    insert, update or keep.
+    insert, update or keep. With ``newer_by`` a known key is updated only where the batch's row is
+    greater in these columns, compared in order with nulls least, so the result does not depend on which of two
+    batches comes first.
 
     Both sides hold each key once, so no join key is hot: one full outer join on the key.
     """
@@ -49,6 +52,10 @@ def merge_rows(
         touched = in_batch & (~in_target | changed)
     else:
         touched = in_batch
+    if newer_by:
+        kinds = {c: target.schema[c].dataType for c in newer_by}
+        new, old = (F.struct(*[F.col(f"{side}.`{c}`").cast(k).alias(c) for c, k in kinds.items()]) for side in "ut")
+        touched = touched & (~in_target | (new > old))
 
     def value(name: str) -> Column:
         old = F.col(f"t.`{name}`")

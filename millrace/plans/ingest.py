@@ -93,6 +93,8 @@ def run_ingest(
     not_null: tuple[str, ...] = PRODUCT_NOT_NULL,
     allow_empty: bool = False,
     data_object: str = "PRODUCTS",
+    newer_by: str | None = None,
+    withdrawn: str | None = None,
 ) -> BatchLog:
     """Ingest one batch and bring the counts by name up to date.
 
@@ -108,8 +110,16 @@ def run_ingest(
     A batch id that a table already holds is skipped there with an audit event, so a batch may be
     run again after a failure; the default id is the run date and the data object. An empty source
     is an error, or with ``allow_empty`` a batch of no rows, recorded as committed.
+
+    Each batch overwrites what it finds, unless ``newer_by`` names a column of the source and of the products
+    that holds a row's version, such as the time of its change: then batches may come in any order and the
+    greatest version of each key stays. ``withdrawn`` names a source column that says whether a row takes its
+    key away; nulls there say no. Rows without a version are rejected. Both columns take part in the checksum.
     """
-    required = tuple(dict.fromkeys((products.key, *required)))  # a row without its key cannot be kept
+    if newer_by and not isinstance(products, KeyedTable):
+        raise ValueError("rows are kept by version in a KeyedTable only")
+    # A row without its key or version cannot be kept.
+    required = tuple(dict.fromkeys((products.key, *([newer_by] if newer_by else []), *required)))
     run_date = run_date or datetime.now(UTC).isoformat(timespec="seconds")
     batch_id = batch_id or f"{run_date} {data_object}"
     log = BatchLog(spark, spark.sparkContext.applicationId)
@@ -124,15 +134,20 @@ def run_ingest(
                 valid = _receive(
                     spark, source, schema, prepare, required, staging, count, rejects_path, batch_id, allow_empty
                 )
+                if withdrawn:
+                    valid = valid.withColumn(withdrawn, F.coalesce(F.col(f"`{withdrawn}`").cast("boolean"), F.lit(False)))
             if not count["rows"]:
                 _commit_empty(products, counts, batch_id)
                 return log
             with log.phase("transform", "Transformed", "products", data_object) as count:
                 rows, count["rows"] = _transform(
-                    valid, run_date, staging, products, max_lengths, not_null, checksum_null_text, batch_id
+                    valid, run_date, staging, products, max_lengths, not_null, checksum_null_text, batch_id,
+                    tuple(c for c in (newer_by, withdrawn) if c),
                 )
                 transformed = count["rows"]
             settings = {"stamp": stamp, "unless_equal": "record_checksum" if only_changed else None}
+            if newer_by:
+                settings.update(newer_by=newer_by, withdrawn=withdrawn)
             with log.phase("load", "Delivered", "products", data_object) as count:
                 count["rows"] = transformed
                 if _joint(products, counts):
@@ -236,14 +251,18 @@ def _receive(
     return staged.filter(F.col(_VALID)).drop(_VALID, MALFORMED)
 
 
-def _transform(valid, run_date, staging, products, max_lengths, not_null, null_text, batch_id) -> tuple[DataFrame, int]:
+def _transform(
+    valid, run_date, staging, products, max_lengths, not_null, null_text, batch_id, version: tuple[str, ...] = ()
+) -> tuple[DataFrame, int]:
     """Transform the valid rows; a value that the target's constraints refuse is an error.
 
+    Of a key's rows in the batch the greatest in the columns of ``version``, then in the others, is kept.
     The rows are numbered from 1, and a keyed table reserves as many ids for the batch.
     """
     seen = Observation("transformed")
     keyed = isinstance(products, KeyedTable)
-    made = transform_rows(valid, run_date, staging, 0 if keyed else products.max_id(), checksum_null_text=null_text)
+    offset, order_by = 0 if keyed else products.max_id(), (*version, "name", "description")
+    made = transform_rows(valid, run_date, staging, offset, order_by=order_by, checksum_null_text=null_text)
     measures = {("rows", ""): F.count(F.lit(1))}
     for name, limit in max_lengths.items():
         if name in made.columns:

@@ -136,7 +136,13 @@ class KeyedTable:
         picked = [F.col(f"`{c}`") if c == self.key else F.col(f"__row.`{c}`").alias(c) for c in rows.columns]
         return rows.groupBy(F.col(f"`{self.key}`")).agg(best).select(*picked)
 
-    def _rows(self, state: dict, buckets: Iterable[int] | None = None, hidden: tuple[str, ...] = ()) -> DataFrame:
+    def _present(self, rows: DataFrame, gone: bool) -> DataFrame:
+        """Without the rows that were withdrawn, unless ``gone`` asks for them."""
+        return rows if gone else rows.filter(~F.coalesce(F.col(_GONE), F.lit(False)))
+
+    def _rows(
+        self, state: dict, buckets: Iterable[int] | None = None, hidden: tuple[str, ...] = (), gone: bool = False
+    ) -> DataFrame:
         """The rows that count in the given buckets: bases without the keys of their deltas, and the newest of these."""
         files = state["files"]
         wanted = sorted(files if buckets is None else [str(b) for b in buckets if str(b) in files], key=int)
@@ -144,14 +150,14 @@ class KeyedTable:
         folders = {b: [folder for folder, _ in files[b]["parts"]] for b in wanted}
         single = [(b, f[0]) for b, f in folders.items() if len(f) == 1]
         several = [b for b, f in folders.items() if len(f) > 1]
-        out = self._read(single, hidden)
+        columns = [*self.schema.names, *[f.name for f in _HIDDEN if f.name in hidden]]
+        stored = {_GONE, *hidden}
+        out = self._present(self._read(single, stored), gone).select(*columns)
         if several:
-            need = {_VERSION, _GONE, *hidden}
-            newest = self._newest(self._read([(b, f) for b in several for f in folders[b][1:]], need))
-            columns = out.columns
-            base = self._read([(b, folders[b][0]) for b in several], hidden)
+            newest = self._newest(self._read([(b, f) for b in several for f in folders[b][1:]], {_VERSION, *stored}))
+            base = self._present(self._read([(b, folders[b][0]) for b in several], stored), gone)
             base = base.join(newest.select(self.key), self.key, "left_anti").select(*columns)
-            kept = newest.filter(~F.coalesce(F.col(_GONE), F.lit(False))).select(*columns)
+            kept = self._present(newest, gone).select(*columns)
             out = (out.unionByName(base) if single else base).unionByName(kept)
         return out
 
@@ -159,13 +165,14 @@ class KeyedTable:
         """The table now, or only the given buckets of it."""
         return self._rows(self.latest(), buckets)
 
-    def _lookup(self, state: dict, buckets: list[int], keys: DataFrame, hidden: tuple[str, ...]) -> DataFrame:
+    def _lookup(
+        self, state: dict, buckets: list[int], keys: DataFrame, hidden: tuple[str, ...], gone: bool = False
+    ) -> DataFrame:
         """The rows that count of some keys, all in the given buckets; other rows never leave their scan."""
         files = state["files"]
         parts = [(str(b), folder) for b in buckets for folder, _ in files[str(b)]["parts"]]
         found = self._read(parts, {_VERSION, _GONE, *hidden}).join(keys, self.key, "left_semi")
-        newest = self._newest(found).filter(~F.coalesce(F.col(_GONE), F.lit(False)))
-        return newest.select(*self.schema.names, *hidden)
+        return self._present(self._newest(found), gone).select(*self.schema.names, *hidden)
 
     # --- ids -----------------------------------------------------------------------------------
 
@@ -260,13 +267,28 @@ class KeyedTable:
         stamp_column: str | None = "updt_tmstmp",
         unless_equal: str | None = None,
         track: str | None = None,
+        newer_by: str | None = None,
+        withdrawn: str | None = None,
     ) -> Change:
         """Write what merging ``batch`` (one row per key) by `merge_rows` changes, for a later commit.
 
         Buckets to be folded are joined whole, both sides partitioned by bucket, so each task writes
         one base. For the others only stored rows with a key of the batch are read beyond their
         scan. With ``track`` each written row keeps the value of that column before the batch, see `moves`.
+
+        ``newer_by`` names a column with the version of a row: a stored row gives way only to a greater
+        version (of equal ones to the withdrawn and then the greater row), so batches may come in any
+        order. ``withdrawn`` names a column of the batch that says whether its row takes the key away.
+        The table keeps such a row unseen, so that an older one that comes later stays out.
         """
+        if withdrawn and not newer_by:
+            raise ValueError("rows are withdrawn by version, so newer_by has to name one")
+        if newer_by and newer_by not in self.schema.names:
+            raise ValueError(f"{self.root} has no column {newer_by} to keep versions in")
+        hidden = (_VERSION, _GONE) if newer_by else (_VERSION,)
+        if newer_by:
+            batch = batch.withColumn(_GONE, F.coalesce(F.col(f"`{withdrawn}`").cast("boolean"), F.lit(False)) if withdrawn else F.lit(False))
+            update = tuple(dict.fromkeys((newer_by, _GONE, *update)))
         record = self.log.last()
         state, touched = self._state(record), self._touched(batch)
         if not touched:
@@ -275,30 +297,37 @@ class KeyedTable:
         beside = [b for b in sorted(touched) if b not in set(fold)]
 
         def merged(target: DataFrame, rows: DataFrame) -> DataFrame:
-            target = target.withColumn(_WAS, F.col(f"`{track}`") if track else F.lit(None).cast("string"))
-            out = merge_rows(target, rows, (self.key,), update, stamp, stamp_column, unless_equal, action=_ACTION)
+            was = F.col(f"`{track}`") if track else F.lit(None).cast("string")
+            if newer_by:
+                target = target.withColumn(_GONE, F.coalesce(_GONE, F.lit(False)))
+                was = F.when(~F.col(_GONE), was)
+            target = target.withColumn(_WAS, was)
+            order = update if newer_by else ()
+            out = merge_rows(target, rows, (self.key,), update, stamp, stamp_column, unless_equal, _ACTION, order)
             kept = F.col(_ACTION) == "keep"
             return out.withColumn(_VERSION, F.when(kept, F.col(_VERSION)).otherwise(F.lit(version).cast("long")))
 
         folded = delta = None
         if fold:
             own = batch if not beside else batch.filter(self._bucket().isin(fold))
-            target = self._rows(state, fold, (_VERSION,)).repartition(self.buckets, self.key)
+            target = self._rows(state, fold, hidden, bool(newer_by)).repartition(self.buckets, self.key)
             folded = merged(target, own.repartition(self.buckets, self.key)).drop(_ACTION)
         if beside:
             own = batch if not fold else batch.filter(self._bucket().isin(beside))
-            old = self._lookup(state, beside, own.select(self.key), (_VERSION,))
+            old = self._lookup(state, beside, own.select(self.key), hidden, bool(newer_by))
             delta = self._by_bucket(merged(old, own).filter(F.col(_ACTION) != "keep").drop(_ACTION))
         return self._change(record, folded, fold, delta, {})
 
     def moves(self, change: Change, track: str) -> DataFrame:
-        """(old, new) values of the tracked column for every row that a prepared change wrote; old is null for new keys.
+        """(old, new) values of the tracked column for every row that a prepared change wrote; old is null for new
+        keys and new for withdrawn ones.
 
         Reads two columns of the files that the change itself wrote.
         """
         parts = [(b, p[-1][0]) for b, p in change.files.items() if p]
-        rows = self._read(parts, (_VERSION, _WAS)).filter(F.col(_VERSION) == change.based_on + 1)
-        return rows.select(F.col(_WAS).alias("old"), F.col(f"`{track}`").alias("new"))
+        rows = self._read(parts, (_VERSION, _WAS, _GONE)).filter(F.col(_VERSION) == change.based_on + 1)
+        present = ~F.coalesce(F.col(_GONE), F.lit(False))
+        return rows.select(F.col(_WAS).alias("old"), F.when(present, F.col(f"`{track}`")).alias("new"))
 
     def with_change(self, change: Change) -> DataFrame:
         """The table as it will be once a prepared change is committed."""
@@ -314,9 +343,12 @@ class KeyedTable:
         stamp_column: str | None = "updt_tmstmp",
         unless_equal: str | None = None,
         track: str | None = None,
+        newer_by: str | None = None,
+        withdrawn: str | None = None,
     ) -> Change:
         """`prepare` a batch and commit it; worked out again if others changed its buckets meanwhile."""
-        return retried(lambda: self._commit(self.prepare(batch, update, stamp, stamp_column, unless_equal, track), batch_id))
+        settings = (update, stamp, stamp_column, unless_equal, track, newer_by, withdrawn)
+        return retried(lambda: self._commit(self.prepare(batch, *settings), batch_id))
 
     def _commit(self, change: Change, batch_id: str | None) -> Change:
         self.log.commit([change], batch_id)
@@ -335,7 +367,7 @@ class KeyedTable:
             fold = [int(b) for b, own in state["files"].items() if len(own["parts"]) > 1]
             if not fold:
                 return None
-            rows = self._rows(state, fold, (_VERSION, _WAS, _LIVE)).repartition(self.buckets, self.key)
+            rows = self._rows(state, fold, (_VERSION, _WAS, _GONE, _LIVE), gone=True).repartition(self.buckets, self.key)
             return self._commit(self._change(record, rows, fold, None, {}, same_rows=True), None)
 
         retried(once)

@@ -234,3 +234,66 @@ def test_blocks_of_ids_never_overlap(spark, tmp_path):
     table.merge(products(spark, rows(starts[3] + 1, ["a", "b"])), "b3", PRODUCT_UPDATES)
     others = max(start for k, start in enumerate(starts) if k != 3) + 10
     assert table.reserve_ids(5, "next") == max(others, starts[3] + 2)  # unused ids of a stored batch are free
+
+
+def versions(spark, tmp_path, name, **settings):
+    return open_tables(spark, f"{tmp_path}/{name}", 3, "changed INT", **settings)
+
+
+@pytest.mark.parametrize("ratio", [0, 0.25, 100])
+def test_deliveries_in_any_order_give_the_same_rows(spark, tmp_path, ratio):
+    """Later and earlier versions, ties, withdrawn keys and keys that return, folded and as deltas."""
+    random.seed(int(ratio * 4))
+    feed = [
+        (f"s{random.randrange(12)}", random.choice("abc"), str(i % 3), random.choice([1, 2, 3, 4]), random.choice([True, False, None]))
+        for i in range(60)
+    ] + [("s1", "x", "late", None, False), ("s99", "x", "only", 9, True)]
+    deliveries = [feed[i::3] for i in range(3)]
+    schema = "sku string, name string, description string, changed int, withdrawn boolean"
+    seen = {}
+    for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0, 1)):
+        tables_ = products_, counts_ = versions(spark, tmp_path, "-".join(map(str, order)), delta_ratio=ratio)
+        for step, number in enumerate(order):
+            batch = spark.createDataFrame(deliveries[number], schema)
+            run_ingest(
+                spark, batch, *tables_, DAYS[number], rejects_path=f"{tmp_path}/r{order}", batch_id=f"{step}",
+                newer_by="changed", withdrawn="withdrawn", counts_mode="replace",
+            )
+        if order[0] == 2:
+            products_.compact()
+        rows_ = sorted((r.sku, r.name, r.description, r.changed, r.request_id) for r in products_.current().collect())
+        seen[order] = rows_, sorted(map(tuple, counts_.current().collect()))
+    wanted = {}
+    for sku, name, description, changed, gone in feed:
+        if changed is not None:
+            wanted[sku] = max(wanted.get(sku, (0,)), (changed, bool(gone), name, description))
+    kept = sorted((s, n, d, c) for s, (c, gone, n, d) in wanted.items() if not gone)
+    names = [n for _, n, _, _ in kept]
+    for found, counted in seen.values():
+        assert [r[:4] for r in found] == kept
+        assert counted == sorted((n, names.count(n)) for n in set(names))
+    assert seen[0, 1, 2] == seen[2, 1, 0] == seen[1, 2, 0, 1]
+
+
+def test_versions_need_a_column_of_the_table(spark, tmp_path):
+    plain, _ = open_tables(spark, f"{tmp_path}/plain", 2)
+    batch = products(spark, rows(1, ["s1"]))
+    with pytest.raises(ValueError, match="no column changed"):
+        plain.merge(batch, "b1", PRODUCT_UPDATES, newer_by="changed")
+    with pytest.raises(ValueError, match="newer_by"):
+        plain.merge(batch, "b1", PRODUCT_UPDATES, withdrawn="gone")
+
+
+def test_a_table_without_versions_takes_what_comes(spark, tmp_path):
+    """The default stays unconditional, also over a withdrawn key."""
+    products_, counts_ = versions(spark, tmp_path, "t")
+    schema = "sku string, name string, description string, changed int, withdrawn boolean"
+    settings = {"rejects_path": f"{tmp_path}/r"}
+    new, old = [("s1", "b", "d", 5, True), ("s2", "b", "d", 5, False)], [("s1", "a", "d", 1, False), ("s2", "a", "d", 1, False)]
+    run_ingest(spark, spark.createDataFrame(new, schema), products_, counts_, DAYS[0], newer_by="changed", withdrawn="withdrawn", **settings)
+    assert [(r.sku, r.changed) for r in products_.current().collect()] == [("s2", 5)]
+    run_ingest(spark, spark.createDataFrame(old, schema).drop("withdrawn"), products_, counts_, DAYS[1], newer_by="changed", **settings)
+    assert [(r.sku, r.changed) for r in products_.current().collect()] == [("s2", 5)]
+    run_ingest(spark, spark.createDataFrame(old, schema).drop("withdrawn"), products_, counts_, DAYS[2], **settings)
+    assert sorted((r.sku, r.name) for r in products_.current().collect()) == [("s1", "a"), ("s2", "a")]
+    assert {r.name: r.no_of_products for r in counts_.current().collect()}["a"] == 2
