@@ -43,7 +43,7 @@ from millrace.operators import (
 from millrace.operators.merge import PRODUCT_UPDATES
 from millrace.plans import run_ingest, transform_rows
 from millrace.sinks import COUNTS, PRODUCTS, ensure_table, write_rejects
-from millrace.sources import parse_sources, read_csv, read_source
+from millrace.sources import parse_sources, read_csv, read_csv_by_ranges, read_source
 from millrace.streaming import ingest_new_files, read_new_files
 
 # The training-data operators are an optional part: without their folder the rest stands alone.
@@ -513,6 +513,15 @@ def q_csv_round_trip(spark, sf_dir):
     return read_csv(spark, folder, documents.schema)
 
 
+def q_csv_by_ranges(spark, sf_dir):
+    """Documents with their line breaks and further quotes, read from byte ranges of the files."""
+    staging = Staging(spark)
+    quoted = F.regexp_replace("text", r"([a-z]+)\.\n", '"$1".\n')
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", quoted.alias("text"))
+    folder = write_rejects(documents, staging.path("documents"), "b1")
+    return read_csv_by_ranges(spark, folder, staging, documents.schema)
+
+
 def q_source_dispatch(spark, sf_dir):
     config = {
         "sources": [
@@ -951,6 +960,8 @@ def _oracle_sql() -> dict[str, str]:
             cast(l_extendedprice * 1000 as varchar) as large, cast(l_discount / 1000 as varchar) as small
             from lineitem""",
         "csv_round_trip": "select doc_id, source, lang, text from documents",
+        "csv_by_ranges": """select doc_id, source, lang,
+            regexp_replace(text, '([a-z]+)\\.\\n', '"\\1".\n', 'g') as text from documents""",
         "source_dispatch": """select 'CUSTOMER' as data_object, count(*) as n_rows from customer
             union all select 'SUPPLIER', count(*) from supplier union all select 'PART', count(*) from part""",
         "ingest_job": f"with {_MERGED_PARTS} select * from m",

@@ -21,6 +21,16 @@ PRODUCT_FEED = T.StructType(
     ]
 )
 
+# How product files are written, unless a source says otherwise.
+CSV_SETTINGS = {
+    "header": "true",
+    "delimiter": ",",
+    "escape": '"',
+    "quote": '"',
+    "multiline": "true",
+    "enforceschema": "false",
+}
+
 
 def read_csv(
     spark: SparkSession,
@@ -35,16 +45,10 @@ def read_csv(
     inferred; a file whose header has other names or another order is an error, with a schema
     too. ``malformed`` names a column for the text of rows that have more or fewer fields than
     the header; it is null for all others. One rule holds for files of every size: Spark gives a
-    whole file to one task while fields may span lines; say ``multiLine=false`` where none do.
+    whole file to one task while fields may span lines; say ``multiLine=false`` where none do, or
+    read large files with `read_csv_by_ranges`.
     """
-    settings = {
-        "header": "true",
-        "delimiter": ",",
-        "escape": '"',
-        "quote": '"',
-        "multiline": "true",
-        "enforceschema": "false",
-    }
+    settings = dict(CSV_SETTINGS)
     settings.update({name.lower(): value for name, value in (options or {}).items()})
     if schema is None:
         names = spark.read.options(**settings).csv(path).columns

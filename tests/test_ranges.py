@@ -1,0 +1,112 @@
+"""CSV files read by byte ranges against the read of a whole file in one task."""
+
+import random
+
+import pytest
+
+from millrace import Staging
+from millrace.errors import UnsupportedSourceError
+from millrace.sources import csv_records, read_csv, read_csv_by_ranges
+
+SCHEMA = "sku string, name string, description string"
+
+
+class SmallRanges(Staging):
+    """Staging that has source files split into ranges of a few bytes; what is staged is read as usual."""
+
+    size = "256"
+
+    def write(self, df, stem, partition_by=()):
+        key = "spark.sql.files.maxPartitionBytes"
+        before = self.spark.conf.get(key)
+        if stem == "lines":
+            self.spark.conf.set(key, self.size)
+        try:
+            return super().write(df, stem, partition_by)
+        finally:
+            self.spark.conf.set(key, before)
+
+
+@pytest.fixture
+def small(spark, tmp_path_factory):
+    return SmallRanges(spark, str(tmp_path_factory.mktemp("staging")))
+
+
+def field(random, piece):
+    return '"' + "".join(random.choice(piece) for _ in range(random.randrange(12))).replace('"', '""') + '"'
+
+
+def in_order(df):
+    return sorted(map(tuple, df.collect()), key=lambda row: [(v is not None, str(v)) for v in row])
+
+
+def both(spark, staging, path, schema=SCHEMA, options=None, malformed="bad"):
+    whole = read_csv(spark, path, schema, options, malformed)
+    ranges = read_csv_by_ranges(spark, path, staging, schema, options, malformed)
+    assert ranges.schema == whole.schema
+    return in_order(ranges), in_order(whole)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_some_hundred_ranges_equal_the_single_task(spark, small, tmp_path, end):
+    chosen = random.Random(7)
+    piece = ["a", "bc", '"', ",", end, end + end, "é", " ", '""']
+    lines = []
+    for i in range(1200):
+        rest = [field(chosen, piece) if chosen.random() < 0.7 else "plain" for _ in range(chosen.choice([2, 2, 2, 1, 3]))]
+        lines.append(",".join([f"s{i}", *rest]))
+        if chosen.random() < 0.05:
+            lines.append("")
+    long = ",".join(["long", "x", '"' + (f'he said ""so"",{end}' * 800) + '"'])  # a field over dozens of ranges
+    lines.insert(700, long)
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    for name, some in [("a.csv", lines[:1000]), ("b.csv", lines[1000:])]:
+        (folder / name).write_bytes(end.join(["sku,name,description", *some]).encode())
+    (folder / "only-header.csv").write_bytes(b"sku,name,description")
+    found, expected = both(spark, small, str(folder))
+    assert spark.read.parquet(small.path("lines-*")).select("file", "start").distinct().count() > 100
+    assert len(found) == 1201 and found == expected
+
+
+def test_breaks_at_every_place_of_a_range(spark, small, tmp_path):
+    """One file for each shift of the same records against the ranges."""
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    body = 'a,"1\n2","x\n""\n,y"\nb,"",\n"c",d,"e\n\n"\n'
+    for shift in range(20):
+        (folder / f"{shift:02}.csv").write_text(f"sku,name,description\n{'z' * shift},,\n" + body * 3)
+    small.size = "16"
+    found, expected = both(spark, small, str(folder))
+    assert found == expected and len(found) == 20 * 10
+
+
+def test_edges(spark, staging, tmp_path):
+    file = tmp_path / "k.csv"
+    file.write_text('description;sku\n007;"a;\nb"\n10;c;x\n9\n"open;1\n2;3')
+    found, expected = both(spark, staging, str(file), None, {"sep": ";"})
+    assert found == expected and ("10", "c", "10;c;x") in found
+    (tmp_path / "empty.csv").write_text("sku,name,description\n\n")
+    assert both(spark, staging, f"{tmp_path}/empty.csv") == ([], [])
+    with pytest.raises(Exception, match="header"):
+        read_csv_by_ranges(spark, str(file), staging, "sku string, description string", {"sep": ";"}).collect()
+    (tmp_path / "stray.csv").write_text('sku,name,description\na,5"x,c\n')
+    with pytest.raises(Exception, match="quote"):
+        read_csv_by_ranges(spark, f"{tmp_path}/stray.csv", staging, SCHEMA).collect()
+    for options in ({"escape": "\\"}, {"header": "false"}, {"encoding": "latin1"}, {"sep": "::"}):
+        with pytest.raises(UnsupportedSourceError):
+            read_csv_by_ranges(spark, f"{tmp_path}/empty.csv", staging, SCHEMA, options)
+
+
+def test_another_header_in_one_of_many_files(spark, staging, tmp_path):
+    (tmp_path / "a.csv").write_text("sku,name,description\na,b,c\n")
+    (tmp_path / "b.csv").write_text("sku,description,name\na,b,c\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv_by_ranges(spark, f"{tmp_path}/*.csv", staging, SCHEMA).collect()
+
+
+def test_only_records_of_several_lines_move(spark, staging, tmp_path):
+    (tmp_path / "a.csv").write_text("sku,name,description\n" + "a,b,c\n" * 1000 + 'x,"y\nz",\n')
+    plan = csv_records(spark, f"{tmp_path}/a.csv", staging)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMap" not in plan and "CartesianProduct" not in plan
+    assert csv_records(spark, f"{tmp_path}/a.csv", staging).count() == 1002
