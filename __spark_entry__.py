@@ -42,7 +42,7 @@ from millrace.operators import (
 )
 from millrace.operators.merge import PRODUCT_UPDATES
 from millrace.plans import run_ingest, transform_rows
-from millrace.sinks import COUNTS, PRODUCTS, ensure_table, write_rejects
+from millrace.sinks import COUNTS, PRODUCTS, DrillDown, ensure_table, row_changes, write_rejects
 from millrace.sources import parse_sources, read_csv, read_csv_by_ranges, read_source
 from millrace.streaming import ingest_new_files, read_new_files
 
@@ -400,6 +400,20 @@ def q_hierarchy_totals_nulls(spark, sf_dir):
     return hierarchy_totals(lineitem, FLAG_HEADERS, "l_quantity")
 
 
+def q_hierarchy_totals_kept(spark, sf_dir):
+    """Sums that three batches change: early line items, later ones, and a correction of all large ones."""
+    lineitem = _table(spark, sf_dir, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("decimal(12,2)"))
+    rows = lineitem.select(*FLAG_HEADERS, "l_quantity", "l_shipdate")
+    sums = DrillDown(spark, Staging(spark).path("sums"), rows.schema, FLAG_HEADERS, "l_quantity")
+    early = _before(CUT)
+    sums.apply(row_changes(rows.limit(0), rows.filter(early)), "b1")
+    sums.apply(row_changes(rows.limit(0), rows.filter(~early)), "b2")
+    large = rows.filter("l_quantity >= 45")
+    corrected = large.withColumns({"l_linestatus": F.lit("C"), "l_quantity": (F.col("l_quantity") - 40).cast("decimal(12,2)")})
+    sums.apply(row_changes(large, corrected), "b3")
+    return sums.current().withColumn("value", F.col("value").cast("double"))
+
+
 def q_grand_total(spark, sf_dir):
     totals = hierarchy_totals(_customers(spark, sf_dir), CUSTOMER_HEADERS, "balance")
     return totals.filter("level = 0").select("value")
@@ -869,6 +883,8 @@ def _oracle_sql() -> dict[str, str]:
     customers = "select *, cast(c_acctbal as decimal(18, 2)) as balance from customer"
     nulled = """select nullif(l_returnflag, 'A') as l_returnflag, nullif(l_linestatus, 'O') as l_linestatus,
         nullif(l_linenumber, 3) as l_linenumber, nullif(l_quantity, 7.0) as l_quantity from lineitem"""
+    corrected = """select l_returnflag, case when l_quantity >= 45 then 'C' else l_linestatus end as l_linestatus, l_linenumber,
+        cast(l_quantity as decimal(12, 2)) - case when l_quantity >= 45 then 40 else 0 end as l_quantity from lineitem"""
     return {
         "valid_rows": f"select * from ({_EVENTS}) where {_VALID}",
         "error_rows": f"select * from ({_EVENTS}) where not ({_VALID})",
@@ -933,6 +949,8 @@ def _oracle_sql() -> dict[str, str]:
         "signed_counts_replace": f"with {_SIZED} select name, count(*) as no_of_products from e group by name",
         "hierarchy_totals": _totals("from lineitem", FLAG_HEADERS, "l_quantity"),
         "hierarchy_totals_nulls": _totals(nulled, FLAG_HEADERS, "l_quantity"),
+        "hierarchy_totals_kept": f"""select * replace (cast(value as double) as value)
+            from ({_totals(corrected, FLAG_HEADERS, "l_quantity")})""",
         "grand_total": f"select cast(sum(balance) as decimal(28, 2)) as value from ({customers})",
         "hierarchy_tree": _document(_totals("from lineitem", FLAG_HEADERS[:2], "l_quantity"), FLAG_HEADERS[:2]),
         "hierarchy_document": _document(_totals(customers, CUSTOMER_HEADERS, "balance"), CUSTOMER_HEADERS),

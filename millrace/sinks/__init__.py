@@ -7,6 +7,7 @@ from millrace.sinks.database import (
     upsert_rows,
     upsert_statement,
 )
+from millrace.sinks.drilldown import DrillDown, row_changes
 from millrace.sinks.files import append_audit, write_rejects
 from millrace.sinks.tables import COUNTS, PRODUCTS, KeyedTable, ensure_table
 
@@ -14,9 +15,11 @@ __all__ = [
     "COUNTS",
     "PRODUCTS",
     "DatabaseTable",
+    "DrillDown",
     "KeyedTable",
     "append_audit",
     "ensure_table",
+    "row_changes",
     "run_statement",
     "table_statement",
     "upsert_counts",
