@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import KeyedTable, Staging
 from millrace.functions import number_text, record_checksum, run_digits, run_hour, zipped_map
@@ -176,6 +177,19 @@ def q_constraint_check(spark, sf_dir):
 # --- sequence, latest, checksum, keys ----------------------------------------------------------
 
 
+def q_constraint_check_stored(spark, sf_dir):
+    """Ids of suppliers that customers in a stored table have, whose ids a second batch changed in part."""
+    schema = T.StructType([T.StructField("sku", T.StringType()), T.StructField("p_id", T.LongType())])
+    table = KeyedTable(spark, Staging(spark).path("owners"), schema, "sku", 4)
+    customer = _table(spark, sf_dir, "customer").withColumn("sku", F.concat(F.lit("C"), F.col("c_custkey").cast("string")))
+    table.merge(customer.select("sku", F.col("c_custkey").cast("long").alias("p_id")), "b1", ("p_id",), stamp_column=None)
+    moved = customer.filter("c_acctbal < 0").select("sku", (F.col("c_custkey").cast("long") + 10000000).alias("p_id"))
+    table.merge(moved, "b2", ("p_id",), stamp_column=None)
+    supplier = _table(spark, sf_dir, "supplier")
+    batch = supplier.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("sku"), F.col("s_suppkey").cast("long").alias("p_id"))
+    return table.clashes(batch, ["p_id"])
+
+
 def q_request_id(spark, sf_dir):
     return with_request_id(valid_rows(events_feed(spark, sf_dir)), DAY_1, Staging(spark))
 
@@ -893,6 +907,8 @@ def _oracle_sql() -> dict[str, str]:
         "reject_file": f"select * from ({_EVENTS}) where sku is null or name is null or description is null",
         "batch_counts": f"""select count(*) as received, count(*) - count(name) as rejected,
             count(name) as valid from ({_EVENTS})""",
+        "constraint_check_stored": """select 'unique' as constraint_name, 'p_id' as column_name, cast(s_suppkey as varchar) as value,
+            2::bigint as n_rows from supplier join customer on c_custkey = s_suppkey where not coalesce(c_acctbal < 0, false)""",
         "constraint_check": f"""
             select 'unique' as constraint_name, 'sku' as column_name, sku as value, count(*) as n_rows
                 from ({_PART}) group by sku having count(*) > 1

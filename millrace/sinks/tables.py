@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -174,6 +175,39 @@ class KeyedTable:
         found = self._read(parts, {_VERSION, _GONE, *hidden}).join(keys, self.key, "left_semi")
         return self._present(self._newest(found), gone).select(*self.schema.names, *hidden)
 
+    def clashes(self, batch: DataFrame, columns: Iterable[str], update: Iterable[str] = ()) -> DataFrame:
+        """Values of unique columns that merging ``batch`` (one row per key) would leave under several keys.
+
+        One row for each: ``constraint_name`` ("unique"), ``column_name``, the ``value`` as text and
+        ``n_rows``, how many rows would have it. ``update`` is as in `merge`: columns outside of it keep the stored value of a key
+        that is stored. Clashes within the batch count too; nulls never clash. Nothing is written.
+
+        Stored rows are looked up by value. The scan of each base skips row groups by their least and
+        greatest value, which tells new ids from stored ones as ids rise; a semi-join leaves the rows whose
+        value arrives, and only these meet the batch. Keys of the batch are looked up in their own buckets.
+        """
+        state, touched, update = self.latest(), self._touched(batch), set(update)
+        key, value = F.col(f"`{self.key}`"), F.col("value")
+        known = self._lookup(state, [b for b in sorted(touched) if str(b) in state["files"]], batch.select(key), ()).select(key)
+        parts = []
+        for column in columns:
+            comes = batch.select(key, F.col(f"`{column}`").alias("value")).filter(value.isNotNull())
+            if column not in update:
+                comes = comes.join(known, self.key, "left_anti")
+            low, high = comes.agg(F.min(value), F.max(value)).first()
+            stored = self._rows(state).filter(F.col(f"`{column}`").between(F.lit(low), F.lit(high)))
+            stays = stored.select(key, F.col(f"`{column}`").alias("value")).join(comes.select("value"), "value", "left_semi")
+            if column in update:
+                stays = stays.join(batch.select(key), self.key, "left_anti")
+            rows = comes.select("value").unionByName(stays.select("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+            found = rows.filter("n_rows > 1")
+            parts.append(
+                found.select(F.lit("unique").alias("constraint_name"), F.lit(column).alias("column_name"), value.cast("string").alias("value"), "n_rows")
+            )
+        if not parts:
+            raise ValueError("name at least one unique column")
+        return reduce(DataFrame.unionByName, parts)
+
     # --- ids -----------------------------------------------------------------------------------
 
     def reserve_ids(self, n: int, batch_id: str) -> int:
