@@ -61,7 +61,7 @@ _LINES = (
 
 
 def csv_records(spark: SparkSession, path: str | list[str], staging: Staging) -> DataFrame:
-    """The records of CSV files as ``(file, start, record, text)``, found over byte ranges of each file.
+    """The records of CSV files as ``(file, start, record, text, blank, returns)``, found over byte ranges of each file.
 
     Quotes stand as RFC 4180 has it: around whole fields, and doubled within. Then a line break ends a
     record where the quotes before it are even in number. Spark splits the files into ranges of whole
@@ -70,7 +70,8 @@ def csv_records(spark: SparkSession, path: str | list[str], staging: Staging) ->
     one row for each range, summed along its file. Only lines of records that span lines are brought
     together; all others are records as they stand and move nowhere. A record that spans ranges is put
     together in one task, as a record is one value. ``start`` and ``record`` are the range that a
-    record begins in and its number there, from 1, blank lines included.
+    record begins in and its number there, from 1, blank lines included. ``returns`` says whether its first
+    line ends with ``\\r\\n``.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
     meta = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
@@ -99,16 +100,22 @@ def csv_records(spark: SparkSession, path: str | list[str], staging: Staging) ->
         "open",
     )
     whole = ~F.col("begins_inside") & ~F.col("odd")
-    single = known.filter(whole).select("file", "start", "record", "text")
+    returns = F.endswith("text", F.lit("\r"))
+    blank = F.col("text").isin("", "\r")
+    single = known.filter(whole).select("file", "start", "record", "text", blank.alias("blank"), returns.alias("returns"))
     carried = F.col("record") == 0
     parts = known.filter(~whole).select(
         "file",
         F.when(carried, F.col("open.at")).otherwise(F.col("start")).alias("begin"),
         F.when(carried, F.col("open.record")).otherwise(F.col("record")).alias("record"),
         F.struct("start", "line", "text").alias("part"),
+        F.struct("start", "line").alias("at"),
+        returns.alias("returns"),
     )
     ordered = F.transform(F.array_sort(F.collect_list("part")), lambda x: x["text"])
-    joined = parts.groupBy("file", F.col("begin").alias("start"), "record").agg(F.array_join(ordered, "\n").alias("text"))
+    joined = parts.groupBy("file", F.col("begin").alias("start"), "record").agg(
+        F.array_join(ordered, "\n").alias("text"), F.lit(False).alias("blank"), F.min_by("returns", "at").alias("returns")
+    )
     return single.unionByName(joined)
 
 
@@ -148,15 +155,12 @@ def read_csv_by_ranges(
     records = csv_records(spark, path, staging)
     stray = F.raise_error(F.concat(F.lit("a quote within an unquoted field in "), F.col("file"))).cast("string")
 
-    # The first record of each file, past blank lines: a task sends at most one row for each file it reads.
+    # The first record of each file, past blank lines. Places are found without the texts, of which only headers are read.
     place = F.struct("start", "record")
-    filled = ~F.col("text").isin("", "\r")
-    heads = records.groupBy("file").agg(
-        F.min(F.when(filled, place)).alias("place"),
-        F.min_by("text", F.when(filled, place)).alias("text"),
-        F.min_by(F.regexp_substr("text", F.lit(r"\r?\n|\r$")), place).alias("break"),
-    )
-    heads = heads.filter("place is not null").withColumn("text", F.regexp_replace("text", r"\r$", ""))
+    firsts = records.groupBy("file").agg(F.min(F.when(~F.col("blank"), place)).alias("place"), F.min_by("returns", place).alias("returns"))
+    firsts = staging.write(firsts.filter("place is not null").select("file", "place.start", "place.record", "returns"), "firsts")
+    heads = records.drop("blank", "returns").join(firsts.select("file", "start", "record"), ["file", "start", "record"], "left_semi")
+    heads = heads.withColumn("text", F.regexp_replace("text", r"\r$", ""))
     names = F.from_csv("text", ", ".join(f"c{i} string" for i in range(len(shape))), _parser({**settings, "mode": "PERMISSIVE"}))
     expected = F.array(*[F.lit(name) for name in shape.names])
     found = F.array(*[names[f"c{i}"] for i in range(len(shape))])
@@ -164,13 +168,9 @@ def read_csv_by_ranges(
     if spark.conf.get("spark.sql.caseSensitive") != "true":
         same = F.transform(found, F.lower) == F.transform(expected, F.lower)
     wrong = F.raise_error(F.concat(F.lit("another header in "), F.col("file"))).cast("long")
-    starts = heads.select(
-        "file",
-        F.when(same, F.col("place.start")).otherwise(wrong).alias("head"),
-        F.col("place.record").alias("head_record"),
-        F.coalesce(F.startswith("break", F.lit("\r")), F.lit(False)).alias("returns"),
-    )
-    body = records.filter(filled).join(staging.write(starts, "headers"), "file")
+    checked = heads.select("file", F.when(same, F.col("start")).otherwise(wrong).alias("head"))
+    known = firsts.select("file", F.col("record").alias("head_record"), "returns")
+    body = records.filter(~F.col("blank")).drop("returns").join(staging.write(checked, "headers").join(known, "file"), "file")
     body = body.filter((F.col("start") != F.col("head")) | (F.col("record") != F.col("head_record")))
     body = body.withColumn("raw", F.when(F.col("returns"), F.regexp_replace("text", r"\r$", "")).otherwise(F.col("text")))
     body = body.withColumn("text", F.when(F.col("returns"), F.replace("raw", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("raw")))
