@@ -9,7 +9,7 @@ from millrace.sinks.database import (
 )
 from millrace.sinks.drilldown import DrillDown, row_changes
 from millrace.sinks.files import append_audit, write_rejects
-from millrace.sinks.tables import COUNTS, PRODUCTS, KeyedTable, ensure_table
+from millrace.sinks.tables import COUNTS, PRODUCTS, KeyedTable, buckets_for, ensure_table
 
 __all__ = [
     "COUNTS",
@@ -18,6 +18,7 @@ __all__ = [
     "DrillDown",
     "KeyedTable",
     "append_audit",
+    "buckets_for",
     "ensure_table",
     "row_changes",
     "run_statement",

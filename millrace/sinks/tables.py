@@ -49,6 +49,7 @@ _HIDDEN = [
 ]
 MOST_PARTS = 16  # a bucket's base and deltas, beyond which a batch folds them whatever their size
 ATTEMPTS = 5  # at a batch that other writers come before
+ROWS_PER_BUCKET = 250_000  # of products, so that joining and writing one bucket takes some 200 MB
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str = PRODUCTS_DDL, location: str | None = None) -> None:
@@ -57,11 +58,16 @@ def ensure_table(spark: SparkSession, name: str, ddl: str = PRODUCTS_DDL, locati
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{place}")
 
 
+def buckets_for(rows: int, least: int = 4) -> int:
+    """How many buckets a table of so many rows needs, each of about ``ROWS_PER_BUCKET`` at most."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
+
+
 class KeyedTable:
     """A table with one row per key, changed by whole-batch commits.
 
     Rows are kept by hash of the key in ``buckets`` folders; choose a number that leaves one
-    bucket at a size one task writes well. It is stored with the table, and opening the table
+    bucket at a size one task writes well, as `buckets_for` does. It is stored with the table, and opening the table
     with another number is an error.
 
     A bucket is a base file and delta files. A batch that is small beside a bucket adds a delta of

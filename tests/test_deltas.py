@@ -2,13 +2,16 @@
 
 import os
 import random
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 from test_ingest import BATCH_1, BATCH_2, BATCH_3, DAYS
 from test_sinks import keyed, products, values
 
+import __spark_entry__ as driver
 from millrace import KeyedTable
 from millrace.errors import ConcurrentCommitError, PhaseError
 from millrace.job import open_tables
@@ -297,3 +300,31 @@ def test_a_table_without_versions_takes_what_comes(spark, tmp_path):
     run_ingest(spark, spark.createDataFrame(old, schema).drop("withdrawn"), products_, counts_, DAYS[2], **settings)
     assert sorted((r.sku, r.name) for r in products_.current().collect()) == [("s1", "a"), ("s2", "a")]
     assert {r.name: r.no_of_products for r in counts_.current().collect()}["a"] == 2
+
+
+def test_buckets_follow_the_rows():
+    most = tables.ROWS_PER_BUCKET
+    assert [tables.buckets_for(n) for n in (0, 4 * most, 4 * most + 1, 200 * most)] == [4, 4, 5, 200]
+
+
+def ship_table(spark, folder, orders):
+    """The keyed table over line items of so many orders, two of each, shipped around the cuts of the batches."""
+    days = ("1998-01-01", "1998-11-26", "1998-12-01")
+    items = [(i, 1 + line, "AN"[line], "O", days[(i + line) % 50 % 3 if i % 5 == 0 else 0]) for i in range(orders) for line in range(2)]
+    shape = "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate string"
+    made = spark.createDataFrame(items, shape).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
+    made.write.parquet(f"{folder}/lineitem.parquet")
+    return driver._merged_by_ship_date(spark, str(folder))
+
+
+def bucket_rows(table):
+    """Keys in each bucket."""
+    return Counter(r[0] for r in table.current().select(table._bucket()).collect())
+
+
+def test_merge_deltas_has_buckets_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 25)
+    table = ship_table(spark, tmp_path, 600)
+    assert table.buckets > 20 and len(table.latest()["files"]) == table.buckets
+    found = bucket_rows(table)
+    assert sum(found.values()) == 600 and max(found.values()) <= 60  # 150 in each of 4 buckets before
