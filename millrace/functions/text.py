@@ -78,20 +78,17 @@ def _double_text(value: Column) -> Column:
     Before Java 19 a value from 1e16 on may show a digit more than needed.
     """
     shortest = value.cast("string")
-    plain = F.regexp_replace(shortest.cast("decimal(38,21)").cast("string"), "0+$", "")
-    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
-    # Java before 19 may print digits too many; take the shortest text that reads back as the value
-    tries = [F.format_string(f"%.{digits}E", value) for digits in (14, 15, 16)]
-    digits = F.coalesce(*[F.when(t.cast("double") == value, t) for t in tries], shortest)
-    mantissa = F.regexp_replace(F.substring_index(digits, "E", 1), r"\.?0*$", "")
-    exponent = F.substring_index(digits, "E", -1).cast("int")
-    scientific = F.concat(
-        mantissa,
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(exponent).cast("string"),
-    )
     size = F.abs(value)
+    decimal = shortest.cast("decimal(38,21)").cast("string")
+    plain = F.regexp_replace(decimal, r"(\.\d+?)0+$", "$1")
+    # Java before 19 may print digits too many; take the shortest text that reads back as the value. Texts of up
+    # to 15 digits are the shortest as they are; where the E stands tells how many digits there can be.
+    place = F.instr(shortest, "E")
+    tries = [(digits, F.format_string(f"%.{digits - 1}E", value)) for digits in (15, 16, 17)]
+    digits = F.coalesce(*[F.when(place > n + 2, F.when(t.cast("double") == value, t)) for n, t in tries], shortest)
+    sign = F.when(size >= 1, F.lit("e+")).when(size >= 1e-9, F.lit("e-0")).otherwise(F.lit("e-"))
+    # one replacement: Java compiles no method of more than 8,000 bytes, and Spark makes one method of all columns
+    scientific = F.regexp_replace(digits, F.lit(r"\.?0*E[+-]?0?"), sign)
     return (
         F.when(F.isnan(value), F.lit("nan"))
         .when(value == float("inf"), F.lit("inf"))

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import re
 from datetime import datetime
 
 from hypothesis import HealthCheck, given, settings
@@ -64,3 +65,18 @@ def test_number_text_of_other_types(spark):
     assert tuple(shown) == ("nan", "-inf")
     whole = spark.range(1).select(number_text(F.lit(10), T.IntegerType()), number_text("id", T.LongType())).first()
     assert tuple(whole) == ("10", "0")
+
+
+def test_number_text_of_nulls_and_exponents(spark):
+    values = [None, -0.0, 7.000000000000001e-05, -2e-05, 1e-09, 9.99e-10, 1e-10, -1.5e-100, 1e16, 1.25e22, 1e100]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = [r[0] for r in df.select(number_text("v", T.DoubleType())).collect()]
+    assert found == [None if v is None else repr(v) for v in values]
+
+
+def test_number_text_compiles(spark, capsys):
+    """Two texts fit into a method that Java compiles; it interprets those of more than 8,000 bytes."""
+    df = spark.range(9).select((F.col("id") * 0.1).alias("a"), (F.col("id") * 1e-6).alias("b"))
+    df.select(number_text("a", T.DoubleType()), number_text("b", T.DoubleType())).explain("codegen")
+    (size,) = re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)
+    assert int(size) < 8000
