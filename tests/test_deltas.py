@@ -328,3 +328,14 @@ def test_merge_deltas_has_buckets_of_bounded_size(spark, tmp_path, monkeypatch):
     assert table.buckets > 20 and len(table.latest()["files"]) == table.buckets
     found = bucket_rows(table)
     assert sum(found.values()) == 600 and max(found.values()) <= 60  # 150 in each of 4 buckets before
+
+
+def test_compacted_buckets_stay_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 25)
+    table = ship_table(spark, tmp_path, 600)
+    before = sorted(map(tuple, table.current().collect()))
+    assert any(len(own["parts"]) > 1 for own in table.latest()["files"].values())
+    table.compact()
+    (folds,) = {len(own["parts"]) for own in table.latest()["files"].values()}
+    assert folds == 1 and table.buckets > 20 and max(bucket_rows(table).values()) <= 60
+    assert sorted(map(tuple, table.current().collect())) == before
