@@ -8,7 +8,8 @@ The exchange asks, for every distinct hash of a chunk, what the other chunks kno
 sends its hashes sorted and delta-coded, cut into shards of the hash range; a shard answers each
 chunk in the chunk's own order. A hash crosses the network in two to six bytes and at most once
 for each chunk, however often it occurs, so a very frequent value loads no task. Shards are as
-many as the data asks for, so a shard is of bounded size.
+many as the data asks for, so a shard is of bounded size. What a chunk has worked out already it may
+send along as a note to itself, which comes back among the answers.
 """
 
 from __future__ import annotations
@@ -166,10 +167,23 @@ def parts_batch(shards: list[int], chunks: list[int], parts: list[bytes]) -> pa.
     )
 
 
+def note_batch(chunk: Chunk, *arrays: np.ndarray) -> pa.RecordBatch:
+    """A chunk's note to itself, under a shard number below 0 that no other chunk has."""
+    return parts_batch([~chunk.number], [chunk.number], [encode(*arrays)])
+
+
+def split_note(reply: list[tuple[int, bytes]]) -> tuple[list[np.ndarray] | None, list[tuple[int, bytes]]]:
+    """A chunk's note, if it left one, and what the shards answered."""
+    notes = [part for shard, part in reply if shard < 0]
+    return (decode(notes[0]) if notes else None), [x for x in reply if x[0] >= 0]
+
+
 def by_shard(parts: DataFrame, reduce: Callable[[list[int], list[bytes]], Iterator[tuple[int, bytes]]]):
-    """Give each shard's parts, one from each chunk, to ``reduce``; it yields (chunk, part) pairs."""
+    """Give each shard's parts, one from each chunk, to ``reduce``; it yields (chunk, part) pairs. Notes pass unread."""
 
     def run(key, frame):
+        if key[0] < 0:
+            return frame
         frame = frame.sort_values("chunk", kind="stable")
         found = list(reduce(frame["chunk"].tolist(), frame["part"].tolist()))
         return pd.DataFrame(
@@ -277,8 +291,13 @@ class Repeats:
         self, chunk: Chunk, keys: np.ndarray, form: Callable[[np.ndarray], np.ndarray] | None = None
     ) -> Iterator[pa.RecordBatch]:
         """Parts for the shards; ``form`` gives a hash of the form of the keys at some places."""
-        distinct, place, counts = self._sorted(keys)
-        several, number = self._forms(place, counts, form) if form else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if form:
+            distinct, place, counts = self._sorted(keys)
+            several, number = self._forms(place, counts, form)
+        else:
+            distinct = np.sort(keys >> np.uint64(64 - self.bits))
+            distinct = distinct[np.append(True, distinct[1:] != distinct[:-1])[: len(distinct)]]
+            several = number = np.zeros(0, np.int64)
         numbers, edges = filled_shards(distinct, self.shards, self.bits)
         parts = []
         for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -302,14 +321,14 @@ class Repeats:
             dense = forms >= np.maximum(self.dense, self.FEW * counts)
         told = (counts > 1) | dense
         shared, dense = both[told], dense[told]
+        if not len(shared):
+            return
+        # Each chunk's keys are looked up among the shared ones, not these in every chunk, so the work follows the keys.
         for chunk, own in zip(chunks, keys, strict=True):
-            at = np.searchsorted(own, shared)
-            held = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == shared)
+            at = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
+            held = shared[at] == own
             if held.any():
-                flags = np.zeros((2, len(own)), bool)
-                flags[0, at[held]] = True
-                flags[1, at[held & dense]] = True
-                yield chunk, encode(np.packbits(flags[0]), np.packbits(flags[1]))
+                yield chunk, encode(np.packbits(held), np.packbits(held & dense[at]))
 
     @staticmethod
     def any_dense(reply: list[tuple[int, bytes]]) -> bool:

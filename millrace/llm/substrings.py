@@ -16,8 +16,10 @@ from millrace.llm.chunks import (
     Chunk,
     Repeats,
     by_shard,
+    note_batch,
     over_chunks,
     pack,
+    split_note,
     to_chunks,
     total_bytes,
 )
@@ -52,20 +54,37 @@ class _Words:
         return self._windows[seed](length)[at]
 
 
-def _candidates(text: _Words, window: int, levels: list[tuple[int, int, Repeats]], replies: list) -> np.ndarray:
-    """Starts of the windows to look at on the level after the last reply.
+class _Level:
+    """One exchange: windows of some length are asked about, by hashes of a seed."""
 
-    A window of the full length can only occur again if each shorter window in it does, so a
-    level keeps just the windows inside such stretches.
-    """
-    whole = text.left >= window
-    for (length, seed, level), reply in zip(levels, replies, strict=False):
-        at = np.flatnonzero(cover(np.flatnonzero(whole), window - length + 1, len(whole)))
-        repeated = np.zeros(len(whole), bool)
-        if len(at):
-            repeated[at], _ = level.flags(text.windows(at, length, seed), reply)
-        whole &= runs_of(repeated, window - length + 1)
-    return whole
+    def __init__(self, length: int, seed: int, keys: Repeats):
+        self.length, self.seed, self.keys = length, seed, keys
+
+    def places(self, whole: np.ndarray, window: int) -> np.ndarray:
+        """Where the level's windows start that lie inside a candidate of the full length."""
+        return np.flatnonzero(cover(np.flatnonzero(whole), window - self.length + 1, len(whole)))
+
+    def ask(self, chunk: Chunk, text: _Words, whole: np.ndarray, window: int) -> Iterator[pa.RecordBatch]:
+        """Questions for the shards, and the candidates as a note; nothing if there are none."""
+        if whole.any():
+            yield note_batch(chunk, np.packbits(whole))
+            yield from self.keys.ask(chunk, text.windows(self.places(whole, window), self.length, self.seed))
+
+    def left(self, text: _Words, window: int, reply: list[tuple[int, bytes]]) -> np.ndarray:
+        """Which of the candidates in the note are left after the answers.
+
+        A window of the full length can only occur again if each shorter window in it does, so a
+        level keeps just the windows inside such stretches.
+        """
+        size = len(text.left)
+        note, reply = split_note(reply)
+        if note is None:
+            return np.zeros(size, bool)
+        whole = np.unpackbits(note[0], count=size).astype(bool)
+        at = self.places(whole, window)
+        repeated = np.zeros(size, bool)
+        repeated[at], _ = self.keys.flags(text.windows(at, self.length, self.seed), reply)
+        return whole & runs_of(repeated, window - self.length + 1)
 
 
 def remove_repeated_windows(
@@ -79,7 +98,7 @@ def remove_repeated_windows(
     repeated, and nothing is sent once no candidate is left. Short windows travel as a few bits
     more than their number needs, the full length as 64-bit hashes of windows whose halves are
     both known to repeat. What these call repeated is asked once more by independent 64-bit hashes, so
-    a window is removed by 128 bits.
+    a window is removed by 128 bits. The candidates left travel with the answers, so no level is worked out twice.
 
     Returns one row per row: ``doc_id``, ``text`` (kept words joined by one space), ``n_words``,
     ``n_removed``. Null and empty texts have no words and give an empty text; a null id stays
@@ -91,25 +110,24 @@ def remove_repeated_windows(
     packed = pack(docs, staging, id, text, chunk_bytes)
     size = total_bytes(packed)
     few = min(64, max(40, math.ceil(math.log2(size + 1)) + 8))
-    answers: list[DataFrame] = []
-    levels: list[tuple[int, int, Repeats]] = []
+    last: _Level | None = None
+    answers: list[DataFrame] = []  # of the last level alone; what was known before is in the notes
     for i, (length, seed) in enumerate(steps):
-        level = Repeats(size // 6, 64 if length == window else min(64, few + 8 * i))
+        level = _Level(length, seed, Repeats(size // 6, 64 if length == window else min(64, few + 8 * i)))
 
-        def ask(chunk: Chunk, replies: list, length=length, seed=seed, level=level, levels=tuple(levels)):
-            found = _Words(chunk)
-            whole = _candidates(found, window, list(levels), replies)
-            at = np.flatnonzero(cover(np.flatnonzero(whole), window - length + 1, len(whole)))
-            if len(at):
-                yield from level.ask(chunk, found.windows(at, length, seed))
+        def ask(chunk: Chunk, replies: list, level=level, last=last):
+            if last is None or replies[0]:
+                found = _Words(chunk)
+                whole = found.left >= window if last is None else last.left(found, window, replies[0])
+                yield from level.ask(chunk, found, whole, window)
 
         parts = over_chunks(packed, ask, PARTS_TYPE, answers)
-        answers.append(to_chunks(by_shard(parts, level.reduce), staging))
-        levels.append((length, seed, level))
+        answers = [to_chunks(by_shard(parts, level.keys.reduce), staging)]
+        last = level
 
     def finish(chunk: Chunk, replies: list) -> Iterator[pa.RecordBatch]:
         found = _Words(chunk)
-        whole = _candidates(found, window, levels, replies)
+        whole = last.left(found, window, replies[0])
         removed = cover(np.flatnonzero(whole), window, len(whole))
         gone = np.zeros(len(removed) + 1, np.int64)
         np.cumsum(removed, out=gone[1:])

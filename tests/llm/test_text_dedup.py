@@ -5,10 +5,11 @@ import random
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm.chunks import Repeats, decode, encode, filled_shards, slice_of
+from millrace.llm.chunks import Repeats, decode, encode, filled_shards, note_batch, slice_of, split_note
 from millrace.llm.hashing import Windows, word_hashes
 from millrace.llm.lines import drop_frequent_lines
 from millrace.llm.perfect_hash import PerfectHash
@@ -67,6 +68,33 @@ def test_substrings_match_brute_force(spark, staging, chunk_bytes, window):
     assert sorted(map(tuple, out)) == removed_windows(TEXTS, window)
 
 
+def test_answers_of_earlier_levels_are_not_read_again(spark, staging):
+    out = remove_repeated_windows(frame(spark, TEXTS), staging, window=35)
+    assert plan_of(out).count("SortMergeJoin") == 1  # 4 when each pass worked all levels out again
+
+
+def test_notes_come_back_among_the_answers():
+    chunk = type("C", (), {"number": 7 << 33})
+    bits = np.array([3, 0, 255], np.uint8)
+    (row,) = note_batch(chunk, bits).to_pylist()
+    assert row["shard"] < 0 and row["chunk"] == chunk.number
+    note, answers = split_note([(0, b"a"), (row["shard"], row["part"]), (5, b"b")])
+    assert note[0].tolist() == bits.tolist() and answers == [(0, b"a"), (5, b"b")]
+    assert split_note([(0, b"a")]) == (None, [(0, b"a")])
+
+
+def test_a_shard_looks_each_key_up_once(monkeypatch):
+    """300 chunks of 10 keys: 3,000 lookups, not all shared keys in every chunk."""
+    level = Repeats(3000, 64)
+    keys = [np.sort(np.arange(10, dtype=np.uint64) * np.uint64(1000) + np.uint64(i // 2)) for i in range(300)]
+    parts = [b.column("part")[0].as_py() for i, k in enumerate(keys) for b in level.ask(type("C", (), {"number": i}), k)]
+    looked, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *x, **y: looked.append(np.size(v)) or search(a, v, *x, **y))
+    replies = dict(level.reduce(list(range(300)), parts))
+    assert sum(looked) <= 3000
+    assert len(replies) == 300 and all(level.flags(k, [(0, replies[i])])[0].all() for i, k in enumerate(keys))
+
+
 def test_levels_double():
     assert level_lengths(35) == [9, 18, 35]
     assert level_lengths(8) == [8]
